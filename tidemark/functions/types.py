@@ -18,6 +18,12 @@ TYPE_ALIASES = {
 
 def normalize_type(type_name: Column | str) -> Column:
     """Trim, lower-case, fold aliases."""
+    if isinstance(type_name, str):
+        # One SQL expression: a single call to build, same semantics.
+        from tidemark.functions.text import WHITESPACE_CLASS as W
+        t = f"lower(regexp_replace(`{type_name}`, r'^{W}+|{W}+$', ''))"
+        cases = " ".join(f"WHEN {t} = '{a}' THEN '{c}'" for a, c in TYPE_ALIASES.items())
+        return F.expr(f"CASE {cases} ELSE {t} END")
     t = F.lower(strip_surrounding_whitespace(type_name))
     expr = t
     for alias, canonical in TYPE_ALIASES.items():

@@ -66,6 +66,15 @@ def _num(x: float) -> str:
     return str(int(x)) if x.is_integer() and abs(x) < 1e15 else repr(x)
 
 
+def sql_str(s: str) -> str:
+    """A Spark SQL string literal."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _resolve(df: DataFrame, name: str) -> str | None:
     """Case-insensitive column lookup; None when absent (check is skipped)."""
     lowered = name.lower()
@@ -75,66 +84,81 @@ def _resolve(df: DataFrame, name: str) -> str | None:
     return None
 
 
-def table_checks(df: DataFrame, rules: TableRules) -> DataFrame:
-    """All checks of one table from a single aggregate over one scan."""
-    specs = []  # (check_name, subject, agg expression)
+def _range_sql(rng: RangeRule, column: str) -> str:
+    c = sql_ident(column)
+    conds = []
+    if rng.low is not None:
+        conds.append(f"{c} < {float(rng.low)!r}D")
+    if rng.high is not None:
+        conds.append(f"{c} > {float(rng.high)!r}D")
+    if not conds:
+        return "false"
+    return f"({c} IS NOT NULL AND ({' OR '.join(conds)}))"
+
+
+def table_counters(df: DataFrame, rules: TableRules) -> DataFrame:
+    """One scan, one aggregate: every counter of a table, returned as long
+    rows ``(table_name, check_name, subject, observed)``.
+
+    Expressions are passed as SQL text so that building the plan costs one
+    call per expression, not one per sub-expression.
+    """
+    specs = []  # (check_name, subject, aggregate SQL)
     if rules.row_count:
-        specs.append(("row_count", rules.table, F.count(F.lit(1))))
+        specs.append(("row_count", rules.table, "count(1)"))
     for key in rules.key_columns:
         actual = _resolve(df, key)
         if actual is None:
             continue  # key column absent: null check skipped, not failed
-        specs.append(("null_key", key.lower(), F.count_if(F.col(actual).isNull())))
+        specs.append(("null_key", key.lower(), f"count_if({sql_ident(actual)} IS NULL)"))
     for rng in rules.ranges:
         actual = _resolve(df, rng.column)
         if actual is None:
             continue
-        specs.append((f"range {rng.label()}", rng.column.lower(),
-                      F.count_if(rng.violated(F.col(actual)))))
+        specs.append((f"range {rng.label()}", rng.column.lower(), f"count_if({_range_sql(rng, actual)})"))
     if not specs:
-        return df.sparkSession.createDataFrame([], CHECK_SCHEMA)
-    aggregated = df.agg(*[expr.cast("bigint").alias(f"c{i}") for i, (_, _, expr) in enumerate(specs)])
-    entries = F.array(*[
-        F.struct(F.lit(name).alias("check_name"), F.lit(subject).alias("subject"),
-                 F.col(f"c{i}").alias("observed"))
-        for i, (name, subject, _) in enumerate(specs)
-    ])
-    long = aggregated.select(F.inline(entries))
-    return _finish(long, rules.table)
-
-
-def _finish(long: DataFrame, table: str) -> DataFrame:
-    is_rows = F.col("check_name") == F.lit("row_count")
-    is_null = F.col("check_name") == F.lit("null_key")
-    n = F.col("observed").cast("string")
-    qualified = F.concat(F.lit(f"`{table}."), F.col("subject"), F.lit("`"))
-    message = (
-        F.when(is_rows, F.concat(F.lit(f"`{table}` row count: "), n))
-        .when(is_null, F.concat(qualified, F.lit(" null check -> "), n, F.lit(" null rows")))
-        .otherwise(F.concat(qualified, F.lit(" "), F.col("check_name"), F.lit(" -> "), n,
-                            F.lit(" invalid rows")))
-    )
-    passed = F.when(is_rows, F.lit(True)).otherwise(F.col("observed") == 0)
-    severity = (F.when(is_rows & (F.col("observed") == 0), F.lit("warning"))
-                .when(is_rows, F.lit("info"))
-                .when(passed, F.lit("info"))
-                .otherwise(F.lit("error")))
-    return long.select(
-        F.when(is_rows, F.lit("rows")).otherwise(F.lit("data")).alias("category"),
-        F.lit(table).alias("table_name"),
-        "check_name", "subject", "observed",
-        passed.alias("passed"), severity.alias("severity"), message.alias("message"),
-    )
+        return df.sparkSession.createDataFrame(
+            [], "table_name string, check_name string, subject string, observed bigint")
+    aggregated = df.agg(*[F.expr(f"CAST({e} AS BIGINT)").alias(f"c{i}") for i, (_, _, e) in enumerate(specs)])
+    structs = ", ".join(
+        f"named_struct('table_name', {sql_str(rules.table)}, 'check_name', {sql_str(n)}, "
+        f"'subject', {sql_str(sub)}, 'observed', c{i})"
+        for i, (n, sub, _) in enumerate(specs))
+    return aggregated.selectExpr(f"inline(array({structs}))")
+
+
+_FINISH = [
+    "CASE WHEN check_name = 'row_count' THEN 'rows' ELSE 'data' END AS category",
+    "table_name", "check_name", "subject", "observed",
+    "CASE WHEN check_name = 'row_count' THEN true ELSE observed = 0 END AS passed",
+    "CASE WHEN check_name = 'row_count' AND observed = 0 THEN 'warning' "
+    "WHEN check_name = 'row_count' THEN 'info' WHEN observed = 0 THEN 'info' ELSE 'error' END AS severity",
+    "CASE WHEN check_name = 'row_count' THEN concat('`', table_name, '` row count: ', observed) "
+    "WHEN check_name = 'null_key' THEN concat('`', table_name, '.', subject, '` null check -> ', observed, "
+    "' null rows') "
+    "ELSE concat('`', table_name, '.', subject, '` ', check_name, ' -> ', observed, ' invalid rows') END AS message",
+]
+
+
+def finish_checks(counters: DataFrame) -> DataFrame:
+    """Counter rows to check rows: pass/fail, severity, message."""
+    return counters.selectExpr(*_FINISH)
+
+
+def table_checks(df: DataFrame, rules: TableRules) -> DataFrame:
+    """All checks of one table from a single aggregate over one scan."""
+    return finish_checks(table_counters(df, rules))
 
 
 def fused_checks(tables: Mapping[str, DataFrame], rules: Sequence[TableRules]) -> DataFrame:
     """Check rows for every table that exists; missing tables are skipped here
-    (their absence is reported by the presence check)."""
-    parts = [table_checks(tables[r.table], r) for r in rules if r.table in tables]
+    (their absence is reported by the presence check).  One aggregate per
+    table, one union, one projection."""
+    parts = [table_counters(tables[r.table], r) for r in rules if r.table in tables]
     if not parts:
         spark = SparkSession.getActiveSession()
         return spark.createDataFrame([], CHECK_SCHEMA)
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    return finish_checks(reduce(lambda a, b: a.union(b), parts))
 
 
 def range_violation_rows(df: DataFrame, table: str, rules: Sequence[RangeRule],

@@ -29,6 +29,8 @@ PY_ENTRY_POINTS = ("def upgrade(", "def run(")
 _LINE_SPACE = r"[ \t\x{0B}\f\r]+"
 REQUIRED_DDL = rf"(?i)(CREATE{_LINE_SPACE}TABLE|ALTER{_LINE_SPACE}TABLE)"
 FORBIDDEN_DDL = rf"(?i)(DROP{_LINE_SPACE}DATABASE|DROP{_LINE_SPACE}SCHEMA)"
+# Any character that is not whitespace (a script without one is empty).
+NON_WHITESPACE = "[^" + WHITESPACE_CLASS[1:]
 
 MSG_NAMING = "Invalid naming convention. Expected: vNNN_description.sql or vNNN_description.py"
 MSG_NAMING_CI = "does not follow the vNNN_description.sql naming convention."
@@ -40,38 +42,53 @@ MSG_REQUIRED = "must contain CREATE TABLE or ALTER TABLE statements."
 MSG_FORBIDDEN = "contains a forbidden DROP DATABASE or DROP SCHEMA statement."
 
 
-def _finding(df: DataFrame, cond: Column, rule: str, severity: str, message: Column | str) -> DataFrame:
-    msg = F.lit(message) if isinstance(message, str) else message
-    return df.filter(cond).select("file_name", F.lit(rule).alias("rule"),
-                                  F.lit(severity).alias("severity"), msg.alias("message"))
+def _not_listed(name: Column) -> Column:
+    return name.startswith(".") | (name == F.lit("__pycache__"))
 
 
-def _listed(files: DataFrame) -> Column:
+def _row_rules(files: DataFrame, profiles: tuple[str, ...]) -> DataFrame:
+    """Every per-file rule in one projection over one scan: the flags are
+    computed once per script, then one row per finding is generated."""
     name = F.col("file_name")
-    return ~(name.startswith(".") | (name == F.lit("__pycache__")))
-
-
-def lint_validator(files: DataFrame) -> DataFrame:
-    """Rules of the pre-deploy validator: naming, duplicate versions, empty
-    file, parentheses and keywords (.sql), entry point (.py)."""
-    name = F.col("file_name")
-    content = F.col("content")
-    is_sql = name.endswith(".sql")
-    is_py = name.endswith(".py")
-    empty = F.regexp_replace(F.coalesce(content, F.lit("")), WHITESPACE_CLASS + "+", "") == F.lit("")
+    content = F.coalesce(F.col("content"), F.lit(""))
     upper = F.upper(content)
-    has_keyword = reduce(lambda a, b: a | b, [upper.contains(k) for k in SQL_KEYWORDS])
-    has_entry = reduce(lambda a, b: a | b, [content.contains(k) for k in PY_ENTRY_POINTS])
-    parts = [
-        _finding(files, _listed(files) & ~name.rlike(NAME_RULES["validator"]), "naming", "ERROR", MSG_NAMING),
-        duplicate_versions(files),
-        _finding(files, (is_sql | is_py) & empty, "empty", "ERROR", MSG_EMPTY),
-        _finding(files, is_sql & ~empty & (count_char(content, "(") != count_char(content, ")")),
-                 "parentheses", "ERROR", MSG_PARENS),
-        _finding(files, is_sql & ~empty & ~has_keyword, "keywords", "WARNING", MSG_KEYWORDS),
-        _finding(files, is_py & ~empty & ~has_entry, "entry_point", "WARNING", MSG_ENTRY),
-    ]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    flags = files.select(
+        "file_name",
+        name.endswith(".sql").alias("_sql"),
+        name.endswith(".py").alias("_py"),
+        (~content.rlike(NON_WHITESPACE)).alias("_empty"),
+        _not_listed(name).alias("_hidden"),
+        name.rlike(NAME_RULES["validator"]).alias("_name_ok"),
+        name.rlike(NAME_RULES["ci"]).alias("_name_ci_ok"),
+        (count_char(content, "(") != count_char(content, ")")).alias("_parens"),
+        reduce(lambda a, b: a | b, [upper.contains(k) for k in SQL_KEYWORDS]).alias("_kw"),
+        reduce(lambda a, b: a | b, [content.contains(k) for k in PY_ENTRY_POINTS]).alias("_entry"),
+        content.rlike(REQUIRED_DDL).alias("_ddl"),
+        content.rlike(FORBIDDEN_DDL).alias("_drop"),
+    )
+    c = F.col
+    rules = []
+    if "validator" in profiles:
+        rules += [
+            (~c("_hidden") & ~c("_name_ok"), "naming", "ERROR", F.lit(MSG_NAMING)),
+            ((c("_sql") | c("_py")) & c("_empty"), "empty", "ERROR", F.lit(MSG_EMPTY)),
+            (c("_sql") & ~c("_empty") & c("_parens"), "parentheses", "ERROR", F.lit(MSG_PARENS)),
+            (c("_sql") & ~c("_empty") & ~c("_kw"), "keywords", "WARNING", F.lit(MSG_KEYWORDS)),
+            (c("_py") & ~c("_empty") & ~c("_entry"), "entry_point", "WARNING", F.lit(MSG_ENTRY)),
+        ]
+    if "ci" in profiles:
+        rules += [
+            (c("_sql") & ~c("_name_ci_ok"), "naming_ci", "ERROR",
+             F.concat(c("file_name"), F.lit(" " + MSG_NAMING_CI))),
+            (c("_sql") & ~c("_ddl"), "create_or_alter", "ERROR", F.concat(c("file_name"), F.lit(" " + MSG_REQUIRED))),
+            (c("_sql") & c("_drop"), "forbidden_drop", "ERROR", F.concat(c("file_name"), F.lit(" " + MSG_FORBIDDEN))),
+        ]
+    found = F.array(*[F.when(cond, F.struct(F.lit(rule).alias("rule"), F.lit(sev).alias("severity"),
+                                            msg.alias("message")))
+                      for cond, rule, sev, msg in rules])
+    return (flags.select("file_name", F.explode(found).alias("_f"))
+            .filter(F.col("_f").isNotNull())
+            .select("file_name", "_f.rule", "_f.severity", "_f.message"))
 
 
 def duplicate_versions(files: DataFrame) -> DataFrame:
@@ -79,7 +96,7 @@ def duplicate_versions(files: DataFrame) -> DataFrame:
     extension; each is reported against the first such file by name.
     (A .sql and a .py of one version are twins, not duplicates.)"""
     rule = NAME_RULES["validator"]
-    named = files.filter(F.col("file_name").rlike(rule)).select(
+    named = files.select("file_name").filter(F.col("file_name").rlike(rule)).select(
         "file_name",
         F.regexp_extract("file_name", rule, 1).cast("int").alias("_v"),
         F.regexp_extract("file_name", rule, 2).alias("_ext"))
@@ -93,31 +110,22 @@ def duplicate_versions(files: DataFrame) -> DataFrame:
                        F.lit("ERROR").alias("severity"), msg.alias("message"))
 
 
-def lint_ci(files: DataFrame) -> DataFrame:
-    """Rules of the CI lint step, .sql files only: lower-case naming,
-    CREATE/ALTER TABLE present, no DROP DATABASE/SCHEMA."""
-    name = F.col("file_name")
-    content = F.coalesce(F.col("content"), F.lit(""))
-    sql = files.filter(name.endswith(".sql"))
-    parts = [
-        _finding(sql, ~name.rlike(NAME_RULES["ci"]), "naming_ci", "ERROR",
-                 F.concat(name, F.lit(" "), F.lit(MSG_NAMING_CI))),
-        _finding(sql, ~content.rlike(REQUIRED_DDL), "create_or_alter", "ERROR",
-                 F.concat(name, F.lit(" "), F.lit(MSG_REQUIRED))),
-        _finding(sql, content.rlike(FORBIDDEN_DDL), "forbidden_drop", "ERROR",
-                 F.concat(name, F.lit(" "), F.lit(MSG_FORBIDDEN))),
-    ]
-    return reduce(lambda a, b: a.unionByName(b), parts)
-
-
 def lint(files: DataFrame, profiles: tuple[str, ...] = ("validator", "ci")) -> DataFrame:
-    """All findings of the chosen rule profiles."""
-    parts = []
+    """All findings of the chosen rule profiles (``validator``: naming,
+    duplicate versions, empty, parentheses, keywords, entry point; ``ci``:
+    lower-case naming, CREATE/ALTER TABLE required, no DROP DATABASE/SCHEMA)."""
+    out = _row_rules(files, profiles)
     if "validator" in profiles:
-        parts.append(lint_validator(files))
-    if "ci" in profiles:
-        parts.append(lint_ci(files))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+        out = out.unionByName(duplicate_versions(files))
+    return out
+
+
+def lint_validator(files: DataFrame) -> DataFrame:
+    return lint(files, ("validator",))
+
+
+def lint_ci(files: DataFrame) -> DataFrame:
+    return lint(files, ("ci",))
 
 
 def lint_summary(findings: DataFrame) -> DataFrame:

@@ -40,8 +40,33 @@ APPLIED_AT_SQL = "TIMESTAMP '2026-03-12 08:00:00'"
 RUN_BY = "tidemark"
 
 
+_LOADED: dict[tuple[int, str], DataFrame] = {}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table of the driver's folder.  The DataFrame (a lazy plan, no data)
+    is reused per session, so the file listing and footer read that resolve
+    its schema happen once, not once per query that touches the table.  A
+    table that feeds heavy row work is spread with :func:`load_spread`."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    df = _LOADED.get(key)
+    if df is None:
+        df = spark.read.parquet(path)
+        _LOADED[key] = df
+    return df
+
+
+def load_spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """:func:`load` for inputs that feed CPU-heavy row work (regex over text,
+    rendering): a single-row-group file is spread over the cores first."""
+    from tidemark.session import spread
+    key = (id(spark._jsparkSession), f"{sf_dir}/{name}.parquet#spread")
+    df = _LOADED.get(key)
+    if df is None:
+        df = spread(load(spark, sf_dir, name))
+        _LOADED[key] = df
+    return df
 
 
 def load_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -58,7 +83,7 @@ def doc_name() -> Column:
 
 def baseline_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.functions.text import export_path
-    d = load(spark, sf_dir, "documents")
+    d = load_spread(spark, sf_dir, "documents")
     return d.select(F.col("lang").alias("category"), doc_name().alias("name"),
                     F.col("text").alias("definition"),
                     export_path(F.col("lang"), doc_name()).alias("relative_path"))
@@ -66,7 +91,7 @@ def baseline_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def live_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.functions.text import export_path
-    d = load(spark, sf_dir, "documents")
+    d = load_spread(spark, sf_dir, "documents")
     lab = load(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     j = d.join(lab, "doc_id", "left").filter(F.coalesce(F.col("toxic"), F.lit(0)) == 0)
     definition = (F.when(F.col("quality") == 0, F.concat(F.col("text"), F.lit("\nREVISED")))
@@ -75,7 +100,7 @@ def live_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = j.select(F.col("lang").alias("category"), doc_name().alias("name"),
                     definition.alias("definition"),
                     export_path(F.col("lang"), doc_name()).alias("relative_path"))
-    p = load(spark, sf_dir, "pages")
+    p = load_spread(spark, sf_dir, "pages")
     page_name = F.concat(F.lit("page"), F.col("page_id").cast("string"))
     pages = p.select(F.lit("views").alias("category"), page_name.alias("name"),
                      F.col("html").alias("definition"),
@@ -116,11 +141,11 @@ def _conv_columns(c: DataFrame, live: bool) -> DataFrame:
 
 
 def baseline_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _conv_columns(load(spark, sf_dir, "conversations"), live=False)
+    return _conv_columns(load_spread(spark, sf_dir, "conversations"), live=False)
 
 
 def live_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cols = _conv_columns(load(spark, sf_dir, "conversations"), live=True)
+    cols = _conv_columns(load_spread(spark, sf_dir, "conversations"), live=True)
     b = load(spark, sf_dir, "benchmark")
     bench = b.select(F.concat(F.lit("bench"), F.col("item_id").cast("string")).alias("name"),
                      F.lit("body").alias("column_name"), F.lit(1).cast("bigint").alias("ordinal"),
@@ -146,7 +171,7 @@ def script_name() -> Column:
 
 def script_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, file_name, content, n_chars)`` - the script corpus."""
-    d = load(spark, sf_dir, "documents")
+    d = load_spread(spark, sf_dir, "documents")
     return d.select("doc_id", script_name().alias("file_name"), F.col("text").alias("content"),
                     "n_chars", "source", "lang")
 
@@ -175,7 +200,7 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One catalog table per order, its six columns described by structs
     built from the order's own values (no grouping)."""
-    o = load(spark, sf_dir, "orders")
+    o = load_spread(spark, sf_dir, "orders")
 
     def col(name, ordinal, data_type, length=None, precision=None, scale=None, dtp=None,
             nullable=F.lit(True), default=None):
@@ -221,7 +246,7 @@ def modules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One module per conversation turn: system turns arrive as ``ALTER
     VIEW`` text, long user turns as ``CREATE VIEW``, the rest as bare bodies
     (assistant turns are procedures)."""
-    c = load(spark, sf_dir, "conversations")
+    c = load_spread(spark, sf_dir, "conversations")
     role = F.col("role")
     obj = F.concat(F.lit("conv"), F.col("conv_id").cast("string"), F.lit("_t"), F.col("turn").cast("string"))
     definition = (F.when(role == "system", F.concat(F.lit("ALTER VIEW "), obj, F.lit(" AS\n"), F.col("text")))
@@ -240,7 +265,7 @@ def modules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def doc_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One export artifact per document; the object type follows the language."""
     from tidemark.operators.render import artifacts
-    d = load(spark, sf_dir, "documents")
+    d = load_spread(spark, sf_dir, "documents")
     ot = (F.when(F.col("lang") == "en", F.lit("table"))
           .when(F.col("lang") == "fr", F.lit("view")).otherwise(F.lit("procedure")))
     qn = F.concat(F.lit("dbo."), F.col("source"), F.lit(":doc"), F.col("doc_id").cast("string"))

@@ -75,25 +75,21 @@ def q_range_violation_rows(spark, sf_dir):
     return cust.unionByName(line)
 
 
-def _contract_checks(spark, sf_dir, expected_version=EXPECTED_VERSION):
-    t, _ = _tables(spark, sf_dir)
-    contract = contracts.gate(contracts.contract_frame(spark, CONTRACT), expected_version)
+def _contract_inputs(spark, sf_dir, expected_version=EXPECTED_VERSION):
+    t = M.load_all(spark, sf_dir)
     full = contracts.contract_frame(spark, CONTRACT)
-    avail = available_tables(spark, t)
-    actual = actual_columns(spark, t)
-    presence = contracts.table_presence(contract, avail)
-    columns = contracts.column_conformance(contract, actual, avail)
-    block = contracts.version_block(full, actual, avail, expected_version)
-    return presence, columns, block
+    return t, full, contracts.gate(full, expected_version)
 
 
 def q_table_presence(spark, sf_dir):
-    presence, _, _ = _contract_checks(spark, sf_dir, "v003")
+    t, _, contract = _contract_inputs(spark, sf_dir, "v003")
+    presence = contracts.table_presence(contract, available_tables(spark, t))
     return presence.select("table_name", "passed", "message")
 
 
 def q_schema_conformance(spark, sf_dir):
-    _, columns, _ = _contract_checks(spark, sf_dir)
+    t, _, contract = _contract_inputs(spark, sf_dir)
+    columns = contracts.column_conformance(contract, actual_columns(spark, t), available_tables(spark, t))
     return columns.select("table_name", F.col("subject").alias("column_name"), "passed", "message")
 
 
@@ -104,10 +100,11 @@ def q_version_gate(spark, sf_dir):
 
 
 def q_version_block(spark, sf_dir):
-    _, _, block = _contract_checks(spark, sf_dir, "v002")
-    _, _, block3 = _contract_checks(spark, sf_dir, "v003")
-    return block.withColumn("expected_version", F.lit("v002")).unionByName(
-        block3.withColumn("expected_version", F.lit("v003"))).select(
+    t, full, _ = _contract_inputs(spark, sf_dir)
+    actual, avail = actual_columns(spark, t), available_tables(spark, t)
+    parts = [contracts.version_block(full, actual, avail, v).withColumn("expected_version", F.lit(v))
+             for v in ("v002", "v003")]
+    return parts[0].unionByName(parts[1]).select(
         "expected_version", "table_name", "check_name", "subject", "passed", "message")
 
 
@@ -120,7 +117,11 @@ def q_history_checks(spark, sf_dir):
 
 
 def _all_check_rows(spark, sf_dir):
-    presence, columns, block = _contract_checks(spark, sf_dir)
+    t, full, contract = _contract_inputs(spark, sf_dir)
+    actual, avail = actual_columns(spark, t), available_tables(spark, t)
+    presence = contracts.table_presence(contract, avail)
+    columns = contracts.column_conformance(contract, actual, avail)
+    block = contracts.version_block(full, actual, avail, EXPECTED_VERSION)
     h = M.history(spark, sf_dir)
     hist = contracts.history_checks(h, contracts.expected_version_labels(EXPECTED_VERSION), spark=spark)
     return reduce(lambda a, b: a.unionByName(b), [presence, columns, block, _fused(spark, sf_dir), hist])
@@ -143,9 +144,9 @@ def q_verdict(spark, sf_dir):
 # --------------------------------------------------------------------------
 
 def q_definition_normalize(spark, sf_dir):
-    d = M.load(spark, sf_dir, "documents").select(
+    d = M.load_spread(spark, sf_dir, "documents").select(
         F.lit("document").alias("kind"), F.col("doc_id").alias("object_id"), F.col("text").alias("body"))
-    p = M.load(spark, sf_dir, "pages").select(
+    p = M.load_spread(spark, sf_dir, "pages").select(
         F.lit("page").alias("kind"), F.col("page_id").alias("object_id"), F.col("html").alias("body"))
     u = d.unionByName(p)
     norm = normalize_definition(F.col("body"))

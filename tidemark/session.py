@@ -76,3 +76,15 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan over the cluster's cores when it has fewer input
+    partitions than cores (a table stored as one row group is read by one
+    task).  On a large input the scan already has thousands of partitions and
+    this is a no-op.  The check plans the scan; it runs no job."""
+    sc = df.sparkSession.sparkContext
+    target = min_partitions or sc.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
