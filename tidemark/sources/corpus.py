@@ -23,6 +23,12 @@ def read_scripts(spark: SparkSession, path: str, glob: str | None = None) -> Dat
                      F.col("value").alias("content"))
 
 
+MANIFEST_SCHEMA = ("extraction_timestamp string, database string, schemas array<string>, "
+                   "table_count bigint, view_count bigint, procedure_count bigint, "
+                   "files map<string, struct<object_type: string, qualified_name: string, sha256: string>>, "
+                   "ddl_sha256 string")
+
+
 def read_snapshot(spark: SparkSession, export_dir: str) -> tuple[DataFrame, DataFrame]:
     """An exported snapshot folder: ``manifest.json`` and the definition files
     under ``tables/``, ``views/``, ``procedures/``.
@@ -31,7 +37,8 @@ def read_snapshot(spark: SparkSession, export_dir: str) -> tuple[DataFrame, Data
     ``(category, name, relative_path, definition, sha256)`` with the name
     taken from the file stem.
     """
-    manifest = spark.read.option("multiLine", True).json(f"{export_dir}/manifest.json")
+    manifest = (spark.read.option("multiLine", True).schema(MANIFEST_SCHEMA)
+                .json(f"{export_dir}/manifest.json"))
     files = manifest.select(F.explode(F.col("files")).alias("relative_path", "meta")).select(
         "relative_path", F.col("meta.object_type").alias("object_type"),
         F.col("meta.qualified_name").alias("qualified_name"), F.col("meta.sha256").alias("sha256"))
