@@ -27,11 +27,21 @@ from tidemark.functions.types import normalize_type, normalize_type_name, versio
 CONTRACT_SCHEMA = "table_name string, column_name string, expected_type string, since_version bigint"
 
 
+_FRAMES: dict = {}
+
+
 def contract_frame(spark: SparkSession,
                    spec: Mapping[str, Mapping[str, str]] | Iterable[tuple],
                    since_version: int = 1) -> DataFrame:
     """Contract DataFrame from ``{table: {column: type}}`` (all at one version)
-    or from ``(table, column, type, since_version)`` tuples."""
+    or from ``(table, column, type, since_version)`` tuples.  The same
+    literal contract yields the same (cached) DataFrame within a session."""
+    key = None
+    if not isinstance(spec, Mapping):
+        spec = [tuple(r) for r in spec]
+        key = (id(spark._jsparkSession), tuple(spec))
+        if key in _FRAMES:
+            return _FRAMES[key]
     rows = []
     if isinstance(spec, Mapping):
         for table, columns in spec.items():
@@ -40,7 +50,10 @@ def contract_frame(spark: SparkSession,
     else:
         for table, column, typ, since in spec:
             rows.append((table.lower(), column.lower(), normalize_type_name(typ), int(since)))
-    return spark.createDataFrame(rows, CONTRACT_SCHEMA)
+    df = spark.createDataFrame(rows, CONTRACT_SCHEMA)
+    if key is not None:
+        _FRAMES[key] = df
+    return df
 
 
 def gate(contract: DataFrame, expected_version: str) -> DataFrame:
