@@ -90,7 +90,7 @@ def split_ignored(objs: DataFrame, patterns: Sequence[str],
                   singular_map: Mapping[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
     """(kept, ignored) objects; one expression, two filters over the same plan."""
     if not patterns:
-        return objs, objs.limit(0)
+        return objs, objs.filter(F.lit(False))
     flagged = objs.withColumn("_ignored", ignore_mask(objs, patterns, singular_map))
     return (flagged.filter(~F.col("_ignored")).drop("_ignored"),
             flagged.filter(F.col("_ignored")).drop("_ignored"))
