@@ -47,3 +47,61 @@ def actual_columns(spark: SparkSession, tables: Mapping[str, DataFrame] | None =
 
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
+
+
+CATALOG_COLUMNS_SCHEMA = (
+    "schema_name string, table_name string, column_name string, ordinal_position int, data_type string, "
+    "is_nullable boolean, column_default string, character_maximum_length int, numeric_precision int, "
+    "numeric_scale int, datetime_precision int, comment string")
+
+
+def _type_attributes(dt) -> tuple:
+    """(base type name, char length, precision, scale, datetime precision)
+    for a Spark type, in the catalog's terms."""
+    from pyspark.sql import types as T
+    if isinstance(dt, (T.VarcharType, T.CharType)):
+        return (dt.typeName().split("(")[0], dt.length, None, None, None)
+    if isinstance(dt, T.StringType):
+        return ("string", -1, None, None, None)
+    if isinstance(dt, T.DecimalType):
+        return ("decimal", None, dt.precision, dt.scale, None)
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
+        return (dt.simpleString(), None, None, None, 6)
+    return (dt.simpleString(), None, None, None, None)
+
+
+def catalog_columns(spark: SparkSession, database: str | None = None) -> DataFrame:
+    """Columns of every table of a database with the attributes a table
+    definition needs (type, length, precision, scale, nullability, default,
+    comment).  Catalog-sized: built from table schemas on the driver."""
+    db = database or spark.catalog.currentDatabase()
+    rows = []
+    for t in spark.catalog.listTables(db):
+        if (t.tableType or "").upper() == "VIEW" or t.isTemporary:
+            continue
+        for i, f in enumerate(spark.table(f"`{db}`.`{t.name}`").schema.fields, start=1):
+            base, length, prec, scale, dtp = _type_attributes(f.dataType)
+            default = f.metadata.get("CURRENT_DEFAULT") if f.metadata else None
+            comment = f.metadata.get("comment") if f.metadata else None
+            rows.append((db, t.name, f.name, i, base, bool(f.nullable), default, length, prec, scale, dtp, comment))
+    return spark.createDataFrame(rows, CATALOG_COLUMNS_SCHEMA)
+
+
+def catalog_views(spark: SparkSession, database: str | None = None) -> DataFrame:
+    """``(schema_name, object_name, object_type, definition)`` for the
+    persistent views of a database (their stored query text)."""
+    db = database or spark.catalog.currentDatabase()
+    rows = []
+    for t in spark.catalog.listTables(db):
+        if (t.tableType or "").upper() != "VIEW" or t.isTemporary:
+            continue
+        info = spark.sql(f"DESCRIBE TABLE EXTENDED `{db}`.`{t.name}`").collect()
+        text = next((r["data_type"] for r in info if (r["col_name"] or "").strip() == "View Text"), "")
+        rows.append((db, t.name, "V", text or ""))
+    return spark.createDataFrame(rows, "schema_name string, object_name string, object_type string, "
+                                       "definition string")
+
+
+def schemata(spark: SparkSession) -> DataFrame:
+    """Databases of the session catalog."""
+    return spark.createDataFrame([(d.name,) for d in spark.catalog.listDatabases()], "schema_name string")

@@ -42,6 +42,17 @@ def read_snapshot(spark: SparkSession, export_dir: str) -> tuple[DataFrame, Data
     files = manifest.select(F.explode(F.col("files")).alias("relative_path", "meta")).select(
         "relative_path", F.col("meta.object_type").alias("object_type"),
         F.col("meta.qualified_name").alias("qualified_name"), F.col("meta.sha256").alias("sha256"))
+    if _exists(spark, f"{export_dir}/_objects"):
+        raw = (spark.read.schema("value string, folder string, file_name string")
+               .text(f"{export_dir}/_objects", wholetext=True))
+        objs = raw.select(
+            F.col("folder").alias("category"),
+            F.regexp_replace("file_name", r"\.sql$", "").alias("name"),
+            F.concat(F.col("folder"), F.lit("/"), F.col("file_name")).alias("relative_path"),
+            # the text writer ends each row with a newline; drop it
+            F.regexp_replace("value", r"\n\z", "").alias("definition"))
+        objs = objs.withColumn("sha256", F.sha2(F.col("definition"), 256))
+        return files, objs
     defs = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.sql")
             .text(export_dir, wholetext=True)
             .select(F.col("_metadata.file_path").alias("_p"), F.col("value").alias("definition")))
@@ -54,6 +65,12 @@ def read_snapshot(spark: SparkSession, export_dir: str) -> tuple[DataFrame, Data
     return files, objs.filter(F.col("category") != "")
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def resolve_paths(objs: DataFrame, manifest_files: DataFrame, singular_map: dict | None = None) -> DataFrame:
     """Object -> file path: the manifest entry with the same name and type
     first, else the conventional ``<category>/<name>.sql``.  Objects whose
