@@ -75,10 +75,10 @@ def sql_ident(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _resolve(df: DataFrame, name: str) -> str | None:
+def _resolve(df: DataFrame | list[str], name: str) -> str | None:
     """Case-insensitive column lookup; None when absent (check is skipped)."""
     lowered = name.lower()
-    for c in df.columns:
+    for c in (df if isinstance(df, list) else df.columns):
         if c.lower() == lowered:
             return c
     return None
@@ -104,22 +104,24 @@ def table_counters(df: DataFrame, rules: TableRules) -> DataFrame:
     call per expression, not one per sub-expression.
     """
     specs = []  # (check_name, subject, aggregate SQL)
+    columns = df.columns
     if rules.row_count:
         specs.append(("row_count", rules.table, "count(1)"))
     for key in rules.key_columns:
-        actual = _resolve(df, key)
+        actual = _resolve(columns, key)
         if actual is None:
             continue  # key column absent: null check skipped, not failed
         specs.append(("null_key", key.lower(), f"count_if({sql_ident(actual)} IS NULL)"))
     for rng in rules.ranges:
-        actual = _resolve(df, rng.column)
+        actual = _resolve(columns, rng.column)
         if actual is None:
             continue
         specs.append((f"range {rng.label()}", rng.column.lower(), f"count_if({_range_sql(rng, actual)})"))
     if not specs:
         return df.sparkSession.createDataFrame(
             [], "table_name string, check_name string, subject string, observed bigint")
-    aggregated = df.agg(*[F.expr(f"CAST({e} AS BIGINT)").alias(f"c{i}") for i, (_, _, e) in enumerate(specs)])
+    # aggregate expressions in a projection make it a global aggregate
+    aggregated = df.selectExpr(*[f"CAST({e} AS BIGINT) AS c{i}" for i, (_, _, e) in enumerate(specs)])
     structs = ", ".join(
         f"named_struct('table_name', {sql_str(rules.table)}, 'check_name', {sql_str(n)}, "
         f"'subject', {sql_str(sub)}, 'observed', c{i})"

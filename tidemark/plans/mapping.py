@@ -169,9 +169,10 @@ def script_name() -> Column:
     return F.when(F.col("n_chars") < 200, F.concat(F.lit("draft_"), name)).otherwise(name)
 
 
-def script_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(doc_id, file_name, content, n_chars)`` - the script corpus."""
-    d = load_spread(spark, sf_dir, "documents")
+def script_files(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
+    """``(doc_id, file_name, content, n_chars)`` - the script corpus (spread
+    over the cores when the content is going to be scanned)."""
+    d = load_spread(spark, sf_dir, "documents") if spread else load(spark, sf_dir, "documents")
     return d.select("doc_id", script_name().alias("file_name"), F.col("text").alias("content"),
                     "n_chars", "source", "lang")
 
@@ -179,7 +180,7 @@ def script_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed migration history: one run per labelled document."""
     from tidemark.operators.migrations import parse_names
-    files = parse_names(script_files(spark, sf_dir))
+    files = parse_names(script_files(spark, sf_dir, spread=False))
     lab = load(spark, sf_dir, "labels").select("doc_id", "quality")
     j = files.join(lab, "doc_id")
     return j.select(

@@ -243,7 +243,7 @@ def q_render_definition(spark, sf_dir):
 
 def q_definition_lines(spark, sf_dir):
     o = M.load(spark, sf_dir, "orders")
-    li = M.load(spark, sf_dir, "lineitem")
+    li = M.load_spread(spark, sf_dir, "lineitem")
     tables = o.select(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("schema_name"),
                       F.concat(F.lit("order"), F.col("o_orderkey").cast("string")).alias("table_name"))
     typ = (F.when(F.col("l_returnflag") == "R", F.lit("nvarchar"))
