@@ -13,7 +13,7 @@ Check rows have a fixed schema (:data:`CHECK_SCHEMA`) and are what
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -58,7 +58,6 @@ class TableRules:
     key_columns: tuple[str, ...] = ()
     ranges: tuple[RangeRule, ...] = ()
     row_count: bool = True
-    extra: tuple = field(default=())
 
 
 def _num(x: float) -> str:
