@@ -88,9 +88,12 @@ def test_domain_end_to_end(spark, scratch_dir):
         strict = validate_catalog(spark, DC.contract_rows(), DC.RULES, "v002", strict_history=True)
         assert report(strict)[1].first().result == "PASS"
         # the seed's first power row does not add up (a cross-column rule catches it)
-        parts = F.col("it_load_kw") + F.col("cooling_load_kw") + F.col("lighting_load_kw")
-        bad = p.filter(F.abs(parts - F.col("total_power_kw")) > 0.01).collect()
-        assert [r.record_id for r in bad] == ["P-1"]
+        from tidemark.operators.integrity import expression_agreement
+        got = {r.rule: r.violations for r in
+               expression_agreement(p, "power_consumption", DC.AGREEMENT["power_consumption"]).collect()}
+        assert got["parts_sum_to_total"] == 1
+        inc = expression_agreement(spark.table("sla_incidents"), "sla_incidents", DC.AGREEMENT["sla_incidents"])
+        assert inc.first().violations == 0 and inc.first().checked_rows == 3
     finally:
         spark.catalog.setCurrentDatabase("default")
 

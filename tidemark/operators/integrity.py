@@ -78,3 +78,19 @@ def version_gaps(versions: DataFrame, col: str = "version") -> DataFrame:
             .join(successors, "_next", "left_anti")
             .filter(F.col("v") < top)
             .select(F.col("_next").cast("bigint").alias("missing_from")))
+
+
+def expression_agreement(df: DataFrame, table: str,
+                         rules: Sequence[tuple[str, str, str, float]]) -> DataFrame:
+    """Cross-column rules ``(name, left SQL, right SQL, tolerance)``: rows
+    where both sides are known and differ by more than the tolerance.  All
+    rules of a table are counted in one aggregate over one scan; rows with a
+    NULL side are not counted (as in the range checks)."""
+    exprs = []
+    for i, (_, lhs, rhs, tol) in enumerate(rules):
+        exprs.append(f"CAST(count_if(({lhs}) IS NOT NULL AND ({rhs}) IS NOT NULL "
+                     f"AND abs(({lhs}) - ({rhs})) > {float(tol)!r}D) AS BIGINT) AS v{i}")
+    agg = df.selectExpr("CAST(count(1) AS BIGINT) AS n", *exprs)
+    structs = ", ".join(
+        f"named_struct('rule', '{name}', 'violations', v{i})" for i, (name, _, _, _) in enumerate(rules))
+    return agg.selectExpr(f"'{table}' AS table_name", "n AS checked_rows", f"inline(array({structs}))")

@@ -86,6 +86,20 @@ RULES = [
     TableRules("sla_incidents", ("incident_id", "dc_id")),
 ]
 
+# Declared but unchecked by the original contract (column comments): parts of
+# the power draw add up to the total, PUE is total over IT load, downtime is
+# the incident's length.  (name, left, right, tolerance) per table.
+AGREEMENT = {
+    "power_consumption": [
+        ("parts_sum_to_total", "it_load_kw + cooling_load_kw + lighting_load_kw", "total_power_kw", 0.5),
+        ("pue_is_total_over_it", "total_power_kw / nullif(it_load_kw, 0)", "pue_ratio", 0.01),
+    ],
+    "sla_incidents": [
+        ("downtime_is_duration",
+         "(unix_timestamp(incident_end) - unix_timestamp(incident_start)) / 60.0", "downtime_minutes", 0.5),
+    ],
+}
+
 _T0 = dt.datetime(2026, 3, 12, 8, 0, 0)
 SEEDS = {
     "data_centers": [

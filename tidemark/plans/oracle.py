@@ -690,6 +690,20 @@ WITH l AS (SELECT l_orderkey, sum(l_extendedprice * (1 + l_tax) * (1 - l_discoun
 SELECT 'order_total_vs_lines' AS rule, CAST(count(*) AS BIGINT) AS checked_orders,
   CAST(count(*) FILTER (abs(o_totalprice - charged) > 0.01) AS BIGINT) AS violations
 FROM orders JOIN l ON o_orderkey = l_orderkey""",
+        "column_agreement": """
+SELECT 'documents' AS table_name, CAST(count(*) AS BIGINT) AS checked_rows, 'n_chars_is_text_length' AS rule,
+  CAST(count(*) FILTER (length(text) IS NOT NULL AND n_chars IS NOT NULL
+                        AND abs(length(text) - CAST(n_chars AS DOUBLE)) > 0.0) AS BIGINT) AS violations
+FROM documents
+UNION ALL
+SELECT 'lineitem', CAST(count(*) AS BIGINT), 'tax_below_discount_cap',
+  CAST(count(*) FILTER (l_tax IS NOT NULL AND abs(l_tax - least(l_tax, 0.08::DOUBLE)) > 0.0) AS BIGINT)
+FROM lineitem
+UNION ALL
+SELECT 'lineitem', CAST(count(*) AS BIGINT), 'price_per_unit_under_2000',
+  CAST(count(*) FILTER (l_extendedprice / l_quantity IS NOT NULL
+    AND abs(l_extendedprice / l_quantity - least(l_extendedprice / l_quantity, 2000.0::DOUBLE)) > 0.0) AS BIGINT)
+FROM lineitem""",
         "version_gaps": f"""
 WITH v AS (SELECT DISTINCT TRY_CAST(regexp_extract(migration_name, '{RUNNER_RULE}', 2) AS BIGINT) AS v
            FROM ({HISTORY}) WHERE status = 'success' AND regexp_matches(migration_name, '{RUNNER_RULE}'))

@@ -458,6 +458,19 @@ def q_cross_column(spark, sf_dir):
     return integrity.order_total_agreement(t["orders"], t["lineitem"], tolerance=0.01)
 
 
+def q_column_agreement(spark, sf_dir):
+    """Cross-column rules checked in one aggregate per table."""
+    d = M.load_spread(spark, sf_dir, "documents")
+    li = M.load(spark, sf_dir, "lineitem")
+    return integrity.expression_agreement(d, "documents", [
+        ("n_chars_is_text_length", "length(text)", "CAST(n_chars AS DOUBLE)", 0.0),
+    ]).unionByName(integrity.expression_agreement(li, "lineitem", [
+        ("tax_below_discount_cap", "l_tax", "least(l_tax, 0.08D)", 0.0),
+        ("price_per_unit_under_2000", "l_extendedprice / l_quantity", "least(l_extendedprice / l_quantity, 2000D)",
+         0.0),
+    ]))
+
+
 def q_version_gaps(spark, sf_dir):
     h = M.history(spark, sf_dir).filter(F.col("status") == "success")
     versions = migrations.parse_names(h.withColumnRenamed("migration_name", "file_name").select("file_name")) \
@@ -515,4 +528,5 @@ QUERIES: dict[str, Query] = {
     "accepted_values": q_accepted_values,
     "cross_column": q_cross_column,
     "version_gaps": q_version_gaps,
+    "column_agreement": q_column_agreement,
 }

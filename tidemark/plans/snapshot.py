@@ -49,16 +49,19 @@ def write(arts: DataFrame, export_dir: str, extracted_at: str | None = None) ->
                  F.regexp_extract("relative_path", r"/([^/]+)$", 1).alias("file_name"), "content")
      .repartitionByRange("folder", "file_name")
      .write.mode("overwrite").partitionBy("folder", "file_name").text(f"{export_dir}/_objects"))
-    counts = render.manifest_counts(arts)
-    bundle = bundle_hash_tree(arts.withColumn("object_type", F.lit("*")), ["object_type"])
-    files = render.manifest_files(arts).agg(F.map_from_entries(F.collect_list(F.struct(
-        "relative_path", F.struct("object_type", "qualified_name", "sha256")))).alias("files"))
-    count_of = {t: F.coalesce(F.max(F.when(F.col("object_type") == t, F.col("object_count"))), F.lit(0))
-                for t in ("table", "view", "procedure")}
-    summary = counts.agg(*[c.cast("bigint").alias(f"{t}_count") for t, c in count_of.items()])
-    manifest = summary.join(files, how="left").join(bundle.select(F.col("bundle_sha256").alias("ddl_sha256")),
-                                                     how="left") \
-        .withColumn("extraction_timestamp", F.lit(extracted_at))
+    # one aggregate: counts, sorted name lists and the file map (catalog-sized)
+    types = ("table", "view", "procedure")
+    is_t = {t: F.col("object_type") == F.lit(t) for t in types}
+    summary = arts.agg(
+        *[F.count_if(is_t[t]).cast("bigint").alias(f"{t}_count") for t in types],
+        *[F.sort_array(F.collect_list(F.when(is_t[t], F.col("qualified_name")))).alias(f"{t}s") for t in types],
+        F.map_from_entries(F.collect_list(F.struct(
+            "relative_path", F.struct("object_type", "qualified_name", "sha256")))).alias("files"),
+    ).withColumn("_k", F.lit("*"))
+    bundle = bundle_hash_tree(arts.withColumn("object_type", F.lit("*")), ["object_type"]).select(
+        F.col("object_type").alias("_k"), F.col("bundle_sha256").alias("ddl_sha256"))
+    manifest = (summary.join(bundle, "_k", "left").drop("_k")
+                .withColumn("extraction_timestamp", F.lit(extracted_at)))
     manifest.select(F.to_json(F.struct(*manifest.columns)).alias("value")).coalesce(1) \
         .write.mode("overwrite").text(f"{export_dir}/manifest.json")
 
