@@ -94,6 +94,14 @@ def run_order(df: DataFrame) -> DataFrame:
     return df.orderBy("version", "migration_id")
 
 
+def timestamp_literal(value: _dt.datetime, timestamp_type: str = "timestamp"):
+    """A timestamp constant.  ``timestamp_ntz`` is written as a SQL literal,
+    so its value does not depend on the Python or session time zone."""
+    if timestamp_type == "timestamp_ntz":
+        return F.expr(f"TIMESTAMP_NTZ '{value.replace(tzinfo=None).isoformat(sep=' ')}'")
+    return F.lit(value).cast(timestamp_type)
+
+
 def history_rows(runs: DataFrame, status: str | None, applied_by: str,
                  applied_at: _dt.datetime, duration_col: str | None = None,
                  timestamp_type: str = "timestamp") -> DataFrame:
@@ -103,7 +111,7 @@ def history_rows(runs: DataFrame, status: str | None, applied_by: str,
     return runs.select(
         F.col("migration_id").cast("string"),
         F.col("file_name").alias("migration_name").cast("string"),
-        F.lit(applied_at).cast(timestamp_type).alias("applied_at"),
+        timestamp_literal(applied_at, timestamp_type).alias("applied_at"),
         F.lit(applied_by).alias("applied_by"),
         F.col("migration_type").cast("string"),
         st.alias("status"),

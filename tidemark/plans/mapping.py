@@ -179,14 +179,14 @@ def script_files(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataF
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed migration history: one run per labelled document."""
-    from tidemark.operators.migrations import parse_names
+    from tidemark.operators.migrations import parse_names, timestamp_literal
     files = parse_names(script_files(spark, sf_dir, spread=False))
     lab = load(spark, sf_dir, "labels").select("doc_id", "quality")
     j = files.join(lab, "doc_id")
     return j.select(
         F.coalesce(F.col("migration_id"), F.col("file_name")).alias("migration_id"),
         F.col("file_name").alias("migration_name"),
-        F.lit(APPLIED_AT).cast("timestamp_ntz").alias("applied_at"),
+        timestamp_literal(APPLIED_AT, "timestamp_ntz").alias("applied_at"),
         F.col("source").alias("applied_by"),
         F.when(F.col("file_name").endswith(".py"), F.lit("pyspark")).otherwise(F.lit("sql")).alias("migration_type"),
         F.when(F.col("quality") == 1, F.lit("success")).otherwise(F.lit("failed")).alias("status"),
