@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import bundle_hash_exact, bundle_hash_tree
 from tidemark.operators import render
-from tidemark.sources.corpus import read_snapshot, resolve_paths
+from tidemark.sources.corpus import read_snapshot, resolve_paths, unresolved_paths
 
 COLS = [("dbo", "sites", "id", 1, "nvarchar", 20, None, None, None, False, None),
         ("dbo", "sites", "cap", 3, "decimal", None, 10, 2, None, True, "((0))"),
@@ -106,6 +106,13 @@ def test_manifest_write_read_and_resolve(spark, scratch_dir):
     assert mf.count() == 6
     resolved = {r.name: (r.resolved_path, r.from_manifest) for r in resolve_paths(objs, mf).collect()}
     assert resolved["dbo.o1"] == ("tables/dbo.o1.sql", True)
+    # a manifest entry whose file is gone does not resolve to any file
+    os.remove(os.path.join(export, "tables/dbo.o3.sql"))
+    mf2, objs2 = read_snapshot(spark, export)
+    listed = mf2.select(F.col("qualified_name").alias("name"),
+                        F.concat(F.col("object_type"), F.lit("s")).alias("category"))
+    missing = unresolved_paths(resolve_paths(listed.withColumn("relative_path", F.lit(None)), mf2), objs2)
+    assert [r.name for r in missing.collect()] == ["dbo.o3"]
 
 
 def test_write_artifacts_overwrites(spark, scratch_dir):

@@ -86,3 +86,10 @@ def resolve_paths(objs: DataFrame, manifest_files: DataFrame, singular_map: dict
     return j.select(*[c for c in objs.columns],
                     F.coalesce(F.col("_mpath"), conventional).alias("resolved_path"),
                     F.col("_mpath").isNotNull().alias("from_manifest"))
+
+
+def unresolved_paths(resolved: DataFrame, objs: DataFrame) -> DataFrame:
+    """Objects whose resolved path names no file of the snapshot (the
+    snapshot is incomplete); an anti join on the path."""
+    present = objs.select(F.col("relative_path").alias("resolved_path")).distinct()
+    return resolved.join(present, "resolved_path", "left_anti")
