@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.types import normalize_type, normalize_type_name, version_number
+from tidemark.session import local_frame
 
 CONTRACT_SCHEMA = "table_name string, column_name string, expected_type string, since_version bigint"
 
@@ -50,7 +51,7 @@ def contract_frame(spark: SparkSession,
     else:
         for table, column, typ, since in spec:
             rows.append((table.lower(), column.lower(), normalize_type_name(typ), int(since)))
-    df = spark.createDataFrame(rows, CONTRACT_SCHEMA)
+    df = local_frame(spark, rows, CONTRACT_SCHEMA)
     if key is not None:
         _FRAMES[key] = df
     return df
@@ -170,7 +171,7 @@ def history_checks(history: DataFrame | None, labels: Sequence[str], strict: boo
     from tidemark.operators.search import search_presence, strict_presence
     spark = spark or SparkSession.getActiveSession()
     exists = history is not None
-    head = spark.createDataFrame(
+    head = local_frame(spark, 
         [("migration", "_migration_history", "exists", "_migration_history", int(exists), exists,
           "info" if exists else "error", "Table `_migration_history` exists")],
         "category string, table_name string, check_name string, subject string, observed bigint, "

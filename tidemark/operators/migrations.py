@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import local_frame
+
 # File-name rules of the three tools that read migration names.
 #   runner    - v<digits>_<letters, digits, _ or ->.<ext>; id is the stem
 #   validator - v<3 digits>_<word chars>.sql|.py
@@ -146,7 +148,7 @@ def missing_columns_frame(spark: SparkSession, tables: Mapping[str, DataFrame],
         if name in tables:
             for f in missing_columns(tables[name].schema, target):
                 rows.append((name, f.name, f.dataType.simpleString()))
-    return spark.createDataFrame(rows, "table_name string, column_name string, data_type string")
+    return local_frame(spark, rows, "table_name string, column_name string, data_type string")
 
 
 def evolve(df: DataFrame, target: T.StructType) -> DataFrame:

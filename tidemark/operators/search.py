@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import local_frame
+
 
 def search_text(df: DataFrame, separator: str = "||") -> Column:
     """Lower-cased text of every column (NULL as empty) joined by ``||``."""
@@ -23,7 +25,7 @@ def _presence(df: DataFrame, needles: Sequence[str], hit) -> DataFrame:
     """One aggregate over one scan: a match counter per needle, then one row
     per needle.  The needles are a parameter list, so no join is needed."""
     if not needles:
-        return df.sparkSession.createDataFrame([], "needle string, matches bigint, found boolean")
+        return local_frame(df.sparkSession, [], "needle string, matches bigint, found boolean")
     counters = [F.count_if(hit(n)).cast("bigint").alias(f"n{i}") for i, n in enumerate(needles)]
     agg = df.agg(*counters)
     entries = F.array(*[F.struct(F.lit(n).alias("needle"), F.col(f"n{i}").alias("matches"))
@@ -51,6 +53,9 @@ def kind_counts(items: DataFrame, kind_col: str, expected: Sequence[str]) -> Dat
     per-kind counts are joined to the parameter list."""
     spark = items.sparkSession
     counts = items.groupBy(F.col(kind_col).alias("kind")).agg(F.count(F.lit(1)).alias("_n"))
-    wanted = spark.createDataFrame([(k,) for k in expected], "kind string")
-    return (F.broadcast(wanted).join(counts, "kind", "left")
+    wanted = local_frame(spark, [(k,) for k in expected], "kind string")
+    # inner join against the broadcast list: at most len(expected) rows, so
+    # the zero-filling outer join broadcasts a side of proven size
+    found = counts.join(F.broadcast(wanted), "kind")
+    return (wanted.join(F.broadcast(found), "kind", "left")
             .select("kind", F.coalesce(F.col("_n"), F.lit(0)).cast("bigint").alias("found")))

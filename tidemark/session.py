@@ -88,3 +88,41 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
+
+
+# Above this many rows a local list goes through createDataFrame instead of
+# an inline VALUES table (whose SQL text grows with the rows).
+LOCAL_ROWS_MAX = 5000
+
+
+def _sql_literal(value, type_name: str) -> str:
+    if value is None:
+        return f"CAST(NULL AS {type_name})"
+    if isinstance(value, bool):
+        return "true" if value else "false"
+    if isinstance(value, int):
+        return f"CAST({value} AS {type_name})"
+    if isinstance(value, float):
+        return f"CAST('{value!r}' AS {type_name})"
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"CAST('{text}' AS {type_name})"
+
+
+def local_frame(spark: SparkSession, rows: list, schema: str) -> DataFrame:
+    """A small driver-side list (a contract, catalog metadata, a parameter
+    list) as a DataFrame that Catalyst sees as a local relation with a known
+    size, so joins against it are planned as broadcasts.  Larger lists fall
+    back to ``createDataFrame``."""
+    from pyspark.sql import types as T
+    struct = T._parse_datatype_string(schema)
+    fields = [(f.name, f.dataType.simpleString()) for f in struct.fields]
+    if len(rows) > LOCAL_ROWS_MAX or any(
+            not isinstance(f.dataType, (T.StringType, T.IntegerType, T.LongType, T.BooleanType, T.DoubleType))
+            for f in struct.fields):
+        return spark.createDataFrame(rows, schema)
+    cols = ", ".join(f"`{name}`" for name, _ in fields)
+    if not rows:
+        nulls = ", ".join(f"CAST(NULL AS {t}) AS `{n}`" for n, t in fields)
+        return spark.sql(f"SELECT {nulls} WHERE false")
+    values = ", ".join("(" + ", ".join(_sql_literal(v, t) for v, (_, t) in zip(r, fields)) + ")" for r in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({cols})")

@@ -13,6 +13,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions.types import spark_type_name
+from tidemark.session import local_frame
 
 TABLES_SCHEMA = "table_name string, table_type string"
 COLUMNS_SCHEMA = "table_name string, column_name string, ordinal bigint, data_type string, nullable boolean"
@@ -27,7 +28,7 @@ def available_tables(spark: SparkSession, tables: Mapping[str, DataFrame] | None
     else:
         rows = [(t.name.lower(), (t.tableType or "").upper())
                 for t in spark.catalog.listTables(database)]
-    return spark.createDataFrame(rows, TABLES_SCHEMA)
+    return local_frame(spark, rows, TABLES_SCHEMA)
 
 
 def actual_columns(spark: SparkSession, tables: Mapping[str, DataFrame] | None = None,
@@ -42,7 +43,7 @@ def actual_columns(spark: SparkSession, tables: Mapping[str, DataFrame] | None =
     for name, df in tables.items():
         for i, f in enumerate(df.schema.fields, start=1):
             rows.append((name.lower(), f.name.lower(), i, spark_type_name(f.dataType), bool(f.nullable)))
-    return spark.createDataFrame(rows, COLUMNS_SCHEMA)
+    return local_frame(spark, rows, COLUMNS_SCHEMA)
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
@@ -84,7 +85,7 @@ def catalog_columns(spark: SparkSession, database: str | None = None) -> DataFra
             default = f.metadata.get("CURRENT_DEFAULT") if f.metadata else None
             comment = f.metadata.get("comment") if f.metadata else None
             rows.append((db, t.name, f.name, i, base, bool(f.nullable), default, length, prec, scale, dtp, comment))
-    return spark.createDataFrame(rows, CATALOG_COLUMNS_SCHEMA)
+    return local_frame(spark, rows, CATALOG_COLUMNS_SCHEMA)
 
 
 def catalog_views(spark: SparkSession, database: str | None = None) -> DataFrame:
@@ -98,10 +99,10 @@ def catalog_views(spark: SparkSession, database: str | None = None) -> DataFrame
         info = spark.sql(f"DESCRIBE TABLE EXTENDED `{db}`.`{t.name}`").collect()
         text = next((r["data_type"] for r in info if (r["col_name"] or "").strip() == "View Text"), "")
         rows.append((db, t.name, "V", text or ""))
-    return spark.createDataFrame(rows, "schema_name string, object_name string, object_type string, "
+    return local_frame(spark, rows, "schema_name string, object_name string, object_type string, "
                                        "definition string")
 
 
 def schemata(spark: SparkSession) -> DataFrame:
     """Databases of the session catalog."""
-    return spark.createDataFrame([(d.name,) for d in spark.catalog.listDatabases()], "schema_name string")
+    return local_frame(spark, [(d.name,) for d in spark.catalog.listDatabases()], "schema_name string")
