@@ -40,9 +40,9 @@ def test_search_and_presence(spark):
 
 
 def test_kind_counts(spark):
-    items = spark.createDataFrame([("Lakehouse",), ("Notebook",), ("Notebook",), ("Report",)], "type string")
-    got = {r.kind: r.found for r in search.kind_counts(items, "type", ["Lakehouse", "Notebook", "Pipeline"]).collect()}
-    assert got == {"Lakehouse": 1, "Notebook": 2, "Pipeline": 0}
+    items = spark.createDataFrame([("table",), ("job",), ("job",), ("dashboard",)], "type string")
+    got = {r.kind: r.found for r in search.kind_counts(items, "type", ["table", "job", "stream"]).collect()}
+    assert got == {"table": 1, "job": 2, "stream": 0}
 
 
 def test_catalog_frames(spark):
