@@ -128,6 +128,9 @@ def table_counters(df: DataFrame, rules: TableRules) -> DataFrame:
     return aggregated.selectExpr(f"inline(array({structs}))")
 
 
+# Check message formats ("`t` row count: n", "`t.c` null check ->
+# n null rows", "`t.c` range [lo, hi] -> n invalid rows"), as the original
+# validation prints them.
 _FINISH = [
     "CASE WHEN check_name = 'row_count' THEN 'rows' ELSE 'data' END AS category",
     "table_name", "check_name", "subject", "observed",

@@ -25,6 +25,9 @@ from pyspark.sql import functions as F
 from tidemark.functions.types import normalize_type, normalize_type_name, version_number
 from tidemark.session import local_frame
 
+# Message formats ("Table `t` exists", "`t.c` -> expected X, found Y",
+# "Migration history contains `v`") are fixed values: worded as the original
+# validation prints them.
 CONTRACT_SCHEMA = "table_name string, column_name string, expected_type string, since_version bigint"
 
 

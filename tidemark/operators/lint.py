@@ -32,6 +32,8 @@ FORBIDDEN_DDL = rf"(?i)(DROP{_LINE_SPACE}DATABASE|DROP{_LINE_SPACE}SCHEMA)"
 # Any character that is not whitespace (a script without one is empty).
 NON_WHITESPACE = "[^" + WHITESPACE_CLASS[1:]
 
+# Finding messages, worded as the original tools print them so
+# existing log searches keep working.
 MSG_NAMING = "Invalid naming convention. Expected: vNNN_description.sql or vNNN_description.py"
 MSG_NAMING_CI = "does not follow the vNNN_description.sql naming convention."
 MSG_EMPTY = "Empty migration file"
