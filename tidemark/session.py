@@ -26,6 +26,9 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # PySpark 4 records a Python call site for every Column call (for error
+    # messages); building a plan of many expressions pays that per call.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
