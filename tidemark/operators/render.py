@@ -184,7 +184,8 @@ def parse_definition_columns(definitions: DataFrame, text_col: str = "definition
     items = definitions.select(*key_cols, F.posexplode(F.split(body, ",\n")).alias("pos", "item"))
     named = items.select(*key_cols, "pos", "item",
                          F.regexp_extract("item", _ITEM_NAME, 1).alias("_name"))
-    named = named.filter((F.col("_name") != "") & ~F.col("item").rlike(r"(?i)^\s*CONSTRAINT\b"))
+    # constraint items never start with ``[name]``, so this also skips them
+    named = named.filter(F.col("_name") != "")
     rest = F.regexp_extract("item", _ITEM_REST, 1)
     definition = F.regexp_replace(F.regexp_replace(rest, r"\s+$", ""), ",$", "")
     return named.select(
