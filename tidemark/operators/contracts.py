@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.types import normalize_type, normalize_type_name, version_number
-from tidemark.session import local_frame
+from tidemark.session import local_frame, session_key
 
 # Message formats ("Table `t` exists", "`t.c` -> expected X, found Y",
 # "Migration history contains `v`") are fixed values: worded as the original
@@ -43,7 +43,7 @@ def contract_frame(spark: SparkSession,
     key = None
     if not isinstance(spec, Mapping):
         spec = [tuple(r) for r in spec]
-        key = (id(spark._jsparkSession), tuple(spec))
+        key = (session_key(spark), tuple(spec))
         if key in _FRAMES:
             return _FRAMES[key]
     rows = []

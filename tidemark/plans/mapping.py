@@ -31,6 +31,8 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import session_key
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -49,7 +51,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     its schema happen once, not once per query that touches the table.  A
     table that feeds heavy row work is spread with :func:`load_spread`."""
     path = f"{sf_dir}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
+    key = (session_key(spark), path)
     df = _LOADED.get(key)
     if df is None:
         df = spark.read.parquet(path)
@@ -61,7 +63,7 @@ def load_spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """:func:`load` for inputs that feed CPU-heavy row work (regex over text,
     rendering): a single-row-group file is spread over the cores first."""
     from tidemark.session import spread
-    key = (id(spark._jsparkSession), f"{sf_dir}/{name}.parquet#spread")
+    key = (session_key(spark), f"{sf_dir}/{name}.parquet#spread")
     df = _LOADED.get(key)
     if df is None:
         df = spread(load(spark, sf_dir, name))

@@ -86,13 +86,23 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     partitions than cores (a table stored as one row group is read by one
     task).  On a large input the scan already has thousands of partitions and
     this is a no-op.  The check plans the scan; it runs no job."""
-    sc = df.sparkSession.sparkContext
-    target = min_partitions or sc.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        sc = df.sparkSession.sparkContext
+        target = min_partitions or sc.defaultParallelism
+        partitions = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Spark Connect session): leave the scan as is
+        return df
+    if partitions < target:
         return df.repartition(target)
     return df
 
 
+def session_key(spark: SparkSession) -> int:
+    """Identity of a session for caching plan objects per session."""
+    jss = getattr(spark, "_jsparkSession", None)
+    return id(jss) if jss is not None else id(spark)
+
+
 # Above this many rows a local list goes through createDataFrame instead of
 # an inline VALUES table (whose SQL text grows with the rows).
 LOCAL_ROWS_MAX = 5000
