@@ -70,14 +70,21 @@ def order_total_agreement(orders: DataFrame, lineitem: DataFrame, tolerance: flo
 
 
 def version_gaps(versions: DataFrame, col: str = "version") -> DataFrame:
-    """First missing version of every gap below the highest version."""
-    d = versions.select(F.col(col).alias("v")).filter(F.col("v").isNotNull()).distinct()
-    successors = d.select(F.col("v").alias("_next"))
-    top = d.select(F.max("v")).scalar()
-    return (d.withColumn("_next", F.col("v") + 1)
-            .join(successors, "_next", "left_anti")
-            .filter(F.col("v") < top)
-            .select(F.col("_next").cast("bigint").alias("missing_from")))
+    """First missing version of every gap below the highest version.
+
+    One pass over the input: every version marks itself present and its
+    successor as wanted; one partial aggregate per version number keeps the
+    wanted-but-absent ones, and the highest present version comes from the
+    same aggregate (a scalar subquery over it, whose shuffle is reused)."""
+    v = F.col(col)
+    marks = versions.filter(v.isNotNull()).select(F.explode(F.array(
+        F.struct(v.cast("bigint").alias("k"), F.lit(1).alias("present"), F.lit(0).alias("wanted")),
+        F.struct((v + 1).cast("bigint").alias("k"), F.lit(0).alias("present"), F.lit(1).alias("wanted")),
+    )).alias("m")).select("m.*")
+    per_k = marks.groupBy("k").agg(F.max("present").alias("present"), F.max("wanted").alias("wanted"))
+    top = per_k.filter(F.col("present") == 1).select(F.max("k")).scalar()
+    return (per_k.filter((F.col("present") == 0) & (F.col("wanted") == 1) & (F.col("k") <= top))
+            .select(F.col("k").alias("missing_from")))
 
 
 def expression_agreement(df: DataFrame, table: str,
