@@ -33,6 +33,23 @@ def _presence(df: DataFrame, needles: Sequence[str], hit) -> DataFrame:
     return agg.select(F.inline(entries)).withColumn("found", F.col("matches") > 0)
 
 
+def presence_modes(history: DataFrame, needles: Sequence[str], id_col: str = "migration_id",
+                   status_col: str = "status") -> DataFrame:
+    """Loose and strict presence of every needle from one aggregate over one
+    scan: ``(needle, loose_found, strict_found)``."""
+    text = search_text(history)
+    ok = F.col(status_col) == F.lit("success")
+    counters = []
+    for i, n in enumerate(needles):
+        counters.append(F.count_if(text.contains(n.lower())).alias(f"l{i}"))
+        counters.append(F.count_if(ok & F.col(id_col).startswith(n)).alias(f"s{i}"))
+    agg = history.agg(*counters)
+    entries = F.array(*[F.struct(F.lit(n).alias("needle"), (F.col(f"l{i}") > 0).alias("loose_found"),
+                                 (F.col(f"s{i}") > 0).alias("strict_found"))
+                        for i, n in enumerate(needles)])
+    return agg.select(F.inline(entries))
+
+
 def search_presence(df: DataFrame, needles: Sequence[str]) -> DataFrame:
     """Per needle: does any row's all-column text contain it (any status)?"""
     text = search_text(df)

@@ -402,10 +402,7 @@ PRESENCE_NEEDLES = ("v001", "v002", "v010", "v100", "v250", "v999", "v4999", "sr
 
 
 def q_version_presence(spark, sf_dir):
-    h = M.history(spark, sf_dir)
-    loose = search.search_presence(h, PRESENCE_NEEDLES).select("needle", F.col("found").alias("loose_found"))
-    strict = search.strict_presence(h, PRESENCE_NEEDLES).select("needle", F.col("found").alias("strict_found"))
-    return loose.join(strict, "needle")
+    return search.presence_modes(M.history(spark, sf_dir), PRESENCE_NEEDLES)
 
 
 def q_expected_kind_counts(spark, sf_dir):
