@@ -193,3 +193,21 @@ def history_checks(history: DataFrame | None, labels: Sequence[str], strict: boo
         F.concat(F.lit("Migration history contains `"), F.col("needle"), F.lit("`")).alias("message"),
     )
     return head.unionByName(rows)
+
+
+def history_checks_both_modes(history: DataFrame, labels: Sequence[str]) -> DataFrame:
+    """Loose and strict history checks from one aggregate over the history:
+    check rows with a ``mode`` column."""
+    from tidemark.operators.search import presence_modes
+    spark = history.sparkSession
+    head = local_frame(spark, [(m, "exists", "_migration_history", True, "Table `_migration_history` exists")
+                               for m in ("loose", "strict")],
+                       "mode string, check_name string, subject string, passed boolean, message string")
+    found = presence_modes(history, labels).select(
+        "needle", F.explode(F.array(
+            F.struct(F.lit("loose").alias("mode"), F.col("loose_found").alias("passed")),
+            F.struct(F.lit("strict").alias("mode"), F.col("strict_found").alias("passed")))).alias("m"))
+    rows = found.select(
+        "m.mode", F.lit("version_recorded").alias("check_name"), F.col("needle").alias("subject"), "m.passed",
+        F.concat(F.lit("Migration history contains `"), F.col("needle"), F.lit("`")).alias("message"))
+    return head.unionByName(rows)

@@ -109,11 +109,8 @@ def q_version_block(spark, sf_dir):
 
 
 def q_history_checks(spark, sf_dir):
-    h = M.history(spark, sf_dir)
     labels = contracts.expected_version_labels("v004")
-    loose = contracts.history_checks(h, labels, strict=False, spark=spark).withColumn("mode", F.lit("loose"))
-    strict = contracts.history_checks(h, labels, strict=True, spark=spark).withColumn("mode", F.lit("strict"))
-    return loose.unionByName(strict).select("mode", "check_name", "subject", "passed", "message")
+    return contracts.history_checks_both_modes(M.history(spark, sf_dir), labels)
 
 
 def _all_check_rows(spark, sf_dir):
