@@ -169,28 +169,30 @@ def range_violation_rows(df: DataFrame, table: str, rules: Sequence[RangeRule],
                          id_columns: Sequence[str]) -> DataFrame:
     """The offending rows themselves, one output row per (row, broken rule).
 
-    A pure filter + projection: pushed down with the scan, no shuffle.
-    """
-    parts = []
+    One scan and one projection for all rules of the table: each row yields
+    an array with an entry per rule it breaks (NULL otherwise), exploded and
+    filtered.  The rule predicates are also pushed to the scan as a filter."""
+    columns = df.columns
+    entries, any_broken = [], None
     for rng in rules:
-        actual = _resolve(df, rng.column)
+        actual = _resolve(columns, rng.column)
         if actual is None:
             continue
         c = F.col(actual)
-        reason = (F.when(c < F.lit(rng.low) if rng.low is not None else F.lit(False), F.lit("below"))
-                  .otherwise(F.lit("above")))
-        parts.append(
-            df.filter(rng.violated(c)).select(
-                F.lit(table).alias("table_name"),
-                *[F.col(i) for i in id_columns],
-                F.lit(rng.column.lower()).alias("column_name"),
-                c.cast("double").alias("value"),
-                F.lit(rng.low).cast("double").alias("low"),
-                F.lit(rng.high).cast("double").alias("high"),
-                reason.alias("reason"),
-            )
-        )
-    return reduce(lambda a, b: a.unionByName(b), parts)
+        broken = rng.violated(c)
+        below = c < F.lit(rng.low) if rng.low is not None else F.lit(False)
+        entries.append(F.when(broken, F.struct(
+            F.lit(rng.column.lower()).alias("column_name"), c.cast("double").alias("value"),
+            F.lit(rng.low).cast("double").alias("low"), F.lit(rng.high).cast("double").alias("high"),
+            F.when(below, F.lit("below")).otherwise(F.lit("above")).alias("reason"))))
+        any_broken = broken if any_broken is None else (any_broken | broken)
+    if not entries:
+        return df.sparkSession.createDataFrame(
+            [], "table_name string, column_name string, value double, low double, high double, reason string")
+    exploded = df.filter(any_broken).select(*[F.col(i) for i in id_columns], F.explode(F.array(*entries)).alias("_v"))
+    return exploded.filter(F.col("_v").isNotNull()).select(
+        F.lit(table).alias("table_name"), *[F.col(i) for i in id_columns],
+        "_v.column_name", "_v.value", "_v.low", "_v.high", "_v.reason")
 
 
 def check_summary(results: DataFrame) -> DataFrame:
