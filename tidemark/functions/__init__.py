@@ -1,0 +1 @@
+"""Column expressions: text normalization, globs, identifiers, type names, versions, hashes."""

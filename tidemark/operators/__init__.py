@@ -1,0 +1 @@
+"""DataFrame-in, DataFrame-out operators: checks, contracts, drift, render, migrations, lint, search, integrity."""

@@ -1,0 +1 @@
+"""Inputs as DataFrames: catalog metadata, script folders, exported snapshots."""
