@@ -65,6 +65,26 @@ def gate(contract: DataFrame, expected_version: str) -> DataFrame:
     return contract.filter(F.col("since_version") <= version_number(F.lit(expected_version)))
 
 
+def required_per_version(contract: DataFrame, versions: DataFrame, version_col: str = "version") -> DataFrame:
+    """For every version in ``versions`` (e.g. the versions a history
+    recorded): how many contract tables and columns that version requires.
+
+    The contract is expanded to one row per (version it applies to, item) up
+    to its highest ``since_version`` and counted per version (contract-sized);
+    the data versions join it on ``least(version, highest since)``, an equi
+    join against a broadcast table of at most that many rows."""
+    top = contract.agg(F.max("since_version")).first()[0] or 0
+    expanded = contract.select(
+        F.explode(F.sequence(F.col("since_version"), F.lit(top).cast("bigint"))).alias("_k"),
+        "table_name", "column_name")
+    per_k = expanded.groupBy("_k").agg(
+        F.count_distinct("table_name").cast("bigint").alias("required_tables"),
+        F.count(F.lit(1)).cast("bigint").alias("required_columns"))
+    v = versions.select(F.col(version_col).cast("bigint").alias("version")).filter(F.col("version").isNotNull())
+    return (v.distinct().withColumn("_k", F.least(F.col("version"), F.lit(top).cast("bigint")))
+            .join(F.broadcast(per_k), "_k").select("version", "required_tables", "required_columns"))
+
+
 def table_presence(contract: DataFrame, available: DataFrame) -> DataFrame:
     """One check row per contract table: does it exist (case-insensitive)?"""
     wanted = contract.select(F.lower("table_name").alias("table_name")).distinct()

@@ -608,7 +608,13 @@ SELECT 'lineitem', CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VA
 FROM lineitem WHERE l_quantity IS NOT NULL AND (l_quantity < 5.0 OR l_quantity > 45.0)""",
         "table_presence": f"SELECT table_name, passed, message FROM ({presence_sql('v003')})",
         "schema_conformance": f"SELECT table_name, subject AS column_name, passed, message FROM ({columns_sql(EXPECTED_VERSION)})",
-        "version_gate": f"SELECT * FROM ({_contract_values()}) WHERE since_version <= {_vnum(EXPECTED_VERSION)}",
+        "version_gate": f"""
+WITH v AS (SELECT DISTINCT TRY_CAST(regexp_extract(migration_name, '{RUNNER_RULE}', 2) AS BIGINT) AS version
+           FROM ({HISTORY}) WHERE status = 'success' AND regexp_matches(migration_name, '{RUNNER_RULE}')),
+c AS ({_contract_values()})
+SELECT v.version, CAST(count(DISTINCT c.table_name) AS BIGINT) AS required_tables,
+  CAST(count(*) AS BIGINT) AS required_columns
+FROM v JOIN c ON c.since_version <= v.version WHERE v.version IS NOT NULL GROUP BY v.version""",
         "version_block": (f"SELECT 'v002' AS expected_version, table_name, check_name, subject, passed, message FROM ({block_sql('v002')}) "
                           f"UNION ALL SELECT 'v003', table_name, check_name, subject, passed, message FROM ({block_sql('v003')})"),
         "history_checks": (f"SELECT 'loose' AS mode, check_name, subject, passed, message FROM ({history_sql(hist4, False)}) "

@@ -94,9 +94,12 @@ def q_schema_conformance(spark, sf_dir):
 
 
 def q_version_gate(spark, sf_dir):
+    """The contract gated at every version the history recorded as applied."""
     full = contracts.contract_frame(spark, CONTRACT)
-    return contracts.gate(full, EXPECTED_VERSION).select(
-        "table_name", "column_name", "expected_type", "since_version")
+    applied = migrations.parse_names(
+        M.history(spark, sf_dir).filter(F.col("status") == "success")
+        .select(F.col("migration_name").alias("file_name"))).filter(F.col("valid"))
+    return contracts.required_per_version(full, applied)
 
 
 def q_version_block(spark, sf_dir):
