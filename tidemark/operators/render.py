@@ -45,8 +45,9 @@ def column_line(c) -> Column:
     """``    [name] TYPE[ DEFAULT x] NULL|NOT NULL`` for a column struct/row."""
     typ = format_data_type(c["data_type"], c["character_maximum_length"], c["numeric_precision"],
                            c["numeric_scale"], c["datetime_precision"])
+    # any non-empty default is rendered (stripped), as the exporter does
     default = F.when(
-        c["column_default"].isNotNull() & (strip_surrounding_whitespace(c["column_default"]) != ""),
+        c["column_default"].isNotNull() & (c["column_default"] != F.lit("")),
         F.concat(F.lit(" DEFAULT "), strip_surrounding_whitespace(c["column_default"]))).otherwise(F.lit(""))
     nullability = F.when(c["is_nullable"], F.lit("NULL")).otherwise(F.lit("NOT NULL"))
     return F.rtrim(F.concat(F.lit("    "), quote_identifier(c["column_name"]), F.lit(" "), typ, default,
@@ -187,7 +188,7 @@ def parse_definition_columns(definitions: DataFrame, text_col: str = "definition
     # constraint items never start with ``[name]``, so this also skips them
     named = named.filter(F.col("_name") != "")
     rest = F.regexp_extract("item", _ITEM_REST, 1)
-    definition = F.regexp_replace(F.regexp_replace(rest, r"\s+$", ""), ",$", "")
+    definition = F.regexp_replace(F.regexp_replace(rest, r"\s+$", ""), ",+$", "")
     return named.select(
         *key_cols,
         F.replace(F.col("_name"), F.lit("]]"), F.lit("]")).alias("column_name"),
