@@ -68,3 +68,19 @@ def test_violation_rows(spark):
     rows = checks.range_violation_rows(df, "t", [RangeRule("x", 0.0, 10.0)], ["id"]).collect()
     assert sorted((r.id, r.reason) for r in rows) == [(1, "below"), (4, "above")]
     assert not any(math.isnan(r.value) for r in rows)
+
+
+def test_conformance_extra_alias_and_case(spark):
+    from tidemark.operators import contracts
+    from tidemark.sources.catalog import actual_columns, available_tables
+    t = {"Sites": spark.createDataFrame([(1, "a", True, 2.0)], "ID int, Name string, Active boolean, Extra double")}
+    contract = contracts.contract_frame(spark, [("SITES", "id", "INTEGER", 1), ("sites", "NAME", "string", 1),
+                                                ("sites", "active", "bool", 1), ("sites", "missing_col", "date", 1),
+                                                ("gone", "x", "int", 1)])
+    res = contracts.column_conformance(contract, actual_columns(spark, t), available_tables(spark, t))
+    got = {r.subject: (r.passed, r.message) for r in res.collect()}
+    assert got["id"][0] and got["name"][0] and got["active"][0]
+    assert got["missing_col"] == (False, "`sites.missing_col` -> expected date, found missing")
+    assert "extra" not in got and "x" not in got  # extra column ignored; missing table skipped
+    pres = {r.subject: r.passed for r in contracts.table_presence(contract, available_tables(spark, t)).collect()}
+    assert pres == {"sites": True, "gone": False}

@@ -122,3 +122,15 @@ def test_write_artifacts_overwrites(spark, scratch_dir):
     render.write_artifacts(_arts(spark, 2), out)
     back = spark.read.text(out, wholetext=True).count()
     assert back == 2
+
+
+def test_bracket_names_round_trip(spark):
+    rows = [("dbo", "odd]table", "we]ird", 1, "int", None, None, None, None, True, None),
+            ("dbo", "odd]table", "plain", 2, "varchar", 10, None, None, None, False, " 'x' ")]
+    cols = spark.createDataFrame(rows, COL_SCHEMA)
+    text = render.render_table_text(render.collect_table_arrays(cols)).first().definition
+    assert "CREATE TABLE [dbo].[odd]]table] (" in text and "[we]]ird] INT NULL" in text
+    assert "[plain] VARCHAR(10) DEFAULT 'x' NOT NULL" in text
+    parsed = {r.column_name: r.type_sql for r in
+              render.parse_definition_columns(render.render_table_text(render.collect_table_arrays(cols))).collect()}
+    assert parsed == {"we]ird": "INT", "plain": "VARCHAR(10)"}
