@@ -73,15 +73,15 @@ def required_per_version(contract: DataFrame, versions: DataFrame, version_col:
     to its highest ``since_version`` and counted per version (contract-sized);
     the data versions join it on ``least(version, highest since)``, an equi
     join against a broadcast table of at most that many rows."""
-    top = contract.agg(F.max("since_version")).first()[0] or 0
+    top = contract.select(F.coalesce(F.max("since_version"), F.lit(0)).cast("bigint")).scalar()
     expanded = contract.select(
-        F.explode(F.sequence(F.col("since_version"), F.lit(top).cast("bigint"))).alias("_k"),
+        F.explode(F.sequence(F.col("since_version"), top)).alias("_k"),
         "table_name", "column_name")
     per_k = expanded.groupBy("_k").agg(
         F.count_distinct("table_name").cast("bigint").alias("required_tables"),
         F.count(F.lit(1)).cast("bigint").alias("required_columns"))
     v = versions.select(F.col(version_col).cast("bigint").alias("version")).filter(F.col("version").isNotNull())
-    return (v.distinct().withColumn("_k", F.least(F.col("version"), F.lit(top).cast("bigint")))
+    return (v.distinct().withColumn("_k", F.least(F.col("version"), top))
             .join(F.broadcast(per_k), "_k").select("version", "required_tables", "required_columns"))
 
 
