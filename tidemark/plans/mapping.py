@@ -200,10 +200,17 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Catalog: orders as tables, conversation turns as modules
 # --------------------------------------------------------------------------
 
-def order_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_tables(spark: SparkSession, sf_dir: str, live: bool = False) -> DataFrame:
     """One catalog table per order, its six columns described by structs
-    built from the order's own values (no grouping)."""
+    built from the order's own values (no grouping).
+
+    ``live`` is the compared catalog: pending orders' tables are gone,
+    finished orders' price column is two digits wider (a type change), and
+    high-priority orders' customer column became NOT NULL (a nullability-only
+    change)."""
     o = load_spread(spark, sf_dir, "orders")
+    if live:
+        o = o.filter(F.col("o_orderstatus") != "P")
 
     def col(name, ordinal, data_type, length=None, precision=None, scale=None, dtp=None,
             nullable=F.lit(True), default=None):
@@ -219,9 +226,13 @@ def order_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
                         lit_or(default, "string").alias("column_default"))
 
     price_digits = F.length(F.floor(F.col("o_totalprice")).cast("string")) + 2
+    custkey_nullable = F.lit(True)
+    if live:
+        price_digits = price_digits + F.when(F.col("o_orderstatus") == "F", F.lit(2)).otherwise(F.lit(0))
+        custkey_nullable = ~F.col("o_orderpriority").startswith("2")
     columns = F.array(
         col("o_orderkey", 1, "bigint", nullable=F.lit(False)),
-        col("o_custkey", 2, "bigint"),
+        col("o_custkey", 2, "bigint", nullable=custkey_nullable),
         col("o_orderstatus", 3, "nchar", length=F.lit(1), nullable=F.lit(False),
             default=F.concat(F.lit("('"), F.col("o_orderstatus"), F.lit("')"))),
         col("o_totalprice", 4, "decimal", precision=price_digits, scale=F.lit(2)),

@@ -642,6 +642,14 @@ FROM (SELECT 'document' AS kind, doc_id AS object_id, text AS body FROM document
         "definition_lines": _definition_lines_sql(),
         "parse_definition_columns": _parse_sql(),
         "normalize_module": _normalize_module_sql(),
+        "catalog_drift": f"""
+SELECT 'tables' AS category, 'c' || CAST(o_custkey AS VARCHAR) || '.order' || CAST(o_orderkey AS VARCHAR) AS name,
+  CASE WHEN o_orderstatus = 'P' THEN 'removed' WHEN o_orderstatus = 'F' THEN 'modified'
+       WHEN o_orderpriority LIKE '2%' THEN 'modified' ELSE 'unchanged' END AS status,
+  CASE WHEN o_orderstatus = 'P' THEN {q(DETAIL_REMOVED)} WHEN o_orderstatus = 'F' THEN {q(DETAIL_CHANGED)}
+       WHEN o_orderpriority LIKE '2%' THEN {q(DETAIL_CHANGED + '; ' + DETAIL_NO_COLUMN_CHANGE)}
+       ELSE {q(DETAIL_SAME)} END AS details
+FROM orders""",
         "keyed_columns": """
 SELECT 'c' || CAST(o_custkey AS VARCHAR) AS schema_name, 'order' || CAST(o_orderkey AS VARCHAR) AS table_name,
   'k' || CAST(o_orderkey AS VARCHAR) AS constraint_name,

@@ -270,6 +270,27 @@ def q_parse_definition_columns(spark, sf_dir):
         "qualified_name", "column_name", "ordinal", "type_sql", "column_definition")
 
 
+def _rendered(spark, sf_dir, live):
+    defs = render.render_table_text(M.order_tables(spark, sf_dir, live=live))
+    objs = defs.select(F.lit("tables").alias("category"), F.col("qualified_name").alias("name"),
+                       "definition", F.lit(None).cast("string").alias("relative_path"))
+    cols = render.parse_definition_columns(defs).select(
+        F.col("qualified_name").alias("name"), "column_name", F.col("ordinal").cast("bigint").alias("ordinal"),
+        "type_sql", F.col("column_definition").alias("definition"))
+    return objs, cols
+
+
+def q_catalog_drift(spark, sf_dir):
+    """Two rendered catalogs compared: object drift on the normalized
+    definitions, with the column differences parsed back from the
+    definitions attached (a changed table without one gets the second
+    detail line)."""
+    lo, lc = _rendered(spark, sf_dir, live=False)
+    ro, rc = _rendered(spark, sf_dir, live=True)
+    changes = drift.table_drift(lc, rc).select("name", "n_column_differences")
+    return drift.object_drift(lo, ro, changes).select("category", "name", "status", "details")
+
+
 def q_normalize_module(spark, sf_dir):
     return render.normalize_module(M.modules(spark, sf_dir))
 
@@ -504,6 +525,7 @@ QUERIES: dict[str, Query] = {
     "definition_lines": q_definition_lines,
     "parse_definition_columns": q_parse_definition_columns,
     "normalize_module": q_normalize_module,
+    "catalog_drift": q_catalog_drift,
     "keyed_columns": q_keyed_columns,
     "module_join": q_module_join,
     "attach_children": q_attach_children,
