@@ -134,3 +134,15 @@ def test_bracket_names_round_trip(spark):
     parsed = {r.column_name: r.type_sql for r in
               render.parse_definition_columns(render.render_table_text(render.collect_table_arrays(cols))).collect()}
     assert parsed == {"we]ird": "INT", "plain": "VARCHAR(10)"}
+
+
+def test_static_and_array_rendering_agree(spark):
+    import os
+    from tidemark.plans import mapping as M
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        return
+    for live in (False, True):
+        a = render.render_table_text(M.order_tables(spark, sf, live=live)).select("qualified_name", "definition")
+        b = M.order_table_texts(spark, sf, live=live).select("qualified_name", "definition")
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0 and a.count() > 0

@@ -96,6 +96,21 @@ def render_table_text(tables: DataFrame, header: str = "") -> DataFrame:
         definition.alias("definition"))
 
 
+def render_rows(df: DataFrame, schema_name: Column, table_name: Column, columns: Sequence[Column],
+                constraints: Sequence[Column] = (), header: str = "") -> DataFrame:
+    """Text form for tables whose column and constraint lists are fixed
+    expressions of the row, given already in definition order (ordinal;
+    PRIMARY KEY before the rest).  Same text as :func:`render_table_text`,
+    built from plain expressions only: no higher-order function, so the whole
+    projection is code-generated."""
+    lines = [column_line(c) for c in columns] + [constraint_line(k) for k in constraints]
+    definition = F.concat(F.lit(header), create_line(schema_name, table_name), F.lit("\n"),
+                          F.concat_ws(",\n", *lines), F.lit("\n);\n"))
+    return df.select(schema_name.alias("schema_name"), table_name.alias("table_name"),
+                     F.concat(schema_name, F.lit("."), table_name).alias("qualified_name"),
+                     definition.alias("definition"))
+
+
 def collect_table_arrays(columns: DataFrame, constraints: DataFrame | None = None) -> DataFrame:
     """Long catalog columns (and constraint key columns) grouped per table.
 

@@ -200,9 +200,9 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Catalog: orders as tables, conversation turns as modules
 # --------------------------------------------------------------------------
 
-def order_tables(spark: SparkSession, sf_dir: str, live: bool = False) -> DataFrame:
-    """One catalog table per order, its six columns described by structs
-    built from the order's own values (no grouping).
+def _order_parts(spark: SparkSession, sf_dir: str, live: bool):
+    """(orders, schema, table, column structs in ordinal order, constraint
+    structs with the primary key first) for the per-order catalog tables.
 
     ``live`` is the compared catalog: pending orders' tables are gone,
     finished orders' price column is two digits wider (a type change), and
@@ -230,7 +230,7 @@ def order_tables(spark: SparkSession, sf_dir: str, live: bool = False) -> DataFr
     if live:
         price_digits = price_digits + F.when(F.col("o_orderstatus") == "F", F.lit(2)).otherwise(F.lit(0))
         custkey_nullable = ~F.col("o_orderpriority").startswith("2")
-    columns = F.array(
+    columns = [
         col("o_orderkey", 1, "bigint", nullable=F.lit(False)),
         col("o_custkey", 2, "bigint", nullable=custkey_nullable),
         col("o_orderstatus", 3, "nchar", length=F.lit(1), nullable=F.lit(False),
@@ -241,19 +241,36 @@ def order_tables(spark: SparkSession, sf_dir: str, live: bool = False) -> DataFr
             .otherwise(F.lit("varchar")),
             length=F.when(F.col("o_orderpriority").startswith("5"), F.lit(-1))
             .otherwise(F.length("o_orderpriority"))),
-    )
+    ]
     key = F.col("o_orderkey").cast("string")
-    constraints = F.array(
-        F.struct(F.concat(F.lit("uq_order"), key).alias("constraint_name"),
-                 F.lit("UNIQUE").alias("constraint_type"),
-                 F.array(F.lit("o_custkey"), F.lit("o_orderdate")).alias("columns")),
+    constraints = [
         F.struct(F.concat(F.lit("pk_order"), key).alias("constraint_name"),
                  F.lit("PRIMARY KEY").alias("constraint_type"),
                  F.array(F.lit("o_orderkey")).alias("columns")),
-    )
-    return o.select(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("schema_name"),
-                    F.concat(F.lit("order"), key).alias("table_name"),
-                    columns.alias("columns"), constraints.alias("constraints"))
+        F.struct(F.concat(F.lit("uq_order"), key).alias("constraint_name"),
+                 F.lit("UNIQUE").alias("constraint_type"),
+                 F.array(F.lit("o_custkey"), F.lit("o_orderdate")).alias("columns")),
+    ]
+    schema = F.concat(F.lit("c"), F.col("o_custkey").cast("string"))
+    table = F.concat(F.lit("order"), key)
+    return o, schema, table, columns, constraints
+
+
+def order_tables(spark: SparkSession, sf_dir: str, live: bool = False) -> DataFrame:
+    """One catalog table per order with its columns and constraints as
+    arrays of structs (the generic input of ``render_table_text``)."""
+    o, schema, table, columns, constraints = _order_parts(spark, sf_dir, live)
+    return o.select(schema.alias("schema_name"), table.alias("table_name"),
+                    F.array(*columns).alias("columns"), F.array(*constraints).alias("constraints"))
+
+
+def order_table_texts(spark: SparkSession, sf_dir: str, live: bool = False) -> DataFrame:
+    """The rendered definition of every per-order table.  The column and
+    constraint lists are fixed per row, so the lines are plain expressions
+    (``render_rows``); same text as rendering :func:`order_tables`."""
+    from tidemark.operators.render import render_rows
+    o, schema, table, columns, constraints = _order_parts(spark, sf_dir, live)
+    return render_rows(o, schema, table, columns, constraints)
 
 
 def modules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -237,7 +237,7 @@ def q_bundle_hash(spark, sf_dir):
 
 
 def q_render_definition(spark, sf_dir):
-    return render.render_table_text(M.order_tables(spark, sf_dir)).select(
+    return M.order_table_texts(spark, sf_dir).select(
         "qualified_name", F.col("definition"), F.sha2("definition", 256).alias("definition_sha256"))
 
 
@@ -265,13 +265,13 @@ def q_definition_lines(spark, sf_dir):
 
 
 def q_parse_definition_columns(spark, sf_dir):
-    defs = render.render_table_text(M.order_tables(spark, sf_dir))
+    defs = M.order_table_texts(spark, sf_dir)
     return render.parse_definition_columns(defs).select(
         "qualified_name", "column_name", "ordinal", "type_sql", "column_definition")
 
 
 def _rendered(spark, sf_dir, live):
-    defs = render.render_table_text(M.order_tables(spark, sf_dir, live=live))
+    defs = M.order_table_texts(spark, sf_dir, live=live)
     objs = defs.select(F.lit("tables").alias("category"), F.col("qualified_name").alias("name"),
                        "definition", F.lit(None).cast("string").alias("relative_path"))
     cols = render.parse_definition_columns(defs).select(
