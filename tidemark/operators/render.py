@@ -96,19 +96,60 @@ def render_table_text(tables: DataFrame, header: str = "") -> DataFrame:
         definition.alias("definition"))
 
 
+def _qi_sql(x: str) -> str:
+    return f"concat('[', replace({x}, ']', ']]'), ']')"
+
+
+def _column_line_sql(c: str) -> str:
+    """SQL text of :func:`column_line` for a struct column named ``c``."""
+    from tidemark.functions.text import WHITESPACE_CLASS as W
+    from tidemark.functions.types import DECIMAL_TYPES, LENGTH_TYPES, TIME_PRECISION_TYPES
+    t = f"upper({c}.data_type)"
+    length_types = ", ".join(f"'{x}'" for x in LENGTH_TYPES)
+    dec_types = ", ".join(f"'{x}'" for x in DECIMAL_TYPES)
+    time_types = ", ".join(f"'{x}'" for x in TIME_PRECISION_TYPES)
+    typ = (f"CASE WHEN {t} IN ({length_types}) AND {c}.character_maximum_length IS NULL THEN {t} "
+           f"WHEN {t} IN ({length_types}) AND {c}.character_maximum_length = -1 THEN concat({t}, '(MAX)') "
+           f"WHEN {t} IN ({length_types}) THEN concat({t}, '(', CAST({c}.character_maximum_length AS STRING), ')') "
+           f"WHEN {t} IN ({dec_types}) AND {c}.numeric_precision IS NULL THEN {t} "
+           f"WHEN {t} IN ({dec_types}) THEN concat({t}, '(', CAST({c}.numeric_precision AS STRING), ',', "
+           f"CAST(coalesce({c}.numeric_scale, 0) AS STRING), ')') "
+           f"WHEN {t} IN ({time_types}) AND {c}.datetime_precision IS NOT NULL "
+           f"THEN concat({t}, '(', CAST({c}.datetime_precision AS STRING), ')') "
+           f"WHEN {t} = 'FLOAT' AND {c}.numeric_precision IS NOT NULL "
+           f"THEN concat({t}, '(', CAST({c}.numeric_precision AS STRING), ')') "
+           f"ELSE {t} END")
+    default = (f"CASE WHEN {c}.column_default IS NOT NULL AND {c}.column_default <> '' THEN "
+               f"concat(' DEFAULT ', regexp_replace({c}.column_default, r'^{W}+|{W}+$', '')) ELSE '' END")
+    null = f"CASE WHEN {c}.is_nullable THEN 'NULL' ELSE 'NOT NULL' END"
+    return f"rtrim(concat('    ', {_qi_sql(c + '.column_name')}, ' ', {typ}, {default}, ' ', {null}))"
+
+
+def _constraint_line_sql(k: str) -> str:
+    cols = f"array_join(transform({k}.columns, x -> {_qi_sql('x')}), ', ')"
+    return (f"concat('    CONSTRAINT ', {_qi_sql(k + '.constraint_name')}, ' ', {k}.constraint_type, "
+            f"' (', {cols}, ')')")
+
+
 def render_rows(df: DataFrame, schema_name: Column, table_name: Column, columns: Sequence[Column],
                 constraints: Sequence[Column] = (), header: str = "") -> DataFrame:
     """Text form for tables whose column and constraint lists are fixed
     expressions of the row, given already in definition order (ordinal;
     PRIMARY KEY before the rest).  Same text as :func:`render_table_text`,
-    built from plain expressions only: no higher-order function, so the whole
-    projection is code-generated."""
-    lines = [column_line(c) for c in columns] + [constraint_line(k) for k in constraints]
-    definition = F.concat(F.lit(header), create_line(schema_name, table_name), F.lit("\n"),
-                          F.concat_ws(",\n", *lines), F.lit("\n);\n"))
-    return df.select(schema_name.alias("schema_name"), table_name.alias("table_name"),
-                     F.concat(schema_name, F.lit("."), table_name).alias("qualified_name"),
-                     definition.alias("definition"))
+    but every line is a plain expression (no higher-order function over the
+    columns), built as SQL text in one projection."""
+    staged = df.select(schema_name.alias("schema_name"), table_name.alias("table_name"),
+                       F.lit(header).alias("_header"),
+                       *[c.alias(f"_c{i}") for i, c in enumerate(columns)],
+                       *[k.alias(f"_k{i}") for i, k in enumerate(constraints)])
+    lines = ([_column_line_sql(f"_c{i}") for i in range(len(columns))]
+             + [_constraint_line_sql(f"_k{i}") for i in range(len(constraints))])
+    create = f"concat('CREATE TABLE ', {_qi_sql('schema_name')}, '.', {_qi_sql('table_name')}, ' (')"
+    # newlines as char(10): independent of the session's string-escape setting
+    definition = (f"concat(_header, {create}, char(10), concat_ws(concat(',', char(10)), {', '.join(lines)}), "
+                  f"char(10), ');', char(10)) AS definition")
+    return staged.selectExpr("schema_name", "table_name",
+                             "concat(schema_name, '.', table_name) AS qualified_name", definition)
 
 
 def collect_table_arrays(columns: DataFrame, constraints: DataFrame | None = None) -> DataFrame:
