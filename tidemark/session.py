@@ -117,7 +117,12 @@ def _sql_literal(value, type_name: str) -> str:
         return f"CAST({value} AS {type_name})"
     if isinstance(value, float):
         return f"CAST('{value!r}' AS {type_name})"
-    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    text = str(value)
+    if "\\" in text or "'" in text:
+        # base64 keeps the literal independent of the session's escape setting
+        import base64
+        encoded = base64.b64encode(text.encode("utf-8")).decode("ascii")
+        return f"CAST(CAST(unbase64('{encoded}') AS STRING) AS {type_name})"
     return f"CAST('{text}' AS {type_name})"
 
 
