@@ -146,3 +146,14 @@ def test_static_and_array_rendering_agree(spark):
         a = render.render_table_text(M.order_tables(spark, sf, live=live)).select("qualified_name", "definition")
         b = M.order_table_texts(spark, sf, live=live).select("qualified_name", "definition")
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0 and a.count() > 0
+
+
+def test_tree_hash_splits_a_hot_group(spark):
+    # every artifact in one group: the first tree level still spreads them over
+    # chunks keyed by the path digest, so no chunk holds more than a few
+    arts = _arts(spark, 2000).withColumn("object_type", F.lit("one"))
+    digest = F.sha2("relative_path", 256)
+    chunks = arts.groupBy(F.substring(digest, 1, 4), F.substring(digest, 5, 4)).count()
+    assert chunks.count() > 1900 and chunks.agg(F.max("count")).first()[0] <= 2
+    got = bundle_hash_tree(arts, ["object_type"]).first()
+    assert got.artifact_count == 2000 and len(got.bundle_sha256) == 64
