@@ -9,9 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import lines, mixing, sharding, simhash
+from tidemark.llm import blockjoin, lines, mixing, packing, sharding, simhash, topk
 from tidemark.llm.common import table
 
+TOKENIZER = "byte_bpe_50k.json"
+SEQUENCE = 2048
+END_ID = 1
+NEAREST = 20
+TOP = 5
 SHARDS = 24
 SIMHASH_SHINGLE = 4
 SIMHASH_DISTANCE = 4
@@ -24,6 +29,21 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path(TOKENIZER)
+
+
+def op3_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, tokenizer_path(), SEQUENCE, END_ID, digest=True).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+def op4_block_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blockjoin.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, NEAREST)
+
+
 def op6_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix(docs, MIX_WEIGHTS, MIX_SEED)
@@ -42,11 +62,18 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op10_uniform_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, TOP)
+
+
 QUERIES = {f.__name__: f for f in (
     op2_line_dedup,
+    op3_pack,
+    op4_block_nearest,
     op6_poisson_mix,
     op8_best_fit_shards,
     op9_simhash,
+    op10_uniform_threshold,
 )}
 
 LINE_DEDUP_SQL = """
@@ -97,7 +124,33 @@ SELECT doc_id, source, text, draw, copy,
 FROM copies
 """
 
+_GOOD_VECTORS = """
+WITH v AS (
+    SELECT vec_id, min(embedding) AS embedding FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    GROUP BY vec_id)"""
+
+NEAREST_SQL = _GOOD_VECTORS + """,
+d AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM v WHERE len(list_filter(embedding, lambda x: x <> 0)) > 0)
+SELECT q.vec_id AS query_id, row_number() OVER w AS rank, r.vec_id AS vec_id, list_dot_product(q.e, r.e) AS score
+FROM d q JOIN d r ON q.vec_id <> r.vec_id AND len(q.e) = len(r.e) WHERE q.vec_id % 20 = 0
+WINDOW w AS (PARTITION BY q.vec_id ORDER BY list_dot_product(q.e, r.e) DESC, r.vec_id)
+QUALIFY row_number() OVER w <= 20
+"""
+
+TOP_SQL = _GOOD_VECTORS + """,
+d AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM v)
+SELECT q.vec_id AS query_id, row_number() OVER w AS rank, r.vec_id AS vec_id,
+       list_dot_product(q.e, r.e)::BIGINT AS score
+FROM d q JOIN d r ON q.vec_id <> r.vec_id AND len(q.e) = len(r.e) WHERE q.vec_id % 50 = 0
+WINDOW w AS (PARTITION BY q.vec_id ORDER BY list_dot_product(q.e, r.e) DESC, r.vec_id)
+QUALIFY row_number() OVER w <= 5
+"""
+
 ORACLE_SQL = {
+    "op4_block_nearest": NEAREST_SQL,
+    "op10_uniform_threshold": TOP_SQL,
     "op2_line_dedup": LINE_DEDUP_SQL,
     "op6_poisson_mix": MIX_SQL,
 }
