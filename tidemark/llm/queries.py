@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import blockjoin, lines, mixing, packing, sharding, simhash, topk
+from tidemark.llm import blockjoin, lines, mixing, packing, sharding, simhash, topk, urls
 from tidemark.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -17,6 +17,8 @@ SEQUENCE = 2048
 END_ID = 1
 NEAREST = 20
 TOP = 5
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
+             ("allow", "com/fr/"), ("block", "com/de/")]
 SHARDS = 24
 SIMHASH_SHINGLE = 4
 SIMHASH_DISTANCE = 4
@@ -49,6 +51,10 @@ def op6_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, MIX_WEIGHTS, MIX_SEED)
 
 
+def op7_url_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 def op8_best_fit_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.balanced_shards(docs, SHARDS).select(
@@ -71,6 +77,7 @@ QUERIES = {f.__name__: f for f in (
     op3_pack,
     op4_block_nearest,
     op6_poisson_mix,
+    op7_url_trees,
     op8_best_fit_shards,
     op9_simhash,
     op10_uniform_threshold,
