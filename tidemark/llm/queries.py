@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import blockjoin, lines, mixing, packing, sharding, simhash, topk, urls
+from tidemark.llm import blockjoin, lines, mixing, packing, quality, sharding, simhash, topk, urls
 from tidemark.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -26,6 +26,14 @@ MIX_WEIGHTS = {"src0": 6.0}     # every other source: 1.0
 MIX_SEED = 17
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, quality.train_fold(table(spark, sf_dir, "labels")))
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    return (quality.scored(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return lines.dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
@@ -73,6 +81,7 @@ def op10_uniform_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
+    op1_quality,
     op2_line_dedup,
     op3_pack,
     op4_block_nearest,
