@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import numbered, slots, written
-from tidemark.llm.tokens import encoder
+from tidemark.llm.tokens import Encoder
 
 
 def shortest_pack_first(histogram: dict[int, int], size: int) -> list[tuple[int, dict[int, int]]]:
@@ -92,7 +92,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int, digest
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zlib
-        encode = encoder(content.value).encode
+        encode = Encoder(content.value).encode
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 part = batch.slice(at, 128)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import blockjoin, lines, mixing, packing, quality, sharding, simhash, topk, urls
+from tidemark.llm import blockjoin, lines, mixing, packing, quality, sharding, simhash, substring, topk, urls
 from tidemark.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -19,6 +19,7 @@ NEAREST = 20
 TOP = 5
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
              ("allow", "com/fr/"), ("block", "com/de/")]
+SUBSTRING_WORDS = 13
 SHARDS = 24
 SIMHASH_SHINGLE = 4
 SIMHASH_DISTANCE = 4
@@ -54,6 +55,12 @@ def op4_block_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blockjoin.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, NEAREST)
 
 
+def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring.dedup_substrings(docs, SUBSTRING_WORDS).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
+
+
 def op6_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix(docs, MIX_WEIGHTS, MIX_SEED)
@@ -80,16 +87,23 @@ def op10_uniform_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, TOP)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality,
     op2_line_dedup,
     op3_pack,
     op4_block_nearest,
+    op5_substrings,
     op6_poisson_mix,
     op7_url_trees,
     op8_best_fit_shards,
     op9_simhash,
     op10_uniform_threshold,
+    pipeline,
 )}
 
 LINE_DEDUP_SQL = """

@@ -19,7 +19,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import written
@@ -86,18 +86,20 @@ def _fingerprints(parts: list[bytes], shingle: int) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fp`` (the fingerprint as a signed long) for every row."""
+    """``doc_id, text_hash, fp`` (the fingerprint as a signed long) for every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                texts = part.column(1).cast(pa.binary()).to_pylist()
+                texts = part.column(2).cast(pa.binary()).to_pylist()
                 fp = fingerprints_of(texts, shingle).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp)], ["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(fp)],
+                                                 ["doc_id", "text_hash", "fp"])
 
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return slim.mapInArrow(run, "doc_id long, fp long")
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
+                       F.col(text_col).cast("string").alias("text"))
+    return slim.mapInArrow(run, "doc_id long, text_hash long, fp long")
 
 
 def block_keys(distance: int, blocks: int) -> list[int]:
@@ -193,7 +195,7 @@ def links(classes: DataFrame, distance: int, blocks: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int, distance: int, blocks: int | None = None,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fp, component_id`` for every row of ``docs``.
+    """``doc_id, text_hash, fp, component_id`` for every row of ``docs``.
 
     ``component_id`` is the smallest doc_id reachable over links of at most
     ``distance`` bits.  Null and empty texts have fingerprint 0 and link like
@@ -206,4 +208,24 @@ def near_duplicates(docs: DataFrame, shingle: int, distance: int, blocks: int |
     found = components(links(classes.filter("node is not null"), distance, blocks))
     rooted = (classes.join(found, "node", "left")
               .select("fp", F.coalesce("component", "node").alias("component_id")))
-    return prints.join(rooted, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(rooted, "fp").select("doc_id", "text_hash", "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int, distance: int, blocks: int | None = None,
+                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose id is their component's smallest, once each.
+
+    Of rows that agree in id and text one stays.  Rows without an id stay, once
+    for each text, where their fingerprint's class has no id at all.
+    """
+    found = near_duplicates(docs, shingle, distance, blocks, id_col, text_col)
+    first = (found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+             .select(F.coalesce("doc_id", F.lit(-1)).alias("__doc"), F.col("doc_id").isNull().alias("__none"),
+                     F.col("text_hash").alias("__hash")).distinct())
+    keyed = (docs.withColumn("__doc", F.coalesce(F.col(id_col).cast("long"), F.lit(-1)))
+             .withColumn("__none", F.col(id_col).isNull()).withColumn("__hash", F.xxhash64(text_col)))
+    keys = ["__doc", "__none", "__hash"]
+    kept = keyed.join(first, keys, "left_semi")
+    again = Window.partitionBy(*keys).orderBy(*keys)
+    return (kept.withColumn("__copy", F.row_number().over(again)).filter(F.col("__copy") == 1)
+            .select(*docs.columns))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import re
-from functools import lru_cache
 
 # Code points whose class is the same in every Unicode version the two
 # libraries may use; texts with others go to the reference library.
@@ -24,10 +23,18 @@ class Encoder:
     """
 
     def __init__(self, content: str):
-        from tokenizers import Tokenizer
-        self.slow = Tokenizer.from_str(content)
-        self.slow.encode_special_tokens = True
+        self.content = content
         self.fast = _merges(content)
+        self._slow = None
+
+    @property
+    def slow(self):
+        """The reference encoder, loaded for the first text that needs it."""
+        if self._slow is None:
+            from tokenizers import Tokenizer
+            self._slow = Tokenizer.from_str(self.content)
+            self._slow.encode_special_tokens = True
+        return self._slow
 
     def encode(self, text: str) -> list[int]:
         if (self.fast is not None and len(text) < _LONG and _SPECIAL not in text and _PLAIN.fullmatch(text)):
@@ -50,8 +57,3 @@ def _merges(content: str):
     special = {t["content"] for t in spec.get("added_tokens", [])}
     ranks = {bytes(byte_of[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in special}
     return tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-
-
-@lru_cache(maxsize=2)
-def encoder(content: str) -> Encoder:
-    return Encoder(content)
