@@ -45,9 +45,9 @@ def source_rates(docs: DataFrame, weights: dict[str, float], default_weight: flo
         listed = F.create_map(*[F.lit(x) for k, v in sorted(weights.items()) for x in (k, float(v))])
         weight = F.coalesce(listed[F.col("__source")], weight)
     sums = sums.withColumn("__weight", weight)
-    total = sums.agg(F.sum("__bytes").alias("__all"), F.sum("__weight").alias("__weights"))
-    share = F.col("__weight") / F.col("__weights") * F.col("__all")
-    return sums.join(F.broadcast(total)).select(  # one row
+    total, weights_sum = sums.agg(F.sum("__bytes"), F.sum("__weight")).first()
+    share = F.col("__weight") / F.lit(weights_sum) * F.lit(total)
+    return sums.select(
         "__source", "__bytes",
         F.when(F.col("__weight") <= 0, 0.0).when(F.col("__bytes") == 0, 1.0)
         .otherwise(share / F.col("__bytes")).alias("__rate"))
