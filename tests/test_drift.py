@@ -50,12 +50,24 @@ def test_summary_zero_fill_verdict_and_recommendations(spark):
     summ = {r.category: r for r in drift.drift_summary(d, ["tables", "views", "procedures"]).collect()}
     assert (summ["tables"].modified, summ["tables"].unchanged) == (1, 1)
     assert summ["views"].removed == 2 and summ["procedures"].drifted == 0
-    v = drift.drift_verdict(drift.drift_summary(d, ["tables", "views"])).first()
+    v = drift.drift_verdict(d).first()
     assert v.has_drift and v.total_drifted == 3
-    recs = [r.seq for r in drift.recommendations(drift.drift_summary(d)).collect()]
-    assert recs == [1, 2, 3]
+    recs = [(r.action, r.objects) for r in drift.recommendations(d).orderBy("seq").collect()]
+    assert recs == [("update_baseline", 3), ("migrate_live", 3), ("review_table_text", 1)]
     same = drift.object_drift(left, left)
-    assert [r.seq for r in drift.recommendations(drift.drift_summary(same)).collect()] == [0]
+    assert [r.action for r in drift.recommendations(same).collect()] == ["aligned"]
+
+
+def test_unlisted_category_is_counted(spark):
+    left = _objs(spark, [("functions", "f", "a", None)])
+    right = _objs(spark, [("functions", "f", "b", None)])
+    d = drift.object_drift(left, right)
+    summary = {r.category: r.drifted for r in drift.drift_summary(d, ["tables", "views"]).collect()}
+    assert summary == {"functions": 1, "tables": 0, "views": 0}
+    assert drift.drift_verdict(d).first().has_drift
+    rep = drift_report(left, right)
+    assert rep["verdict"].first().has_drift
+    assert {r.category: r.drifted for r in rep["summary"].collect()}["functions"] == 1
 
 
 def test_column_and_table_drift(spark):
@@ -67,12 +79,17 @@ def test_column_and_table_drift(spark):
         ("t1", "a", 1, "BIGINT", "BIGINT NOT NULL"), ("t1", "c", 3, "DATE", "DATE NULL"),
         ("t2", "a", 1, "int", "int NULL"), ("t3", "a", 1, "INT", "INT NULL"),
         ("t5", "a", 1, "INT", "INT NULL")], COLS)
-    cd = {(r.name, r.column_name): (r.status, r.left_type, r.right_type)
-          for r in drift.column_drift(lc, rc).collect()}
+    tables = drift.table_drift(lc, rc)
+    col_drift = drift.column_drift(lc, rc, tables.filter("status = 'modified'"))
+    cd = {(r.name, r.column_name): (r.status, r.left_type, r.right_type) for r in col_drift.collect()}
+    # t4 is only removed and t5 only added: they have no column differences
     assert cd == {("t1", "a"): ("type_changed", "INT", "BIGINT"), ("t1", "b"): ("removed", "NVARCHAR(10)", None),
-                  ("t1", "c"): ("added", None, "DATE"), ("t4", "a"): ("removed", "INT", None),
-                  ("t5", "a"): ("added", None, "INT")}
-    td = {r.name: r for r in drift.table_drift(lc, rc).collect()}
+                  ("t1", "c"): ("added", None, "DATE")}
+    objects = tables.select(F.lit("tables").alias("category"), "name", "status")
+    listed = {r.name: [(c.column_name, c.status) for c in r.column_differences]
+              for r in drift.with_column_differences(objects, col_drift).collect()}
+    assert listed["t1"] == [("a", "type_changed"), ("b", "removed"), ("c", "added")] and listed["t4"] == []
+    td = {r.name: r for r in tables.collect()}
     assert td["t1"].status == "modified" and td["t1"].n_column_differences == 3
     # nullability only: modified without a column difference, second detail line
     assert td["t2"].status == "modified" and td["t2"].n_column_differences == 0

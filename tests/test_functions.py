@@ -61,14 +61,33 @@ def test_glob_on_spark(spark):
     assert [r[0] for r in df.select(m).collect()] == [True, True, False]
 
 
-def test_split_patterns():
+def test_split_patterns(spark):
     assert TX.split_patterns(["a, b", " ,c", None, "", "d"]) == ["a", "b", "c", "d"]
+    assert TX.split_patterns("x , y") == ["x", "y"] and TX.split_patterns(None) == []
+    df = spark.createDataFrame([("a, b, ,c",), ("",), (None,)], "s string")
+    assert [r[0] for r in df.select(TX.comma_items("s")).collect()] == [["a", "b", "c"], [], None]
+
+
+def test_glob_of_odd_brackets_on_spark(spark):
+    df = spark.createDataFrame([("[]",), ("]",), ("[",), ("a-c",), ("b",), ("&",), ("a.b",)], "c string")
+    for pattern in ("[]", "[]]", "[[]", "a[b-a]c", "[!b-a]", "[a-c]", "[&&b]", "a.b", "[^b]"):
+        got = [r[0] for r in df.select(TX.matches_any_glob([F.col("c")], [pattern])).collect()]
+        want = [fnmatch.fnmatchcase(r.c, pattern) for r in df.collect()]
+        assert got == want, pattern
+
+
+def test_spark_names_and_strings(spark):
+    assert TX.spark_table("db.t") == "`db`.`t`" and TX.spark_table("`a.b`.c") == "`a.b`.`c`"
+    assert TX.spark_identifier("x`y") == "`x``y`"
+    for text in ("it's", "back\\slash", "both \\' of \"them\""):
+        assert spark.sql(f"SELECT {TX.spark_string(text)}").first()[0] == text
 
 
 def test_version_number(spark):
-    df = spark.createDataFrame([("v002",), ("v10",), ("none",), (None,), ("v0099x1",)], "v string")
+    df = spark.createDataFrame([("v002",), ("v10",), ("none",), (None,), ("v0099x1",), ("v" + "9" * 30,),
+                                ("v" + "9" * 50,)], "v string")
     got = [r[0] for r in df.select(TY.version_number("v")).collect()]
-    assert got == [2, 10, 0, 0, 991]
+    assert got == [2, 10, 0, 0, 991, int("9" * 30), None]
     assert TY.version_number_of("v002") == 2 and TY.version_number_of("x") == 0
 
 

@@ -9,24 +9,32 @@ def test_duplicate_keys_and_orphans(spark):
     parent = spark.createDataFrame([(10,), (20,)], "p int")
     dups = {(r.k, r.p): r.copies for r in integrity.duplicate_keys(child, ["k", "p"]).collect()}
     assert dups == {(1, 10): 2}
-    fk = integrity.foreign_key_orphans({"c": child, "p": parent}, [("c", "p", "p", "p")]).first()
-    assert (fk.orphan_rows, fk.orphan_keys) == (2, 1)  # NULL is not an orphan
+    fk = {r.child_column: (r.orphan_rows, r.orphan_keys) for r in integrity.foreign_key_orphans(
+        {"c": child, "p": parent}, [("c", "p", "p", "p"), ("c", "k", "p", "p"), ("p", "p", "c", "p")]).collect()
+        if r.child_table == "c"}
+    assert fk == {"p": (2, 1), "k": (6, 5)}  # NULL is not an orphan
 
 
 def test_accepted_values_and_gaps(spark):
     t = spark.createDataFrame([("a",), ("b",), ("x",), ("x",), (None,)], "s string")
     got = {(r.value, r.rows) for r in integrity.accepted_values({"t": t}, [("t", "s", ("a", "b"))]).collect()}
     assert got == {("x", 2)}
-    v = spark.createDataFrame([(1,), (2,), (2,), (5,), (9,), (None,)], "version long")
-    assert sorted(r.missing_from for r in integrity.version_gaps(v).collect()) == [3, 6]
+    def gaps(numbers, **kw):
+        v = spark.createDataFrame([(n,) for n in numbers], "version long")
+        return sorted((r.gap_from, r.gap_to) for r in integrity.version_gaps(v, **kw).collect())
 
+    assert gaps([1, 2, 2, 5, 9, None]) == [(3, 4), (6, 8)]
+    assert gaps([3, 4, 9]) == [(1, 2), (5, 8)]
+    assert gaps([0, 1, 2]) == [] and gaps([]) == [] and gaps([4], start=4) == []
+    far = 3 * integrity.GAP_BUCKET
+    assert gaps([1, far, far + 1, far + 5]) == [(2, far - 1), (far + 2, far + 4)]
 
-def test_order_total_agreement(spark):
-    o = spark.createDataFrame([(1, 110.0), (2, 50.0)], "o_orderkey long, o_totalprice double")
-    li = spark.createDataFrame([(1, 100.0, 0.1, 0.0), (2, 10.0, 0.0, 0.0)],
-                               "l_orderkey long, l_extendedprice double, l_tax double, l_discount double")
-    r = integrity.order_total_agreement(o, li).first()
-    assert (r.checked_orders, r.violations) == (2, 1)
+
+def test_total_agreement(spark):
+    o = spark.createDataFrame([(1, 110.0), (2, 50.0), (3, 1.0)], "k long, total double")
+    li = spark.createDataFrame([(1, 100.0, 0.1), (2, 10.0, 0.0), (9, 1.0, 1.0)], "k long, price double, tax double")
+    r = integrity.total_agreement(o, "k", "total", li, "k", "price * (1 + tax)", "sum", "0.01").first()
+    assert (r.rule, r.checked_rows, r.without_children, r.violations) == ("sum", 2, 1, 1)
 
 
 def test_search_and_presence(spark):
@@ -37,6 +45,15 @@ def test_search_and_presence(spark):
     assert loose == {"v001": True, "v002": True, "v003": False, "1.5": True}
     strict = {r.needle: r.found for r in search.strict_presence(h, ["v001", "v002"]).collect()}
     assert strict == {"v001": True, "v002": False}  # a failed run does not count
+    assert search.presence_modes(h, []).count() == 0
+
+
+def test_presence_plan_does_not_grow_with_labels(spark):
+    h = spark.createDataFrame([("v001_base", "success")], "migration_id string, status string")
+    sizes = [search.presence_modes(h, [f"v{i:03d}" for i in range(n)])._jdf.queryExecution().optimizedPlan()
+             .numberedTreeString().count("\n") for n in (4, 400)]
+    assert sizes[0] == sizes[1]
+    assert search.presence_modes(h, [f"v{i:03d}" for i in range(400)]).filter("strict_found").count() == 1
 
 
 def test_kind_counts(spark):

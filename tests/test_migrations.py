@@ -14,14 +14,16 @@ FILES = "file_name string"
 
 def test_parse_order_and_twins(spark):
     names = ["v10_late.sql", "v9_early.sql", "v2_add-cols.sql", "v2_add-cols.py", "notes.sql", "V3_bad.sql",
-             "v4_x.txt", "v0011_padded.sql"]
+             "v4_x.txt", "v0011_padded.sql", "v99999999999999999999_far.sql"]
     df = spark.createDataFrame([(n,) for n in names], FILES)
     found = MG.run_order(MG.discover(df, "sql")).collect()
     assert [r.file_name for r in found] == ["v2_add-cols.sql", "v9_early.sql", "v10_late.sql", "v0011_padded.sql"]
     assert found[0].migration_id == "v2_add-cols" and found[-1].version == 11
     py = MG.discover(df, "pyspark").collect()
     assert [r.migration_id for r in py] == ["v2_add-cols"]  # twin of the .sql file: same id
-    assert sorted(r.file_name for r in MG.skipped(df, "sql").collect()) == ["V3_bad.sql", "notes.sql"]
+    # a version beyond a bigint is reported, not lost
+    assert sorted(r.file_name for r in MG.skipped(df, "sql").collect()) == [
+        "V3_bad.sql", "notes.sql", "v99999999999999999999_far.sql"]
 
 
 def test_pending_ignores_failed_runs(spark):
@@ -67,6 +69,7 @@ def test_domain_end_to_end(spark, scratch_dir):
         summary = {r.category: (r.passed, r.total) for r in report(res)[0].collect()}
         assert summary["tables"] == (3, 3) and summary["columns"] == (25, 25)
         assert summary["migration"] == (2, 2)
+        assert summary["rows"] == (3, 3)
 
         # failed run of v002 is logged, stays pending
         record(spark, todo.filter(F.col("version") == 2), "failed", "tester", at)
@@ -83,21 +86,41 @@ def test_domain_end_to_end(spark, scratch_dir):
         assert verdict.first().result == "PASS"
         # old power rows read the new columns as NULL; seed counts are unchanged
         p = spark.table("power_consumption")
-        assert p.count() == 4 and p.filter(F.col("renewable_pct").isNull()).count() == 4
+        assert p.count() == 5 and p.filter(F.col("renewable_pct").isNull()).count() == 5
+        # at v001 only the three tables of v001 are read, though five exist
+        old = {r.category: r.total for r in report(validate_catalog(spark, DC.contract_rows(), DC.RULES, "v001"))[0]
+               .collect()}
+        assert old["rows"] == 3 and old["data"] == 7 and old["tables"] == 3
         # strict history: only successful ids count
         strict = validate_catalog(spark, DC.contract_rows(), DC.RULES, "v002", strict_history=True)
         assert report(strict)[1].first().result == "PASS"
-        # the seed's first power row does not add up (a cross-column rule catches it)
+        # the seed's last power row does not add up (a cross-column rule catches it)
         from tidemark.operators.integrity import expression_agreement
         got = {r.rule: r.violations for r in
                expression_agreement(p, "power_consumption", DC.AGREEMENT["power_consumption"]).collect()}
         assert got["parts_sum_to_total"] == 1
         inc = expression_agreement(spark.table("sla_incidents"), "sla_incidents", DC.AGREEMENT["sla_incidents"])
-        assert inc.first().violations == 0 and inc.first().checked_rows == 3
+        assert inc.first().violations == 0 and inc.first().checked_rows == 4
     finally:
         spark.catalog.setCurrentDatabase("default")
 
 
+def test_comments_and_qualified_names_are_quoted(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS odd_db")
+    name = "odd_db.quoted"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    first = T.StructType([T.StructField("a", T.IntegerType(), True, {"comment": "it's \\ here"})])
+    MG.ensure_table(spark, name, first, comment="the owner's")
+    wider = T.StructType(first.fields + [T.StructField("b`c", T.StringType(), True, {"comment": "don't"})])
+    assert MG.add_missing_columns_table(spark, name, wider) == ["b`c"]
+    assert MG.add_missing_columns_table(spark, name, wider) == []
+    comments = {c.name: c.description for c in spark.catalog.listColumns(name)}
+    assert comments == {"a": "it's \\ here", "b`c": "don't"}
+    rows = spark.createDataFrame([("v1_a", "v1_a.sql", "sql")], "migration_id string, file_name string, migration_type string")
+    who = MG.history_rows(rows, "success", None, dt.datetime(2026, 1, 1)).first().applied_by
+    assert who == spark.sql("SELECT current_user()").first()[0]
+
+
 def test_validation_reports_missing_table_and_column(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS dc_bad")
     spark.catalog.setCurrentDatabase("dc_bad")

@@ -1,10 +1,13 @@
 import hashlib
+import json
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import bundle_hash_exact, bundle_hash_tree
 from tidemark.operators import render
-from tidemark.sources.corpus import read_snapshot, resolve_paths, unresolved_paths
+from tidemark.sources.corpus import IncompleteSnapshot, read_snapshot, resolve_paths
 
 COLS = [("dbo", "sites", "id", 1, "nvarchar", 20, None, None, None, False, None),
         ("dbo", "sites", "cap", 3, "decimal", None, 10, 2, None, True, "((0))"),
@@ -32,7 +35,7 @@ def test_render_text_and_lines(spark):
     text = render.render_table_text(tables).first()
     assert text.definition == EXPECTED
     lines = render.definition_lines(cols, render.constraint_columns_ordered(keys)).collect()
-    ordered = [r.line for r in sorted(lines, key=lambda r: (r.section, r.sort_key))]
+    ordered = [r.line for r in sorted(lines, key=lambda r: (r.section, r.position, r.sort_key))]
     body = ",\n".join(ordered[1:-1])
     assert ordered[0] + "\n" + body + "\n" + ordered[-1] + "\n" == EXPECTED
 
@@ -84,12 +87,11 @@ def test_tree_hash_is_partitioning_independent(spark):
     assert c["table"] != a["table"] and c["view"] == a["view"]
 
 
-def test_manifest_write_read_and_resolve(spark, scratch_dir):
-    import json
-    import os
-    arts = _arts(spark, 6)
-    counts = {r.object_type: r.object_count for r in render.manifest_counts(arts).collect()}
-    assert counts == {"table": 3, "view": 3}
+def test_plain_snapshot_names_come_from_the_manifest(spark, scratch_dir):
+    arts = render.artifacts(spark.createDataFrame(
+        [("table", "dbo.a b", "x"), ("table", "dbo.c+d", "y\n"), ("view", "dbo.e:f", "z")], "t string, q string, c string"),
+        F.col("t"), "q", "c")
+    assert {r.object_type: r.object_count for r in render.manifest_counts(arts).collect()} == {"table": 2, "view": 1}
     export = os.path.join(scratch_dir, "export")
     for r in arts.collect():
         path = os.path.join(export, r.relative_path)
@@ -101,27 +103,52 @@ def test_manifest_write_read_and_resolve(spark, scratch_dir):
     with open(os.path.join(export, "manifest.json"), "w") as fh:
         json.dump({"files": files}, fh)
     mf, objs = read_snapshot(spark, export)
-    got = {(r.category, r.name): r.sha256 for r in objs.collect()}
-    assert got[("tables", "dbo.o1")] == files["tables/dbo.o1.sql"]["sha256"]
-    assert mf.count() == 6
-    resolved = {r.name: (r.resolved_path, r.from_manifest) for r in resolve_paths(objs, mf).collect()}
-    assert resolved["dbo.o1"] == ("tables/dbo.o1.sql", True)
-    # a manifest entry whose file is gone does not resolve to any file
-    os.remove(os.path.join(export, "tables/dbo.o3.sql"))
-    mf2, objs2 = read_snapshot(spark, export)
-    listed = mf2.select(F.col("qualified_name").alias("name"),
-                        F.concat(F.col("object_type"), F.lit("s")).alias("category"))
-    missing = unresolved_paths(resolve_paths(listed.withColumn("relative_path", F.lit(None)), mf2), objs2)
-    assert [r.name for r in missing.collect()] == ["dbo.o3"]
-
-
-def test_write_artifacts_overwrites(spark, scratch_dir):
-    import os
-    out = os.path.join(scratch_dir, "arts")
-    render.write_artifacts(_arts(spark, 4), out)
-    render.write_artifacts(_arts(spark, 2), out)
-    back = spark.read.text(out, wholetext=True).count()
-    assert back == 2
+    assert {(r.category, r.name): r.definition for r in objs.collect()} == {
+        ("tables", "dbo.a b"): "x", ("tables", "dbo.c+d"): "y\n", ("views", "dbo.e:f"): "z"}
+    assert {r.sha256 for r in objs.collect()} == {f["sha256"] for f in files.values()} and mf.count() == 3
+    os.remove(os.path.join(export, "tables/dbo.a b.sql"))
+    with pytest.raises(IncompleteSnapshot, match="tables/dbo.a b.sql"):
+        read_snapshot(spark, export)
+
+
+def test_resolve_paths_with_duplicates_and_lost_files(spark):
+    objs = spark.createDataFrame([("tables", "a"), ("tables", "b"), ("views", "a"), ("tables", "c")],
+                                 "category string, name string")
+    listed = spark.createDataFrame([("z/a.sql", "table", "a"), ("m/a.sql", "table", "a"), ("m/b.sql", "table", "b")],
+                                   "relative_path string, object_type string, qualified_name string")
+    present = spark.createDataFrame([("m/a.sql",), ("m/a.sql",), ("views/a.sql",)], "relative_path string")
+    got = {(r.category, r.name): (r.resolved_path, r.from_manifest, r.found)
+           for r in resolve_paths(objs, listed, present).collect()}
+    assert got == {("tables", "a"): ("m/a.sql", True, True), ("tables", "b"): ("m/b.sql", True, False),
+                   ("views", "a"): ("views/a.sql", False, True), ("tables", "c"): ("tables/c.sql", False, False)}
+    assert resolve_paths(objs, listed, present).count() == 4
+
+
+def test_parse_odd_definitions(spark):
+    texts = {"paren": "CREATE TABLE [dbo].[b(c)] (\n    [x] INT NULL,\n    [y] DECIMAL(10,2) NOT NULL\n);\n",
+             "one line": "CREATE TABLE [dbo].[t] ([u] INT NOT NULL, [v] DECIMAL(10,2) DEFAULT ((0)) NULL, "
+                         "CONSTRAINT [pk] PRIMARY KEY ([u], [v]))",
+             "bare": "CREATE TABLE [t] ([d] DATETIME2(3))", "none": "SELECT 1", "null": None,
+             "cut": "CREATE TABLE [dbo].[t]\n [u] INT"}
+    df = spark.createDataFrame(list(texts.items()), "qualified_name string, definition string")
+    got = {}
+    for r in render.parse_definition_columns(df).collect():
+        got.setdefault(r.qualified_name, {})[r.column_name] = (r.ordinal, r.type_sql, r.column_definition)
+    assert got == {
+        "paren": {"x": (1, "INT", "INT NULL"), "y": (2, "DECIMAL(10,2)", "DECIMAL(10,2) NOT NULL")},
+        "one line": {"u": (1, "INT", "INT NOT NULL"),
+                     "v": (2, "DECIMAL(10,2)", "DECIMAL(10,2) DEFAULT ((0)) NULL")},
+        "bare": {"d": (1, "DATETIME2(3)", "DATETIME2(3)")}}
+    assert {r.qualified_name: r.error for r in render.unparsed_definitions(df).collect()} == {
+        "none": "no CREATE TABLE", "null": "no CREATE TABLE", "cut": "no list of columns after the table name"}
+
+
+def test_one_pass_for_group_and_total_bundles(spark):
+    arts = _arts(spark, 60)
+    apart = {r.object_type: r.bundle_sha256 for r in bundle_hash_tree(arts, ["object_type"]).collect()}
+    apart["*"] = bundle_hash_tree(arts.withColumn("object_type", F.lit("*")), ["object_type"]).first().bundle_sha256
+    both = bundle_hash_tree(arts, ["object_type"], total="*")
+    assert {r.object_type: r.bundle_sha256 for r in both.collect()} == apart
 
 
 def test_bracket_names_round_trip(spark):
@@ -137,11 +164,8 @@ def test_bracket_names_round_trip(spark):
 
 
 def test_static_and_array_rendering_agree(spark):
-    import os
     from tidemark.plans import mapping as M
     sf = "/root/testdata/sf0.001"
-    if not os.path.isdir(sf):
-        return
     for live in (False, True):
         a = render.render_table_text(M.order_tables(spark, sf, live=live)).select("qualified_name", "definition")
         b = M.order_table_texts(spark, sf, live=live).select("qualified_name", "definition")

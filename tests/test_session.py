@@ -1,22 +1,29 @@
-from tidemark.session import ensure_checkpoint_dir, local_frame, materialize, spread
+import pytest
+
+from tidemark.session import checkpoint_dir, local_frame, materialize
 
 
 def test_checkpoint_dir_is_read_from_session(spark):
     configured = spark.sparkContext.getCheckpointDir()
-    assert configured and ensure_checkpoint_dir(spark) == configured
+    assert configured and checkpoint_dir(spark) == configured
     df = materialize(spark.range(10).selectExpr("id * 2 AS x"))
     assert df.count() == 10 and "LogicalRDD" in df._jdf.queryExecution().optimizedPlan().toString()
 
 
-def test_spread_only_when_under_parallelism(spark):
-    one = spark.range(100).coalesce(1)
-    assert spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(100).repartition(spark.sparkContext.defaultParallelism * 2)
-    assert spread(many) is many
+def test_checkpoint_dir_has_no_default():
+    class Unset:
+        class sparkContext:
+            getCheckpointDir = staticmethod(lambda: None)
+
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Unset)
 
 
 def test_local_frame_types_escaping_and_size(spark):
-    rows = [("it's", 1, True, 1.5), ("back\\slash", None, None, None)]
+    rows = [("it's", 1, True, 1.5), ("back\\slash", None, None, None), ("", -2, False, float("inf"))]
     df = local_frame(spark, rows, "s string, n bigint, b boolean, d double")
     assert [tuple(r) for r in df.collect()] == rows
     assert "LocalRelation" in df._jdf.queryExecution().optimizedPlan().toString()

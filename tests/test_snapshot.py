@@ -1,6 +1,13 @@
 import os
 
+import pytest
+
+from pyspark.sql import types as T
+
+from tidemark.operators import assembly, render
+from tidemark.operators.migrations import ensure_table
 from tidemark.plans import snapshot
+from tidemark.sources import catalog
 
 
 def test_export_and_compare_catalog(spark, scratch_dir):
@@ -30,7 +37,81 @@ def test_export_and_compare_catalog(spark, scratch_dir):
         assert cols == {("snap_cat.t1", "c", "added")}
         summary = {r.category: r.drifted for r in rep["summary"].collect()}
         assert summary == {"tables": 3, "views": 1, "procedures": 0}
-        files = spark.read.json(os.path.join(right, "manifest.json")).first()
-        assert files.table_count == 2 and files.view_count == 1 and len(files.ddl_sha256) == 64
+        files = {r.object_type: r for r in spark.read.json(os.path.join(right, "summary")).collect()}
+        assert files["table"].artifact_count == 2 and files["view"].artifact_count == 1
+        assert len(files["*"].bundle_sha256) == 64 and files["*"].schemas == 1
     finally:
         spark.catalog.setCurrentDatabase("default")
+
+
+def test_lengths_nullability_and_keys_survive(spark, scratch_dir):
+    spark.sql("CREATE DATABASE IF NOT EXISTS snap_len")
+    spark.sql("DROP TABLE IF EXISTS snap_len.sized")
+    ensure_table(spark, "snap_len.sized", T.StructType([
+        T.StructField("a", T.VarcharType(10), False), T.StructField("b", T.CharType(3)),
+        T.StructField("c", T.StringType())]))
+    spark.sql("ALTER TABLE snap_len.sized SET TBLPROPERTIES ('tidemark.key.pk_sized' = 'PRIMARY KEY (a, `b`)')")
+    cols = {r.column_name: (r.data_type, r.character_maximum_length, r.is_nullable)
+            for r in catalog.catalog_columns(spark, "snap_len").collect()}
+    assert cols == {"a": ("varchar", 10, False), "b": ("char", 3, True), "c": ("string", -1, True)}
+    arts = snapshot.artifacts_of(spark, "snap_len")
+    text = arts.first().content
+    assert "[a] VARCHAR(10) NOT NULL" in text and "[b] CHAR(3) NULL" in text
+    assert "CONSTRAINT [pk_sized] PRIMARY KEY ([a], [b])" in text
+    left, right = os.path.join(scratch_dir, "l"), os.path.join(scratch_dir, "r")
+    snapshot.write(arts, left, "2026-05-01", "host", "token", "snap_len")
+    spark.sql("DROP TABLE snap_len.sized")
+    spark.sql("CREATE TABLE snap_len.sized (a VARCHAR(99), b CHAR(3), c STRING) USING parquet")
+    snapshot.write(snapshot.artifacts_of(spark, "snap_len"), right)
+    rep = snapshot.compare(spark, left, right)
+    row = rep["objects"].first()
+    assert row.status == "modified" and [(d.column_name, d.status) for d in row.column_differences] == [
+        ("a", "type_changed")]
+    told = spark.read.json(os.path.join(left, "summary")).first()
+    assert (told.endpoint, told.auth_method, told.database) == ("host", "token", "snap_len")
+
+
+def test_colliding_paths_raise_before_writing(spark, scratch_dir):
+    objs = spark.createDataFrame([("dbo.a:b", "x"), ("dbo.a|b", "y")], "q string, c string")
+    out = os.path.join(scratch_dir, "never")
+    with pytest.raises(snapshot.CollidingPaths, match="tables/dbo.a_b.sql"):
+        snapshot.write(render.artifacts(objs, "table", "q", "c"), out)
+    assert not os.path.exists(out)
+
+
+def test_tables_schemas_and_existence(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS snap_list")
+    spark.sql("CREATE TABLE IF NOT EXISTS snap_list.here (a INT) USING parquet")
+    spark.sql("CREATE OR REPLACE VIEW snap_list.seen AS SELECT 1 AS one")
+    kinds = {r.table_name: r.table_type for r in catalog.available_tables(spark, database="snap_list").collect()}
+    assert kinds["here"] == "MANAGED" and kinds["seen"] == "VIEW"
+    assert catalog.table_exists(spark, "snap_list.here") and not catalog.table_exists(spark, "snap_list.gone")
+    assert "snap_list" in {r.schema_name for r in catalog.schemata(spark).collect()}
+
+
+def test_assembly(spark):
+    def frame(rows, schema):
+        return spark.createDataFrame(rows, schema)
+
+    key = "constraint_catalog string, constraint_schema string, constraint_name string, schema_name string, table_name string"
+    cons = frame([("c", "s", "k1", "s", "t", "PRIMARY KEY"), ("c", "s", "k2", "s", "t", "CHECK"),
+                  ("c", "sys", "k3", "sys", "t", "UNIQUE"), ("other", "s", "k1", "s", "t", "UNIQUE")],
+                 key + ", constraint_type string")
+    usage = frame([("c", "s", "k1", "s", "t", "b", 2), ("c", "s", "k1", "s", "t", "a", 1), ("c", "s", "k2", "s", "t", "x", 1),
+                   ("c", "sys", "k3", "sys", "t", "x", 1)], key + ", column_name string, ordinal_position int")
+    keys = assembly.key_columns(cons, usage)
+    assert sorted((r.constraint_name, r.column_name) for r in keys.collect()) == [("k1", "a"), ("k1", "b")]
+    assert render.constraint_columns_ordered(keys).first().columns == ["a", "b"]
+    mods = assembly.module_texts(
+        frame([(1, "x"), (2, None), (3, "z"), (9, "lost")], "object_id int, definition string"),
+        frame([(1, 10, "v", "V"), (2, 10, "p", "P"), (3, 11, "q", "V"), (4, 10, "u", "U")],
+              "object_id int, schema_id int, object_name string, object_type string"),
+        frame([(10, "dbo"), (11, "sys")], "schema_id int, schema_name string"))
+    assert sorted((r.object_name, r.definition) for r in mods.collect()) == [("p", None), ("v", "x")]
+    views = frame([("dbo", "v"), ("dbo", "w")], "schema_name string, object_name string")
+    assert [tuple(r) for r in assembly.views_without_text(views, mods).collect()] == [("dbo", "w", "view without text")]
+    tables = frame([("dbo", "b"), ("dbo", "a")], "schema_name string, table_name string")
+    cols = frame([("dbo", "a", "x"), ("dbo", "gone", "y")], "schema_name string, table_name string, c string")
+    assert [r.table_name for r in assembly.tables_without_columns(tables, cols).collect()] == ["b"]
+    assert [r.c for r in assembly.children_of(cols, tables, ["schema_name", "table_name"]).collect()] == ["x"]
+    assert [r.table_name for r in assembly.catalog_order(tables, "schema_name", "table_name").collect()] == ["a", "b"]

@@ -40,9 +40,12 @@ def _ordered_digest(values: Column) -> Column:
 
 def bundle_hash_tree(artifacts: DataFrame, group_cols: Sequence[str] = (),
                      path_col: str = "relative_path", content_col: str = "content",
-                     content_is_digest: bool = False) -> DataFrame:
+                     content_is_digest: bool = False, total: str | None = None) -> DataFrame:
     """One row per group: ``artifact_count`` and ``bundle_sha256``.
 
+    ``total`` (for one group column) adds a bundle of that name over all
+    artifacts; each text is hashed once for both.
+
     Leaf digest = sha256(path || '\\n' || sha256(content)).  If
     ``content_is_digest`` the content column already holds sha256 hex.
     """
@@ -56,6 +59,9 @@ def bundle_hash_tree(artifacts: DataFrame, group_cols: Sequence[str] = (),
         F.substring(path_digest, 5, 4).alias("_b2"),
         sha256(F.concat(path, F.lit(NL), content_digest)).alias("_leaf"),
     )
+    if total is not None:
+        (group,) = g
+        leaves = leaves.withColumn(group, F.explode(F.array(F.col(group), F.lit(total))))
     chunks = leaves.groupBy(*g, "_b1", "_b2").agg(
         _ordered_digest(F.col("_leaf")).alias("_h"), F.count(F.lit(1)).alias("_n"))
     mids = chunks.groupBy(*g, "_b1").agg(

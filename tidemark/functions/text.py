@@ -78,6 +78,23 @@ def count_char(text: Column | str, ch: str) -> Column:
     return F.length(t) - F.length(F.replace(t, F.lit(ch), F.lit("")))
 
 
+def spark_identifier(name: str) -> str:
+    """A backtick-quoted part of a name."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def spark_table(name: str) -> str:
+    """A table name of one or more parts, each backtick-quoted; parts that are
+    quoted already may hold dots."""
+    parts = re.findall(r"`((?:[^`]|``)+)`|([^.`]+)", name)
+    return ".".join(spark_identifier(quoted.replace("``", "`") or plain) for quoted, plain in parts)
+
+
+def spark_string(value: str) -> str:
+    """A string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def quote_identifier(name: Column | str) -> Column:
     """Bracket-quote an identifier, doubling any closing bracket."""
     return F.concat(F.lit("["), F.replace(col_(name), F.lit("]"), F.lit("]]")), F.lit("]"))
@@ -103,59 +120,43 @@ def export_path(folder: Column | str, qualified_name: Column | str) -> Column:
 # Glob patterns (ignore lists)
 # --------------------------------------------------------------------------
 
+def comma_items(text: Column | str) -> Column:
+    """The non-empty items of comma-separated text, trimmed, as an array."""
+    return F.filter(F.transform(F.split(col_(text), ","), strip_surrounding_whitespace), lambda x: x != F.lit(""))
+
+
 def split_patterns(values: Iterable[str] | str | None) -> list[str]:
-    """Comma-separated and repeated values to one flat, trimmed list."""
-    if values is None:
-        return []
-    if isinstance(values, str):
-        values = [values]
-    out: list[str] = []
-    for value in values:
-        if value is None:
-            continue
-        for item in str(value).split(","):
-            item = item.strip()
-            if item:
-                out.append(item)
-    return out
+    """A parameter of comma-separated patterns (one text or several) as a list."""
+    texts = [values] if isinstance(values, str) else [str(v) for v in values or () if v is not None]
+    return [item for item in map(str.strip, ",".join(texts).split(",")) if item]
+
+
+# A run of stars, a question mark, or a bracket list with at least one character.
+_GLOB_PART = re.compile(r"(?P<any>\*+)|(?P<one>\?)|\[(?P<no>!?)(?P<list>\][^\]]*|[^\]]+)\]")
+
+
+def _java_quoted(literal: str) -> str:
+    return re.sub(r"([^\w\s])", r"\\\1", literal)
 
 
 def glob_to_regex(pattern: str) -> str:
-    """Translate a shell glob (``*``, ``?``, ``[seq]``, ``[!seq]``) into an
-    anchored Java regex.  Runs once per pattern on the driver; the match runs
-    on executors with ``rlike``."""
-    i, n = 0, len(pattern)
-    out = []
-    while i < n:
-        c = pattern[i]
-        i += 1
-        if c == "*":
-            out.append(".*")
-        elif c == "?":
-            out.append(".")
-        elif c == "[":
-            j = i
-            if j < n and pattern[j] == "!":
-                j += 1
-            if j < n and pattern[j] == "]":
-                j += 1
-            while j < n and pattern[j] != "]":
-                j += 1
-            if j >= n:
-                out.append("\\[")
-            else:
-                body = pattern[i:j]
-                i = j + 1
-                negate = body.startswith("!")
-                if negate:
-                    body = body[1:]
-                body = body.replace("\\", "\\\\").replace("[", "\\[").replace("&&", "\\&\\&")
-                if body.startswith("^") and not negate:
-                    body = "\\" + body
-                out.append("[" + ("^" if negate else "") + body + "]")
+    """An anchored Java regex for a shell glob (``*``, ``?``, ``[seq]``,
+    ``[!seq]``).  A bracket without its closing one stands for itself; a range
+    that runs backwards matches nothing."""
+    out, at = "", 0
+    for part in _GLOB_PART.finditer(pattern):
+        out += _java_quoted(pattern[at:part.start()])
+        at = part.end()
+        if part["list"] is None:
+            out += ".*" if part["any"] else "."
+            continue
+        chars = re.sub(r"(.)-(.)", lambda m: m[0] if m[1] <= m[2] else "", part["list"], flags=re.S)
+        chars = re.sub(r"([^\w\s-])", r"\\\1", chars)
+        if chars:
+            out += f"[{'^' if part['no'] else ''}{chars}]"
         else:
-            out.append(re.escape(c) if c not in "/" else c)
-    return "(?s)^" + "".join(out) + r"\z"
+            out += "." if part["no"] else "(?!)"
+    return "(?s)^" + out + _java_quoted(pattern[at:]) + r"\z"
 
 
 def matches_any_glob(candidates: Sequence[Column], patterns: Sequence[str]) -> Column:

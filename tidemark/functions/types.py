@@ -18,12 +18,6 @@ TYPE_ALIASES = {
 
 def normalize_type(type_name: Column | str) -> Column:
     """Trim, lower-case, fold aliases."""
-    if isinstance(type_name, str):
-        # One SQL expression: a single call to build, same semantics.
-        from tidemark.functions.text import WHITESPACE_CLASS as W
-        t = f"lower(regexp_replace(`{type_name}`, r'^{W}+|{W}+$', ''))"
-        cases = " ".join(f"WHEN {t} = '{a}' THEN '{c}'" for a, c in TYPE_ALIASES.items())
-        return F.expr(f"CASE {cases} ELSE {t} END")
     t = F.lower(strip_surrounding_whitespace(type_name))
     expr = t
     for alias, canonical in TYPE_ALIASES.items():
@@ -38,9 +32,11 @@ def normalize_type_name(type_name: str) -> str:
 
 
 def version_number(text: Column | str) -> Column:
-    """Digits of a version label as an int; no digits -> 0 (``v002`` -> 2)."""
-    digits = F.regexp_replace(col_(text), "[^0-9]", "")
-    return F.coalesce(digits.try_cast("bigint"), F.lit(0).cast("bigint"))
+    """Digits of a version label as a number; no digits -> 0 (``v002`` -> 2).
+
+    A decimal of 38 digits; a label of more digits has no number (null)."""
+    digits = F.coalesce(F.regexp_replace(col_(text), "[^0-9]", ""), F.lit(""))
+    return F.when(digits == "", F.lit(0)).otherwise(digits.try_cast("decimal(38,0)"))
 
 
 def version_number_of(text: str) -> int:
@@ -62,29 +58,26 @@ DECIMAL_TYPES = ("DECIMAL", "NUMERIC")
 TIME_PRECISION_TYPES = ("TIME", "DATETIME2", "DATETIMEOFFSET")
 
 
-def format_data_type(data_type: Column | str, char_length: Column | str,
-                     numeric_precision: Column | str, numeric_scale: Column | str,
-                     datetime_precision: Column | str) -> Column:
-    """Render a catalog type with its length / precision / scale.
+def format_data_type_sql(data_type: str, char_length: str, numeric_precision: str, numeric_scale: str,
+                         datetime_precision: str) -> str:
+    """SQL text that renders a catalog type with its length / precision / scale
+    (arguments are SQL expressions).
 
     ``-1`` length renders as ``MAX``; a missing length or precision renders the
     bare name; a missing scale is 0.
     """
-    t = F.upper(col_(data_type))
-    length = col_(char_length)
-    prec = col_(numeric_precision)
-    scale = F.coalesce(col_(numeric_scale), F.lit(0))
-    dtp = col_(datetime_precision)
-    return (
-        F.when(t.isin(*LENGTH_TYPES) & length.isNull(), t)
-        .when(t.isin(*LENGTH_TYPES) & (length == -1), F.concat(t, F.lit("(MAX)")))
-        .when(t.isin(*LENGTH_TYPES), F.concat(t, F.lit("("), length.cast("string"), F.lit(")")))
-        .when(t.isin(*DECIMAL_TYPES) & prec.isNull(), t)
-        .when(t.isin(*DECIMAL_TYPES),
-              F.concat(t, F.lit("("), prec.cast("string"), F.lit(","), scale.cast("string"), F.lit(")")))
-        .when(t.isin(*TIME_PRECISION_TYPES) & dtp.isNotNull(),
-              F.concat(t, F.lit("("), dtp.cast("string"), F.lit(")")))
-        .when((t == F.lit("FLOAT")) & prec.isNotNull(),
-              F.concat(t, F.lit("("), prec.cast("string"), F.lit(")")))
-        .otherwise(t)
-    )
+    def one_of(names):
+        return f"upper({data_type}) IN (" + ", ".join(f"'{n}'" for n in names) + ")"
+
+    arguments = (f"CASE WHEN {one_of(LENGTH_TYPES)} "
+                 f"THEN if({char_length} = -1, 'MAX', CAST({char_length} AS STRING)) "
+                 f"WHEN {one_of(DECIMAL_TYPES)} THEN concat({numeric_precision}, ',', coalesce({numeric_scale}, 0)) "
+                 f"WHEN {one_of(TIME_PRECISION_TYPES)} THEN CAST({datetime_precision} AS STRING) "
+                 f"WHEN {one_of(('FLOAT',))} THEN CAST({numeric_precision} AS STRING) END")
+    return f"concat(upper({data_type}), coalesce(concat('(', {arguments}, ')'), ''))"
+
+
+def format_data_type(data_type: str, char_length: str, numeric_precision: str, numeric_scale: str,
+                     datetime_precision: str) -> Column:
+    """:func:`format_data_type_sql` as a column."""
+    return F.expr(format_data_type_sql(data_type, char_length, numeric_precision, numeric_scale, datetime_precision))

@@ -16,9 +16,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import spark_identifier, spark_string
+
 CHECK_COLUMNS = ["category", "table_name", "check_name", "subject", "observed",
                  "passed", "severity", "message"]
 CHECK_SCHEMA = ("category string, table_name string, check_name string, subject string, "
@@ -33,16 +35,14 @@ class RangeRule:
     low: float | None = None
     high: float | None = None
 
-    def violated(self, c: Column) -> Column:
-        cond = None
-        if self.low is not None:
-            cond = c < F.lit(self.low)
-        if self.high is not None:
-            above = c > F.lit(self.high)
-            cond = above if cond is None else (cond | above)
-        if cond is None:
-            return F.lit(False)
-        return c.isNotNull() & cond
+    def below(self, c: str) -> str:
+        """SQL: the value of the SQL expression ``c`` is under the interval."""
+        return "false" if self.low is None else f"{c} < {float(self.low)!r}D"
+
+    def violated(self, c: str) -> str:
+        """SQL: the value is known and outside the interval."""
+        above = "false" if self.high is None else f"{c} > {float(self.high)!r}D"
+        return f"({c} IS NOT NULL AND ({self.below(c)} OR {above}))"
 
     def label(self) -> str:
         lo = "-inf" if self.low is None else _num(self.low)
@@ -65,15 +65,6 @@ def _num(x: float) -> str:
     return str(int(x)) if x.is_integer() and abs(x) < 1e15 else repr(x)
 
 
-def sql_str(s: str) -> str:
-    """A Spark SQL string literal."""
-    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def sql_ident(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def _resolve(df: DataFrame | list[str], name: str) -> str | None:
     """Case-insensitive column lookup; None when absent (check is skipped)."""
     lowered = name.lower()
@@ -83,47 +74,41 @@ def _resolve(df: DataFrame | list[str], name: str) -> str | None:
     return None
 
 
-def _range_sql(rng: RangeRule, column: str) -> str:
-    c = sql_ident(column)
-    conds = []
-    if rng.low is not None:
-        conds.append(f"{c} < {float(rng.low)!r}D")
-    if rng.high is not None:
-        conds.append(f"{c} > {float(rng.high)!r}D")
-    if not conds:
-        return "false"
-    return f"({c} IS NOT NULL AND ({' OR '.join(conds)}))"
+#: Kinds of counters.
+ROWS, NULLS, RANGES = "row_count", "null_key", "range"
 
 
-def table_counters(df: DataFrame, rules: TableRules) -> DataFrame:
-    """One scan, one aggregate: every counter of a table, returned as long
-    rows ``(table_name, check_name, subject, observed)``.
+def table_counters(df: DataFrame, rules: TableRules, kinds: Sequence[str] = (ROWS, NULLS, RANGES)) -> DataFrame:
+    """One scan, one aggregate: the table's counters of the asked kinds, as
+    long rows ``(table_name, check_name, subject, observed)``.  Only the columns
+    those need are read; the row count needs none.
 
     Expressions are passed as SQL text so that building the plan costs one
     call per expression, not one per sub-expression.
     """
     specs = []  # (check_name, subject, aggregate SQL)
     columns = df.columns
-    if rules.row_count:
+    if rules.row_count and ROWS in kinds:
         specs.append(("row_count", rules.table, "count(1)"))
-    for key in rules.key_columns:
+    for key in rules.key_columns if NULLS in kinds else ():
         actual = _resolve(columns, key)
         if actual is None:
             continue  # key column absent: null check skipped, not failed
-        specs.append(("null_key", key.lower(), f"count_if({sql_ident(actual)} IS NULL)"))
-    for rng in rules.ranges:
+        specs.append(("null_key", key.lower(), f"count_if({spark_identifier(actual)} IS NULL)"))
+    for rng in rules.ranges if RANGES in kinds else ():
         actual = _resolve(columns, rng.column)
         if actual is None:
             continue
-        specs.append((f"range {rng.label()}", rng.column.lower(), f"count_if({_range_sql(rng, actual)})"))
+        specs.append((f"range {rng.label()}", rng.column.lower(),
+                      f"count_if({rng.violated(spark_identifier(actual))})"))
     if not specs:
         return df.sparkSession.createDataFrame(
             [], "table_name string, check_name string, subject string, observed bigint")
     # aggregate expressions in a projection make it a global aggregate
     aggregated = df.selectExpr(*[f"CAST({e} AS BIGINT) AS c{i}" for i, (_, _, e) in enumerate(specs)])
     structs = ", ".join(
-        f"named_struct('table_name', {sql_str(rules.table)}, 'check_name', {sql_str(n)}, "
-        f"'subject', {sql_str(sub)}, 'observed', c{i})"
+        f"named_struct('table_name', {spark_string(rules.table)}, 'check_name', {spark_string(n)}, "
+        f"'subject', {spark_string(sub)}, 'observed', c{i})"
         for i, (n, sub, _) in enumerate(specs))
     return aggregated.selectExpr(f"inline(array({structs}))")
 
@@ -154,11 +139,18 @@ def table_checks(df: DataFrame, rules: TableRules) -> DataFrame:
     return finish_checks(table_counters(df, rules))
 
 
-def fused_checks(tables: Mapping[str, DataFrame], rules: Sequence[TableRules]) -> DataFrame:
-    """Check rows for every table that exists; missing tables are skipped here
-    (their absence is reported by the presence check).  One aggregate per
-    table, one union, one projection."""
-    parts = [table_counters(tables[r.table], r) for r in rules if r.table in tables]
+def _asks(r: TableRules, kinds: Sequence[str]) -> bool:
+    return ((r.row_count and ROWS in kinds) or (bool(r.key_columns) and NULLS in kinds)
+            or (bool(r.ranges) and RANGES in kinds))
+
+
+def fused_checks(tables: Mapping[str, DataFrame], rules: Sequence[TableRules],
+                 kinds: Sequence[str] = (ROWS, NULLS, RANGES)) -> DataFrame:
+    """Check rows of the asked kinds for every table that exists; missing
+    tables are skipped here (their absence is reported by the presence check),
+    and so are tables without a check of those kinds.  One aggregate per table,
+    one union, one projection."""
+    parts = [table_counters(tables[r.table], r, kinds) for r in rules if r.table in tables and _asks(r, kinds)]
     if not parts:
         spark = SparkSession.getActiveSession()
         return spark.createDataFrame([], CHECK_SCHEMA)
@@ -178,9 +170,8 @@ def range_violation_rows(df: DataFrame, table: str, rules: Sequence[RangeRule],
         actual = _resolve(columns, rng.column)
         if actual is None:
             continue
-        c = F.col(actual)
-        broken = rng.violated(c)
-        below = c < F.lit(rng.low) if rng.low is not None else F.lit(False)
+        c, broken = F.col(actual), F.expr(rng.violated(spark_identifier(actual)))
+        below = F.expr(rng.below(spark_identifier(actual)))
         entries.append(F.when(broken, F.struct(
             F.lit(rng.column.lower()).alias("column_name"), c.cast("double").alias("value"),
             F.lit(rng.low).cast("double").alias("low"), F.lit(rng.high).cast("double").alias("high"),

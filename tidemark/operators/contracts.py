@@ -11,8 +11,8 @@ tables too (:mod:`tidemark.sources.catalog`).  Every check is then a join:
 * history    - expected version labels searched in a history table.
 
 All produce rows of the check schema of :mod:`tidemark.operators.checks`.
-Contract and catalog tables are metadata-sized; the joins against them are
-broadcast because their size is the size of the contract literal.
+Contract and catalog tables are local relations of known size, so Spark's
+broadcast threshold decides how they are joined.
 """
 
 from __future__ import annotations
@@ -22,42 +22,37 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.types import normalize_type, normalize_type_name, version_number
-from tidemark.session import local_frame, session_key
+from tidemark.functions.types import normalize_type, normalize_type_name, version_number, version_number_of
+from tidemark.session import local_frame
 
 # Message formats ("Table `t` exists", "`t.c` -> expected X, found Y",
 # "Migration history contains `v`") are fixed values: worded as the original
 # validation prints them.
-CONTRACT_SCHEMA = "table_name string, column_name string, expected_type string, since_version bigint"
-
-
-_FRAMES: dict = {}
+CONTRACT_SCHEMA = ("table_name string, column_name string, expected_type string, since_version bigint, "
+                   "table_since bigint, first_of_table boolean")
 
 
 def contract_frame(spark: SparkSession,
                    spec: Mapping[str, Mapping[str, str]] | Iterable[tuple],
                    since_version: int = 1) -> DataFrame:
     """Contract DataFrame from ``{table: {column: type}}`` (all at one version)
-    or from ``(table, column, type, since_version)`` tuples.  The same
-    literal contract yields the same (cached) DataFrame within a session."""
-    key = None
-    if not isinstance(spec, Mapping):
-        spec = [tuple(r) for r in spec]
-        key = (session_key(spark), tuple(spec))
-        if key in _FRAMES:
-            return _FRAMES[key]
-    rows = []
+    or from ``(table, column, type, since_version)`` tuples.
+
+    Each row also tells the version its table came with, and whether it is the
+    one row that stands for its table."""
     if isinstance(spec, Mapping):
-        for table, columns in spec.items():
-            for column, typ in columns.items():
-                rows.append((table.lower(), column.lower(), normalize_type_name(typ), int(since_version)))
-    else:
-        for table, column, typ, since in spec:
-            rows.append((table.lower(), column.lower(), normalize_type_name(typ), int(since)))
-    df = local_frame(spark, rows, CONTRACT_SCHEMA)
-    if key is not None:
-        _FRAMES[key] = df
-    return df
+        spec = [(t, c, typ, since_version) for t, columns in spec.items() for c, typ in columns.items()]
+    rows = [(t.lower(), c.lower(), normalize_type_name(typ), int(since)) for t, c, typ, since in spec]
+    table_since: dict[str, int] = {}
+    for t, _, _, since in rows:
+        table_since[t] = min(since, table_since.get(t, since))
+    out, seen = [], set()
+    for row in rows:
+        first = row[3] == table_since[row[0]] and row[0] not in seen
+        if first:
+            seen.add(row[0])
+        out.append((*row, table_since[row[0]], first))
+    return local_frame(spark, out, CONTRACT_SCHEMA)
 
 
 def gate(contract: DataFrame, expected_version: str) -> DataFrame:
@@ -65,121 +60,102 @@ def gate(contract: DataFrame, expected_version: str) -> DataFrame:
     return contract.filter(F.col("since_version") <= version_number(F.lit(expected_version)))
 
 
+def tables_of(contract_rows: Iterable[tuple], expected_version: str) -> set[str]:
+    """Names of the tables that ``expected_version`` requires."""
+    return {t.lower() for t, _, _, since in contract_rows if since <= version_number_of(expected_version)}
+
+
 def required_per_version(contract: DataFrame, versions: DataFrame, version_col: str = "version") -> DataFrame:
     """For every version in ``versions`` (e.g. the versions a history
-    recorded): how many contract tables and columns that version requires.
+    recorded): how many contract tables and columns that version requires;
+    none for a version before the contract's first.
 
     The contract is expanded to one row per (version it applies to, item) up
     to its highest ``since_version`` and counted per version (contract-sized);
-    the data versions join it on ``least(version, highest since)``, an equi
-    join against a broadcast table of at most that many rows."""
+    the data versions join it on ``least(version, highest since)``."""
     top = contract.select(F.coalesce(F.max("since_version"), F.lit(0)).cast("bigint")).scalar()
     expanded = contract.select(
         F.explode(F.sequence(F.col("since_version"), top)).alias("_k"),
         "table_name", "column_name")
     per_k = expanded.groupBy("_k").agg(
-        F.count_distinct("table_name").cast("bigint").alias("required_tables"),
-        F.count(F.lit(1)).cast("bigint").alias("required_columns"))
+        F.count_distinct("table_name").cast("bigint").alias("_tables"),
+        F.count(F.lit(1)).cast("bigint").alias("_columns"))
     v = versions.select(F.col(version_col).cast("bigint").alias("version")).filter(F.col("version").isNotNull())
-    return (v.distinct().withColumn("_k", F.least(F.col("version"), top))
-            .join(F.broadcast(per_k), "_k").select("version", "required_tables", "required_columns"))
+    return v.distinct().withColumn("_k", F.least(F.col("version"), top)).join(per_k, "_k", "left").select(
+        "version", F.coalesce("_tables", F.lit(0)).cast("bigint").alias("required_tables"),
+        F.coalesce("_columns", F.lit(0)).cast("bigint").alias("required_columns"))
+
+
+def contract_checks(contract: DataFrame, actual: DataFrame, available: DataFrame,
+                    expected_version: str | None = None) -> DataFrame:
+    """Every check of a contract against a catalog, from one join.
+
+    * ``tables``: each required table exists (case-insensitive);
+    * ``columns``: each required column of an existing table is there with its
+      type (after :func:`normalize_type`); extra columns are ignored, a missing
+      one reads as ``missing``;
+    * ``version``: what exactly ``expected_version`` introduced (from v2 on):
+      new tables exist, new columns of older tables exist with their type.
+
+    Without ``expected_version`` the whole contract is required and there are
+    no ``version`` rows.
+    """
+    tables = available.select(F.lower("table_name").alias("table_name")).distinct().withColumn("_there", F.lit(True))
+    columns = actual.select(F.lower("table_name").alias("table_name"), F.lower("column_name").alias("column_name"),
+                            normalize_type(F.col("data_type")).alias("_found"))
+    j = contract.select("*", normalize_type(F.col("expected_type")).alias("_wanted")).join(
+        tables, "table_name", "left").join(columns, ["table_name", "column_name"], "left")
+    c = F.col
+    there = F.coalesce(c("_there"), F.lit(False))
+    typed = F.coalesce(c("_found") == c("_wanted"), F.lit(False))
+    number = None if expected_version is None else version_number_of(expected_version)
+    required = F.lit(True) if number is None else c("since_version") <= number
+
+    def row(when, category, check, subject, passed, *message):
+        return F.when(when, F.struct(
+            F.lit(category).alias("category"), c("table_name"), F.lit(check).alias("check_name"),
+            subject.alias("subject"), passed.cast("bigint").alias("observed"), passed.alias("passed"),
+            F.when(passed, F.lit("info")).otherwise(F.lit("error")).alias("severity"),
+            F.concat(*message).alias("message")))
+
+    rows = [
+        row(required & c("first_of_table"), "tables", "exists", c("table_name"), there,
+            F.lit("Table `"), c("table_name"), F.lit("` exists")),
+        row(required & there, "columns", "column_type", c("column_name"), typed,
+            F.lit("`"), c("table_name"), F.lit("."), c("column_name"), F.lit("` -> expected "), c("_wanted"),
+            F.lit(", found "), F.coalesce(c("_found"), F.lit("missing"))),
+    ]
+    if number is not None and number >= 2:
+        new = c("since_version") == number
+        rows += [
+            row(new & c("first_of_table"), "version", "introduced_table", c("table_name"), there,
+                F.lit("Table `"), c("table_name"), F.lit("` exists for "), F.lit(expected_version)),
+            row(new & (c("table_since") < number), "version", "introduced_column", c("column_name"), typed,
+                c("table_name"), F.lit(" includes `"), c("column_name"), F.lit("` ("), F.upper(c("_wanted")),
+                F.lit(")")),
+        ]
+    return (j.select(F.explode(F.array(*rows)).alias("_r")).filter(c("_r").isNotNull()).select("_r.*"))
 
 
 def table_presence(contract: DataFrame, available: DataFrame) -> DataFrame:
-    """One check row per contract table: does it exist (case-insensitive)?"""
-    wanted = contract.select(F.lower("table_name").alias("table_name")).distinct()
-    have = available.select(F.lower("table_name").alias("table_name"),
-                            F.lit(True).alias("_exists")).distinct()
-    j = wanted.join(F.broadcast(have), "table_name", "left")
-    exists = F.coalesce(F.col("_exists"), F.lit(False))
-    return j.select(
-        F.lit("tables").alias("category"),
-        "table_name",
-        F.lit("exists").alias("check_name"),
-        F.col("table_name").alias("subject"),
-        exists.cast("bigint").alias("observed"),
-        exists.alias("passed"),
-        F.when(exists, F.lit("info")).otherwise(F.lit("error")).alias("severity"),
-        F.concat(F.lit("Table `"), F.col("table_name"), F.lit("` exists")).alias("message"),
-    )
+    """One check row per contract table: does it exist?"""
+    nothing = available.select("table_name", F.lit(None).cast("string").alias("column_name"),
+                               F.lit(None).cast("string").alias("data_type"))
+    return contract_checks(contract, nothing, available).filter(F.col("category") == "tables")
 
 
 def column_conformance(contract: DataFrame, actual: DataFrame, available: DataFrame) -> DataFrame:
-    """One check row per contract column of an existing table.
+    """One check row per contract column of an existing table."""
+    return contract_checks(contract, actual, available).filter(F.col("category") == "columns")
 
-    Extra actual columns are ignored; a missing column fails and reads as
-    ``missing``; types are compared after :func:`normalize_type`.
-    """
-    existing = available.select(F.lower("table_name").alias("table_name")).distinct()
-    expected = (contract.select(F.lower("table_name").alias("table_name"),
-                                F.lower("column_name").alias("column_name"), "expected_type")
-                .join(F.broadcast(existing), "table_name", "left_semi"))
-    have = actual.select(F.lower("table_name").alias("table_name"),
-                         F.lower("column_name").alias("column_name"),
-                         normalize_type("data_type").alias("actual_type"))
-    j = expected.join(have, ["table_name", "column_name"], "left")
-    ok = F.coalesce(F.col("actual_type") == normalize_type("expected_type"), F.lit(False))
-    return j.select(
-        F.lit("columns").alias("category"),
-        "table_name",
-        F.lit("column_type").alias("check_name"),
-        "column_name",
-        ok.cast("bigint").alias("observed"),
-        ok.alias("passed"),
-        F.when(ok, F.lit("info")).otherwise(F.lit("error")).alias("severity"),
-        F.concat(F.lit("`"), F.col("table_name"), F.lit("."), F.col("column_name"),
-                 F.lit("` -> expected "), normalize_type("expected_type"), F.lit(", found "),
-                 F.coalesce(F.col("actual_type"), F.lit("missing"))).alias("message"),
-    ).withColumnRenamed("column_name", "subject")
-
-
-def version_block(contract: DataFrame, actual: DataFrame, available: DataFrame,
-                  expected_version: str) -> DataFrame:
-    """Checks for exactly the items ``expected_version`` introduced (from v2 on):
-    new tables must exist; new columns of older tables must exist with their
-    type.  Empty below v2."""
-    v = version_number(F.lit(expected_version))
-    block = contract.filter((F.col("since_version") == v) & (v >= 2))
-    first_seen = contract.groupBy(F.lower("table_name").alias("table_name")).agg(
-        F.min("since_version").alias("_first"))
-    items = (block.select(F.lower("table_name").alias("table_name"),
-                          F.lower("column_name").alias("column_name"), "expected_type", "since_version")
-             .join(F.broadcast(first_seen), "table_name", "left"))
-    new_tables = items.filter(F.col("_first") == F.col("since_version")).select("table_name").distinct()
-    new_columns = items.filter(F.col("_first") < F.col("since_version"))
-    have_tables = available.select(F.lower("table_name").alias("table_name"),
-                                   F.lit(True).alias("_exists")).distinct()
-    t = new_tables.join(F.broadcast(have_tables), "table_name", "left")
-    t_ok = F.coalesce(F.col("_exists"), F.lit(False))
-    table_rows = t.select(
-        F.lit("version").alias("category"), "table_name",
-        F.lit("introduced_table").alias("check_name"),
-        F.col("table_name").alias("subject"),
-        t_ok.cast("bigint").alias("observed"), t_ok.alias("passed"),
-        F.when(t_ok, F.lit("info")).otherwise(F.lit("error")).alias("severity"),
-        F.concat(F.lit("Table `"), F.col("table_name"), F.lit("` exists for "), F.lit(expected_version))
-        .alias("message"),
-    )
-    have_cols = actual.select(F.lower("table_name").alias("table_name"),
-                              F.lower("column_name").alias("column_name"),
-                              normalize_type("data_type").alias("actual_type"))
-    c = new_columns.join(have_cols, ["table_name", "column_name"], "left")
-    c_ok = F.coalesce(F.col("actual_type") == normalize_type("expected_type"), F.lit(False))
-    column_rows = c.select(
-        F.lit("version").alias("category"), "table_name",
-        F.lit("introduced_column").alias("check_name"),
-        F.col("column_name").alias("subject"),
-        c_ok.cast("bigint").alias("observed"), c_ok.alias("passed"),
-        F.when(c_ok, F.lit("info")).otherwise(F.lit("error")).alias("severity"),
-        F.concat(F.col("table_name"), F.lit(" includes `"), F.col("column_name"), F.lit("` ("),
-                 F.upper(normalize_type("expected_type")), F.lit(")")).alias("message"),
-    )
-    return table_rows.unionByName(column_rows)
+
+def version_block(contract: DataFrame, actual: DataFrame, available: DataFrame, expected_version: str) -> DataFrame:
+    """Checks for exactly the items ``expected_version`` introduced."""
+    return contract_checks(contract, actual, available, expected_version).filter(F.col("category") == "version")
 
 
 def expected_version_labels(expected_version: str, width: int = 3) -> list[str]:
     """``v002`` -> ``["v001", "v002"]``: every version up to the expected one."""
-    from tidemark.functions.types import version_number_of
     return [f"v{i:0{width}d}" for i in range(1, version_number_of(expected_version) + 1)]
 
 

@@ -31,8 +31,7 @@ DETAIL_ADDED = "Present in the compared snapshot only."
 DETAIL_REMOVED = "Present in the baseline snapshot only."
 DETAIL_SAME = "Normalized definition matches."
 DETAIL_CHANGED = "Normalized definition changed."
-DETAIL_NO_COLUMN_CHANGE = ("Definition changed without a column being added, removed or "
-                           "retyped (default, nullability, order or constraint).")
+DETAIL_NO_COLUMN_CHANGE = "No column differs."
 
 
 def objects(df: DataFrame, category: Column | str, name: Column | str,
@@ -190,20 +189,20 @@ def _column_join(left_cols: DataFrame, right_cols: DataFrame) -> DataFrame:
     return j.withColumn("col_status", status).withColumn("_in_l", in_l).withColumn("_in_r", in_r)
 
 
-def column_drift(left_cols: DataFrame, right_cols: DataFrame,
-                 modified: DataFrame | None = None) -> DataFrame:
-    """Column differences: added, removed, type_changed (type compared after
-    normalization; nullability and default ignored).  ``modified`` (a
-    DataFrame with ``name``) restricts the output to those tables."""
-    j = _column_join(left_cols, right_cols)
-    out = j.filter(F.col("col_status").isin("added", "removed", "type_changed")).select(
+def column_drift(left_cols: DataFrame, right_cols: DataFrame, modified: DataFrame) -> DataFrame:
+    """Column differences of the modified tables: added, removed, type_changed
+    (type compared after normalization; nullability and default ignored).
+
+    ``modified`` has the ``name`` of each table that is on both sides and
+    differs; a table that is only added or removed has no column differences.
+    Both sides are cut down to those tables before they are compared."""
+    names = modified.select("name").distinct()
+    j = _column_join(left_cols.join(names, "name", "left_semi"), right_cols.join(names, "name", "left_semi"))
+    return j.filter(F.col("col_status").isin("added", "removed", "type_changed")).select(
         "name", "column_name", F.col("col_status").alias("status"),
         F.when(F.col("col_status") != "added", F.col("left_type")).alias("left_type"),
         F.when(F.col("col_status") != "removed", F.col("right_type")).alias("right_type"),
     )
-    if modified is not None:
-        out = out.join(modified.select("name").distinct(), "name", "left_semi")
-    return out
 
 
 def table_drift(left_cols: DataFrame, right_cols: DataFrame) -> DataFrame:
@@ -259,57 +258,62 @@ def column_differences_per_object(col_drift: DataFrame) -> DataFrame:
 # Summary, verdict, recommendations
 # --------------------------------------------------------------------------
 
+def with_column_differences(drift: DataFrame, col_drift: DataFrame, table_category: str = "tables") -> DataFrame:
+    """Object drift rows with ``column_differences``: the sorted list of a
+    table's column differences (empty for other objects)."""
+    lists = column_differences_per_object(col_drift).withColumn("category", F.lit(table_category))
+    j = drift.join(lists, ["category", "name"], "left")
+    empty = F.array().cast(lists.schema["column_differences"].dataType)
+    return j.withColumn("column_differences", F.coalesce("column_differences", empty))
+
+
+def is_drift(status: Column) -> Column:
+    return status.isin("added", "removed", "modified")
+
+
 def drift_summary(drift: DataFrame, categories: Sequence[str] | None = None) -> DataFrame:
     """Per category: counts of each status (zero-filled) and ``drifted``.
 
-    The status pivot is one aggregate of conditional counts (the explicit
-    value list of a ``pivot`` without its extra aggregation stage)."""
-    counts = drift.groupBy("category").agg(
-        *[F.count_if(F.col("status") == F.lit(s)).alias(s) for s in STATUSES])
+    ``categories`` are listed even without an object; a category that occurs is
+    listed whether it is among them or not.  One aggregate of conditional
+    counts over the drift rows and an empty row per listed category."""
+    rows = drift.select("category", "status")
     if categories:
-        spark = drift.sparkSession
-        cats = local_frame(spark, [(c,) for c in categories], "category string")
-        counts = F.broadcast(cats).join(counts, "category", "left")
-    counts = counts.na.fill(0, list(STATUSES))
-    return counts.select(
-        "category",
-        *[F.col(s).cast("bigint").alias(s) for s in STATUSES],
-        (F.col("added") + F.col("removed") + F.col("modified")).cast("bigint").alias("drifted"),
-    )
+        listed = local_frame(drift.sparkSession, [(c, None) for c in categories], "category string, status string")
+        rows = rows.unionByName(listed)
+    counts = rows.groupBy("category").agg(
+        *[F.count_if(F.col("status") == F.lit(s)).cast("bigint").alias(s) for s in STATUSES])
+    return counts.withColumn("drifted", F.col("added") + F.col("removed") + F.col("modified"))
 
 
-def drift_verdict(summary: DataFrame) -> DataFrame:
-    """One row: total drifted objects and ``has_drift``."""
-    return summary.agg(F.coalesce(F.sum("drifted"), F.lit(0)).cast("bigint").alias("total_drifted")) \
+def drift_verdict(drift: DataFrame) -> DataFrame:
+    """One row, counted from the drift rows: drifted objects and ``has_drift``."""
+    return drift.agg(F.count_if(is_drift(F.col("status"))).cast("bigint").alias("total_drifted")) \
         .withColumn("has_drift", F.col("total_drifted") > 0)
 
 
-# Recommendation texts (our wording).
-REC_ALIGNED = "No action required: the snapshots are aligned."
-REC_REFRESH = "If the live changes are intended, export a fresh snapshot and commit it."
-REC_MIGRATE = "If the baseline is the source of truth, write a migration that reconciles the live schema."
-REC_REVIEW_MODIFIED = ("Review modified table definitions for added, removed or retyped columns, "
-                       "defaults and constraints before promoting.")
-REC_REVIEW_PRESENCE = "Check that tables created or dropped outside migrations get migration coverage."
-
-
-def recommendations(summary: DataFrame, table_category: str = "tables") -> DataFrame:
-    """Recommendation rows ``(seq, text)`` from the summary counts."""
-    is_t = F.col("category") == F.lit(table_category)
-    totals = summary.agg(
-        F.coalesce(F.sum("drifted"), F.lit(0)).alias("drifted"),
-        F.coalesce(F.sum(F.when(is_t, F.col("modified"))), F.lit(0)).alias("t_mod"),
-        F.coalesce(F.sum(F.when(is_t, F.col("added") + F.col("removed"))), F.lit(0)).alias("t_pres"),
-    )
-    items = F.array(
-        F.when(F.col("drifted") == 0, F.struct(F.lit(0).alias("seq"), F.lit(REC_ALIGNED).alias("text"))),
-        F.when(F.col("drifted") > 0, F.struct(F.lit(1).alias("seq"), F.lit(REC_REFRESH).alias("text"))),
-        F.when(F.col("drifted") > 0, F.struct(F.lit(2).alias("seq"), F.lit(REC_MIGRATE).alias("text"))),
-        F.when((F.col("drifted") > 0) & (F.col("t_mod") > 0),
-               F.struct(F.lit(3).alias("seq"), F.lit(REC_REVIEW_MODIFIED).alias("text"))),
-        F.when((F.col("drifted") > 0) & (F.col("t_pres") > 0),
-               F.struct(F.lit(4).alias("seq"), F.lit(REC_REVIEW_PRESENCE).alias("text"))),
-    )
+# What to do about a comparison, in report order.
+ALIGNED, UPDATE_BASELINE, MIGRATE_LIVE = "aligned", "update_baseline", "migrate_live"
+REVIEW_TABLE_TEXT, REVIEW_TABLE_SET = "review_table_text", "review_table_set"
+
+
+def recommendations(drift: DataFrame, table_category: str = "tables") -> DataFrame:
+    """``(seq, action, objects)``: what applies and to how many objects.
+
+    Nothing drifted: ``aligned``.  Otherwise the two ways out (update the
+    baseline, or migrate the live side), then what to look at first: tables
+    whose text changed, tables that came or went."""
+    st, table = F.col("status"), F.col("category") == F.lit(table_category)
+    totals = drift.agg(
+        F.count_if(is_drift(st)).alias("drifted"),
+        F.count_if(table & (st == "modified")).alias("changed"),
+        F.count_if(table & st.isin("added", "removed")).alias("moved"))
+    rules = [(ALIGNED, F.col("drifted") == 0, "drifted"), (UPDATE_BASELINE, F.col("drifted") > 0, "drifted"),
+             (MIGRATE_LIVE, F.col("drifted") > 0, "drifted"), (REVIEW_TABLE_TEXT, F.col("changed") > 0, "changed"),
+             (REVIEW_TABLE_SET, F.col("moved") > 0, "moved")]
+    items = F.array(*[F.when(cond, F.struct(F.lit(i).alias("seq"), F.lit(action).alias("action"),
+                                            F.col(n).cast("bigint").alias("objects")))
+                      for i, (action, cond, n) in enumerate(rules)])
     return totals.select(F.inline(F.filter(items, lambda x: x.isNotNull())))
 
 

@@ -12,9 +12,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import spark_identifier
+from tidemark.session import local_frame
+
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key values held by more than one row, with their row count."""
@@ -25,20 +28,32 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def foreign_key_orphans(tables: Mapping[str, DataFrame],
                         relations: Sequence[tuple[str, str, str, str]]) -> DataFrame:
     """Per (child, column) -> (parent, column): rows and distinct keys whose
-    value has no parent row (NULL keys are not orphans)."""
-    parts = []
-    for child, ccol, parent, pcol in relations:
-        keys = (tables[child].filter(F.col(ccol).isNotNull())
-                .groupBy(F.col(ccol).alias("_k")).agg(F.count(F.lit(1)).alias("_n")))
-        parents = tables[parent].select(F.col(pcol).alias("_k")).distinct()
-        orphans = keys.join(parents, "_k", "left_anti")
-        parts.append(orphans.agg(
-            F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("orphan_rows"),
-            F.count(F.lit(1)).cast("bigint").alias("orphan_keys"),
-        ).select(F.lit(child).alias("child_table"), F.lit(ccol).alias("child_column"),
-                 F.lit(parent).alias("parent_table"), F.lit(pcol).alias("parent_column"),
-                 "orphan_rows", "orphan_keys"))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    value has no parent row (NULL keys are not orphans; keys are compared as
+    text).
+
+    Each child and each parent table is scanned once for all its relations: a
+    row yields one (relation, key) pair per relation, and pairs are counted
+    before the anti join."""
+    spark = next(iter(tables.values())).sparkSession
+
+    def pairs(side: int) -> DataFrame:
+        parts = []
+        for table in dict.fromkeys(r[side] for r in relations):
+            mine = ", ".join(f"named_struct('relation', {i}, '_k', CAST({spark_identifier(r[side + 1])} AS STRING))"
+                             for i, r in enumerate(relations) if r[side] == table)
+            parts.append(tables[table].selectExpr(f"inline(array({mine}))").filter("_k IS NOT NULL"))
+        return reduce(lambda a, b: a.unionByName(b), parts)
+
+    keys = pairs(0).groupBy("relation", "_k").agg(F.count(F.lit(1)).alias("_n"))
+    orphans = (keys.join(pairs(2).distinct(), ["relation", "_k"], "left_anti").groupBy("relation")
+               .agg(F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_keys")))
+    named = local_frame(spark, [(i, *r) for i, r in enumerate(relations)],
+                        "relation int, child_table string, child_column string, parent_table string, "
+                        "parent_column string")
+    return named.join(orphans, "relation", "left").select(
+        "child_table", "child_column", "parent_table", "parent_column",
+        F.coalesce("_rows", F.lit(0)).cast("bigint").alias("orphan_rows"),
+        F.coalesce("_keys", F.lit(0)).cast("bigint").alias("orphan_keys"))
 
 
 def accepted_values(tables: Mapping[str, DataFrame],
@@ -55,36 +70,46 @@ def accepted_values(tables: Mapping[str, DataFrame],
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def order_total_agreement(orders: DataFrame, lineitem: DataFrame, tolerance: float = 0.01) -> DataFrame:
-    """An order's total must equal the sum of its lines' charges
-    (price x (1 + tax) x (1 - discount)) within ``tolerance``."""
-    charge = F.col("l_extendedprice") * (1 + F.col("l_tax")) * (1 - F.col("l_discount"))
-    lines = lineitem.groupBy("l_orderkey").agg(F.sum(charge).alias("_charged"))
-    j = orders.select("o_orderkey", "o_totalprice").join(
-        lines, orders.o_orderkey == lines.l_orderkey)
+def total_agreement(parents: DataFrame, parent_key: str, total: str, children: DataFrame, child_key: str,
+                    part: str, rule: str, tolerance: str) -> DataFrame:
+    """A parent's ``total`` must equal the sum of its children's ``part`` within
+    ``tolerance``: ``(rule, checked_rows, without_children, violations)``.
+
+    ``total`` and ``part`` are SQL expressions, taken as ``decimal(38,6)`` so
+    that the sum does not depend on the order of its terms.  Parents without
+    children are counted and not compared."""
+    sums = children.groupBy(F.col(child_key).alias("_k")).agg(
+        F.sum(F.expr(part).cast("decimal(28,6)")).alias("_sum"))
+    j = parents.select(F.col(parent_key).alias("_k"), F.expr(total).cast("decimal(28,6)").alias("_total")).join(
+        sums, "_k", "left")
+    off = F.abs(F.col("_total") - F.col("_sum")) > F.lit(tolerance).cast("decimal(28,6)")
     return j.agg(
-        F.count(F.lit(1)).cast("bigint").alias("checked_orders"),
-        F.count_if(F.abs(F.col("o_totalprice") - F.col("_charged")) > F.lit(tolerance))
-        .cast("bigint").alias("violations"),
-    ).select(F.lit("order_total_vs_lines").alias("rule"), "checked_orders", "violations")
-
-
-def version_gaps(versions: DataFrame, col: str = "version") -> DataFrame:
-    """First missing version of every gap below the highest version.
-
-    One pass over the input: every version marks itself present and its
-    successor as wanted; one partial aggregate per version number keeps the
-    wanted-but-absent ones, and the highest present version comes from the
-    same aggregate (a scalar subquery over it, whose shuffle is reused)."""
-    v = F.col(col)
-    marks = versions.filter(v.isNotNull()).select(F.explode(F.array(
-        F.struct(v.cast("bigint").alias("k"), F.lit(1).alias("present"), F.lit(0).alias("wanted")),
-        F.struct((v + 1).cast("bigint").alias("k"), F.lit(0).alias("present"), F.lit(1).alias("wanted")),
-    )).alias("m")).select("m.*")
-    per_k = marks.groupBy("k").agg(F.max("present").alias("present"), F.max("wanted").alias("wanted"))
-    top = per_k.filter(F.col("present") == 1).select(F.max("k")).scalar()
-    return (per_k.filter((F.col("present") == 0) & (F.col("wanted") == 1) & (F.col("k") <= top))
-            .select(F.col("k").alias("missing_from")))
+        F.count_if(F.col("_sum").isNotNull()).cast("bigint").alias("checked_rows"),
+        F.count_if(F.col("_sum").isNull()).cast("bigint").alias("without_children"),
+        F.count_if(off).cast("bigint").alias("violations"),
+    ).select(F.lit(rule).alias("rule"), "checked_rows", "without_children", "violations")
+
+
+#: Numbers of one bucket when gaps are looked for.
+GAP_BUCKET = 65536
+
+
+def version_gaps(versions: DataFrame, col: str = "version", start: int = 1) -> DataFrame:
+    """``(gap_from, gap_to)``: every range of numbers from ``start`` on that no
+    version has, up to the highest version.
+
+    Distinct versions are compared with the one before within buckets of
+    ``GAP_BUCKET`` numbers; only each bucket's first and last version (one row
+    per bucket) are put in one order to find the gaps between buckets."""
+    v = F.col(col).cast("bigint")
+    have = versions.select(v.alias("v")).filter(F.col("v") >= start).distinct()
+    bucketed = have.withColumn("bucket", F.floor(F.col("v") / GAP_BUCKET).cast("bigint"))
+    before = F.lag("v").over(Window.partitionBy("bucket").orderBy("v"))
+    inside = bucketed.withColumn("before", before).filter(F.col("before").isNotNull())
+    ends = bucketed.groupBy("bucket").agg(F.min("v").alias("v"), F.max("v").alias("last"))
+    between = ends.withColumn("before", F.lag("last", 1, start - 1).over(Window.orderBy("bucket")))
+    gap = [(F.col("before") + 1).alias("gap_from"), (F.col("v") - 1).alias("gap_to")]
+    return inside.select(*gap).unionByName(between.select(*gap)).filter(F.col("gap_from") <= F.col("gap_to"))
 
 
 def expression_agreement(df: DataFrame, table: str,

@@ -11,13 +11,14 @@ functions.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Mapping, Sequence
+import json
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import local_frame
+from tidemark.functions.text import spark_identifier, spark_string, spark_table
 
 # File-name rules of the three tools that read migration names.
 #   runner    - v<digits>_<letters, digits, _ or ->.<ext>; id is the stem
@@ -45,20 +46,22 @@ HISTORY_SCHEMA = T.StructType([
 def extension_of(migration_type: str) -> str:
     t = migration_type.strip().lower()
     if t not in EXTENSIONS:
-        raise ValueError("migration_type must be either 'sql' or 'pyspark'.")
+        raise ValueError(f"unknown migration type {migration_type!r}; known: {', '.join(EXTENSIONS)}")
     return EXTENSIONS[t]
 
 
 def parse_names(files: DataFrame, name_col: str = "file_name") -> DataFrame:
-    """Add ``migration_id`` (stem), ``version`` (int), ``extension`` and
-    ``valid`` (runner rule) to a file list."""
+    """Add ``migration_id`` (stem), ``version`` (bigint), ``extension`` and
+    ``valid`` (runner rule) to a file list.  A version beyond a bigint is no
+    valid name, so such a file is reported as skipped and not lost."""
     rule = NAME_RULES["runner"]
     name = F.col(name_col)
-    valid = name.rlike(rule)
+    number = F.regexp_extract(name, rule, 2).try_cast("bigint")
+    valid = F.coalesce(name.rlike(rule), F.lit(False)) & number.isNotNull()
     return files.select(
         "*",
         F.when(valid, F.regexp_extract(name, rule, 1)).alias("migration_id"),
-        F.when(valid, F.regexp_extract(name, rule, 2).try_cast("bigint")).alias("version"),
+        F.when(valid, number).alias("version"),
         F.regexp_extract(name, r"(\.[^.]*)$", 1).alias("extension"),
         valid.alias("valid"),
     )
@@ -104,17 +107,18 @@ def timestamp_literal(value: _dt.datetime, timestamp_type: str = "timestamp"):
     return F.lit(value).cast(timestamp_type)
 
 
-def history_rows(runs: DataFrame, status: str | None, applied_by: str,
+def history_rows(runs: DataFrame, status: str | None, applied_by: str | None,
                  applied_at: _dt.datetime, duration_col: str | None = None,
                  timestamp_type: str = "timestamp") -> DataFrame:
-    """Typed history rows for a set of runs (status from a column if None)."""
+    """Typed history rows for a set of runs (status from a column if None; the
+    session's user if no one is named)."""
     st = F.col("status") if status is None else F.lit(status)
     dur = F.col(duration_col).cast("double") if duration_col else F.lit(0.0)
     return runs.select(
         F.col("migration_id").cast("string"),
         F.col("file_name").alias("migration_name").cast("string"),
         timestamp_literal(applied_at, timestamp_type).alias("applied_at"),
-        F.lit(applied_by).alias("applied_by"),
+        (F.current_user() if applied_by is None else F.lit(applied_by)).alias("applied_by"),
         F.col("migration_type").cast("string"),
         st.alias("status"),
         dur.alias("duration_seconds"),
@@ -140,17 +144,6 @@ def missing_columns(current: T.StructType, target: T.StructType) -> list[T.Struc
     return [f for f in target.fields if f.name.lower() not in have]
 
 
-def missing_columns_frame(spark: SparkSession, tables: Mapping[str, DataFrame],
-                          targets: Mapping[str, T.StructType]) -> DataFrame:
-    """``(table_name, column_name, data_type)`` still to add, per table."""
-    rows = []
-    for name, target in targets.items():
-        if name in tables:
-            for f in missing_columns(tables[name].schema, target):
-                rows.append((name, f.name, f.dataType.simpleString()))
-    return local_frame(spark, rows, "table_name string, column_name string, data_type string")
-
-
 def evolve(df: DataFrame, target: T.StructType) -> DataFrame:
     """Bring a DataFrame up to a wider schema: existing columns untouched and
     in place, missing ones appended as typed NULLs.  Idempotent."""
@@ -158,6 +151,15 @@ def evolve(df: DataFrame, target: T.StructType) -> DataFrame:
     return df.withColumns(add) if add else df
 
 
+# Table property with the names (a JSON list) of the columns that must not be null.
+NOT_NULL_PROPERTY = "tidemark.not_null"
+
+
+def _column_ddl(f: T.StructField) -> str:
+    comment = f" COMMENT {spark_string(f.metadata['comment'])}" if "comment" in f.metadata else ""
+    return f"{spark_identifier(f.name)} {f.dataType.simpleString()}{comment}"
+
+
 def add_missing_columns_table(spark: SparkSession, table: str, target: T.StructType) -> list[str]:
     """``ALTER TABLE ... ADD COLUMNS`` for only the missing columns.  Errors if
     the table is absent.  Returns the added names."""
@@ -165,10 +167,7 @@ def add_missing_columns_table(spark: SparkSession, table: str, target: T.StructT
         raise ValueError(f"Table {table} does not exist; run the baseline migration first.")
     add = missing_columns(spark.table(table).schema, target)
     if add:
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" +
-                         (f" COMMENT '{f.metadata['comment']}'" if "comment" in f.metadata else "")
-                         for f in add)
-        spark.sql(f"ALTER TABLE `{table}` ADD COLUMNS ({cols})")
+        spark.sql(f"ALTER TABLE {spark_table(table)} ADD COLUMNS ({', '.join(map(_column_ddl, add))})")
     return [f.name for f in add]
 
 
@@ -176,15 +175,13 @@ def create_table_sql(table: str, schema: T.StructType, comment: str | None = Non
                      using: str = "parquet") -> str:
     """``CREATE TABLE IF NOT EXISTS`` DDL from a StructType (column comments
     from field metadata)."""
-    cols = []
-    for f in schema.fields:
-        c = f"`{f.name}` {f.dataType.simpleString()}"
-        if "comment" in f.metadata:
-            c += " COMMENT '" + f.metadata["comment"].replace("'", "\\'") + "'"
-        cols.append(c)
-    ddl = f"CREATE TABLE IF NOT EXISTS `{table}` ({', '.join(cols)}) USING {using}"
+    columns = ", ".join(map(_column_ddl, schema.fields))
+    ddl = f"CREATE TABLE IF NOT EXISTS {spark_table(table)} ({columns}) USING {using}"
     if comment:
-        ddl += " COMMENT '" + comment.replace("'", "\\'") + "'"
+        ddl += f" COMMENT {spark_string(comment)}"
+    required = [f.name for f in schema.fields if not f.nullable]
+    if required:
+        ddl += f" TBLPROPERTIES ({spark_string(NOT_NULL_PROPERTY)} = {spark_string(json.dumps(required))})"
     return ddl
 
 

@@ -21,8 +21,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import col_, export_path, quote_identifier, strip_surrounding_whitespace
-from tidemark.functions.types import format_data_type
+from tidemark.functions.text import (WHITESPACE_CLASS, col_, export_path, quote_identifier,
+                                     strip_surrounding_whitespace)
+from tidemark.functions.types import format_data_type_sql
 
 COLUMN_STRUCT_FIELDS = ("column_name", "ordinal_position", "data_type", "character_maximum_length",
                         "numeric_precision", "numeric_scale", "datetime_precision", "is_nullable",
@@ -41,24 +42,26 @@ def header_text(extracted_at: str | None, endpoint: str | None, database: str |
             f"-- Source database: {database}\n")
 
 
-def column_line(c) -> Column:
-    """``    [name] TYPE[ DEFAULT x] NULL|NOT NULL`` for a column struct/row."""
-    typ = format_data_type(c["data_type"], c["character_maximum_length"], c["numeric_precision"],
-                           c["numeric_scale"], c["datetime_precision"])
-    # any non-empty default is rendered (stripped), as the exporter does
-    default = F.when(
-        c["column_default"].isNotNull() & (c["column_default"] != F.lit("")),
-        F.concat(F.lit(" DEFAULT "), strip_surrounding_whitespace(c["column_default"]))).otherwise(F.lit(""))
-    nullability = F.when(c["is_nullable"], F.lit("NULL")).otherwise(F.lit("NOT NULL"))
-    return F.rtrim(F.concat(F.lit("    "), quote_identifier(c["column_name"]), F.lit(" "), typ, default,
-                            F.lit(" "), nullability))
+def _qi_sql(x: str) -> str:
+    return f"concat('[', replace({x}, ']', ']]'), ']')"
 
 
-def constraint_line(k) -> Column:
-    """``    CONSTRAINT [name] TYPE ([c1], [c2])`` for a constraint struct/row."""
-    cols = F.array_join(F.transform(k["columns"], lambda x: quote_identifier(x)), ", ")
-    return F.concat(F.lit("    CONSTRAINT "), quote_identifier(k["constraint_name"]), F.lit(" "),
-                    k["constraint_type"], F.lit(" ("), cols, F.lit(")"))
+def column_line_sql(c: str) -> str:
+    """SQL text of ``    [name] TYPE[ DEFAULT x] NULL|NOT NULL`` for a struct
+    ``c``; any non-empty default is rendered, stripped."""
+    typ = format_data_type_sql(*(f"{c}.{f}" for f in (
+        "data_type", "character_maximum_length", "numeric_precision", "numeric_scale", "datetime_precision")))
+    strip = f"regexp_replace({c}.column_default, r'^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+$', '')"
+    default = f"if(coalesce({c}.column_default, '') = '', '', concat(' DEFAULT ', {strip}))"
+    null = f"if({c}.is_nullable, 'NULL', 'NOT NULL')"
+    return f"rtrim(concat('    ', {_qi_sql(c + '.column_name')}, ' ', {typ}, {default}, ' ', {null}))"
+
+
+def constraint_line_sql(k: str) -> str:
+    """SQL text of ``    CONSTRAINT [name] TYPE ([c1], [c2])`` for a struct ``k``."""
+    cols = f"array_join(transform({k}.columns, x -> {_qi_sql('x')}), ', ')"
+    return (f"concat('    CONSTRAINT ', {_qi_sql(k + '.constraint_name')}, ' ', {k}.constraint_type, "
+            f"' (', {cols}, ')')")
 
 
 def constraint_rank(ctype: Column) -> Column:
@@ -76,17 +79,14 @@ def render_table_text(tables: DataFrame, header: str = "") -> DataFrame:
     (array of column structs) and optional ``constraints`` (array of
     ``constraint_name, constraint_type, columns``).  Output adds
     ``qualified_name`` and ``definition``."""
-    has_k = "constraints" in tables.columns
-    cols_sorted = F.array_sort(F.transform(F.col("columns"), lambda c: F.struct(
-        c["ordinal_position"].alias("k"), column_line(c).alias("line"))))
-    col_lines = F.transform(cols_sorted, lambda x: x["line"])
-    if has_k:
-        k_sorted = F.array_sort(F.transform(F.coalesce(F.col("constraints"), F.array()), lambda k: F.struct(
-            constraint_rank(k["constraint_type"]).alias("r"), k["constraint_name"].alias("n"),
-            constraint_line(k).alias("line"))))
-        all_lines = F.concat(col_lines, F.transform(k_sorted, lambda x: x["line"]))
-    else:
-        all_lines = col_lines
+    lines = ("transform(array_sort(transform(columns, "
+             f"c -> struct(c.ordinal_position AS k, {column_line_sql('c')} AS line))), x -> x.line)")
+    if "constraints" in tables.columns:
+        rank = "if(k.constraint_type = 'PRIMARY KEY', 0, 1)"
+        keys = ("transform(array_sort(transform(constraints, "
+                f"k -> struct({rank} AS r, k.constraint_name AS n, {constraint_line_sql('k')} AS line))), x -> x.line)")
+        lines = f"concat({lines}, coalesce({keys}, array()))"
+    all_lines = F.expr(lines)
     body = F.array_join(all_lines, ",\n")
     definition = F.concat(F.lit(header), create_line(F.col("schema_name"), F.col("table_name")),
                           F.lit("\n"), body, F.lit("\n);\n"))
@@ -96,41 +96,6 @@ def render_table_text(tables: DataFrame, header: str = "") -> DataFrame:
         definition.alias("definition"))
 
 
-def _qi_sql(x: str) -> str:
-    return f"concat('[', replace({x}, ']', ']]'), ']')"
-
-
-def _column_line_sql(c: str) -> str:
-    """SQL text of :func:`column_line` for a struct column named ``c``."""
-    from tidemark.functions.text import WHITESPACE_CLASS as W
-    from tidemark.functions.types import DECIMAL_TYPES, LENGTH_TYPES, TIME_PRECISION_TYPES
-    t = f"upper({c}.data_type)"
-    length_types = ", ".join(f"'{x}'" for x in LENGTH_TYPES)
-    dec_types = ", ".join(f"'{x}'" for x in DECIMAL_TYPES)
-    time_types = ", ".join(f"'{x}'" for x in TIME_PRECISION_TYPES)
-    typ = (f"CASE WHEN {t} IN ({length_types}) AND {c}.character_maximum_length IS NULL THEN {t} "
-           f"WHEN {t} IN ({length_types}) AND {c}.character_maximum_length = -1 THEN concat({t}, '(MAX)') "
-           f"WHEN {t} IN ({length_types}) THEN concat({t}, '(', CAST({c}.character_maximum_length AS STRING), ')') "
-           f"WHEN {t} IN ({dec_types}) AND {c}.numeric_precision IS NULL THEN {t} "
-           f"WHEN {t} IN ({dec_types}) THEN concat({t}, '(', CAST({c}.numeric_precision AS STRING), ',', "
-           f"CAST(coalesce({c}.numeric_scale, 0) AS STRING), ')') "
-           f"WHEN {t} IN ({time_types}) AND {c}.datetime_precision IS NOT NULL "
-           f"THEN concat({t}, '(', CAST({c}.datetime_precision AS STRING), ')') "
-           f"WHEN {t} = 'FLOAT' AND {c}.numeric_precision IS NOT NULL "
-           f"THEN concat({t}, '(', CAST({c}.numeric_precision AS STRING), ')') "
-           f"ELSE {t} END")
-    default = (f"CASE WHEN {c}.column_default IS NOT NULL AND {c}.column_default <> '' THEN "
-               f"concat(' DEFAULT ', regexp_replace({c}.column_default, r'^{W}+|{W}+$', '')) ELSE '' END")
-    null = f"CASE WHEN {c}.is_nullable THEN 'NULL' ELSE 'NOT NULL' END"
-    return f"rtrim(concat('    ', {_qi_sql(c + '.column_name')}, ' ', {typ}, {default}, ' ', {null}))"
-
-
-def _constraint_line_sql(k: str) -> str:
-    cols = f"array_join(transform({k}.columns, x -> {_qi_sql('x')}), ', ')"
-    return (f"concat('    CONSTRAINT ', {_qi_sql(k + '.constraint_name')}, ' ', {k}.constraint_type, "
-            f"' (', {cols}, ')')")
-
-
 def render_rows(df: DataFrame, schema_name: Column, table_name: Column, columns: Sequence[Column],
                 constraints: Sequence[Column] = (), header: str = "") -> DataFrame:
     """Text form for tables whose column and constraint lists are fixed
@@ -142,8 +107,8 @@ def render_rows(df: DataFrame, schema_name: Column, table_name: Column, columns:
                        F.lit(header).alias("_header"),
                        *[c.alias(f"_c{i}") for i, c in enumerate(columns)],
                        *[k.alias(f"_k{i}") for i, k in enumerate(constraints)])
-    lines = ([_column_line_sql(f"_c{i}") for i in range(len(columns))]
-             + [_constraint_line_sql(f"_k{i}") for i in range(len(constraints))])
+    lines = ([column_line_sql(f"_c{i}") for i in range(len(columns))]
+             + [constraint_line_sql(f"_k{i}") for i in range(len(constraints))])
     create = f"concat('CREATE TABLE ', {_qi_sql('schema_name')}, '.', {_qi_sql('table_name')}, ' (')"
     # newlines as char(10): independent of the session's string-escape setting
     definition = (f"concat(_header, {create}, char(10), concat_ws(concat(',', char(10)), {', '.join(lines)}), "
@@ -180,31 +145,34 @@ def definition_lines(columns: DataFrame, constraints: DataFrame | None = None,
                      tables: DataFrame | None = None, header: str = "") -> DataFrame:
     """Long form: one row per line of each table's definition.
 
-    ``sort_key`` orders lines inside a section (ordinal for columns, rank
-    and name for constraints).  The file text is the lines ordered by
-    (section, sort_key), joined by ``,\\n`` inside the column/constraint
+    ``position`` and ``sort_key`` order lines inside a section (a column's
+    ordinal; a constraint's rank and name).  The file text is the lines ordered
+    by (section, position, sort_key), joined by ``,\\n`` inside the column/constraint
     sections.  ``constraints`` is already one row per constraint with an
-    ordered ``columns`` array.
+    ordered ``columns`` array.  Without ``tables`` the tables are those that
+    have columns.
     """
     if tables is None:
         tables = columns.select("schema_name", "table_name").distinct()
     col_rows = columns.select(
         "schema_name", "table_name", F.lit(SECTION_COLUMN).alias("section"),
-        F.lpad(F.col("ordinal_position").cast("string"), 12, "0").alias("sort_key"),
-        column_line(F.struct(*[F.col(f) for f in COLUMN_STRUCT_FIELDS])).alias("line"))
-    parts = [col_rows]
+        F.col("ordinal_position").cast("bigint").alias("position"), F.lit("").alias("sort_key"),
+        F.struct(*[F.col(f) for f in COLUMN_STRUCT_FIELDS]).alias("_c"))
+    parts = [col_rows.withColumn("line", F.expr(column_line_sql("_c"))).drop("_c")]
     if constraints is not None:
         parts.append(constraints.select(
             "schema_name", "table_name", F.lit(SECTION_CONSTRAINT).alias("section"),
-            F.concat(constraint_rank(F.col("constraint_type")).cast("string"), F.lit(":"),
-                     F.col("constraint_name")).alias("sort_key"),
-            constraint_line(F.struct("constraint_name", "constraint_type", "columns")).alias("line")))
-    parts.append(tables.select(
-        "schema_name", "table_name", F.lit(SECTION_CREATE).alias("section"), F.lit("").alias("sort_key"),
-        F.concat(F.lit(header), create_line(F.col("schema_name"), F.col("table_name"))).alias("line")))
-    parts.append(tables.select(
-        "schema_name", "table_name", F.lit(SECTION_CLOSE).alias("section"), F.lit("").alias("sort_key"),
-        F.lit(");").alias("line")))
+            constraint_rank(F.col("constraint_type")).cast("bigint").alias("position"),
+            F.col("constraint_name").alias("sort_key"),
+            F.struct("constraint_name", "constraint_type", "columns").alias("_k"))
+            .withColumn("line", F.expr(constraint_line_sql("_k"))).drop("_k"))
+    def edge(section: int, line: Column) -> Column:
+        return F.struct(F.lit(section).alias("section"), F.lit(0).cast("bigint").alias("position"),
+                        F.lit("").alias("sort_key"), line.alias("line"))
+
+    head = F.concat(F.lit(header), create_line(F.col("schema_name"), F.col("table_name")))
+    parts.append(tables.select("schema_name", "table_name", F.inline(F.array(
+        edge(SECTION_CREATE, head), edge(SECTION_CLOSE, F.lit(");"))))))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -215,18 +183,14 @@ def definition_lines(columns: DataFrame, constraints: DataFrame | None = None,
 # Parse definitions back into columns (line-based)
 # --------------------------------------------------------------------------
 
-# ``[name]`` at the start of an item, where ``]]`` escapes a bracket.
-_ITEM_NAME = r"^\s*\[((?:[^\]]|\]\])+)\]\s"
-# Everything after ``[name]`` and its whitespace (greedy, linear time).
-_ITEM_REST = r"(?s)^\s*\[(?:[^\]]|\]\])+\]\s+(.*)$"
-
-
-def column_type_of(definition: Column) -> Column:
-    """Type part of a column definition: nullability, then default removed."""
-    t = F.regexp_replace(definition, r"(?i)\s+NOT\s+NULL\s*$", "")
-    t = F.regexp_replace(t, r"(?i)\s+NULL\s*$", "")
-    t = F.regexp_replace(t, r"(?is)\s+DEFAULT\s+.+$", "")
-    return F.trim(t)
+_NAME = r"\[(?:[^\]]|\]\])+\]"
+# The exported text: CREATE TABLE [schema].[table] ( items );
+_TABLE = rf"(?is)^.*?CREATE\s+TABLE\s+(?:{_NAME}\s*\.\s*)?{_NAME}\s*\((.*)\)\s*;?\s*$"
+# An item ends at a comma that a column's or a constraint's head follows.
+_NEXT_ITEM = rf"(?i),\s*(?={_NAME}\s|CONSTRAINT\s+\[)"
+# The exported line: [name] TYPE [DEFAULT value] [NULL or NOT NULL].
+_COLUMN = (r"(?is)^\s*\[((?:[^\]]|\]\])+)\]\s+"
+           r"((.+?)(?:\s+DEFAULT\s.+?)?(?:\s+(?:NOT\s+)?NULL)?)[\s,]*$")
 
 
 def parse_definition_columns(definitions: DataFrame, text_col: str = "definition",
@@ -234,26 +198,30 @@ def parse_definition_columns(definitions: DataFrame, text_col: str = "definition
     """Columns of exported ``CREATE TABLE`` texts: one row per column with
     its 1-based item position (constraint items count but are skipped).
 
-    Relies on the exporter's layout of one item per line; it is not a SQL
-    parser.
+    Reads the exporter's own lines and is no SQL parser.  A text that is no such
+    table gives no row here and one in :func:`unparsed_definitions`.
     """
-    body = F.regexp_extract(F.col(text_col), r"(?is)CREATE\s+TABLE\b[^(]*\((.*)\)", 1)
-    items = definitions.select(*key_cols, F.posexplode(F.split(body, ",\n")).alias("pos", "item"))
-    named = items.select(*key_cols, "pos", "item",
-                         F.regexp_extract("item", _ITEM_NAME, 1).alias("_name"))
-    # constraint items never start with ``[name]``, so this also skips them
-    named = named.filter(F.col("_name") != "")
-    rest = F.regexp_extract("item", _ITEM_REST, 1)
-    definition = F.regexp_replace(F.regexp_replace(rest, r"\s+$", ""), ",+$", "")
-    return named.select(
+    body = F.regexp_extract(F.col(text_col), _TABLE, 1)
+    items = definitions.select(*key_cols, F.posexplode(F.split(body, _NEXT_ITEM)).alias("pos", "item"))
+    parts = [F.regexp_extract("item", _COLUMN, k) for k in (1, 2, 3)]
+    return items.filter(F.col("item").rlike(_COLUMN)).select(
         *key_cols,
-        F.replace(F.col("_name"), F.lit("]]"), F.lit("]")).alias("column_name"),
+        F.replace(parts[0], F.lit("]]"), F.lit("]")).alias("column_name"),
         (F.col("pos") + 1).cast("int").alias("ordinal"),
-        column_type_of(definition).alias("type_sql"),
-        definition.alias("column_definition"),
+        parts[2].alias("type_sql"),
+        parts[1].alias("column_definition"),
     )
 
 
+def unparsed_definitions(definitions: DataFrame, text_col: str = "definition",
+                         key_cols: Sequence[str] = ("qualified_name",)) -> DataFrame:
+    """Table definitions that cannot be read back, with the reason."""
+    text = F.col(text_col)
+    reason = (F.when(text.isNull() | ~text.rlike(r"(?i)CREATE\s+TABLE"), F.lit("no CREATE TABLE"))
+              .when(~text.rlike(_TABLE), F.lit("no list of columns after the table name")))
+    return definitions.select(*key_cols, reason.alias("error")).filter(F.col("error").isNotNull())
+
+
 # --------------------------------------------------------------------------
 # Modules (views, procedures)
 # --------------------------------------------------------------------------
@@ -320,15 +288,3 @@ def manifest_counts(arts: DataFrame) -> DataFrame:
 def manifest_files(arts: DataFrame) -> DataFrame:
     """The manifest's file map in long form: path -> (type, name, sha256)."""
     return arts.select("relative_path", "object_type", "qualified_name", "sha256")
-
-
-def write_artifacts(arts: DataFrame, path: str) -> None:
-    """Write each artifact's content as its own text under its folder.
-
-    Overwrite mode replaces the previous export, which removes stale files.
-    Rows are range-partitioned by path so a large export spreads over tasks.
-    """
-    (arts.select("object_type", "relative_path", "content")
-     .repartitionByRange("relative_path")
-     .sortWithinPartitions("relative_path")
-     .write.mode("overwrite").partitionBy("object_type", "relative_path").text(path))

@@ -21,47 +21,41 @@ def text_search(df: DataFrame, needle: str) -> DataFrame:
     return df.filter(search_text(df).contains(needle.lower()))
 
 
-def _presence(df: DataFrame, needles: Sequence[str], hit) -> DataFrame:
-    """One aggregate over one scan: a match counter per needle, then one row
-    per needle.  The needles are a parameter list, so no join is needed."""
-    if not needles:
-        return local_frame(df.sparkSession, [], "needle string, matches bigint, found boolean")
-    counters = [F.count_if(hit(n)).cast("bigint").alias(f"n{i}") for i, n in enumerate(needles)]
-    agg = df.agg(*counters)
-    entries = F.array(*[F.struct(F.lit(n).alias("needle"), F.col(f"n{i}").alias("matches"))
-                        for i, n in enumerate(needles)])
-    return agg.select(F.inline(entries)).withColumn("found", F.col("matches") > 0)
-
-
 def presence_modes(history: DataFrame, needles: Sequence[str], id_col: str = "migration_id",
                    status_col: str = "status") -> DataFrame:
-    """Loose and strict presence of every needle from one aggregate over one
-    scan: ``(needle, loose_found, strict_found)``."""
-    text = search_text(history)
-    ok = F.col(status_col) == F.lit("success")
-    counters = []
-    for i, n in enumerate(needles):
-        counters.append(F.count_if(text.contains(n.lower())).alias(f"l{i}"))
-        counters.append(F.count_if(ok & F.col(id_col).startswith(n)).alias(f"s{i}"))
-    agg = history.agg(*counters)
-    entries = F.array(*[F.struct(F.lit(n).alias("needle"), (F.col(f"l{i}") > 0).alias("loose_found"),
-                                 (F.col(f"s{i}") > 0).alias("strict_found"))
-                        for i, n in enumerate(needles)])
-    return agg.select(F.inline(entries))
+    """``(needle, loose_found, strict_found)`` for every needle.
+
+    Loose: some row's all-column text contains it, in any status.  Strict: some
+    successful row's id starts with it.  One pass: each row yields the needles
+    it has (a literal list, so the plan does not grow with it), which are
+    aggregated and completed with the needles no row has.
+    """
+    wanted = local_frame(history.sparkSession, [(n,) for n in dict.fromkeys(needles)], "needle string")
+    if not needles:
+        return wanted.selectExpr("needle", "false AS loose_found", "false AS strict_found")
+    rows = history.select(
+        search_text(history).alias("_text"), F.lit(list(dict.fromkeys(needles))).alias("_needles"),
+        F.when(F.col(status_col) == F.lit("success"), F.col(id_col).cast("string")).alias("_id"))
+    hits = rows.selectExpr("""inline(filter(transform(_needles, n -> struct(
+        n AS needle, contains(_text, lower(n)) AS loose, coalesce(startswith(_id, n), false) AS strict)),
+        h -> h.loose OR h.strict))""")
+    found = hits.groupBy("needle").agg(F.bool_or("loose").alias("_loose"), F.bool_or("strict").alias("_strict"))
+    return wanted.join(found, "needle", "left").select(
+        "needle", F.coalesce("_loose", F.lit(False)).alias("loose_found"),
+        F.coalesce("_strict", F.lit(False)).alias("strict_found"))
 
 
 def search_presence(df: DataFrame, needles: Sequence[str]) -> DataFrame:
     """Per needle: does any row's all-column text contain it (any status)?"""
-    text = search_text(df)
-    return _presence(df, list(needles), lambda n: text.contains(n.lower()))
+    rows = df.select(search_text(df).alias("_text"), F.lit(None).cast("string").alias("migration_id"),
+                     F.lit(None).cast("string").alias("status"))
+    return presence_modes(rows, needles).select("needle", F.col("loose_found").alias("found"))
 
 
 def strict_presence(history: DataFrame, needles: Sequence[str],
                     id_col: str = "migration_id", status_col: str = "status") -> DataFrame:
     """Per needle: is there a successful row whose id starts with it?"""
-    ok = F.col(status_col) == F.lit("success")
-    return _presence(history, list(needles),
-                     lambda n: ok & F.col(id_col).startswith(n))
+    return presence_modes(history, needles, id_col, status_col).select("needle", F.col("strict_found").alias("found"))
 
 
 def kind_counts(items: DataFrame, kind_col: str, expected: Sequence[str]) -> DataFrame:
@@ -71,8 +65,5 @@ def kind_counts(items: DataFrame, kind_col: str, expected: Sequence[str]) -> Dat
     spark = items.sparkSession
     counts = items.groupBy(F.col(kind_col).alias("kind")).agg(F.count(F.lit(1)).alias("_n"))
     wanted = local_frame(spark, [(k,) for k in expected], "kind string")
-    # inner join against the broadcast list: at most len(expected) rows, so
-    # the zero-filling outer join broadcasts a side of proven size
-    found = counts.join(F.broadcast(wanted), "kind")
-    return (wanted.join(F.broadcast(found), "kind", "left")
+    return (wanted.join(counts, "kind", "left")
             .select("kind", F.coalesce(F.col("_n"), F.lit(0)).cast("bigint").alias("found")))

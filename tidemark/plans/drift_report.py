@@ -2,8 +2,9 @@
 recommendations and the ignored objects, as DataFrames.
 
 The object comparison feeds the summary, the verdict and the
-recommendations; it is checkpointed once (reliable checkpoint in the
-session's checkpoint folder) so those outputs do not recompute the join.
+recommendations.  With ``checkpoint`` it is computed once, at once, into the
+session's checkpoint folder, so those outputs do not recompute the join;
+without it every output is lazy.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ def drift_report(left: DataFrame, right: DataFrame, left_columns: DataFrame | No
                  right_columns: DataFrame | None = None, ignore: Sequence[str] | str | None = None,
                  categories: Sequence[str] = MANAGED_CATEGORIES,
                  singular_map: Mapping[str, str] | None = None,
-                 checkpoint: bool = True) -> dict[str, DataFrame]:
+                 checkpoint: bool = False) -> dict[str, DataFrame]:
     patterns = split_patterns(ignore)
     left_kept, left_ignored = drift.split_ignored(left, patterns, singular_map)
     right_kept, right_ignored = drift.split_ignored(right, patterns, singular_map)
@@ -33,19 +34,19 @@ def drift_report(left: DataFrame, right: DataFrame, left_columns: DataFrame | No
     if left_columns is not None and right_columns is not None:
         tables = drift.table_drift(left_columns, right_columns)
         col_changes = tables.select("name", "n_column_differences")
-        column_drift = drift.column_drift(left_columns, right_columns)
     objects = drift.object_drift(left_kept, right_kept, col_changes)
     if checkpoint:
         objects = materialize(objects)
-    if column_drift is not None:
-        modified_tables = objects.filter((F.col("category") == "tables") & (F.col("status") == "modified"))
-        column_drift = column_drift.join(modified_tables.select("name"), "name", "left_semi")
+    if col_changes is not None:
+        modified = objects.filter((F.col("category") == "tables") & (F.col("status") == "modified"))
+        column_drift = drift.column_drift(left_columns, right_columns, modified)
+        objects = drift.with_column_differences(objects, column_drift)
     summary = drift.drift_summary(objects, categories)
     out = {
-        "objects": objects,
+        "objects": drift.report_order(objects),
         "summary": summary,
-        "verdict": drift.drift_verdict(summary),
-        "recommendations": drift.recommendations(summary),
+        "verdict": drift.drift_verdict(objects),
+        "recommendations": drift.recommendations(objects),
         "ignored": drift.ignored_union(left_ignored, right_ignored),
     }
     if column_drift is not None:

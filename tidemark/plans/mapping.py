@@ -16,7 +16,7 @@ the tables it comes from.
   long user turns, relaxes nullability of long assistant turns, adds a note
   column after short user turns and adds one table per benchmark item.
 * migration scripts  - one script per document, file name from a version
-  (two documents per version), the source and the language.
+  (below 1,000), the source and the language; see ``script_content``.
 * migration history  - one run per labelled document, ``success`` when the
   label says quality 1.
 * catalog            - one table per order whose columns are the order's own
@@ -31,8 +31,6 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import session_key
-
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -42,33 +40,9 @@ APPLIED_AT_SQL = "TIMESTAMP '2026-03-12 08:00:00'"
 RUN_BY = "tidemark"
 
 
-_LOADED: dict[tuple[int, str], DataFrame] = {}
-
-
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the driver's folder.  The DataFrame (a lazy plan, no data)
-    is reused per session, so the file listing and footer read that resolve
-    its schema happen once, not once per query that touches the table.  A
-    table that feeds heavy row work is spread with :func:`load_spread`."""
-    path = f"{sf_dir}/{name}.parquet"
-    key = (session_key(spark), path)
-    df = _LOADED.get(key)
-    if df is None:
-        df = spark.read.parquet(path)
-        _LOADED[key] = df
-    return df
-
-
-def load_spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """:func:`load` for inputs that feed CPU-heavy row work (regex over text,
-    rendering): a single-row-group file is spread over the cores first."""
-    from tidemark.session import spread
-    key = (session_key(spark), f"{sf_dir}/{name}.parquet#spread")
-    df = _LOADED.get(key)
-    if df is None:
-        df = spread(load(spark, sf_dir, name))
-        _LOADED[key] = df
-    return df
+    """A table of the driver's folder."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def load_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -85,7 +59,7 @@ def doc_name() -> Column:
 
 def baseline_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.functions.text import export_path
-    d = load_spread(spark, sf_dir, "documents")
+    d = load(spark, sf_dir, "documents")
     return d.select(F.col("lang").alias("category"), doc_name().alias("name"),
                     F.col("text").alias("definition"),
                     export_path(F.col("lang"), doc_name()).alias("relative_path"))
@@ -93,7 +67,7 @@ def baseline_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def live_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.functions.text import export_path
-    d = load_spread(spark, sf_dir, "documents")
+    d = load(spark, sf_dir, "documents")
     lab = load(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     j = d.join(lab, "doc_id", "left").filter(F.coalesce(F.col("toxic"), F.lit(0)) == 0)
     definition = (F.when(F.col("quality") == 0, F.concat(F.col("text"), F.lit("\nREVISED")))
@@ -102,7 +76,7 @@ def live_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = j.select(F.col("lang").alias("category"), doc_name().alias("name"),
                     definition.alias("definition"),
                     export_path(F.col("lang"), doc_name()).alias("relative_path"))
-    p = load_spread(spark, sf_dir, "pages")
+    p = load(spark, sf_dir, "pages")
     page_name = F.concat(F.lit("page"), F.col("page_id").cast("string"))
     pages = p.select(F.lit("views").alias("category"), page_name.alias("name"),
                      F.col("html").alias("definition"),
@@ -117,37 +91,30 @@ def live_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _conv_columns(c: DataFrame, live: bool) -> DataFrame:
     role = F.col("role")
     long_text = F.length("text")
-    base_type = F.when(role == "user", F.lit("NVARCHAR(4000)")).otherwise(F.lit("NVARCHAR(MAX)"))
+    typ = F.when(role == "user", F.lit("NVARCHAR(4000)")).otherwise(F.lit("NVARCHAR(MAX)"))
+    nullability = F.lit(" NOT NULL")
     if live:
         c = c.filter(role != "system")
-        typ = F.when((role == "user") & (long_text > 200), F.lit("NVARCHAR(MAX)")).otherwise(base_type)
-        nullability = F.when((role == "assistant") & (long_text > 1500), F.lit(" NULL")).otherwise(F.lit(" NOT NULL"))
-    else:
-        typ = base_type
-        nullability = F.lit(" NOT NULL")
-    name = F.concat(F.lit("conv"), F.col("conv_id").cast("string"))
-    cols = c.select(name.alias("name"),
-                    F.concat(F.lit("turn_"), F.col("turn").cast("string")).alias("column_name"),
-                    F.col("turn").cast("bigint").alias("ordinal"),
-                    typ.alias("type_sql"),
-                    F.concat(typ, nullability).alias("definition"))
+        typ = F.when((role == "user") & (long_text > 200), F.lit("NVARCHAR(MAX)")).otherwise(typ)
+        nullability = F.when((role == "assistant") & (long_text > 1500), F.lit(" NULL")).otherwise(nullability)
+    turn = F.concat(F.lit("turn_"), F.col("turn").cast("string"))
+    column = F.struct(turn.alias("column_name"), F.col("turn").cast("bigint").alias("ordinal"),
+                      typ.alias("type_sql"), F.concat(typ, nullability).alias("definition"))
+    note = F.struct(F.concat(turn, F.lit("_note")).alias("column_name"),
+                    (F.col("turn") + 100).cast("bigint").alias("ordinal"),
+                    F.lit("NVARCHAR(200)").alias("type_sql"), F.lit("NVARCHAR(200) NULL").alias("definition"))
+    columns = F.array(column)
     if live:
-        notes = c.filter((role == "user") & (long_text < 60)).select(
-            name.alias("name"),
-            F.concat(F.lit("turn_"), F.col("turn").cast("string"), F.lit("_note")).alias("column_name"),
-            (F.col("turn") + 100).cast("bigint").alias("ordinal"),
-            F.lit("NVARCHAR(200)").alias("type_sql"),
-            F.lit("NVARCHAR(200) NULL").alias("definition"))
-        cols = cols.unionByName(notes)
-    return cols
+        columns = F.when((role == "user") & (long_text < 60), F.array(column, note)).otherwise(columns)
+    return c.select(F.concat(F.lit("conv"), F.col("conv_id").cast("string")).alias("name"), F.inline(columns))
 
 
 def baseline_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _conv_columns(load_spread(spark, sf_dir, "conversations"), live=False)
+    return _conv_columns(load(spark, sf_dir, "conversations"), live=False)
 
 
 def live_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cols = _conv_columns(load_spread(spark, sf_dir, "conversations"), live=True)
+    cols = _conv_columns(load(spark, sf_dir, "conversations"), live=True)
     b = load(spark, sf_dir, "benchmark")
     bench = b.select(F.concat(F.lit("bench"), F.col("item_id").cast("string")).alias("name"),
                      F.lit("body").alias("column_name"), F.lit(1).cast("bigint").alias("ordinal"),
@@ -160,10 +127,15 @@ def live_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------------------
 
 def script_name() -> Column:
-    """File name of the script a document stands for."""
-    version = (F.floor(F.col("doc_id") / 2) + 1).cast("int")
+    """File name of the script a document stands for.  Versions stay below
+    1,000 at any size and leave gaps: a first one of 1 to 5, then one of every
+    three numbers; some scripts have version 0 and some one beyond a bigint."""
+    n = F.floor(F.col("doc_id") / 2) % 300 * 3 + 6 + F.col("n_chars") % 2
+    version = (F.when(F.col("n_chars") % 29 == 0, F.lit("000"))
+               .when(F.col("n_chars") % 31 == 0, F.lit("99999999999999999999"))
+               .otherwise(F.format_string("%03d", n.cast("int"))))
     lang = F.col("lang")
-    stem = F.format_string("v%03d_%s", version, F.col("source"))
+    stem = F.concat(F.lit("v"), version, F.lit("_"), F.col("source"))
     name = (F.when(lang == "en", F.concat(stem, F.lit(".sql")))
             .when(lang == "de", F.concat(stem, F.lit("_de.sql")))
             .when(lang == "fr", F.concat(stem, F.lit(".py")))
@@ -171,18 +143,28 @@ def script_name() -> Column:
     return F.when(F.col("n_chars") < 200, F.concat(F.lit("draft_"), name)).otherwise(name)
 
 
-def script_files(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
-    """``(doc_id, file_name, content, n_chars)`` - the script corpus (spread
-    over the cores when the content is going to be scanned)."""
-    d = load_spread(spark, sf_dir, "documents") if spread else load(spark, sf_dir, "documents")
-    return d.select("doc_id", script_name().alias("file_name"), F.col("text").alias("content"),
-                    "n_chars", "source", "lang")
+def script_content() -> Column:
+    """Text of the script: the document's, with a statement before it or blank
+    for some lengths, so that every lint rule has scripts that keep and scripts
+    that break it."""
+    kind, text = F.col("n_chars") % 17, F.col("text")
+    return (F.when(kind == 3, F.lit(" \n\t"))
+            .when(kind == 5, F.concat(F.lit("ALTER TABLE t ADD (a INT; "), text))
+            .when(kind == 7, F.concat(F.lit("CREATE TABLE t (a INT); DROP SCHEMA old; "), text))
+            .when(kind == 9, F.concat(F.lit("CREATE TABLE t (a INT) -- def run(x)\n"), text))
+            .otherwise(text))
+
+
+def script_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, file_name, content, n_chars)`` - the script corpus."""
+    return load(spark, sf_dir, "documents").select(
+        "doc_id", script_name().alias("file_name"), script_content().alias("content"), "n_chars", "source", "lang")
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed migration history: one run per labelled document."""
     from tidemark.operators.migrations import parse_names, timestamp_literal
-    files = parse_names(script_files(spark, sf_dir, spread=False))
+    files = parse_names(script_files(spark, sf_dir))
     lab = load(spark, sf_dir, "labels").select("doc_id", "quality")
     j = files.join(lab, "doc_id")
     return j.select(
@@ -208,7 +190,7 @@ def _order_parts(spark: SparkSession, sf_dir: str, live: bool):
     finished orders' price column is two digits wider (a type change), and
     high-priority orders' customer column became NOT NULL (a nullability-only
     change)."""
-    o = load_spread(spark, sf_dir, "orders")
+    o = load(spark, sf_dir, "orders")
     if live:
         o = o.filter(F.col("o_orderstatus") != "P")
 
@@ -264,25 +246,30 @@ def order_tables(spark: SparkSession, sf_dir: str, live: bool = False) -> DataFr
                     F.array(*columns).alias("columns"), F.array(*constraints).alias("constraints"))
 
 
-def order_table_texts(spark: SparkSession, sf_dir: str, live: bool = False) -> DataFrame:
-    """The rendered definition of every per-order table.  The column and
-    constraint lists are fixed per row, so the lines are plain expressions
-    (``render_rows``); same text as rendering :func:`order_tables`."""
+def order_table_texts(spark: SparkSession, sf_dir: str, live: bool = False,
+                      only: DataFrame | None = None) -> DataFrame:
+    """The rendered definition of every per-order table, or of those whose
+    qualified name is in ``only`` (``name``).  The column and constraint lists
+    are fixed per row, so the lines are plain expressions (``render_rows``);
+    same text as rendering :func:`order_tables`."""
     from tidemark.operators.render import render_rows
     o, schema, table, columns, constraints = _order_parts(spark, sf_dir, live)
+    if only is not None:
+        o = o.withColumn("name", F.concat(schema, F.lit("."), table)).join(only.select("name"), "name", "left_semi")
     return render_rows(o, schema, table, columns, constraints)
 
 
 def modules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One module per conversation turn: system turns arrive as ``ALTER
-    VIEW`` text, long user turns as ``CREATE VIEW``, the rest as bare bodies
-    (assistant turns are procedures)."""
-    c = load_spread(spark, sf_dir, "conversations")
+    VIEW`` text, long user turns as ``CREATE VIEW``, short ones blank, the rest
+    as bare bodies (assistant turns are procedures)."""
+    c = load(spark, sf_dir, "conversations")
     role = F.col("role")
     obj = F.concat(F.lit("conv"), F.col("conv_id").cast("string"), F.lit("_t"), F.col("turn").cast("string"))
     definition = (F.when(role == "system", F.concat(F.lit("ALTER VIEW "), obj, F.lit(" AS\n"), F.col("text")))
                   .when((role == "user") & (F.length("text") > 200),
                         F.concat(F.lit("create view "), obj, F.lit(" as "), F.col("text")))
+                  .when((role == "user") & (F.length("text") < 60), F.lit(" \n "))
                   .otherwise(F.col("text")))
     return c.select(role.alias("schema_name"), obj.alias("object_name"),
                     F.when(role == "assistant", F.lit("P")).otherwise(F.lit("V")).alias("object_type"),
@@ -296,7 +283,7 @@ def modules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def doc_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One export artifact per document; the object type follows the language."""
     from tidemark.operators.render import artifacts
-    d = load_spread(spark, sf_dir, "documents")
+    d = load(spark, sf_dir, "documents")
     ot = (F.when(F.col("lang") == "en", F.lit("table"))
           .when(F.col("lang") == "fr", F.lit("view")).otherwise(F.lit("procedure")))
     qn = F.concat(F.lit("dbo."), F.col("source"), F.lit(":doc"), F.col("doc_id").cast("string"))

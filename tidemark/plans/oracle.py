@@ -1,21 +1,30 @@
 """DuckDB SQL for every registered query (the correctness oracle).
 
-Independent SQL over the same parquet tables; where a query depends on a
-parameter list (contract, rules, patterns) the SQL text is generated from
-that same list.  DuckDB differences handled here: ``upper('ß')`` is ``ẞ`` in
-DuckDB but ``SS`` in Spark, regex replace needs the ``'g'`` flag, double to
-int casts round instead of truncating, and decimal literals need casts.
+SQL over the same parquet tables, written apart from the library: nothing is
+imported from it, and every contract row, rule, pattern and message is spelled
+out here.  DuckDB differences handled here: ``upper('ß')`` is ``ẞ`` in DuckDB
+but ``SS`` in Spark, regex replace needs the ``'g'`` flag, double to int casts
+round instead of truncating, and decimal literals need casts.
 """
 
 from __future__ import annotations
 
-from tidemark.functions.text import WHITESPACE_CLASS
-from tidemark.plans import queries as Q
-from tidemark.plans.contract import CONTRACT, EXPECTED_VERSION, RULES
-from tidemark.plans.mapping import APPLIED_AT_SQL, RUN_BY
-
-WS = WHITESPACE_CLASS
-
+# White space, the run's time and user, the search labels and
+# listed categories of the queries.
+WS = (r"[\t\n\x{0B}\f\r \x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+      r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
+APPLIED_AT_SQL = "TIMESTAMP '2026-03-12 08:00:00'"
+RUN_BY = "tidemark"
+LISTED_CATEGORIES = ("de", "en", "tables", "procedures")
+SEARCHED_LABELS = ("v001", "v002", "v010", "v100", "v250", "v999", "v4999", "src1")
+IGNORED = ("src1?.doc*", "fr:*", "es/src3.doc1*.sql", "[!e]*:src5.*", "views:page1?")
+
+# Drift details.
+DETAIL_ADDED = "Present in the compared snapshot only."
+DETAIL_REMOVED = "Present in the baseline snapshot only."
+DETAIL_SAME = "Normalized definition matches."
+DETAIL_CHANGED = "Normalized definition changed."
+DETAIL_NO_COLUMN = "Normalized definition changed.; No column differs."
 
 def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
@@ -66,9 +75,6 @@ STATUS_RANK = ("CASE status WHEN 'modified' THEN 0 WHEN 'added' THEN 1 WHEN 'rem
                "WHEN 'unchanged' THEN 3 END")
 STATUS_SYMBOL = "CASE status WHEN 'modified' THEN '~' WHEN 'added' THEN '!' WHEN 'removed' THEN '!' ELSE '=' END"
 
-from tidemark.operators.drift import (DETAIL_ADDED, DETAIL_CHANGED, DETAIL_NO_COLUMN_CHANGE,  # noqa: E402
-                                      DETAIL_REMOVED, DETAIL_SAME)
-
 OBJECT_DRIFT = f"""
 WITH l AS (SELECT category, name, sha256({norm('definition')}) AS left_norm, relative_path AS left_path
            FROM ({BASE_OBJ})),
@@ -125,7 +131,14 @@ COLUMN_DRIFT = COLUMN_JOIN + """
 SELECT name, column_name, col_status AS status,
   CASE WHEN col_status <> 'added' THEN left_type END AS left_type,
   CASE WHEN col_status <> 'removed' THEN right_type END AS right_type
-FROM c WHERE col_status IN ('added', 'removed', 'type_changed')"""
+FROM c WHERE col_status IN ('added', 'removed', 'type_changed')
+  AND name IN (SELECT name FROM c GROUP BY name
+               HAVING bool_or(in_l) AND bool_or(in_r) AND bool_or(col_status <> 'same'))"""
+
+COLUMN_DIFFERENCES = f"""
+SELECT name, CAST(count(*) AS INTEGER) AS differences,
+  string_agg(status || ' ' || column_name, '; ' ORDER BY lower(column_name), column_name) AS listing
+FROM ({COLUMN_DRIFT}) GROUP BY name"""
 
 TABLE_DRIFT = COLUMN_JOIN + f""",
 t AS (SELECT name, bool_or(in_l) AS in_left, bool_or(in_r) AS in_right,
@@ -143,48 +156,44 @@ SELECT name, status, {STATUS_RANK} AS status_rank,
   columns_added, columns_removed, columns_retyped,
   CASE WHEN status = 'added' THEN {q(DETAIL_ADDED)} WHEN status = 'removed' THEN {q(DETAIL_REMOVED)}
        WHEN status = 'unchanged' THEN {q(DETAIL_SAME)}
-       WHEN ncd = 0 THEN {q(DETAIL_CHANGED + '; ' + DETAIL_NO_COLUMN_CHANGE)}
+       WHEN ncd = 0 THEN {q(DETAIL_NO_COLUMN)}
        ELSE {q(DETAIL_CHANGED)} END AS details
 FROM s"""
 
-_CATS = ", ".join(f"({q(c)})" for c in Q.SUMMARY_CATEGORIES)
+_CATS = ", ".join(f"({q(c)})" for c in LISTED_CATEGORIES)
+STATUSES = f"SELECT category, status FROM ({OBJECT_DRIFT}) UNION ALL SELECT 'tables', status FROM ({TABLE_DRIFT})"
 DRIFT_SUMMARY = f"""
-WITH u AS (SELECT category, status FROM ({OBJECT_DRIFT}) UNION ALL SELECT 'tables', status FROM ({TABLE_DRIFT})),
-c AS (SELECT category, count(*) FILTER (status = 'added') AS added, count(*) FILTER (status = 'removed') AS removed,
-             count(*) FILTER (status = 'modified') AS modified, count(*) FILTER (status = 'unchanged') AS unchanged
-      FROM u GROUP BY category),
-cats AS (SELECT * FROM (VALUES {_CATS}) v(category))
-SELECT cats.category, CAST(coalesce(added, 0) AS BIGINT) AS added, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
-  CAST(coalesce(modified, 0) AS BIGINT) AS modified, CAST(coalesce(unchanged, 0) AS BIGINT) AS unchanged,
-  CAST(coalesce(added, 0) + coalesce(removed, 0) + coalesce(modified, 0) AS BIGINT) AS drifted
-FROM cats LEFT JOIN c ON cats.category = c.category"""
-
-DRIFT_VERDICT = f"""SELECT CAST(coalesce(sum(drifted), 0) AS BIGINT) AS total_drifted,
-  coalesce(sum(drifted), 0) > 0 AS has_drift FROM ({DRIFT_SUMMARY})"""
-
-from tidemark.operators.drift import (REC_ALIGNED, REC_MIGRATE, REC_REFRESH, REC_REVIEW_MODIFIED,  # noqa: E402
-                                      REC_REVIEW_PRESENCE)
+WITH u AS ({STATUSES}),
+cats AS (SELECT * FROM (VALUES {_CATS}) v(category) UNION SELECT category FROM u)
+SELECT category, CAST(count(*) FILTER (status = 'added') AS BIGINT) AS added,
+  CAST(count(*) FILTER (status = 'removed') AS BIGINT) AS removed,
+  CAST(count(*) FILTER (status = 'modified') AS BIGINT) AS modified,
+  CAST(count(*) FILTER (status = 'unchanged') AS BIGINT) AS unchanged,
+  CAST(count(*) FILTER (status IN ('added', 'removed', 'modified')) AS BIGINT) AS drifted
+FROM cats LEFT JOIN u USING (category) GROUP BY category"""
+
+DRIFT_VERDICT = f"""SELECT CAST(count(*) FILTER (status <> 'unchanged') AS BIGINT) AS total_drifted,
+  count(*) FILTER (status <> 'unchanged') > 0 AS has_drift FROM ({STATUSES})"""
 
 DRIFT_RECOMMENDATIONS = f"""
-WITH t AS (SELECT coalesce(sum(drifted), 0) AS drifted,
-                  coalesce(sum(modified) FILTER (category = 'tables'), 0) AS t_mod,
-                  coalesce(sum(added + removed) FILTER (category = 'tables'), 0) AS t_pres
-           FROM ({DRIFT_SUMMARY}))
-SELECT 0 AS seq, {q(REC_ALIGNED)} AS text FROM t WHERE drifted = 0
-UNION ALL SELECT 1, {q(REC_REFRESH)} FROM t WHERE drifted > 0
-UNION ALL SELECT 2, {q(REC_MIGRATE)} FROM t WHERE drifted > 0
-UNION ALL SELECT 3, {q(REC_REVIEW_MODIFIED)} FROM t WHERE drifted > 0 AND t_mod > 0
-UNION ALL SELECT 4, {q(REC_REVIEW_PRESENCE)} FROM t WHERE drifted > 0 AND t_pres > 0"""
+WITH t AS (SELECT count(*) FILTER (status <> 'unchanged') AS drifted,
+                  count(*) FILTER (category = 'tables' AND status = 'modified') AS changed,
+                  count(*) FILTER (category = 'tables' AND status IN ('added', 'removed')) AS moved
+           FROM ({STATUSES}))
+SELECT 'itself' AS compared, 0 AS seq, 'aligned' AS action, CAST(0 AS BIGINT) AS objects
+UNION ALL SELECT 'live', 0, 'aligned', drifted FROM t WHERE drifted = 0
+UNION ALL SELECT 'live', 1, 'update_baseline', drifted FROM t WHERE drifted > 0
+UNION ALL SELECT 'live', 2, 'migrate_live', drifted FROM t WHERE drifted > 0
+UNION ALL SELECT 'live', 3, 'review_table_text', changed FROM t WHERE changed > 0
+UNION ALL SELECT 'live', 4, 'review_table_set', moved FROM t WHERE moved > 0"""
 
 
 def _ignore_sql() -> str:
-    from tidemark.functions.text import split_patterns
-    pats = [p.lower() for p in split_patterns(Q.IGNORE_PATTERNS)]
     singular = ("CASE category WHEN 'tables' THEN 'table' WHEN 'views' THEN 'view' "
                 "WHEN 'procedures' THEN 'procedure' ELSE category END")
     cands = ["lower(name)", "lower(category || ':' || name)", f"lower({singular} || ':' || name)",
              "lower(replace(coalesce(relative_path, ''), '\\', '/'))"]
-    cond = " OR ".join(f"({c} GLOB {q(p)})" for p in pats for c in cands)
+    cond = " OR ".join(f"({c} GLOB {q(p)})" for p in IGNORED for c in cands)
     return f"""SELECT DISTINCT category, name FROM (
   SELECT category, name FROM ({BASE_OBJ}) WHERE {cond}
   UNION ALL SELECT category, name FROM ({LIVE_OBJ}) WHERE {cond})"""
@@ -282,19 +291,20 @@ def _definition_lines_sql() -> str:
             "CASE WHEN l_linestatus = 'O' THEN 'NULL' ELSE 'NOT NULL' END)")
     return f"""
 SELECT 'c' || CAST(o_custkey AS VARCHAR) AS schema_name, 'order' || CAST(l_orderkey AS VARCHAR) AS table_name,
-  2 AS section, lpad(CAST(l_linenumber AS VARCHAR), 12, '0') AS sort_key, {line} AS line
+  2 AS section, CAST(l_linenumber AS BIGINT) AS position, '' AS sort_key, {line} AS line
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 UNION ALL
-SELECT 'c' || CAST(o_custkey AS VARCHAR), 'order' || CAST(o_orderkey AS VARCHAR), 1, '',
+SELECT 'c' || CAST(o_custkey AS VARCHAR), 'order' || CAST(o_orderkey AS VARCHAR), 1, 0, '',
   'CREATE TABLE [c' || CAST(o_custkey AS VARCHAR) || '].[order' || CAST(o_orderkey AS VARCHAR) || '] (' FROM orders
 UNION ALL
-SELECT 'c' || CAST(o_custkey AS VARCHAR), 'order' || CAST(o_orderkey AS VARCHAR), 4, '', ');' FROM orders"""
+SELECT 'c' || CAST(o_custkey AS VARCHAR), 'order' || CAST(o_orderkey AS VARCHAR), 4, 0, '', ');' FROM orders"""
 
 
 def _normalize_module_sql() -> str:
     obj = "'conv' || CAST(conv_id AS VARCHAR) || '_t' || CAST(turn AS VARCHAR)"
     raw = (f"CASE WHEN role = 'system' THEN 'ALTER VIEW ' || {obj} || ' AS' || chr(10) || text "
            f"WHEN role = 'user' AND length(text) > 200 THEN 'create view ' || {obj} || ' as ' || text "
+           "WHEN role = 'user' AND length(text) < 60 THEN ' ' || chr(10) || ' ' "
            "ELSE text END")
     d = strip_ws("raw")
     qn = f"({qi('schema_name')} || '.' || {qi('object_name')})"
@@ -316,15 +326,18 @@ FROM n"""
 
 
 RUNNER_RULE = r"^(v([0-9]+)_([A-Za-z0-9_\-]+))\.(sql|py)$"
-SCRIPT_NAME = """CASE WHEN n_chars < 200 THEN 'draft_' ELSE '' END ||
-  printf('v%03d_%s', CAST(floor(doc_id / 2) + 1 AS INTEGER), source) ||
+SCRIPT_NAME = """CASE WHEN n_chars < 200 THEN 'draft_' ELSE '' END || 'v' ||
+  CASE WHEN n_chars % 29 = 0 THEN '000' WHEN n_chars % 31 = 0 THEN '99999999999999999999'
+       ELSE printf('%03d', CAST((doc_id // 2) % 300 * 3 + 6 + n_chars % 2 AS INTEGER)) END || '_' || source ||
   CASE lang WHEN 'en' THEN '.sql' WHEN 'de' THEN '_de.sql' WHEN 'fr' THEN '.py' ELSE '-ES.sql' END"""
-SCRIPTS = f"""SELECT doc_id, {SCRIPT_NAME} AS file_name, text AS content, n_chars, source, lang FROM documents"""
-PARSED = f"""SELECT *, CASE WHEN regexp_matches(file_name, '{RUNNER_RULE}') THEN regexp_extract(file_name, '{RUNNER_RULE}', 1) END AS migration_id,
-  CASE WHEN regexp_matches(file_name, '{RUNNER_RULE}') THEN TRY_CAST(regexp_extract(file_name, '{RUNNER_RULE}', 2) AS BIGINT) END AS version,
-  regexp_extract(file_name, '(\\.[^.]*)$', 1) AS extension,
-  regexp_matches(file_name, '{RUNNER_RULE}') AS valid
-FROM ({SCRIPTS})"""
+SCRIPT_TEXT = """CASE n_chars % 17 WHEN 3 THEN ' ' || chr(10) || chr(9)
+  WHEN 5 THEN 'ALTER TABLE t ADD (a INT; ' || text
+  WHEN 7 THEN 'CREATE TABLE t (a INT); DROP SCHEMA old; ' || text
+  WHEN 9 THEN 'CREATE TABLE t (a INT) -- def run(x)' || chr(10) || text ELSE text END"""
+SCRIPTS = f"SELECT doc_id, {SCRIPT_NAME} AS file_name, {SCRIPT_TEXT} AS content, n_chars, source, lang FROM documents"
+PARSED = f"""SELECT * EXCLUDE (n), CASE WHEN n IS NOT NULL THEN regexp_extract(file_name, '{RUNNER_RULE}', 1) END AS migration_id,
+  n AS version, regexp_extract(file_name, '(\\.[^.]*)$', 1) AS extension, n IS NOT NULL AS valid
+FROM (SELECT *, TRY_CAST(nullif(regexp_extract(file_name, '{RUNNER_RULE}', 2), '') AS BIGINT) AS n FROM ({SCRIPTS}))"""
 HISTORY = f"""SELECT coalesce(f.migration_id, f.file_name) AS migration_id, f.file_name AS migration_name,
   {APPLIED_AT_SQL} AS applied_at, f.source AS applied_by,
   CASE WHEN f.file_name LIKE '%.py' THEN 'pyspark' ELSE 'sql' END AS migration_type,
@@ -350,7 +363,7 @@ SEARCH_TEXT = "lower(concat_ws('||', " + ", ".join(f"coalesce(CAST({c} AS VARCHA
 
 
 def _presence_sql() -> str:
-    vals = ", ".join(f"({q(n)})" for n in Q.PRESENCE_NEEDLES)
+    vals = ", ".join(f"({q(n)})" for n in SEARCHED_LABELS)
     return f"""
 WITH h AS (SELECT *, {SEARCH_TEXT} AS t FROM ({HISTORY})),
 n AS (SELECT * FROM (VALUES {vals}) v(needle))
@@ -360,11 +373,25 @@ SELECT needle,
 FROM n"""
 
 
+# Lint keywords, entry points and messages.
+SQL_KEYWORDS = ("CREATE", "ALTER", "DROP", "INSERT", "UPDATE", "DELETE", "ADD", "COLUMN", "TABLE", "INDEX", "VIEW", "IF")
+ENTRY_POINTS = ("def upgrade(", "def run(")
+LINT = {
+    "naming": "Invalid naming convention. Expected: vNNN_description.sql or vNNN_description.py",
+    "naming_ci": "does not follow the vNNN_description.sql naming convention.",
+    "empty": "Empty migration file",
+    "parens": "Unbalanced parentheses detected",
+    "keywords": "No recognized SQL keywords found",
+    "entry": "Missing required upgrade() or run() function",
+    "required": "must contain CREATE TABLE or ALTER TABLE statements.",
+    "forbidden": "contains a forbidden DROP DATABASE or DROP SCHEMA statement.",
+}
+
+
 def _validator_lint_sql() -> str:
-    from tidemark.operators import lint as L
     vrule = r"^v([0-9]{3})_\w+\.(sql|py)$"
-    kw = " OR ".join(f"contains(upper(content), {q(k)})" for k in L.SQL_KEYWORDS)
-    entry = " OR ".join(f"contains(content, {q(k)})" for k in L.PY_ENTRY_POINTS)
+    kw = " OR ".join(f"contains(upper(content), {q(k)})" for k in SQL_KEYWORDS)
+    entry = " OR ".join(f"contains(content, {q(k)})" for k in ENTRY_POINTS)
     empty = f"(regexp_replace(coalesce(content, ''), '{WS}+', '', 'g') = '')"
     parens = "(length(content) - length(replace(content, '(', '')) <> length(content) - length(replace(content, ')', '')))"
     sp = "[ \\t\\x{0B}\\f\\r]+"
@@ -376,7 +403,7 @@ named AS (SELECT file_name, CAST(regexp_extract(file_name, '{vrule}', 1) AS INTE
                  regexp_extract(file_name, '{vrule}', 2) AS ext
           FROM f WHERE regexp_matches(file_name, '{vrule}')),
 firsts AS (SELECT v, ext, min(file_name) AS first, count(*) AS n FROM named GROUP BY v, ext)
-SELECT file_name, 'naming' AS rule, 'ERROR' AS severity, {q(L.MSG_NAMING)} AS message FROM f
+SELECT file_name, 'naming' AS rule, 'ERROR' AS severity, {q(LINT['naming'])} AS message FROM f
   WHERE NOT (file_name LIKE '.%' OR file_name = '__pycache__') AND NOT regexp_matches(file_name, '{vrule}')
 UNION ALL
 SELECT named.file_name, 'duplicate_version', 'ERROR',
@@ -384,25 +411,25 @@ SELECT named.file_name, 'duplicate_version', 'ERROR',
   FROM named JOIN firsts ON named.v = firsts.v AND named.ext = firsts.ext
   WHERE firsts.n > 1 AND named.file_name <> firsts.first
 UNION ALL
-SELECT file_name, 'empty', 'ERROR', {q(L.MSG_EMPTY)} FROM f
+SELECT file_name, 'empty', 'ERROR', {q(LINT['empty'])} FROM f
   WHERE (file_name LIKE '%.sql' OR file_name LIKE '%.py') AND {empty}
 UNION ALL
-SELECT file_name, 'parentheses', 'ERROR', {q(L.MSG_PARENS)} FROM f
+SELECT file_name, 'parentheses', 'ERROR', {q(LINT['parens'])} FROM f
   WHERE file_name LIKE '%.sql' AND NOT {empty} AND {parens}
 UNION ALL
-SELECT file_name, 'keywords', 'WARNING', {q(L.MSG_KEYWORDS)} FROM f
+SELECT file_name, 'keywords', 'WARNING', {q(LINT['keywords'])} FROM f
   WHERE file_name LIKE '%.sql' AND NOT {empty} AND NOT ({kw})
 UNION ALL
-SELECT file_name, 'entry_point', 'WARNING', {q(L.MSG_ENTRY)} FROM f
+SELECT file_name, 'entry_point', 'WARNING', {q(LINT['entry'])} FROM f
   WHERE file_name LIKE '%.py' AND NOT {empty} AND NOT ({entry})
 UNION ALL
-SELECT file_name, 'naming_ci', 'ERROR', file_name || ' ' || {q(L.MSG_NAMING_CI)} FROM f
+SELECT file_name, 'naming_ci', 'ERROR', file_name || ' ' || {q(LINT['naming_ci'])} FROM f
   WHERE file_name LIKE '%.sql' AND NOT regexp_matches(file_name, '^v[0-9]{{3}}_[a-z0-9_]+\\.sql$')
 UNION ALL
-SELECT file_name, 'create_or_alter', 'ERROR', file_name || ' ' || {q(L.MSG_REQUIRED)} FROM f
+SELECT file_name, 'create_or_alter', 'ERROR', file_name || ' ' || {q(LINT['required'])} FROM f
   WHERE file_name LIKE '%.sql' AND NOT regexp_matches(coalesce(content, ''), '{req}')
 UNION ALL
-SELECT file_name, 'forbidden_drop', 'ERROR', file_name || ' ' || {q(L.MSG_FORBIDDEN)} FROM f
+SELECT file_name, 'forbidden_drop', 'ERROR', file_name || ' ' || {q(LINT['forbidden'])} FROM f
   WHERE file_name LIKE '%.sql' AND regexp_matches(coalesce(content, ''), '{forb}')"""
 
 
@@ -422,15 +449,41 @@ ACTUAL = " UNION ALL ".join(
 AVAILABLE = "SELECT * FROM (VALUES " + ", ".join(f"('{t}')" for t in TABLE_NAMES) + ") v(table_name)"
 
 
+# The contract as (table, since version, columns with their types).
+CONTRACT = [
+    ("region", 1, "r_regionkey int, r_name string"),
+    ("nation", 1, "n_nationkey int, n_name string, n_regionkey int"),
+    ("customer", 1, "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"),
+    ("customer", 2, "c_phone string"),
+    ("supplier", 1, "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double"),
+    ("part", 1, "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"),
+    ("orders", 1, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+     "o_totalprice double, o_orderdate date, o_orderpriority string"),
+    ("lineitem", 1, "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+     "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"),
+    ("lineitem", 2, "l_commitdate timestamp_ntz"),
+    ("events", 2, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"),
+    ("documents", 2, "doc_id bigint, text string, lang string, source string, n_chars int"),
+    ("labels", 2, "doc_id bigint, quality int, toxic boolean"),
+    ("pages", 2, "page_id bigint, url string, html string"),
+    ("conversations", 2, "conv_id bigint, turn bigint, role string, text string"),
+    ("benchmark", 2, "item_id bigint, text string"),
+    ("embeddings", 2, "vec_id bigint, embedding array<float>, label int"),
+    ("shipments", 3, "ship_id bigint, l_orderkey bigint"),
+    ("returns", 3, "return_id bigint"),
+    ("orders", 3, "o_clerk string"),
+]
+
+
 def _contract_values() -> str:
-    from tidemark.functions.types import normalize_type_name
-    rows = ", ".join(f"({q(t)}, {q(c)}, {q(normalize_type_name(ty))}, {int(v)})" for t, c, ty, v in CONTRACT)
-    return f"SELECT table_name, column_name, expected_type, CAST(since AS BIGINT) AS since_version FROM (VALUES {rows}) v(table_name, column_name, expected_type, since)"
+    rows = ", ".join(f"({q(t)}, {q(c)}, {q(ty)}, {v})" for t, v, columns in CONTRACT
+                     for c, ty in (x.split(" ") for x in columns.split(", ")))
+    return ("SELECT table_name, column_name, expected_type, CAST(since AS BIGINT) AS since_version "
+            f"FROM (VALUES {rows}) v(table_name, column_name, expected_type, since)")
 
 
 def _vnum(version: str) -> int:
-    from tidemark.functions.types import version_number_of
-    return version_number_of(version)
+    return int(version[1:])
 
 
 def presence_sql(version: str) -> str:
@@ -496,50 +549,61 @@ SELECT 'migration', '_migration_history', 'version_recorded', needle, CAST(found
 FROM f"""
 
 
-def _label(x) -> str:
-    from tidemark.operators.checks import _num
-    return _num(x)
+# Fixed values: (table, whether its rows are counted, key columns, ranges as (column, low, high)).
+RULES = [
+    ("region", True, ("r_regionkey",), []),
+    ("nation", True, ("n_nationkey", "n_regionkey"), []),
+    ("customer", True, ("c_custkey", "c_nationkey"), [("c_acctbal", "0", "10000")]),
+    ("supplier", True, ("s_suppkey", "s_nationkey"), [("s_acctbal", "0", "10000")]),
+    ("part", True, ("p_partkey",), [("p_size", "1", "50"), ("p_retailprice", "900", "2000")]),
+    ("orders", True, ("o_orderkey", "o_custkey"), [("o_totalprice", "0", "500000")]),
+    ("lineitem", True, ("l_orderkey", "l_partkey", "l_suppkey"),
+     [("l_discount", "0", "0.05"), ("l_quantity", "5", "45"), ("l_tax", "0", "0.08")]),
+    ("events", True, ("event_id", "user_id"), [("value", "0", "300")]),
+    ("documents", True, ("doc_id",), [("n_chars", "1", "20000")]),
+    ("labels", True, ("doc_id",), [("quality", "0", "1"), ("toxic", "0", "1")]),
+    ("conversations", True, ("conv_id", "turn"), [("turn", "0", "7")]),
+    ("pages", True, ("page_id",), []),
+    ("benchmark", True, ("item_id",), []),
+    ("embeddings", True, ("vec_id",), [("label", "0", "9")]),
+    ("doc_labels", False, ("doc_id", "quality", "toxic"), []),
+]
 
 
 def fused_sql() -> str:
-    sources = {t: t for t in TABLE_NAMES}
-    sources["doc_labels"] = "(SELECT d.doc_id, d.lang, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"
+    joined = "(SELECT d.doc_id, d.lang, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"
     parts = []
-    for r in RULES:
-        src = sources[r.table]
-        t = r.table
-        parts.append(f"""SELECT 'rows' AS category, '{t}' AS table_name, 'row_count' AS check_name, '{t}' AS subject,
+    for t, counted, keys, ranges in RULES:
+        src = joined if t == "doc_labels" else t
+        if counted:
+            parts.append(f"""SELECT 'rows' AS category, '{t}' AS table_name, 'row_count' AS check_name, '{t}' AS subject,
   CAST(count(*) AS BIGINT) AS observed, true AS passed,
   CASE WHEN count(*) = 0 THEN 'warning' ELSE 'info' END AS severity,
   '`{t}` row count: ' || CAST(count(*) AS VARCHAR) AS message FROM {src}""")
-        for k in r.key_columns:
-            n = f"count(*) FILTER ({k} IS NULL)"
-            parts.append(f"""SELECT 'data', '{t}', 'null_key', '{k}', CAST({n} AS BIGINT), {n} = 0,
-  CASE WHEN {n} = 0 THEN 'info' ELSE 'error' END,
-  '`{t}.{k}` null check -> ' || CAST({n} AS VARCHAR) || ' null rows' FROM {src}""")
-        for rg in r.ranges:
-            c = rg.column
-            conds = []
-            if rg.low is not None:
-                conds.append(f"{c} < CAST({rg.low!r} AS DOUBLE)")
-            if rg.high is not None:
-                conds.append(f"{c} > CAST({rg.high!r} AS DOUBLE)")
-            n = f"count(*) FILTER ({c} IS NOT NULL AND ({' OR '.join(conds)}))"
-            label = f"range [{_label(rg.low)}, {_label(rg.high)}]"
-            parts.append(f"""SELECT 'data', '{t}', '{label}', '{c}', CAST({n} AS BIGINT), {n} = 0,
+        checks = [(k, "null_key", f"{k} IS NULL", "null check", "null rows") for k in keys]
+        checks += [(c, f"range [{lo}, {hi}]", f"({c} < {lo}::DOUBLE OR {c} > {hi}::DOUBLE)", f"range [{lo}, {hi}]",
+                    "invalid rows") for c, lo, hi in ranges]
+        for c, name, bad, told, rows in checks:
+            n = f"count(*) FILTER ({bad})"
+            parts.append(f"""SELECT 'data', '{t}', '{name}', '{c}', CAST({n} AS BIGINT), {n} = 0,
   CASE WHEN {n} = 0 THEN 'info' ELSE 'error' END,
-  '`{t}.{c}` {label} -> ' || CAST({n} AS VARCHAR) || ' invalid rows' FROM {src}""")
+  '`{t}.{c}` {told} -> ' || CAST({n} AS VARCHAR) || ' {rows}' FROM {src}""")
     return "\nUNION ALL\n".join(parts)
 
 
+def with_rows(sql: str) -> str:
+    """Contract checks with the row count of their table."""
+    counts = " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in TABLE_NAMES)
+    return f"SELECT c.*, n.row_count FROM ({sql}) c LEFT JOIN ({counts}) n USING (table_name)"
+
+
 def all_checks_sql() -> str:
-    from tidemark.operators.contracts import expected_version_labels
     return "\nUNION ALL\n".join([
-        f"SELECT * FROM ({presence_sql(EXPECTED_VERSION)})",
-        f"SELECT * FROM ({columns_sql(EXPECTED_VERSION)})",
-        f"SELECT * FROM ({block_sql(EXPECTED_VERSION)})",
+        f"SELECT * FROM ({presence_sql('v002')})",
+        f"SELECT * FROM ({columns_sql('v002')})",
+        f"SELECT * FROM ({block_sql('v002')})",
         f"SELECT * FROM ({fused_sql()})",
-        f"SELECT * FROM ({history_sql(expected_version_labels(EXPECTED_VERSION), False)})",
+        f"SELECT * FROM ({history_sql(["v001", "v002"], False)})",
     ])
 
 
@@ -561,8 +625,10 @@ FROM ({all_checks_sql()})"""
 
 def _fk_sql() -> str:
     rels = [("lineitem", "l_orderkey", "orders", "o_orderkey"), ("lineitem", "l_partkey", "part", "p_partkey"),
-            ("lineitem", "l_suppkey", "supplier", "s_suppkey"), ("orders", "o_custkey", "customer", "c_custkey"),
-            ("labels", "doc_id", "documents", "doc_id"), ("customer", "c_nationkey", "nation", "n_nationkey")]
+            ("lineitem", "l_suppkey", "supplier", "s_suppkey"), ("lineitem", "l_partkey", "supplier", "s_suppkey"),
+            ("orders", "o_custkey", "customer", "c_custkey"), ("orders", "o_orderkey", "lineitem", "l_orderkey"),
+            ("labels", "doc_id", "documents", "doc_id"), ("documents", "doc_id", "labels", "doc_id"),
+            ("customer", "c_nationkey", "nation", "n_nationkey")]
     parts = []
     for c, cc, p, pc in rels:
         parts.append(f"""SELECT '{c}' AS child_table, '{cc}' AS child_column, '{p}' AS parent_table, '{pc}' AS parent_column,
@@ -583,10 +649,17 @@ GROUP BY CAST({c} AS VARCHAR)""")
     return "\nUNION ALL\n".join(parts)
 
 
+KEYED_COLUMNS = """
+SELECT 'sales' AS schema_name, 'order' || CAST(o_orderkey AS VARCHAR) AS table_name,
+  'k' || CAST(o_orderkey AS VARCHAR) AS constraint_name,
+  CASE WHEN o_orderpriority = '1-URGENT' THEN 'PRIMARY KEY' ELSE 'UNIQUE' END AS constraint_type,
+  'part' || CAST(l_partkey AS VARCHAR) AS column_name, l_linenumber AS ordinal_position
+FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderpriority = '1-URGENT' OR o_orderstatus <> 'P'"""
+
+
 def oracle_sql() -> dict[str, str]:
-    from tidemark.operators.contracts import expected_version_labels
     fused = fused_sql()
-    hist4 = expected_version_labels("v004")
+    hist4 = ["v001", "v002", "v003", "v004"]
     sql = {
         "row_counts": f"SELECT table_name, observed AS row_count, severity FROM ({fused}) WHERE check_name = 'row_count'",
         "null_counts": f"SELECT table_name, subject AS column_name, observed AS null_rows, passed FROM ({fused}) WHERE check_name = 'null_key'",
@@ -606,17 +679,18 @@ SELECT 'lineitem', CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VA
   CAST(l_quantity AS DOUBLE), CAST(5.0 AS DOUBLE), CAST(45.0 AS DOUBLE),
   CASE WHEN l_quantity < 5.0 THEN 'below' ELSE 'above' END
 FROM lineitem WHERE l_quantity IS NOT NULL AND (l_quantity < 5.0 OR l_quantity > 45.0)""",
-        "table_presence": f"SELECT table_name, passed, message FROM ({presence_sql('v003')})",
-        "schema_conformance": f"SELECT table_name, subject AS column_name, passed, message FROM ({columns_sql(EXPECTED_VERSION)})",
+        "table_presence": f"SELECT table_name, passed, message, row_count FROM ({with_rows(presence_sql('v003'))})",
+        "schema_conformance": f"SELECT table_name, subject AS column_name, passed, message, row_count FROM ({with_rows(columns_sql('v002'))})",
         "version_gate": f"""
 WITH v AS (SELECT DISTINCT TRY_CAST(regexp_extract(migration_name, '{RUNNER_RULE}', 2) AS BIGINT) AS version
            FROM ({HISTORY}) WHERE status = 'success' AND regexp_matches(migration_name, '{RUNNER_RULE}')),
 c AS ({_contract_values()})
 SELECT v.version, CAST(count(DISTINCT c.table_name) AS BIGINT) AS required_tables,
-  CAST(count(*) AS BIGINT) AS required_columns
-FROM v JOIN c ON c.since_version <= v.version WHERE v.version IS NOT NULL GROUP BY v.version""",
-        "version_block": (f"SELECT 'v002' AS expected_version, table_name, check_name, subject, passed, message FROM ({block_sql('v002')}) "
-                          f"UNION ALL SELECT 'v003', table_name, check_name, subject, passed, message FROM ({block_sql('v003')})"),
+  CAST(count(c.table_name) AS BIGINT) AS required_columns
+FROM v LEFT JOIN c ON c.since_version <= v.version WHERE v.version IS NOT NULL GROUP BY v.version""",
+        "version_block": "\nUNION ALL\n".join(
+            f"SELECT '{v}' AS expected_version, table_name, check_name, subject, passed, message, row_count "
+            f"FROM ({with_rows(block_sql(v))})" for v in ("v002", "v003")),
         "history_checks": (f"SELECT 'loose' AS mode, check_name, subject, passed, message FROM ({history_sql(hist4, False)}) "
                            f"UNION ALL SELECT 'strict', check_name, subject, passed, message FROM ({history_sql(hist4, True)})"),
         "check_results": all_checks_sql(),
@@ -629,6 +703,7 @@ FROM (SELECT 'document' AS kind, doc_id AS object_id, text AS body FROM document
       UNION ALL SELECT 'page', page_id, html FROM pages)""",
         "object_drift": OBJECT_DRIFT,
         "column_drift": COLUMN_DRIFT,
+        "column_differences": COLUMN_DIFFERENCES,
         "table_drift": TABLE_DRIFT,
         "drift_summary": DRIFT_SUMMARY,
         "drift_verdict": DRIFT_VERDICT,
@@ -637,32 +712,43 @@ FROM (SELECT 'document' AS kind, doc_id AS object_id, text AS body FROM document
         "raw_hash_diff": RAW_HASH_DIFF,
         "artifact_manifest": f"SELECT relative_path, object_type, qualified_name, sha256 FROM ({ARTIFACTS})",
         "manifest_counts": f"SELECT object_type, CAST(count(*) AS BIGINT) AS object_count FROM ({ARTIFACTS}) GROUP BY object_type",
+        "names_per_type": f"""SELECT object_type, qualified_name,
+  CAST(count(*) OVER (PARTITION BY object_type) AS BIGINT) AS object_count FROM ({ARTIFACTS})""",
         "bundle_hash": BUNDLE_HASH,
         "render_definition": _render_sql(),
         "definition_lines": _definition_lines_sql(),
         "parse_definition_columns": _parse_sql(),
+        "unparsed_definitions": """
+SELECT 'c' || CAST(o_custkey AS VARCHAR) || '.order' || CAST(o_orderkey AS VARCHAR) AS qualified_name,
+  CASE o_orderkey % 10 WHEN 7 THEN 'no CREATE TABLE' ELSE 'no list of columns after the table name' END AS error
+FROM orders WHERE o_orderkey % 10 IN (3, 7)""",
         "normalize_module": _normalize_module_sql(),
         "catalog_drift": f"""
 SELECT 'tables' AS category, 'c' || CAST(o_custkey AS VARCHAR) || '.order' || CAST(o_orderkey AS VARCHAR) AS name,
   CASE WHEN o_orderstatus = 'P' THEN 'removed' WHEN o_orderstatus = 'F' THEN 'modified'
        WHEN o_orderpriority LIKE '2%' THEN 'modified' ELSE 'unchanged' END AS status,
   CASE WHEN o_orderstatus = 'P' THEN {q(DETAIL_REMOVED)} WHEN o_orderstatus = 'F' THEN {q(DETAIL_CHANGED)}
-       WHEN o_orderpriority LIKE '2%' THEN {q(DETAIL_CHANGED + '; ' + DETAIL_NO_COLUMN_CHANGE)}
+       WHEN o_orderpriority LIKE '2%' THEN {q(DETAIL_NO_COLUMN)}
        ELSE {q(DETAIL_SAME)} END AS details
 FROM orders""",
-        "keyed_columns": """
-SELECT 'c' || CAST(o_custkey AS VARCHAR) AS schema_name, 'order' || CAST(o_orderkey AS VARCHAR) AS table_name,
-  'k' || CAST(o_orderkey AS VARCHAR) AS constraint_name,
-  CASE WHEN o_orderpriority = '1-URGENT' THEN 'PRIMARY KEY' ELSE 'UNIQUE' END AS constraint_type,
-  'part' || CAST(l_partkey AS VARCHAR) AS column_name, l_linenumber AS ordinal_position
-FROM orders JOIN lineitem ON l_orderkey = o_orderkey""",
+        "keyed_columns": KEYED_COLUMNS,
+        "ordered_keys": f"""SELECT table_name, constraint_name, constraint_type,
+  string_agg(column_name, ', ' ORDER BY ordinal_position, column_name) AS columns
+FROM ({KEYED_COLUMNS}) GROUP BY ALL""",
         "module_join": """
-SELECT r_name AS schema_name, n_name AS object_name, c_name AS module_name, c_mktsegment AS kind
+SELECT r_name AS schema_name, n_name AS object_name,
+  CASE n_nationkey % 3 WHEN 0 THEN 'V' ELSE 'P' END AS object_type, c_name AS definition
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-WHERE c_mktsegment IN ('BUILDING', 'MACHINERY', 'AUTOMOBILE') AND r_name NOT IN ('MIDDLE EAST')""",
+WHERE n_nationkey % 3 < 2 AND r_name <> 'MIDDLE EAST'""",
         "attach_children": """
 SELECT l_orderkey AS o_orderkey, CAST(count(*) AS BIGINT) AS n_columns FROM lineitem
-WHERE l_orderkey IN (SELECT o_orderkey FROM orders) GROUP BY l_orderkey""",
+WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P') GROUP BY l_orderkey""",
+        "assembly_errors": """
+SELECT source AS schema_name, CAST(doc_id AS VARCHAR) AS object_name, 'view without text' AS error FROM documents
+WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic IS DISTINCT FROM 1)
+UNION ALL
+SELECT 'sales', CAST(o_orderkey AS VARCHAR), 'table without columns' FROM orders
+WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_orderkey IS NOT NULL)""",
         "orphans": """
 SELECT 'document_without_label' AS kind, doc_id AS object_id FROM documents
 WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)
@@ -671,14 +757,13 @@ SELECT 'order_without_lines', o_orderkey FROM orders
 WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_orderkey IS NOT NULL)""",
         "resolve_paths": f"""
 WITH o AS ({BASE_OBJ}),
-m AS (SELECT {DOC_NAME} AS qualified_name, lang AS object_type,
-             'manifest/' || lang || '/' || CAST(doc_id AS VARCHAR) || '.sql' AS mpath
-      FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1))
+m AS (SELECT {DOC_NAME} AS name, 'manifest/' || lang || '/' || CAST(doc_id AS VARCHAR) || '.sql' AS mpath,
+             lang AS category
+      FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)),
+clean AS (SELECT {DOC_NAME} AS name FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1))
 SELECT o.category, o.name, coalesce(m.mpath, o.category || '/' || {sanitize('o.name')} || '.sql') AS resolved_path,
-  m.mpath IS NOT NULL AS from_manifest
-FROM o LEFT JOIN m ON o.name = m.qualified_name
-  AND (CASE o.category WHEN 'tables' THEN 'table' WHEN 'views' THEN 'view' WHEN 'procedures' THEN 'procedure'
-       ELSE o.category END) = m.object_type""",
+  m.mpath IS NOT NULL AS from_manifest, o.name IN (SELECT name FROM clean) AS found
+FROM o LEFT JOIN m ON o.name = m.name AND o.category = m.category""",
         "migration_files": f"SELECT file_name, migration_id, version, extension, valid FROM ({PARSED})",
         "migration_pending": f"SELECT file_name, migration_id, version FROM ({PENDING})",
         "migration_skipped": f"SELECT file_name FROM ({PARSED}) WHERE file_name LIKE '%.sql' AND NOT valid",
@@ -700,28 +785,27 @@ GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
         "fk_orphans": _fk_sql(),
         "accepted_values": _accepted_sql(),
         "cross_column": """
-WITH l AS (SELECT l_orderkey, sum(l_extendedprice * (1 + l_tax) * (1 - l_discount)) AS charged FROM lineitem GROUP BY l_orderkey)
-SELECT 'order_total_vs_lines' AS rule, CAST(count(*) AS BIGINT) AS checked_orders,
-  CAST(count(*) FILTER (abs(o_totalprice - charged) > 0.01) AS BIGINT) AS violations
-FROM orders JOIN l ON o_orderkey = l_orderkey""",
+WITH l AS (SELECT l_orderkey, sum(l_extendedprice::DECIMAL(28,6)) AS s FROM lineitem GROUP BY l_orderkey)
+SELECT 'order_total_vs_lines' AS rule, CAST(count(s) AS BIGINT) AS checked_rows,
+  CAST(count(*) FILTER (s IS NULL) AS BIGINT) AS without_children,
+  CAST(count(*) FILTER (abs(o_totalprice::DECIMAL(28,6) - s) > 100000) AS BIGINT) AS violations
+FROM orders LEFT JOIN l ON o_orderkey = l_orderkey""",
         "column_agreement": """
 SELECT 'documents' AS table_name, CAST(count(*) AS BIGINT) AS checked_rows, 'n_chars_is_text_length' AS rule,
-  CAST(count(*) FILTER (length(text) IS NOT NULL AND n_chars IS NOT NULL
-                        AND abs(length(text) - CAST(n_chars AS DOUBLE)) > 0.0) AS BIGINT) AS violations
-FROM documents
+  CAST(count(*) FILTER (length(text) <> n_chars) AS BIGINT) AS violations FROM documents
+UNION ALL
+SELECT 'documents', CAST(count(*) AS BIGINT), 'n_chars_is_text_bytes',
+  CAST(count(*) FILTER (strlen(text) <> n_chars) AS BIGINT) FROM documents
 UNION ALL
-SELECT 'lineitem', CAST(count(*) AS BIGINT), 'tax_below_discount_cap',
-  CAST(count(*) FILTER (l_tax IS NOT NULL AND abs(l_tax - least(l_tax, 0.08::DOUBLE)) > 0.0) AS BIGINT)
-FROM lineitem
+SELECT 'lineitem', CAST(count(*) AS BIGINT), 'tax_capped',
+  CAST(count(*) FILTER (l_tax > 0.05::DOUBLE) AS BIGINT) FROM lineitem
 UNION ALL
 SELECT 'lineitem', CAST(count(*) AS BIGINT), 'price_per_unit_under_2000',
-  CAST(count(*) FILTER (l_extendedprice / l_quantity IS NOT NULL
-    AND abs(l_extendedprice / l_quantity - least(l_extendedprice / l_quantity, 2000.0::DOUBLE)) > 0.0) AS BIGINT)
-FROM lineitem""",
+  CAST(count(*) FILTER (l_extendedprice / l_quantity > 2000.0::DOUBLE) AS BIGINT) FROM lineitem""",
         "version_gaps": f"""
 WITH v AS (SELECT DISTINCT TRY_CAST(regexp_extract(migration_name, '{RUNNER_RULE}', 2) AS BIGINT) AS v
            FROM ({HISTORY}) WHERE status = 'success' AND regexp_matches(migration_name, '{RUNNER_RULE}'))
-SELECT CAST(v + 1 AS BIGINT) AS missing_from FROM v
-WHERE v IS NOT NULL AND v + 1 NOT IN (SELECT v FROM v WHERE v IS NOT NULL) AND v < (SELECT max(v) FROM v)""",
+SELECT * FROM (SELECT lag(v, 1, 0) OVER (ORDER BY v) + 1 AS gap_from, v - 1 AS gap_to FROM v WHERE v >= 1)
+WHERE gap_from <= gap_to""",
     }
     return sql

@@ -17,11 +17,11 @@ from pyspark.sql import types as T
 
 from tidemark.functions.hashing import bundle_hash_tree
 from tidemark.functions.text import is_executable, normalize_definition
-from tidemark.operators import checks, contracts, drift, lint, migrations, render, search
-from tidemark.operators import integrity
+from tidemark.operators import assembly, checks, contracts, drift, integrity, lint, migrations, render, search
 from tidemark.plans import mapping as M
 from tidemark.plans.contract import CONTRACT, EXPECTED_VERSION, RULES
 from tidemark.sources.catalog import actual_columns, available_tables
+from tidemark.sources.corpus import resolve_paths
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,26 +38,22 @@ def _tables(spark, sf_dir):
     return t, t_checks
 
 
-def _fused(spark, sf_dir):
+def _fused(spark, sf_dir, kinds=(checks.ROWS, checks.NULLS, checks.RANGES)):
     _, t_checks = _tables(spark, sf_dir)
-    return checks.fused_checks(t_checks, RULES)
+    return checks.fused_checks(t_checks, RULES, kinds)
 
 
 def q_row_counts(spark, sf_dir):
-    r = _fused(spark, sf_dir)
-    return r.filter(F.col("check_name") == "row_count").select(
-        "table_name", F.col("observed").alias("row_count"), "severity")
+    return _fused(spark, sf_dir, (checks.ROWS,)).select("table_name", F.col("observed").alias("row_count"), "severity")
 
 
 def q_null_counts(spark, sf_dir):
-    r = _fused(spark, sf_dir)
-    return r.filter(F.col("check_name") == "null_key").select(
+    return _fused(spark, sf_dir, (checks.NULLS,)).select(
         "table_name", F.col("subject").alias("column_name"), F.col("observed").alias("null_rows"), "passed")
 
 
 def q_range_violations(spark, sf_dir):
-    r = _fused(spark, sf_dir)
-    return r.filter(F.col("check_name").startswith("range")).select(
+    return _fused(spark, sf_dir, (checks.RANGES,)).select(
         "table_name", F.col("subject").alias("column_name"), F.col("check_name").alias("rule"),
         F.col("observed").alias("invalid_rows"), "passed", "message")
 
@@ -75,22 +71,28 @@ def q_range_violation_rows(spark, sf_dir):
     return cust.unionByName(line)
 
 
-def _contract_inputs(spark, sf_dir, expected_version=EXPECTED_VERSION):
+def _contract_checks(spark, sf_dir, expected_version=EXPECTED_VERSION):
     t = M.load_all(spark, sf_dir)
-    full = contracts.contract_frame(spark, CONTRACT)
-    return t, full, contracts.gate(full, expected_version)
+    return contracts.contract_checks(contracts.contract_frame(spark, CONTRACT), actual_columns(spark, t),
+                                     available_tables(spark, t), expected_version)
+
+
+def _with_rows(spark, sf_dir, rows):
+    """Contract checks with the row count of the table they are about (null
+    for a table that is not there)."""
+    counts = _fused(spark, sf_dir, (checks.ROWS,)).select("table_name", F.col("observed").alias("row_count"))
+    return rows.join(counts, "table_name", "left")
 
 
 def q_table_presence(spark, sf_dir):
-    t, _, contract = _contract_inputs(spark, sf_dir, "v003")
-    presence = contracts.table_presence(contract, available_tables(spark, t))
-    return presence.select("table_name", "passed", "message")
+    rows = _contract_checks(spark, sf_dir, "v003").filter(F.col("category") == "tables")
+    return _with_rows(spark, sf_dir, rows).select("table_name", "passed", "message", "row_count")
 
 
 def q_schema_conformance(spark, sf_dir):
-    t, _, contract = _contract_inputs(spark, sf_dir)
-    columns = contracts.column_conformance(contract, actual_columns(spark, t), available_tables(spark, t))
-    return columns.select("table_name", F.col("subject").alias("column_name"), "passed", "message")
+    rows = _contract_checks(spark, sf_dir).filter(F.col("category") == "columns")
+    return _with_rows(spark, sf_dir, rows).select(
+        "table_name", F.col("subject").alias("column_name"), "passed", "message", "row_count")
 
 
 def q_version_gate(spark, sf_dir):
@@ -103,12 +105,10 @@ def q_version_gate(spark, sf_dir):
 
 
 def q_version_block(spark, sf_dir):
-    t, full, _ = _contract_inputs(spark, sf_dir)
-    actual, avail = actual_columns(spark, t), available_tables(spark, t)
-    parts = [contracts.version_block(full, actual, avail, v).withColumn("expected_version", F.lit(v))
-             for v in ("v002", "v003")]
-    return parts[0].unionByName(parts[1]).select(
-        "expected_version", "table_name", "check_name", "subject", "passed", "message")
+    parts = [_contract_checks(spark, sf_dir, v).filter(F.col("category") == "version")
+             .withColumn("expected_version", F.lit(v)) for v in ("v002", "v003")]
+    return _with_rows(spark, sf_dir, parts[0].unionByName(parts[1])).select(
+        "expected_version", "table_name", "check_name", "subject", "passed", "message", "row_count")
 
 
 def q_history_checks(spark, sf_dir):
@@ -117,14 +117,9 @@ def q_history_checks(spark, sf_dir):
 
 
 def _all_check_rows(spark, sf_dir):
-    t, full, contract = _contract_inputs(spark, sf_dir)
-    actual, avail = actual_columns(spark, t), available_tables(spark, t)
-    presence = contracts.table_presence(contract, avail)
-    columns = contracts.column_conformance(contract, actual, avail)
-    block = contracts.version_block(full, actual, avail, EXPECTED_VERSION)
-    h = M.history(spark, sf_dir)
-    hist = contracts.history_checks(h, contracts.expected_version_labels(EXPECTED_VERSION), spark=spark)
-    return reduce(lambda a, b: a.unionByName(b), [presence, columns, block, _fused(spark, sf_dir), hist])
+    hist = contracts.history_checks(M.history(spark, sf_dir), contracts.expected_version_labels(EXPECTED_VERSION),
+                                    spark=spark)
+    return reduce(lambda a, b: a.unionByName(b), [_contract_checks(spark, sf_dir), _fused(spark, sf_dir), hist])
 
 
 def q_check_results(spark, sf_dir):
@@ -144,9 +139,9 @@ def q_verdict(spark, sf_dir):
 # --------------------------------------------------------------------------
 
 def q_definition_normalize(spark, sf_dir):
-    d = M.load_spread(spark, sf_dir, "documents").select(
+    d = M.load(spark, sf_dir, "documents").select(
         F.lit("document").alias("kind"), F.col("doc_id").alias("object_id"), F.col("text").alias("body"))
-    p = M.load_spread(spark, sf_dir, "pages").select(
+    p = M.load(spark, sf_dir, "pages").select(
         F.lit("page").alias("kind"), F.col("page_id").alias("object_id"), F.col("html").alias("body"))
     u = d.unionByName(p)
     norm = normalize_definition(F.col("body"))
@@ -164,9 +159,21 @@ def q_object_drift(spark, sf_dir):
     return _object_drift(spark, sf_dir)
 
 
+def _column_drift(spark, sf_dir):
+    modified = _table_drift(spark, sf_dir).filter(F.col("status") == "modified")
+    return drift.column_drift(M.baseline_columns(spark, sf_dir), M.live_columns(spark, sf_dir), modified)
+
+
 def q_column_drift(spark, sf_dir):
-    l, r = M.baseline_columns(spark, sf_dir), M.live_columns(spark, sf_dir)
-    return drift.column_drift(l, r)
+    return _column_drift(spark, sf_dir)
+
+
+def q_column_differences(spark, sf_dir):
+    """The sorted column differences of each modified table, as one text."""
+    lists = drift.column_differences_per_object(_column_drift(spark, sf_dir))
+    return lists.select("name", F.size("column_differences").alias("differences"), F.expr(
+        "array_join(transform(column_differences, d -> concat_ws(' ', d.status, d.column_name)), '; ')")
+        .alias("listing"))
 
 
 def _table_drift(spark, sf_dir):
@@ -177,26 +184,32 @@ def q_table_drift(spark, sf_dir):
     return _table_drift(spark, sf_dir)
 
 
-# Categories the summary always lists, even with no object.
-SUMMARY_CATEGORIES = ("de", "en", "es", "fr", "tables", "views", "procedures")
+# Categories the summary always lists, even with no object; others (fr, es,
+# views) are listed because they occur.
+SUMMARY_CATEGORIES = ("de", "en", "tables", "procedures")
 
 
-def _summary(spark, sf_dir):
+def _statuses(spark, sf_dir):
+    """``category, status`` of every object and table."""
     objs = _object_drift(spark, sf_dir).select("category", "status")
-    tabs = _table_drift(spark, sf_dir).select(F.lit("tables").alias("category"), "status")
-    return drift.drift_summary(objs.unionByName(tabs), SUMMARY_CATEGORIES)
+    return objs.unionByName(_table_drift(spark, sf_dir).select(F.lit("tables").alias("category"), "status"))
 
 
 def q_drift_summary(spark, sf_dir):
-    return _summary(spark, sf_dir)
+    return drift.drift_summary(_statuses(spark, sf_dir), SUMMARY_CATEGORIES)
 
 
 def q_drift_verdict(spark, sf_dir):
-    return drift.drift_verdict(_summary(spark, sf_dir))
+    return drift.drift_verdict(_statuses(spark, sf_dir))
 
 
 def q_drift_recommendations(spark, sf_dir):
-    return drift.recommendations(_summary(spark, sf_dir))
+    """What to do about the live side, and about the baseline against itself."""
+    base = M.baseline_objects(spark, sf_dir)
+    same = drift.object_drift(base, base).select("category", "status")
+    parts = [drift.recommendations(rows).withColumn("compared", F.lit(name))
+             for name, rows in (("live", _statuses(spark, sf_dir)), ("itself", same))]
+    return parts[0].unionByName(parts[1])
 
 
 # Ignore globs of the ignore query.
@@ -230,10 +243,14 @@ def q_manifest_counts(spark, sf_dir):
 
 
 def q_bundle_hash(spark, sf_dir):
+    return bundle_hash_tree(M.doc_artifacts(spark, sf_dir), ["object_type"], total="*")
+
+
+def q_names_per_type(spark, sf_dir):
+    """The manifest's names by type, with how many there are."""
     arts = M.doc_artifacts(spark, sf_dir)
-    per_type = bundle_hash_tree(arts, ["object_type"])
-    overall = bundle_hash_tree(arts.withColumn("object_type", F.lit("*")), ["object_type"])
-    return per_type.unionByName(overall)
+    names = render.manifest_files(arts).select("object_type", "qualified_name")
+    return names.join(render.manifest_counts(arts), "object_type")
 
 
 def q_render_definition(spark, sf_dir):
@@ -243,7 +260,7 @@ def q_render_definition(spark, sf_dir):
 
 def q_definition_lines(spark, sf_dir):
     o = M.load(spark, sf_dir, "orders")
-    li = M.load_spread(spark, sf_dir, "lineitem")
+    li = M.load(spark, sf_dir, "lineitem")
     tables = o.select(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("schema_name"),
                       F.concat(F.lit("order"), F.col("o_orderkey").cast("string")).alias("table_name"))
     typ = (F.when(F.col("l_returnflag") == "R", F.lit("nvarchar"))
@@ -270,95 +287,134 @@ def q_parse_definition_columns(spark, sf_dir):
         "qualified_name", "column_name", "ordinal", "type_sql", "column_definition")
 
 
-def _rendered(spark, sf_dir, live):
-    defs = M.order_table_texts(spark, sf_dir, live=live)
-    objs = defs.select(F.lit("tables").alias("category"), F.col("qualified_name").alias("name"),
-                       "definition", F.lit(None).cast("string").alias("relative_path"))
-    cols = render.parse_definition_columns(defs).select(
-        F.col("qualified_name").alias("name"), "column_name", F.col("ordinal").cast("bigint").alias("ordinal"),
-        "type_sql", F.col("column_definition").alias("definition"))
-    return objs, cols
+def q_unparsed_definitions(spark, sf_dir):
+    """Definitions that lost their head or their opening parenthesis, found
+    among those that are whole."""
+    defs = M.order_table_texts(spark, sf_dir)
+    end, text = F.substring("qualified_name", -1, 1), F.col("definition")
+    broken = (F.when(end == "7", F.replace(text, F.lit("CREATE TABLE"), F.lit("TABLE")))
+              .when(end == "3", F.regexp_replace(text, r"\] \(\n", "]\n")).otherwise(text))
+    return render.unparsed_definitions(defs.withColumn("definition", broken))
+
+
+def _texts(spark, sf_dir, live, only=None):
+    return M.order_table_texts(spark, sf_dir, live=live, only=only).select(
+        F.lit("tables").alias("category"), F.col("qualified_name").alias("name"), "definition",
+        F.lit(None).cast("string").alias("relative_path"))
+
+
+def _text_columns(spark, sf_dir, live, only):
+    cols = render.parse_definition_columns(_texts(spark, sf_dir, live, only), key_cols=("name",))
+    return cols.select("name", "column_name", F.col("ordinal").cast("bigint").alias("ordinal"), "type_sql",
+                       F.col("column_definition").alias("definition"))
 
 
 def q_catalog_drift(spark, sf_dir):
-    """Two rendered catalogs compared: object drift on the normalized
-    definitions, with the column differences parsed back from the
-    definitions attached (a changed table without one gets the second
-    detail line)."""
-    lo, lc = _rendered(spark, sf_dir, live=False)
-    ro, rc = _rendered(spark, sf_dir, live=True)
-    changes = drift.table_drift(lc, rc).select("name", "n_column_differences")
-    return drift.object_drift(lo, ro, changes).select("category", "name", "status", "details")
+    """Two rendered catalogs compared: objects by the digest of their
+    definition first; only the definitions that differ are read back, and the
+    number of their column differences decides the second detail line."""
+    left, right = (_texts(spark, sf_dir, live) for live in (False, True))
+    modified = drift.object_drift(left, right).filter(F.col("status") == "modified").select("name")
+    changes = drift.table_drift(*(_text_columns(spark, sf_dir, live, modified) for live in (False, True)))
+    return drift.object_drift(left, right, changes).select("category", "name", "status", "details")
 
 
 def q_normalize_module(spark, sf_dir):
     return render.normalize_module(M.modules(spark, sf_dir))
 
 
-def q_keyed_columns(spark, sf_dir):
-    """Key constraints joined to their key columns (lineitems of an order as
-    the key columns of the order's constraint), one row per key column."""
-    o = M.load(spark, sf_dir, "orders")
-    li = M.load_spread(spark, sf_dir, "lineitem")
-    cons = o.select(
-        F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("schema_name"),
-        F.concat(F.lit("order"), F.col("o_orderkey").cast("string")).alias("table_name"),
-        F.concat(F.lit("k"), F.col("o_orderkey").cast("string")).alias("constraint_name"),
-        F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("PRIMARY KEY")).otherwise(F.lit("UNIQUE"))
-        .alias("constraint_type"))
-    keys = li.join(o.select("o_orderkey", "o_custkey"), li.l_orderkey == o.o_orderkey).select(
-        F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("schema_name"),
-        F.concat(F.lit("order"), F.col("l_orderkey").cast("string")).alias("table_name"),
-        F.concat(F.lit("k"), F.col("l_orderkey").cast("string")).alias("constraint_name"),
-        F.concat(F.lit("part"), F.col("l_partkey").cast("string")).alias("column_name"),
+def _constraint_names(key):
+    order = F.concat(F.lit("order"), F.col(key).cast("string"))
+    return [F.lit("main").alias("constraint_catalog"), F.lit("sales").alias("constraint_schema"),
+            F.concat(F.lit("k"), F.col(key).cast("string")).alias("constraint_name"),
+            F.lit("sales").alias("schema_name"), order.alias("table_name")]
+
+
+def _key_columns(spark, sf_dir):
+    """Constraints (orders; cancelled ones are checks and no keys) and the
+    columns they use (lineitems)."""
+    kind = (F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("PRIMARY KEY"))
+            .when(F.col("o_orderstatus") == "P", F.lit("CHECK")).otherwise(F.lit("UNIQUE")))
+    cons = M.load(spark, sf_dir, "orders").select(*_constraint_names("o_orderkey"), kind.alias("constraint_type"))
+    usage = M.load(spark, sf_dir, "lineitem").select(
+        *_constraint_names("l_orderkey"), F.concat(F.lit("part"), F.col("l_partkey").cast("string")).alias("column_name"),
         F.col("l_linenumber").alias("ordinal_position"))
-    return cons.join(keys, ["schema_name", "table_name", "constraint_name"])
+    return assembly.key_columns(cons, usage)
+
+
+def q_keyed_columns(spark, sf_dir):
+    """Key constraints joined to their key columns, one row per key column."""
+    return _key_columns(spark, sf_dir)
+
+
+def q_ordered_keys(spark, sf_dir):
+    """One row per key with its columns in order."""
+    keys = render.constraint_columns_ordered(_key_columns(spark, sf_dir))
+    return keys.select("table_name", "constraint_name", "constraint_type", F.array_join("columns", ", ").alias("columns"))
 
 
 def q_module_join(spark, sf_dir):
-    """Modules (customers) joined to their objects (nations) and schemas
-    (regions); system schema and non-module kinds filtered out."""
-    c = M.load(spark, sf_dir, "customer")
-    n = M.load(spark, sf_dir, "nation")
-    r = M.load(spark, sf_dir, "region")
-    j = (c.filter(F.col("c_mktsegment").isin("BUILDING", "MACHINERY", "AUTOMOBILE"))
-         .join(n, c.c_nationkey == n.n_nationkey)
-         .join(r, n.n_regionkey == r.r_regionkey)
-         .filter(~F.col("r_name").isin("MIDDLE EAST")))
-    return j.select(F.col("r_name").alias("schema_name"), F.col("n_name").alias("object_name"),
-                    F.col("c_name").alias("module_name"), F.col("c_mktsegment").alias("kind"))
+    """Modules (customers) with their objects (nations, of kinds V, P and U)
+    and schemas (regions, one of which counts as the system's)."""
+    c, n, r = (M.load(spark, sf_dir, t) for t in ("customer", "nation", "region"))
+    kind = F.element_at(F.array(*map(F.lit, ("V", "P", "U"))), (F.col("n_nationkey") % 3 + 1).cast("int"))
+    return assembly.module_texts(
+        c.select(F.col("c_nationkey").alias("object_id"), F.col("c_name").alias("definition")),
+        n.select(F.col("n_nationkey").alias("object_id"), F.col("n_regionkey").alias("schema_id"),
+                 F.col("n_name").alias("object_name"), kind.alias("object_type")),
+        r.select(F.col("r_regionkey").alias("schema_id"), F.col("r_name").alias("schema_name")),
+        system=("MIDDLE EAST",))
 
 
 def q_attach_children(spark, sf_dir):
-    o = M.load(spark, sf_dir, "orders")
-    li = M.load(spark, sf_dir, "lineitem")
-    per_order = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).cast("bigint").alias("n_columns"))
-    return (per_order.join(o.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
-            .withColumnRenamed("l_orderkey", "o_orderkey"))
+    o = M.load(spark, sf_dir, "orders").filter(F.col("o_orderstatus") != "P")
+    li = M.load(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    return assembly.children_of(li, o, ["o_orderkey"]).groupBy("o_orderkey").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_columns"))
 
 
 def q_orphans(spark, sf_dir):
-    d = M.load(spark, sf_dir, "documents")
-    lab = M.load(spark, sf_dir, "labels")
-    o = M.load(spark, sf_dir, "orders")
-    li = M.load(spark, sf_dir, "lineitem")
-    unlabeled = d.join(lab, "doc_id", "left_anti").select(
-        F.lit("document_without_label").alias("kind"), F.col("doc_id").alias("object_id"))
-    empty = o.join(li.select(F.col("l_orderkey").alias("o_orderkey")).distinct(), "o_orderkey", "left_anti") \
-        .select(F.lit("order_without_lines").alias("kind"), F.col("o_orderkey").alias("object_id"))
+    d, lab, o, li = (M.load(spark, sf_dir, t) for t in ("documents", "labels", "orders", "lineitem"))
+    unlabeled = assembly.missing_parts(d, lab, ["doc_id"], "document_without_label").select(
+        F.col("error").alias("kind"), F.col("doc_id").alias("object_id"))
+    empty = assembly.missing_parts(o, li.withColumnRenamed("l_orderkey", "o_orderkey"), ["o_orderkey"],
+                                   "order_without_lines").select(F.col("error").alias("kind"),
+                                                                 F.col("o_orderkey").alias("object_id"))
     return unlabeled.unionByName(empty)
 
 
+def q_assembly_errors(spark, sf_dir):
+    """Views (documents) that no module (labelled ones; toxic ones are
+    procedures) defines, and tables (orders) without columns (lineitems)."""
+    d, lab, o, li = (M.load(spark, sf_dir, t) for t in ("documents", "labels", "orders", "lineitem"))
+
+    def names(df, schema, key, name):
+        return df.select(schema.alias("schema_name"), F.col(key).cast("string").alias(name))
+
+    modules = names(d.join(lab, "doc_id"), F.col("source"), "doc_id", "object_name").join(
+        lab.select(F.col("doc_id").cast("string").alias("object_name"),
+                   F.when(F.col("toxic") == 1, F.lit("P")).otherwise(F.lit("V")).alias("object_type")), "object_name")
+    views = assembly.views_without_text(names(d, F.col("source"), "doc_id", "object_name"), modules)
+    tables = assembly.tables_without_columns(names(o, F.lit("sales"), "o_orderkey", "table_name"),
+                                             names(li, F.lit("sales"), "l_orderkey", "table_name"))
+    return views.unionByName(tables.withColumnRenamed("table_name", "object_name"))
+
+
 def q_resolve_paths(spark, sf_dir):
-    from tidemark.sources.corpus import resolve_paths
+    """Paths by a manifest that lists good documents twice; the files of toxic
+    ones, and those that the manifest names without a label, are not there."""
     objs = M.baseline_objects(spark, sf_dir)
     d = M.load(spark, sf_dir, "documents")
-    lab = M.load(spark, sf_dir, "labels").filter(F.col("quality") == 1)
-    manifest = d.join(lab, "doc_id", "left_semi").select(
+    lab = M.load(spark, sf_dir, "labels")
+    listed = d.join(lab.filter(F.col("quality") == 1), "doc_id", "left_semi").select(
         M.doc_name().alias("qualified_name"), F.col("lang").alias("object_type"),
-        F.concat(F.lit("manifest/"), F.col("lang"), F.lit("/"), F.col("doc_id").cast("string"),
-                 F.lit(".sql")).alias("relative_path"))
-    return resolve_paths(objs, manifest).select("category", "name", "resolved_path", "from_manifest")
+        F.explode(F.array(*[F.concat(F.lit(f"{top}/"), F.col("lang"), F.lit("/"), F.col("doc_id").cast("string"),
+                                     F.lit(".sql")) for top in ("manifest", "other")])).alias("relative_path"))
+    clean = d.join(lab.filter(F.col("toxic") == 1), "doc_id", "left_anti")
+    present = listed.join(clean.select(M.doc_name().alias("qualified_name")), "qualified_name", "left_semi").select(
+        "relative_path").unionByName(objs.join(clean.select(M.doc_name().alias("name")), "name", "left_semi")
+                                     .select("relative_path"))
+    return resolve_paths(objs, listed, present).select("category", "name", "resolved_path", "from_manifest", "found")
 
 
 # --------------------------------------------------------------------------
@@ -451,15 +507,16 @@ def q_dup_keys(spark, sf_dir):
     return integrity.duplicate_keys(M.load(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+# Relations, some of which hold and some of which do not.
+RELATIONS = [("lineitem", "l_orderkey", "orders", "o_orderkey"), ("lineitem", "l_partkey", "part", "p_partkey"),
+             ("lineitem", "l_suppkey", "supplier", "s_suppkey"), ("lineitem", "l_partkey", "supplier", "s_suppkey"),
+             ("orders", "o_custkey", "customer", "c_custkey"), ("orders", "o_orderkey", "lineitem", "l_orderkey"),
+             ("labels", "doc_id", "documents", "doc_id"), ("documents", "doc_id", "labels", "doc_id"),
+             ("customer", "c_nationkey", "nation", "n_nationkey")]
+
+
 def q_fk_orphans(spark, sf_dir):
-    t = M.load_all(spark, sf_dir)
-    rels = [("lineitem", "l_orderkey", "orders", "o_orderkey"),
-            ("lineitem", "l_partkey", "part", "p_partkey"),
-            ("lineitem", "l_suppkey", "supplier", "s_suppkey"),
-            ("orders", "o_custkey", "customer", "c_custkey"),
-            ("labels", "doc_id", "documents", "doc_id"),
-            ("customer", "c_nationkey", "nation", "n_nationkey")]
-    return integrity.foreign_key_orphans(t, rels)
+    return integrity.foreign_key_orphans(M.load_all(spark, sf_dir), RELATIONS)
 
 
 def q_accepted_values(spark, sf_dir):
@@ -472,18 +529,21 @@ def q_accepted_values(spark, sf_dir):
 
 
 def q_cross_column(spark, sf_dir):
+    """An order's total against the sum of its lines' prices; the tolerance is
+    wide, as the two are made independently."""
     t = M.load_all(spark, sf_dir)
-    return integrity.order_total_agreement(t["orders"], t["lineitem"], tolerance=0.01)
+    return integrity.total_agreement(t["orders"], "o_orderkey", "o_totalprice", t["lineitem"], "l_orderkey",
+                                     "l_extendedprice", "order_total_vs_lines", "100000")
 
 
 def q_column_agreement(spark, sf_dir):
     """Cross-column rules checked in one aggregate per table."""
-    d = M.load_spread(spark, sf_dir, "documents")
-    li = M.load(spark, sf_dir, "lineitem")
-    return integrity.expression_agreement(d, "documents", [
+    t = M.load_all(spark, sf_dir)
+    return integrity.expression_agreement(t["documents"], "documents", [
         ("n_chars_is_text_length", "length(text)", "CAST(n_chars AS DOUBLE)", 0.0),
-    ]).unionByName(integrity.expression_agreement(li, "lineitem", [
-        ("tax_below_discount_cap", "l_tax", "least(l_tax, 0.08D)", 0.0),
+        ("n_chars_is_text_bytes", "octet_length(text)", "CAST(n_chars AS DOUBLE)", 0.0),
+    ]).unionByName(integrity.expression_agreement(t["lineitem"], "lineitem", [
+        ("tax_capped", "l_tax", "least(l_tax, 0.05D)", 0.0),
         ("price_per_unit_under_2000", "l_extendedprice / l_quantity", "least(l_extendedprice / l_quantity, 2000D)",
          0.0),
     ]))
@@ -512,6 +572,7 @@ QUERIES: dict[str, Query] = {
     "definition_normalize": q_definition_normalize,
     "object_drift": q_object_drift,
     "column_drift": q_column_drift,
+    "column_differences": q_column_differences,
     "table_drift": q_table_drift,
     "drift_summary": q_drift_summary,
     "drift_verdict": q_drift_verdict,
@@ -520,16 +581,20 @@ QUERIES: dict[str, Query] = {
     "raw_hash_diff": q_raw_hash_diff,
     "artifact_manifest": q_artifact_manifest,
     "manifest_counts": q_manifest_counts,
+    "names_per_type": q_names_per_type,
     "bundle_hash": q_bundle_hash,
     "render_definition": q_render_definition,
     "definition_lines": q_definition_lines,
     "parse_definition_columns": q_parse_definition_columns,
+    "unparsed_definitions": q_unparsed_definitions,
     "normalize_module": q_normalize_module,
     "catalog_drift": q_catalog_drift,
     "keyed_columns": q_keyed_columns,
+    "ordered_keys": q_ordered_keys,
     "module_join": q_module_join,
     "attach_children": q_attach_children,
     "orphans": q_orphans,
+    "assembly_errors": q_assembly_errors,
     "resolve_paths": q_resolve_paths,
     "migration_files": q_migration_files,
     "migration_pending": q_migration_pending,

@@ -1,14 +1,13 @@
 """Export a Spark catalog as a snapshot folder and compare two snapshots.
 
-``export`` renders every table of a database as a ``CREATE TABLE`` text
-(from its schema) and every view from its stored query, writes one file per
-object under ``tables/`` and ``views/`` plus a manifest (object counts, file
-map with sha256, bundle hash), and returns the artifacts.  ``compare``
-loads two such folders and returns the drift report DataFrames, with column
-drift parsed back from the table definitions.
-
-A catalog is metadata: its table and column lists are read on the driver,
-and the per-object work (render, hash, write) runs on Spark.
+``artifacts_of`` renders every table of a database as a ``CREATE TABLE`` text
+(columns and declared keys) and every view from its stored query; ``write``
+exports them as tables with a manifest and a summary.  ``compare`` loads two
+exports and returns the drift report DataFrames, with column drift parsed back
+from the table definitions.
+
+Spark's catalog is served by the driver, so its table and column lists are read
+there; the per-object work (render, hash, write) runs on Spark.
 """
 
 from __future__ import annotations
@@ -19,64 +18,74 @@ from pyspark.sql import functions as F
 from tidemark.functions.hashing import bundle_hash_tree
 from tidemark.operators import render
 from tidemark.plans.drift_report import drift_report
-from tidemark.sources.catalog import catalog_columns, catalog_views
-from tidemark.sources.corpus import read_snapshot
+from tidemark.sources.catalog import catalog_columns, catalog_keys, catalog_views
+from tidemark.sources.corpus import OBJECTS_SCHEMA, read_snapshot
 
 
 def artifacts_of(spark: SparkSession, database: str | None = None, extracted_at: str | None = None,
                  endpoint: str | None = None) -> DataFrame:
-    """Rendered artifacts of a database's tables and views."""
+    """Rendered artifacts of a database's tables and views; a view without text
+    is an error."""
     db = database or spark.catalog.currentDatabase()
     header = render.header_text(extracted_at, endpoint, db)
     cols = catalog_columns(spark, db)
-    tables = render.render_table_text(render.collect_table_arrays(cols), header)
+    tables = render.render_table_text(render.collect_table_arrays(cols, catalog_keys(spark, db)), header)
     table_arts = render.artifacts(tables, "table", "qualified_name", "definition")
-    views = render.normalize_module(catalog_views(spark, db))
-    views = views.filter(F.col("definition").isNotNull()).select(
+    modules = render.normalize_module(catalog_views(spark, db))
+    empty = [r.error for r in modules.filter("error IS NOT NULL").select("error").orderBy("error").limit(20).collect()]
+    if empty:
+        raise ValueError("; ".join(empty))
+    views = modules.select(
         F.concat(F.col("schema_name"), F.lit("."), F.col("object_name")).alias("qualified_name"),
         F.concat(F.lit(header), F.col("definition"), F.lit("\n")).alias("definition"))
     view_arts = render.artifacts(views, "view", "qualified_name", "definition")
     return table_arts.unionByName(view_arts)
 
 
-def write(arts: DataFrame, export_dir: str, extracted_at: str | None = None) -> None:
-    """One file per artifact plus ``manifest.json`` (replaces the previous
-    export, so objects that disappeared leave no stale file).  Objects are
-    written by Spark under ``_objects/folder=<category>/file_name=<file>/``;
-    :func:`tidemark.sources.corpus.read_snapshot` reads that layout and the
-    plain ``<category>/<file>.sql`` one."""
-    (arts.select(F.regexp_extract("relative_path", r"^([^/]+)/", 1).alias("folder"),
-                 F.regexp_extract("relative_path", r"/([^/]+)$", 1).alias("file_name"), "content")
-     .repartitionByRange("folder", "file_name")
-     .write.mode("overwrite").partitionBy("folder", "file_name").text(f"{export_dir}/_objects"))
-    # one aggregate: counts, sorted name lists and the file map (catalog-sized)
-    types = ("table", "view", "procedure")
-    is_t = {t: F.col("object_type") == F.lit(t) for t in types}
-    summary = arts.agg(
-        *[F.count_if(is_t[t]).cast("bigint").alias(f"{t}_count") for t in types],
-        *[F.sort_array(F.collect_list(F.when(is_t[t], F.col("qualified_name")))).alias(f"{t}s") for t in types],
-        F.map_from_entries(F.collect_list(F.struct(
-            "relative_path", F.struct("object_type", "qualified_name", "sha256")))).alias("files"),
-    ).withColumn("_k", F.lit("*"))
-    bundle = bundle_hash_tree(arts.withColumn("object_type", F.lit("*")), ["object_type"]).select(
-        F.col("object_type").alias("_k"), F.col("bundle_sha256").alias("ddl_sha256"))
-    manifest = (summary.join(bundle, "_k", "left").drop("_k")
-                .withColumn("extraction_timestamp", F.lit(extracted_at)))
-    manifest.select(F.to_json(F.struct(*manifest.columns)).alias("value")).coalesce(1) \
-        .write.mode("overwrite").text(f"{export_dir}/manifest.json")
+class CollidingPaths(Exception):
+    """Objects that would be exported under the same path."""
+
+
+def write(arts: DataFrame, export_dir: str, extracted_at: str | None = None, endpoint: str | None = None,
+          auth_method: str | None = None, database: str | None = None) -> None:
+    """Export artifacts: the table ``objects``, the ``manifest`` in long form (a
+    JSON row per object) and ``summary`` (counts per type and the bundle hash,
+    with where and how the catalog was read).
+
+    Paths are compared before anything is written (letter case aside), and
+    colliding ones raise.  The artifacts are planned once more for the export
+    itself; manifest and summary come from what was written.  A previous export
+    is replaced whole."""
+    clash = (arts.groupBy(F.lower("relative_path").alias("path")).agg(F.count(F.lit(1)).alias("n"))
+             .filter("n > 1").orderBy("path").limit(20).collect())
+    if clash:
+        raise CollidingPaths(", ".join(r.path for r in clash))
+    arts.select("relative_path", "object_type", "qualified_name", "sha256", "content").write.mode("overwrite") \
+        .parquet(f"{export_dir}/objects")
+    objects = arts.sparkSession.read.schema(OBJECTS_SCHEMA).parquet(f"{export_dir}/objects")
+    render.manifest_files(objects).write.mode("overwrite").json(f"{export_dir}/manifest")
+    bundles = bundle_hash_tree(objects, ["object_type"], content_col="sha256", content_is_digest=True, total="*")
+    schema = F.regexp_extract("qualified_name", r"^([^.]*)\.", 1)
+    schemas = objects.groupBy(F.lit("*").alias("object_type")).agg(F.count_distinct(schema).alias("schemas"))
+    bundles.join(schemas, "object_type", "left").select(
+        "object_type", "artifact_count", "bundle_sha256", "schemas", F.lit(extracted_at).alias("extraction_timestamp"),
+        F.lit(endpoint).alias("endpoint"), F.lit(auth_method).alias("auth_method"), F.lit(database).alias("database"),
+    ).write.mode("overwrite").json(f"{export_dir}/summary")
 
 
 def compare(spark: SparkSession, left_dir: str, right_dir: str, ignore=None) -> dict[str, DataFrame]:
-    """Drift report between two exported snapshots."""
+    """Drift report between two exported snapshots.  An incomplete snapshot, or
+    a table definition that cannot be read back, raises."""
     _, left = read_snapshot(spark, left_dir)
     _, right = read_snapshot(spark, right_dir)
-    lcols = _columns(left)
-    rcols = _columns(right)
-    return drift_report(left, right, lcols, rcols, ignore=ignore)
+    return drift_report(left, right, _columns(left), _columns(right), ignore=ignore)
 
 
 def _columns(objs: DataFrame) -> DataFrame:
     defs = objs.filter(F.col("category") == "tables").select("name", "definition")
+    bad = render.unparsed_definitions(defs, key_cols=("name",)).orderBy("name").limit(20).collect()
+    if bad:
+        raise ValueError("; ".join(f"{r.name}: {r.error}" for r in bad))
     cols = render.parse_definition_columns(defs, key_cols=("name",))
     return cols.select("name", "column_name", F.col("ordinal").cast("bigint").alias("ordinal"), "type_sql",
                        F.col("column_definition").alias("definition"))

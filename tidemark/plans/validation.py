@@ -20,19 +20,17 @@ from tidemark.sources.catalog import actual_columns, available_tables
 def validate_catalog(spark: SparkSession, contract_rows: Sequence[tuple], rules: Sequence[TableRules],
                      expected_version: str, history_table: str = "_migration_history",
                      strict_history: bool = False) -> DataFrame:
-    """Check rows for the current database against a versioned contract."""
-    full = contracts.contract_frame(spark, contract_rows)
-    contract = contracts.gate(full, expected_version)
+    """Check rows for the current database against a versioned contract; only
+    the tables that ``expected_version`` requires are read."""
+    contract = contracts.contract_frame(spark, contract_rows)
     existing = {t.name.lower() for t in spark.catalog.listTables()}
-    wanted = {r[0].lower() for r in contract_rows}
+    wanted = contracts.tables_of(contract_rows, expected_version)
     tables = {name: spark.table(name) for name in sorted(wanted & existing)}
     avail = available_tables(spark)
     actual = actual_columns(spark, tables)
     history = spark.table(history_table) if history_table.lower() in existing else None
     parts = [
-        contracts.table_presence(contract, avail),
-        contracts.column_conformance(contract, actual, avail),
-        contracts.version_block(full, actual, avail, expected_version),
+        contracts.contract_checks(contract, actual, avail, expected_version),
         checks.fused_checks(tables, rules),
         contracts.history_checks(history, contracts.expected_version_labels(expected_version),
                                  strict=strict_history, spark=spark),

@@ -9,9 +9,6 @@ Spark UI off, UTC session time zone.
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 # Session settings every entry point applies.  AQE is what turns a sort-merge
@@ -50,97 +47,46 @@ def build_session(master: str | None = None, app_name: str = "tidemark",
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, creating a local one only if unset.
-
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is.  Only a session without it (a test on local mode) gets a fresh scratch
-    folder.
-    """
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The session's checkpoint folder (``spark.checkpoint.dir`` or the one set
+    on the context).  There is no default: the caller names a folder that all
+    executors share."""
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    local = tempfile.mkdtemp(prefix="tidemark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    if not configured:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    spark.sparkContext.setCheckpointDir(configured)
+    return spark.sparkContext.getCheckpointDir()
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage of a result that several outputs reuse.
+    """Cut the lineage of a result that several outputs reuse.
 
-    Uses a reliable checkpoint in the session's checkpoint folder, so the saved
-    partitions survive the loss of the executor that computed them.
+    An action: writes a reliable checkpoint in the session's checkpoint folder,
+    so the saved partitions survive the loss of the executor that computed them.
     """
-    ensure_checkpoint_dir(df.sparkSession)
+    checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan over the cluster's cores when it has fewer input
-    partitions than cores (a table stored as one row group is read by one
-    task).  On a large input the scan already has thousands of partitions and
-    this is a no-op.  The check plans the scan; it runs no job."""
-    try:
-        sc = df.sparkSession.sparkContext
-        target = min_partitions or sc.defaultParallelism
-        partitions = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a Spark Connect session): leave the scan as is
-        return df
-    if partitions < target:
-        return df.repartition(target)
-    return df
-
-
-def session_key(spark: SparkSession) -> int:
-    """Identity of a session for caching plan objects per session."""
-    jss = getattr(spark, "_jsparkSession", None)
-    return id(jss) if jss is not None else id(spark)
-
-
-# Above this many rows a local list goes through createDataFrame instead of
-# an inline VALUES table (whose SQL text grows with the rows).
-LOCAL_ROWS_MAX = 5000
-
-
-def _sql_literal(value, type_name: str) -> str:
+def _literal(value, type_name: str) -> str:
     if value is None:
         return f"CAST(NULL AS {type_name})"
-    if isinstance(value, bool):
-        return "true" if value else "false"
-    if isinstance(value, int):
-        return f"CAST({value} AS {type_name})"
-    if isinstance(value, float):
-        return f"CAST('{value!r}' AS {type_name})"
-    text = str(value)
-    if "\\" in text or "'" in text:
-        # base64 keeps the literal independent of the session's escape setting
-        import base64
-        encoded = base64.b64encode(text.encode("utf-8")).decode("ascii")
-        return f"CAST(CAST(unbase64('{encoded}') AS STRING) AS {type_name})"
-    return f"CAST('{text}' AS {type_name})"
+    # bytes as hexadecimal digits need no escaping in any session
+    return f"CAST(CAST(X'{str(value).encode().hex()}' AS STRING) AS {type_name})"
 
 
 def local_frame(spark: SparkSession, rows: list, schema: str) -> DataFrame:
-    """A small driver-side list (a contract, catalog metadata, a parameter
-    list) as a DataFrame that Catalyst sees as a local relation with a known
-    size, so joins against it are planned as broadcasts.  Larger lists fall
-    back to ``createDataFrame``."""
+    """A driver-side list (a contract, catalog metadata, parameters) as a
+    DataFrame that Catalyst sees as a local relation of known size, so Spark's
+    own broadcast threshold decides how joins against it run."""
     from pyspark.sql import types as T
-    struct = T._parse_datatype_string(schema)
-    fields = [(f.name, f.dataType.simpleString()) for f in struct.fields]
-    if len(rows) > LOCAL_ROWS_MAX or any(
-            not isinstance(f.dataType, (T.StringType, T.IntegerType, T.LongType, T.BooleanType, T.DoubleType))
-            for f in struct.fields):
-        return spark.createDataFrame(rows, schema)
+    fields = [(f.name, f.dataType.simpleString()) for f in T._parse_datatype_string(schema).fields]
     cols = ", ".join(f"`{name}`" for name, _ in fields)
     if not rows:
         nulls = ", ".join(f"CAST(NULL AS {t}) AS `{n}`" for n, t in fields)
         return spark.sql(f"SELECT {nulls} WHERE false")
-    values = ", ".join("(" + ", ".join(_sql_literal(v, t) for v, (_, t) in zip(r, fields)) + ")" for r in rows)
+    values = ", ".join("(" + ", ".join(_literal(v, t) for v, (_, t) in zip(r, fields)) + ")" for r in rows)
     return spark.sql(f"SELECT * FROM VALUES {values} AS t({cols})")

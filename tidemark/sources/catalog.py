@@ -8,11 +8,16 @@ contract joins use.
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.functions.text import spark_identifier
 from tidemark.functions.types import spark_type_name
+from tidemark.operators.assembly import user_schemas
+from tidemark.operators.migrations import NOT_NULL_PROPERTY
 from tidemark.session import local_frame
 
 TABLES_SCHEMA = "table_name string, table_type string"
@@ -42,7 +47,8 @@ def actual_columns(spark: SparkSession, tables: Mapping[str, DataFrame] | None =
         tables = {n: spark.table(n) for n in names}
     for name, df in tables.items():
         for i, f in enumerate(df.schema.fields, start=1):
-            rows.append((name.lower(), f.name.lower(), i, spark_type_name(f.dataType), bool(f.nullable)))
+            declared = f.metadata.get("__CHAR_VARCHAR_TYPE_STRING") or spark_type_name(f.dataType)
+            rows.append((name.lower(), f.name.lower(), i, declared, bool(f.nullable)))
     return local_frame(spark, rows, COLUMNS_SCHEMA)
 
 
@@ -56,47 +62,92 @@ CATALOG_COLUMNS_SCHEMA = (
     "numeric_scale int, datetime_precision int, comment string")
 
 
-def _type_attributes(dt) -> tuple:
-    """(base type name, char length, precision, scale, datetime precision)
-    for a Spark type, in the catalog's terms."""
+_LENGTH_TYPE = re.compile(r"(char|varchar)\((\d+)\)")
+
+
+def _type_attributes(type_text: str, dt) -> tuple:
+    """(base type name, char length, precision, scale, datetime precision) of
+    a catalog type, in the catalog's terms."""
     from pyspark.sql import types as T
-    if isinstance(dt, (T.VarcharType, T.CharType)):
-        return (dt.typeName().split("(")[0], dt.length, None, None, None)
+    sized = _LENGTH_TYPE.fullmatch(type_text)
+    if sized:
+        return (sized[1], int(sized[2]), None, None, None)
     if isinstance(dt, T.StringType):
         return ("string", -1, None, None, None)
     if isinstance(dt, T.DecimalType):
         return ("decimal", None, dt.precision, dt.scale, None)
     if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        return (dt.simpleString(), None, None, None, 6)
-    return (dt.simpleString(), None, None, None, None)
+        return (type_text, None, None, None, 6)
+    return (type_text, None, None, None, None)
+
+
+def _user_tables(spark: SparkSession, database: str, views: bool) -> list:
+    return [t for t in spark.catalog.listTables(database)
+            if not t.isTemporary and ((t.tableType or "").upper() == "VIEW") == views]
+
+
+def _qualified(database: str, name: str) -> str:
+    return f"{spark_identifier(database)}.{spark_identifier(name)}"
+
+
+def _properties(spark: SparkSession, database: str, name: str) -> dict[str, str]:
+    return {p["key"]: p["value"] for p in spark.sql(f"SHOW TBLPROPERTIES {_qualified(database, name)}").collect()}
 
 
 def catalog_columns(spark: SparkSession, database: str | None = None) -> DataFrame:
     """Columns of every table of a database with the attributes a table
     definition needs (type, length, precision, scale, nullability, default,
-    comment).  Catalog-sized: built from table schemas on the driver."""
+    comment).
+
+    Lengths of ``char`` and ``varchar`` come from the field's metadata.  Spark's
+    session catalog does not store NOT NULL of file tables; those columns are
+    declared in the table property ``NOT_NULL_PROPERTY``, which
+    :func:`tidemark.operators.migrations.ensure_table` writes.  Spark's catalog
+    is served by the driver; the list is as long as the catalog's columns."""
     db = database or spark.catalog.currentDatabase()
     rows = []
-    for t in spark.catalog.listTables(db):
-        if (t.tableType or "").upper() == "VIEW" or t.isTemporary:
-            continue
-        for i, f in enumerate(spark.table(f"`{db}`.`{t.name}`").schema.fields, start=1):
-            base, length, prec, scale, dtp = _type_attributes(f.dataType)
-            default = f.metadata.get("CURRENT_DEFAULT") if f.metadata else None
-            comment = f.metadata.get("comment") if f.metadata else None
-            rows.append((db, t.name, f.name, i, base, bool(f.nullable), default, length, prec, scale, dtp, comment))
+    for t in _user_tables(spark, db, views=False):
+        declared = json.loads(_properties(spark, db, t.name).get(NOT_NULL_PROPERTY, "[]"))
+        for i, f in enumerate(spark.table(_qualified(db, t.name)).schema.fields, start=1):
+            text = f.metadata.get("__CHAR_VARCHAR_TYPE_STRING") or f.dataType.simpleString()
+            base, length, prec, scale, dtp = _type_attributes(text, f.dataType)
+            rows.append((db, t.name, f.name, i, base, bool(f.nullable) and f.name not in declared,
+                         f.metadata.get("CURRENT_DEFAULT"), length, prec, scale, dtp, f.metadata.get("comment")))
     return local_frame(spark, rows, CATALOG_COLUMNS_SCHEMA)
 
 
+# A key constraint as a table property: tidemark.key.<name> = 'PRIMARY KEY (a, b)'.
+KEY_PROPERTY = "tidemark.key."
+_KEY_TEXT = re.compile(r"(?i)\s*(PRIMARY KEY|UNIQUE)\s*\((.*)\)\s*")
+KEY_COLUMNS_SCHEMA = ("schema_name string, table_name string, constraint_name string, constraint_type string, "
+                      "column_name string, ordinal_position int")
+
+
+def catalog_keys(spark: SparkSession, database: str | None = None) -> DataFrame:
+    """Key columns of a database's tables, one row each.  The session catalog
+    stores no constraints, so they are declared as table properties
+    (``KEY_PROPERTY``); a property of another form is an error."""
+    db = database or spark.catalog.currentDatabase()
+    rows = []
+    for t in _user_tables(spark, db, views=False):
+        for name, text in _properties(spark, db, t.name).items():
+            if name.startswith(KEY_PROPERTY):
+                found = _KEY_TEXT.fullmatch(text)
+                if not found:
+                    raise ValueError(f"{db}.{t.name}: {name} is no key: {text!r}")
+                name = name.removeprefix(KEY_PROPERTY)
+                rows += [(db, t.name, name, found[1].upper(), c.strip().strip("`"), i)
+                         for i, c in enumerate(found[2].split(","), start=1)]
+    return local_frame(spark, rows, KEY_COLUMNS_SCHEMA)
+
+
 def catalog_views(spark: SparkSession, database: str | None = None) -> DataFrame:
     """``(schema_name, object_name, object_type, definition)`` for the
     persistent views of a database (their stored query text)."""
     db = database or spark.catalog.currentDatabase()
     rows = []
-    for t in spark.catalog.listTables(db):
-        if (t.tableType or "").upper() != "VIEW" or t.isTemporary:
-            continue
-        info = spark.sql(f"DESCRIBE TABLE EXTENDED `{db}`.`{t.name}`").collect()
+    for t in _user_tables(spark, db, views=True):
+        info = spark.sql(f"DESCRIBE TABLE EXTENDED {_qualified(db, t.name)}").collect()
         text = next((r["data_type"] for r in info if (r["col_name"] or "").strip() == "View Text"), "")
         rows.append((db, t.name, "V", text or ""))
     return local_frame(spark, rows, "schema_name string, object_name string, object_type string, "
@@ -104,5 +155,6 @@ def catalog_views(spark: SparkSession, database: str | None = None) -> DataFrame
 
 
 def schemata(spark: SparkSession) -> DataFrame:
-    """Databases of the session catalog."""
-    return local_frame(spark, [(d.name,) for d in spark.catalog.listDatabases()], "schema_name string")
+    """Databases of the session catalog, without system ones."""
+    names = local_frame(spark, [(d.name,) for d in spark.catalog.listDatabases()], "schema_name string")
+    return user_schemas(names)

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import export_path
+from tidemark.operators.drift import singular
 
 def read_scripts(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """``(file_name, file_path, content)``, one row per file under ``path``."""
@@ -23,46 +25,52 @@ def read_scripts(spark: SparkSession, path: str, glob: str | None = None) -> Dat
                      F.col("value").alias("content"))
 
 
-MANIFEST_SCHEMA = ("extraction_timestamp string, database string, schemas array<string>, "
-                   "table_count bigint, view_count bigint, procedure_count bigint, "
-                   "files map<string, struct<object_type: string, qualified_name: string, sha256: string>>, "
-                   "ddl_sha256 string")
+# The manifest of a plain snapshot folder.
+MANIFEST_SCHEMA = ("extraction_timestamp string, endpoint string, auth_method string, database string, "
+                   "schemas array<string>, files map<string, struct<object_type: string, qualified_name: string, "
+                   "sha256: string>>, ddl_sha256 string")
+FILES_SCHEMA = "relative_path string, object_type string, qualified_name string, sha256 string"
+OBJECTS_SCHEMA = FILES_SCHEMA + ", content string"
 
 
-def read_snapshot(spark: SparkSession, export_dir: str) -> tuple[DataFrame, DataFrame]:
-    """An exported snapshot folder: ``manifest.json`` and the definition files
-    under ``tables/``, ``views/``, ``procedures/``.
+class IncompleteSnapshot(Exception):
+    """A manifest lists objects that the snapshot does not hold."""
 
-    Returns (manifest files in long form, objects).  Objects are
-    ``(category, name, relative_path, definition, sha256)`` with the name
-    taken from the file stem.
+
+def read_snapshot(spark: SparkSession, export_dir: str, check: bool = True) -> tuple[DataFrame, DataFrame]:
+    """``(manifest files, objects)`` of an exported snapshot folder.
+
+    Two layouts: the one :func:`tidemark.plans.snapshot.write` makes (tables
+    ``objects`` and ``manifest``), and a plain one (``manifest.json`` with a
+    file map, and a ``.sql`` file per object).  Objects are ``(category, name,
+    relative_path, definition, sha256)``; names and types are the manifest's,
+    never the file's.  With ``check`` (an action) a listed object that is not
+    there raises :class:`IncompleteSnapshot`; files that the manifest does not
+    list are no objects.
     """
-    manifest = (spark.read.option("multiLine", True).schema(MANIFEST_SCHEMA)
-                .json(f"{export_dir}/manifest.json"))
-    files = manifest.select(F.explode(F.col("files")).alias("relative_path", "meta")).select(
-        "relative_path", F.col("meta.object_type").alias("object_type"),
-        F.col("meta.qualified_name").alias("qualified_name"), F.col("meta.sha256").alias("sha256"))
-    if _exists(spark, f"{export_dir}/_objects"):
-        raw = (spark.read.schema("value string, folder string, file_name string")
-               .text(f"{export_dir}/_objects", wholetext=True))
-        objs = raw.select(
-            F.col("folder").alias("category"),
-            F.regexp_replace("file_name", r"\.sql$", "").alias("name"),
-            F.concat(F.col("folder"), F.lit("/"), F.col("file_name")).alias("relative_path"),
-            # the text writer ends each row with a newline; drop it
-            F.regexp_replace("value", r"\n\z", "").alias("definition"))
-        objs = objs.withColumn("sha256", F.sha2(F.col("definition"), 256))
-        return files, objs
-    defs = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.sql")
-            .text(export_dir, wholetext=True)
-            .select(F.col("_metadata.file_path").alias("_p"), F.col("value").alias("definition")))
-    rel = F.regexp_extract("_p", r"((tables|views|procedures)/[^/]+\.sql)$", 1)
-    objs = defs.select(
-        F.regexp_extract("_p", r"(tables|views|procedures)/[^/]+\.sql$", 1).alias("category"),
-        F.regexp_extract("_p", r"/([^/]+)\.sql$", 1).alias("name"),
-        rel.alias("relative_path"), "definition",
-        F.sha2(F.col("definition"), 256).alias("sha256"))
-    return files, objs.filter(F.col("category") != "")
+    if _exists(spark, f"{export_dir}/manifest.json"):
+        manifest = spark.read.option("multiLine", True).schema(MANIFEST_SCHEMA).json(f"{export_dir}/manifest.json")
+        files = manifest.select(F.explode(F.col("files")).alias("relative_path", "meta")).select(
+            "relative_path", "meta.object_type", "meta.qualified_name", "meta.sha256")
+        scripts = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.sql")
+                   .text(export_dir, wholetext=True))
+        # file_path is a URL: a plus sign stands for itself
+        path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+        texts = scripts.select(F.regexp_extract(path, r"([^/]+/[^/]+)$", 1).alias("relative_path"),
+                               F.col("value").alias("content"))
+    else:
+        files = spark.read.schema(FILES_SCHEMA).json(f"{export_dir}/manifest")
+        texts = (spark.read.schema(OBJECTS_SCHEMA).parquet(f"{export_dir}/objects")
+                 .select("relative_path", "content"))
+    if check:
+        lost = files.join(texts.select("relative_path"), "relative_path", "left_anti")
+        named = [r.relative_path for r in lost.select("relative_path").orderBy("relative_path").limit(20).collect()]
+        if named:
+            raise IncompleteSnapshot(f"{export_dir}: listed but not there: {', '.join(named)}")
+    objs = files.join(texts, "relative_path").select(
+        F.concat(F.col("object_type"), F.lit("s")).alias("category"), F.col("qualified_name").alias("name"),
+        "relative_path", F.col("content").alias("definition"), F.sha2("content", 256).alias("sha256"))
+    return files, objs
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -71,25 +79,20 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def resolve_paths(objs: DataFrame, manifest_files: DataFrame, singular_map: dict | None = None) -> DataFrame:
-    """Object -> file path: the manifest entry with the same name and type
-    first, else the conventional ``<category>/<name>.sql``.  Objects whose
-    path resolves to no file keep ``resolved = false``."""
-    from tidemark.functions.text import export_path
-    from tidemark.operators.drift import singular
-    by_manifest = manifest_files.select(
-        F.col("qualified_name").alias("name"), F.col("object_type").alias("_type"),
-        F.col("relative_path").alias("_mpath"))
+def resolve_paths(objs: DataFrame, manifest_files: DataFrame, present: DataFrame,
+                  singular_map: dict | None = None) -> DataFrame:
+    """``objs`` with ``resolved_path, from_manifest, found``: the manifest entry
+    with the same name and type first (the smallest path, if it has several),
+    else the conventional ``<category>/<name>.sql``; ``found`` tells whether
+    ``present`` (``relative_path``) has that file."""
+    by_manifest = manifest_files.groupBy(
+        F.col("qualified_name").alias("name"), F.col("object_type").alias("_type")).agg(
+        F.min("relative_path").alias("_mpath"))
     o = objs.withColumn("_type", singular(F.col("category"), singular_map))
-    j = o.join(by_manifest, ["name", "_type"], "left")
     conventional = export_path(F.col("category"), F.col("name"))
-    return j.select(*[c for c in objs.columns],
-                    F.coalesce(F.col("_mpath"), conventional).alias("resolved_path"),
-                    F.col("_mpath").isNotNull().alias("from_manifest"))
-
-
-def unresolved_paths(resolved: DataFrame, objs: DataFrame) -> DataFrame:
-    """Objects whose resolved path names no file of the snapshot (the
-    snapshot is incomplete); an anti join on the path."""
-    present = objs.select(F.col("relative_path").alias("resolved_path")).distinct()
-    return resolved.join(present, "resolved_path", "left_anti")
+    resolved = o.join(by_manifest, ["name", "_type"], "left").select(
+        *objs.columns, F.coalesce(F.col("_mpath"), conventional).alias("resolved_path"),
+        F.col("_mpath").isNotNull().alias("from_manifest"))
+    there = present.select(F.col("relative_path").alias("resolved_path")).distinct().withColumn("_found", F.lit(True))
+    return (resolved.join(there, "resolved_path", "left")
+            .withColumn("found", F.coalesce("_found", F.lit(False))).drop("_found"))
