@@ -84,7 +84,7 @@ def test_substrings_equal_brute_force(spark, window):
 def test_substrings_over_many_pieces_shards_and_parts(spark, monkeypatch):
     """Long references are cut, shards are many, and readers are split."""
     monkeypatch.setattr(substring, "SHARD_WORDS", 20)
-    monkeypatch.setattr(substring, "STREAM_BYTES", 300)
+    monkeypatch.setattr(substring, "PART_BYTES", 2000)
     monkeypatch.setattr(substring, "IN_BATCH", 3)
     monkeypatch.setattr(substring, "BUCKET_WORDS", 10)
     passage = " ".join("p%d" % i for i in range(30))

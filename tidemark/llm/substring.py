@@ -7,17 +7,18 @@ Streaming every document through the automata of the whole corpus would cost
 the square of its size, so documents first find whom they must meet.  Windows
 are hashed where the text lies, the hashes are dealt to buckets, and a bucket
 links each document to the first one that has the same hash.  The documents
-linked to are the references.  They are cut into pieces (overlapping by a
-window less a word, so no window is lost), dealt to shards of bounded size, and
-each document is streamed through the automata of the shards it links to,
-which compare words and not hashes.  A wrong link costs time and nothing else.
-
-References grow with the corpus, so their automata are not broadcast by the
-driver: each task builds that of its shard.  A shard that many documents need
-is given to several tasks, each with a bounded part of the documents.  Within a
-batch of documents only a hash's first document goes to the bucket, and the
-batch's others link to that one, so a passage that a third of the corpus has
-reaches its bucket once per batch.
+linked to are the references.  Documents are dealt to parts of bounded size by
+a hash of their id, and a reference is sent to each part that has readers of it.
+A part cuts its references into shards of at most ``SHARD_WORDS`` words (pieces
+overlap by a window less a word, so no window is lost), builds one shard's
+automaton after the other, and streams the shard's readers through it.  The
+automaton compares words and not hashes; a wrong link costs time and nothing
+else.
+
+References grow with the corpus, so they reach the tasks by a shuffle and not by
+the driver's broadcast.  Within a batch of documents only a hash's first
+document goes to the bucket, and the batch's others link to that one, so a
+passage that a third of the corpus has reaches its bucket once per batch.
 """
 
 from __future__ import annotations
@@ -35,10 +36,10 @@ from tidemark.llm.common import tasks, written
 from tidemark.llm.xxh64 import xxh64_spans
 
 IN_BATCH = 12                 # bits for a document's place in its batch
-STORED = 7                    # bytes of a stored hash and place
+STORED = 5                    # bytes of a hash that are stored; the bucket's number is more of it
 BUCKET_WORDS = 2_000_000
 SHARD_WORDS = 100_000
-STREAM_BYTES = 8 << 20
+PART_BYTES = 16 << 20
 _TEXT_BYTES = 128 << 10
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _FINAL = np.uint64(0xBF58476D1CE4E5B9)
@@ -87,14 +88,25 @@ def _pairs(d: np.ndarray, f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ids[pair // len(ids)], ids[pair % len(ids)]
 
 
+def _small(values: np.ndarray) -> bytes:
+    """Non-negative numbers in the least bytes that hold them all; the first
+    byte tells how many that is."""
+    kind = np.min_scalar_type(int(values.max()))
+    return bytes([kind.itemsize]) + values.astype(f"<u{kind.itemsize}").tobytes()
+
+
+def _wide(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
+
+
 def links(docs: DataFrame, window: int, words: int) -> DataFrame:
     """``doc_id, ref``: for each window of a document that a smaller document
     has too, a link to one that has it (``ref`` < ``doc_id``).  ``words`` is
     about the number of words of ``docs`` (``doc_id, text``)."""
     spark = docs.sparkSession
-    bits = max(6, math.ceil(math.log2(max(1, words / BUCKET_WORDS))))
-    hash_bits = min(64 - IN_BATCH, 8 * STORED - IN_BATCH + bits)
-    stored = math.ceil((hash_bits - bits + IN_BATCH) / 8)
+    bits = min(64 - IN_BATCH - 8 * STORED, max(6, math.ceil(math.log2(max(1, words / BUCKET_WORDS)))))
+    hash_bits = 8 * STORED + bits  # buckets keep their size, so chance hits stay as rare at any size
+    place_mask = np.uint64((1 << IN_BATCH) - 1)
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -108,7 +120,7 @@ def links(docs: DataFrame, window: int, words: int) -> DataFrame:
                 packed.sort()
                 value = packed >> np.uint64(IN_BATCH)
                 new = np.concatenate([[True], value[1:] != value[:-1]])
-                who = ids[(packed & np.uint64((1 << IN_BATCH) - 1)).astype(np.int64)]
+                who = ids[(packed & place_mask).astype(np.int64)]
                 head = who[np.flatnonzero(new)][np.cumsum(new) - 1]
                 late = head < who
                 d, f = _pairs(who[late], head[late])
@@ -117,26 +129,28 @@ def links(docs: DataFrame, window: int, words: int) -> DataFrame:
                 cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]])
                 rows = []
                 for a, b in zip(cuts, cuts[1:]):
-                    used, code = np.unique(first[a:b] & np.uint64((1 << IN_BATCH) - 1), return_inverse=True)
-                    low = (first[a:b] & ~np.uint64((1 << IN_BATCH) - 1)) | code.astype(np.uint64)
-                    steps = np.diff(ids[used.astype(np.int64)], prepend=ids[int(used[0])])
-                    small = steps.astype(np.min_scalar_type(int(steps.max())))
-                    rows.append((int(bucket[a]), int(ids[int(used[0])]), small.dtype.str, small.tobytes(),
-                                 low.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :stored].tobytes()))
+                    # the hashes by document: ids as steps, how many each has, then the hashes' low bytes
+                    place_of = (first[a:b] & place_mask).astype(np.int64)
+                    order = np.argsort(place_of, kind="stable")
+                    used, many = np.unique(place_of, return_counts=True)
+                    steps = np.diff(ids[used], prepend=ids[used[0]])
+                    low = (first[a:b][order] >> np.uint64(IN_BATCH)).astype("<u8").view(np.uint8).reshape(-1, 8)
+                    rows.append((int(bucket[a]), int(ids[used[0]]), _small(steps), _small(many),
+                                 low[:, :STORED].tobytes()))
                 if len(d):
-                    rows.append((-1 - int(ids[0]) % (1 << bits), 0, "", d.tobytes(), f.tobytes()))
+                    rows.append((-1 - int(ids[0]) % (1 << bits), 0, d.tobytes(), f.tobytes(), b""))
                 for a in range(0, len(rows), 64):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, k) for c, k in zip(zip(*rows[a:a + 64]),
-                                                        (pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary()))],
-                        ["bucket", "base", "kind", "ids", "data"])
+                                                        (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))],
+                        ["bucket", "base", "steps", "many", "hashes"])
 
     def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, held = None, []
         for batch in batches:
             for row in zip(*(batch.column(k).to_pylist() for k in range(5))):
                 if row[0] < 0:
-                    yield out(np.frombuffer(row[3], np.int64), np.frombuffer(row[4], np.int64))
+                    yield out(np.frombuffer(row[2], np.int64), np.frombuffer(row[3], np.int64))
                     continue
                 if row[0] != bucket and held:
                     yield out(*first_of(held))
@@ -149,13 +163,11 @@ def links(docs: DataFrame, window: int, words: int) -> DataFrame:
     def first_of(held: list) -> tuple[np.ndarray, np.ndarray]:
         """Links of a bucket: the smallest document of each hash to the others."""
         ids, low = [], []
-        for base, kind, steps, data in held:
-            mine = base + np.cumsum(np.frombuffer(steps, kind).astype(np.int64))
-            wide = np.zeros((len(data) // stored, 8), np.uint8)
-            wide[:, :stored] = np.frombuffer(data, np.uint8).reshape(-1, stored)
-            value = wide.view("<u8").reshape(-1)
-            low.append(value >> np.uint64(IN_BATCH))
-            ids.append(mine[(value & np.uint64((1 << IN_BATCH) - 1)).astype(np.int64)])
+        for base, steps, many, data in held:
+            ids.append(np.repeat(base + np.cumsum(_wide(steps)), _wide(many)))
+            value = np.zeros((len(data) // STORED, 8), np.uint8)
+            value[:, :STORED] = np.frombuffer(data, np.uint8).reshape(-1, STORED)
+            low.append(value.view("<u8").reshape(-1))
         who, value = np.concatenate(ids), np.concatenate(low)
         order = np.lexsort((who, value))
         who, value = who[order], value[order]
@@ -167,73 +179,96 @@ def links(docs: DataFrame, window: int, words: int) -> DataFrame:
     def out(d: np.ndarray, f: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(d), pa.array(f)], ["doc_id", "ref"])
 
-    entries = docs.mapInArrow(dealt, "bucket long, base long, kind string, ids binary, data binary")
+    entries = docs.mapInArrow(dealt, "bucket long, base long, steps binary, many binary, hashes binary")
     grouped = entries.repartition(max(tasks(spark), 1 << bits), "bucket").sortWithinPartitions("bucket")
     return grouped.mapInArrow(met, "doc_id long, ref long").distinct()
 
 
-def ref_pieces(refs: DataFrame, window: int) -> DataFrame:
-    """``ref, piece, words, text``: references cut at ``SHARD_WORDS`` words,
-    each piece going ``window - 1`` words into the next."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())):
-                words = text.as_py().split()
-                rows = [(doc, k, min(SHARD_WORDS + window - 1, len(words) - k * SHARD_WORDS),
-                         b" ".join(words[k * SHARD_WORDS:(k + 1) * SHARD_WORDS + window - 1]).decode())
-                        for k in range(max(1, math.ceil((len(words) - window + 1) / SHARD_WORDS)))]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.string()))],
-                    ["ref", "piece", "words", "text"])
-
-    return refs.mapInArrow(run, "ref long, piece int, words long, text string")
-
-
-def _stream(window: int):
-    """A shard's references and a part of its documents to covered spans."""
+def _shards(refs: list[tuple[int, list[bytes], list[int]]], window: int):
+    """References ``(id, words, readers)`` as lists of at most ``SHARD_WORDS``
+    words (one piece at least); pieces of one reference overlap by a window
+    less a word."""
+    shard, size = [], 0
+    for doc, words, readers in refs:
+        for k in range(0, max(1, len(words) - window + 1), SHARD_WORDS):
+            piece = words[k:k + SHARD_WORDS + window - 1]
+            if shard and size + len(piece) > SHARD_WORDS:
+                yield shard
+                shard, size = [], 0
+            shard.append((doc, piece, readers))
+            size += len(piece)
+    if shard:
+        yield shard
+
+
+def _references(docs: pa.Table, wanted: pa.Table) -> pa.Table:
+    """The documents of a part that others read, once for each part of readers."""
+    rows: dict[int, list[int]] = {}
+    for i, doc in enumerate(wanted["doc_id"].to_pylist()):
+        rows.setdefault(doc, []).append(i)
+    of = [(i, w) for i, doc in enumerate(docs["doc_id"].to_pylist()) for w in rows.get(doc, ())]
+    i, w = (pa.array([x[k] for x in of], pa.int64()) for k in (0, 1))
+    return pa.table([wanted["reader_part"].take(w), docs["doc_id"].take(i), wanted["readers"].take(w).cast(pa.list_(pa.int64())),
+                     docs["text"].take(i)], names=["reader_part", "ref", "readers", "ref_text"])
+
+
+def _part(window: int):
+    """A part's references and documents to its documents' kept words."""
 
     def run(refs: pa.Table, docs: pa.Table) -> pa.Table:
-        found = []
-        if len(refs) and len(docs):
+        texts = docs["text"].cast(pa.binary())
+        rows: dict[int, list[int]] = {}
+        for i, doc in enumerate(docs["doc_id"].to_pylist()):
+            rows.setdefault(doc, []).append(i)
+        spans: dict[int, list[tuple[int, int]]] = {}
+        order = np.argsort(refs["ref"].to_numpy(), kind="stable") if len(refs) else []
+        listed = ((refs["ref"][i].as_py(), refs["ref_text"][i].as_py().encode().split(), refs["readers"][i].as_py())
+                  for i in map(int, order))
+        for shard in _shards(listed, window):
             automaton = SuffixAutomaton(window)
-            for doc, text in sorted(zip(refs["ref"].to_pylist(), refs["text"].cast(pa.binary()).to_pylist())):
-                automaton.add(text.split(), doc)
+            for doc, words, _ in shard:
+                automaton.add(words, doc)
             automaton.close()
-            for doc, mark, text in zip(docs["doc_id"].to_pylist(), docs["mark"].to_pylist(), docs["text"].cast(pa.binary())):
-                spans = automaton.covered(text.as_py().split(), doc)
-                if spans:
-                    found.append((doc, mark, np.array(spans, np.int32).tobytes()))
-        columns = list(zip(*found)) or [[], [], []]
-        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary()))],
-                        names=["doc_id", "mark", "spans"])
+            for reader in {r for _, _, readers in shard for r in readers}:
+                for i in rows.get(reader, ()):
+                    spans.setdefault(i, []).extend(automaton.covered(texts[i].as_py().split(), reader))
+        return _kept(docs["doc_id"].to_pylist(), texts, spans)
 
     return run
 
 
-def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Join the spans of a document's shards and remove the words."""
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+_SCHEMA = "doc_id long, n_words long, n_removed long, kept string, spans array<struct<start: long, end: long>>"
+
+
+def _kept(docs: list, texts, spans: dict[int, list[tuple[int, int]]]) -> pa.Table:
+    """Merge each row's spans and remove their words."""
+    n_words, n_removed, kept, merged = [], [], [], []
+    for i, text in enumerate(texts):
+        words = (text.as_py() or b"").split()
+        whole: list[list[int]] = []
+        for a, b in sorted(spans.get(i, ())):
+            if whole and a <= whole[-1][1]:
+                whole[-1][1] = max(b, whole[-1][1])
+            else:
+                whole.append([a, b])
+        rest, at = [], 0
+        for a, b in whole:
+            rest += words[at:a]
+            at = b
+        rest += words[at:]
+        n_words.append(len(words))
+        n_removed.append(len(words) - len(rest))
+        kept.append(b" ".join(rest).decode())
+        merged.append([{"start": a, "end": b} for a, b in whole])
+    return pa.table([pa.array(docs, pa.int64()), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
+                     pa.array(kept, pa.string()), pa.array(merged, _SPANS)],
+                    names=["doc_id", "n_words", "n_removed", "kept", "spans"])
+
+
+def _alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        docs, marks, texts, all_spans = (batch.column(n).to_pylist() for n in ("doc_id", "mark", "text", "found"))
-        kept, n_words, n_removed, merged = [], [], [], []
-        for mark, text, found in zip(marks, texts, all_spans):
-            words = (text or "").encode().split()
-            gone = np.zeros(len(words) + 1, np.int32)
-            for one in found or []:
-                if one["mark"] == mark:
-                    spans = np.frombuffer(one["spans"], np.int32).reshape(-1, 2)
-                    np.add.at(gone, spans[:, 0], 1)
-                    np.add.at(gone, spans[:, 1], -1)
-            covered = np.cumsum(gone[:-1]) > 0
-            edges = np.flatnonzero(np.diff(np.concatenate([[0], covered.astype(np.int8), [0]])))
-            merged.append([{"start": int(a), "end": int(b)} for a, b in edges.reshape(-1, 2)])
-            kept.append(b" ".join(w for w, c in zip(words, covered) if not c).decode())
-            n_words.append(len(words))
-            n_removed.append(int(covered.sum()))
-        span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(docs, pa.int64()), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
-             pa.array(kept, pa.string()), pa.array(merged, span)], ["doc_id", "n_words", "n_removed", "kept", "spans"])
+        yield from _kept(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), {}).to_batches()
 
 
 def dedup_substrings(docs: DataFrame, window: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -245,34 +280,20 @@ def dedup_substrings(docs: DataFrame, window: int, id_col: str = "doc_id", text_
     is none: it loses nothing.  Rows that share an id never take words from
     each other, and equal ones lose the same.  An empty table gives no rows.
     """
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
-                       F.xxhash64(text_col).alias("mark"))
+    spark = docs.sparkSession
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"),
+                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     known = base.filter("doc_id is not null")
     size = known.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    whole = known.withColumn("text", F.coalesce("text", F.lit("")))
-    pairs = written(links(whole.select("doc_id", "text"), window, size // 5), "links")
-    refs = whole.select(F.col("doc_id").alias("ref"), "text").join(pairs.select("ref").distinct(), "ref", "left_semi")
-    pieces = written(ref_pieces(refs, window), "references")
-    shards = max(1, math.ceil((pieces.agg(F.sum("words")).first()[0] or 0) / SHARD_WORDS))
-    shard = F.pmod(F.xxhash64("ref", "piece"), F.lit(shards)).cast("int").alias("shard")
-    needs = (pairs.join(pieces.select("ref", shard), "ref").groupBy("doc_id")
-             .agg(F.collect_set("shard").alias("shards")))  # of one document
-    needs = written(needs.join(known.select("doc_id", F.octet_length("text").alias("bytes")), "doc_id"), "needs")
-    parts = (needs.select(F.explode("shards").alias("shard"), "bytes").groupBy("shard")
-             .agg(F.ceil(F.sum("bytes") / STREAM_BYTES).cast("int").alias("parts")))
-    parts = parts.withColumn("parts", F.greatest("parts", F.lit(1)))
-    readers = (known.join(needs.select("doc_id", "shards").distinct(), "doc_id")
-               .select("doc_id", "text", "mark", F.explode("shards").alias("shard"))
-               .join(parts, "shard").withColumn("part", F.pmod(F.xxhash64("doc_id", "mark"), "parts").cast("int")))
-    sources = (pieces.select("ref", "text", shard).join(parts, "shard")
-               .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))))
-    keys = ["shard", "part"]
-    found = (sources.select(*keys, "ref", "text").groupBy(*keys)
-             .cogroup(readers.select(*keys, "doc_id", "mark", "text").groupBy(*keys))
-             .applyInArrow(_stream(window), "doc_id long, mark long, spans binary")
-             .groupBy("doc_id").agg(F.collect_list(F.struct("mark", "spans")).alias("found")))  # of one document
-    schema = "doc_id long, n_words long, n_removed long, kept string, spans array<struct<start: long, end: long>>"
-    marked = known.join(found, "doc_id", "left").select("doc_id", "mark", "text", "found")
-    lone = base.filter("doc_id is null").select("doc_id", "mark", "text").withColumn(
-        "found", F.lit(None).cast("array<struct<mark: long, spans: binary>>"))
-    return marked.unionByName(lone).mapInArrow(_keep, schema)
+    pairs = written(links(known, window, size // 5), "links")
+    parts = max(tasks(spark), math.ceil(size / PART_BYTES))
+    part_of = lambda c: F.pmod(F.xxhash64(c), F.lit(parts)).cast("int")
+    # one shuffle of the texts serves as documents and as references
+    dealt = known.withColumn("part", part_of("doc_id")).repartition(parts, "part")
+    wanted = (pairs.groupBy("ref", part_of("doc_id").alias("reader_part"))
+              .agg(F.collect_list("doc_id").alias("readers"))  # of one part
+              .select(F.col("ref").alias("doc_id"), part_of("ref").alias("part"), "reader_part", "readers"))
+    refs = (dealt.groupBy("part").cogroup(wanted.groupBy("part"))
+            .applyInArrow(_references, "reader_part int, ref long, readers array<long>, ref_text string"))
+    kept = (refs.groupBy("reader_part").cogroup(dealt.groupBy("part")).applyInArrow(_part(window), _SCHEMA))
+    return kept.unionByName(base.filter("doc_id is null").mapInArrow(_alone, _SCHEMA))
