@@ -30,6 +30,7 @@ def test_rules(spark):
     assert ("v007_prose.sql", "keywords") in f and ("v007_prose.sql", "create_or_alter") in f
     assert ("v008_drop.sql", "forbidden_drop") in f
     assert ("V9_Upper-name.sql", "naming") in f and ("V9_Upper-name.sql", "naming_ci") in f
+    assert ("V9_Upper-name.sql", "naming_runner") in f and ("v010_split.sql", "naming_runner") not in f
     assert (".hidden", "naming") not in f and ("__pycache__", "naming") not in f
     assert ("v010_split.sql", "create_or_alter") in f  # keywords must be on one line
     s = lint.lint_summary(lint.lint(spark.createDataFrame(rows, FILES))).first()

@@ -74,6 +74,8 @@ def test_exact_bundle_hash_matches_sequential_digest(spark):
         digest.update(r.content.encode())
         digest.update(b"\n")
     assert got.bundle_sha256 == digest.hexdigest() and got.artifact_count == 50
+    with pytest.raises(ValueError, match="too many"):
+        bundle_hash_exact(arts, most_bytes=10)
 
 
 def test_tree_hash_is_partitioning_independent(spark):

@@ -5,9 +5,8 @@ many artifacts; SHA-256 over one ordered concatenation cannot be split across
 tasks, so there are two forms:
 
 * :func:`bundle_hash_exact` - digest of all contents in path order, a newline
-  after each.  Byte-for-byte the digest a sequential exporter computes, but
-  it needs the whole bundle in one task, so use it only where the bundle has
-  a known bound (a catalog export of a few thousand objects).
+  after each.  Byte-for-byte the digest a sequential exporter computes; as it
+  needs the whole bundle in one task, the bundle's size is checked first.
 * :func:`bundle_hash_tree` - a fixed three-level hash tree.  Artifacts are
   spread over 2**32 chunks by the first 8 hex digits of ``sha256(path)``;
   chunk digests roll up into 65,536 mid digests per group, then into one
@@ -73,15 +72,24 @@ def bundle_hash_tree(artifacts: DataFrame, group_cols: Sequence[str] = (),
     )
 
 
+#: The most bytes of text that the sequential digest takes.
+EXACT_BYTES = 64 << 20
+
+
 def bundle_hash_exact(artifacts: DataFrame, group_cols: Sequence[str] = (),
-                      path_col: str = "relative_path",
-                      content_col: str = "content") -> DataFrame:
-    """Digest of all contents in path order, newline after each (bounded bundles only)."""
-    g = list(group_cols)
-    ordered = F.array_sort(F.collect_list(F.struct(F.col(path_col).alias("p"),
-                                                   F.col(content_col).alias("c"))))
+                      path_col: str = "relative_path", content_col: str = "content",
+                      most_bytes: int = EXACT_BYTES) -> DataFrame:
+    """Digest of all contents in path order, a newline after each, per group.
+
+    One digest is one task's work, so the size is checked first (an action):
+    over ``most_bytes`` in all it raises, and :func:`bundle_hash_tree` is the
+    way."""
+    size = artifacts.agg(F.coalesce(F.sum(F.octet_length(F.col(content_col))), F.lit(0))).first()[0]
+    if size > most_bytes:
+        raise ValueError(f"{size} bytes are too many for a sequential digest (at most {most_bytes})")
+    ordered = F.array_sort(F.collect_list(F.struct(F.col(path_col).alias("p"), F.col(content_col).alias("c"))))
     body = F.array_join(F.transform(ordered, lambda x: F.concat(x["c"], F.lit(NL))), "")
-    return artifacts.groupBy(*g).agg(
+    return artifacts.groupBy(*group_cols).agg(
         F.count(F.lit(1)).cast("bigint").alias("artifact_count"),
         F.sha2(body, 256).alias("bundle_sha256"),
     )

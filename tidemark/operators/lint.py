@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import WHITESPACE_CLASS, count_char
-from tidemark.operators.migrations import NAME_RULES
+from tidemark.operators.migrations import NAME_RULES, parse_valid
 
 FINDING_SCHEMA = "file_name string, rule string, severity string, message string"
 
@@ -34,6 +34,7 @@ NON_WHITESPACE = "[^" + WHITESPACE_CLASS[1:]
 
 # Finding messages, worded as the original tools print them so
 # existing log searches keep working.
+MSG_NAMING_RUNNER = "skipped: the name does not match the runner's pattern"
 MSG_NAMING = "Invalid naming convention. Expected: vNNN_description.sql or vNNN_description.py"
 MSG_NAMING_CI = "does not follow the vNNN_description.sql naming convention."
 MSG_EMPTY = "Empty migration file"
@@ -62,6 +63,7 @@ def _row_rules(files: DataFrame, profiles: tuple[str, ...]) -> DataFrame:
         _not_listed(name).alias("_hidden"),
         name.rlike(NAME_RULES["validator"]).alias("_name_ok"),
         name.rlike(NAME_RULES["ci"]).alias("_name_ci_ok"),
+        parse_valid(name).alias("_name_run_ok"),
         (count_char(content, "(") != count_char(content, ")")).alias("_parens"),
         reduce(lambda a, b: a | b, [upper.contains(k) for k in SQL_KEYWORDS]).alias("_kw"),
         reduce(lambda a, b: a | b, [content.contains(k) for k in PY_ENTRY_POINTS]).alias("_entry"),
@@ -78,6 +80,8 @@ def _row_rules(files: DataFrame, profiles: tuple[str, ...]) -> DataFrame:
             (c("_sql") & ~c("_empty") & ~c("_kw"), "keywords", "WARNING", F.lit(MSG_KEYWORDS)),
             (c("_py") & ~c("_empty") & ~c("_entry"), "entry_point", "WARNING", F.lit(MSG_ENTRY)),
         ]
+    if "runner" in profiles:
+        rules.append(((c("_sql") | c("_py")) & ~c("_name_run_ok"), "naming_runner", "WARNING", F.lit(MSG_NAMING_RUNNER)))
     if "ci" in profiles:
         rules += [
             (c("_sql") & ~c("_name_ci_ok"), "naming_ci", "ERROR",
@@ -96,7 +100,11 @@ def _row_rules(files: DataFrame, profiles: tuple[str, ...]) -> DataFrame:
 def duplicate_versions(files: DataFrame) -> DataFrame:
     """Files repeating a version already used by a file of the same
     extension; each is reported against the first such file by name.
-    (A .sql and a .py of one version are twins, not duplicates.)"""
+    (A .sql and a .py of one version are twins, not duplicates.)
+
+    Each file is joined to its version's first file; the first files are one row
+    per version, so a version that most files share is split by adaptive
+    execution's skew join."""
     rule = NAME_RULES["validator"]
     named = files.select("file_name").filter(F.col("file_name").rlike(rule)).select(
         "file_name",
@@ -112,24 +120,17 @@ def duplicate_versions(files: DataFrame) -> DataFrame:
                        F.lit("ERROR").alias("severity"), msg.alias("message"))
 
 
-def lint(files: DataFrame, profiles: tuple[str, ...] = ("validator", "ci")) -> DataFrame:
-    """All findings of the chosen rule profiles (``validator``: naming,
-    duplicate versions, empty, parentheses, keywords, entry point; ``ci``:
-    lower-case naming, CREATE/ALTER TABLE required, no DROP DATABASE/SCHEMA)."""
+def lint(files: DataFrame, profiles: tuple[str, ...] = ("runner", "validator", "ci")) -> DataFrame:
+    """All findings of the chosen rule profiles (``runner``: names that a run
+    skips; ``validator``: naming, duplicate versions, empty, parentheses,
+    keywords, entry point; ``ci``: lower-case naming, CREATE/ALTER TABLE
+    required, no DROP DATABASE/SCHEMA)."""
     out = _row_rules(files, profiles)
     if "validator" in profiles:
         out = out.unionByName(duplicate_versions(files))
     return out
 
 
-def lint_validator(files: DataFrame) -> DataFrame:
-    return lint(files, ("validator",))
-
-
-def lint_ci(files: DataFrame) -> DataFrame:
-    return lint(files, ("ci",))
-
-
 def lint_summary(findings: DataFrame) -> DataFrame:
     """One row: error and warning counts; ``passed`` iff no ERROR."""
     return findings.agg(

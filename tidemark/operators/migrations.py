@@ -14,7 +14,7 @@ import datetime as _dt
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,18 +50,26 @@ def extension_of(migration_type: str) -> str:
     return EXTENSIONS[t]
 
 
+def _version(name: Column) -> Column:
+    return F.regexp_extract(name, NAME_RULES["runner"], 2).try_cast("bigint")
+
+
+def parse_valid(name: Column) -> Column:
+    """The runner can run a file of this name."""
+    return F.coalesce(name.rlike(NAME_RULES["runner"]) & _version(name).isNotNull(), F.lit(False))
+
+
 def parse_names(files: DataFrame, name_col: str = "file_name") -> DataFrame:
     """Add ``migration_id`` (stem), ``version`` (bigint), ``extension`` and
     ``valid`` (runner rule) to a file list.  A version beyond a bigint is no
     valid name, so such a file is reported as skipped and not lost."""
     rule = NAME_RULES["runner"]
     name = F.col(name_col)
-    number = F.regexp_extract(name, rule, 2).try_cast("bigint")
-    valid = F.coalesce(name.rlike(rule), F.lit(False)) & number.isNotNull()
+    valid = parse_valid(name)
     return files.select(
         "*",
         F.when(valid, F.regexp_extract(name, rule, 1)).alias("migration_id"),
-        F.when(valid, number).alias("version"),
+        F.when(valid, _version(name)).alias("version"),
         F.regexp_extract(name, r"(\.[^.]*)$", 1).alias("extension"),
         valid.alias("valid"),
     )

@@ -377,6 +377,7 @@ FROM n"""
 SQL_KEYWORDS = ("CREATE", "ALTER", "DROP", "INSERT", "UPDATE", "DELETE", "ADD", "COLUMN", "TABLE", "INDEX", "VIEW", "IF")
 ENTRY_POINTS = ("def upgrade(", "def run(")
 LINT = {
+    "naming_runner": "skipped: the name does not match the runner's pattern",
     "naming": "Invalid naming convention. Expected: vNNN_description.sql or vNNN_description.py",
     "naming_ci": "does not follow the vNNN_description.sql naming convention.",
     "empty": "Empty migration file",
@@ -423,6 +424,9 @@ UNION ALL
 SELECT file_name, 'entry_point', 'WARNING', {q(LINT['entry'])} FROM f
   WHERE file_name LIKE '%.py' AND NOT {empty} AND NOT ({entry})
 UNION ALL
+SELECT file_name, 'naming_runner', 'WARNING', {q(LINT['naming_runner'])} FROM ({PARSED})
+  WHERE (file_name LIKE '%.sql' OR file_name LIKE '%.py') AND NOT valid
+UNION ALL
 SELECT file_name, 'naming_ci', 'ERROR', file_name || ' ' || {q(LINT['naming_ci'])} FROM f
   WHERE file_name LIKE '%.sql' AND NOT regexp_matches(file_name, '^v[0-9]{{3}}_[a-z0-9_]+\\.sql$')
 UNION ALL

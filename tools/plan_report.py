@@ -1,6 +1,7 @@
 """Physical-plan summary of every registered query (markdown table).
 
 Usage: python tools/plan_report.py [sf_dir] > PLANS.md
+(The corpus operators run jobs of their own and are measured by other means.)
 Counts file scans, exchanges by kind and join strategies in the physical
 plan Spark chooses before adaptive re-planning.
 """
@@ -24,11 +25,11 @@ OPS = [("scans", r"FileScan parquet"), ("hash exch", r"Exchange hashpartitioning
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     from tidemark.session import build_session
-    import __spark_entry__ as E
+    from tidemark.plans.queries import QUERIES
     spark = build_session("local[8]", shuffle_partitions=16)
     print("| query | " + " | ".join(name for name, _ in OPS) + " |")
     print("| --- |" + " --- |" * len(OPS))
-    for n, fn in E.queries().items():
+    for n, fn in QUERIES.items():
         plan = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         c = collections.Counter()
         for name, rx in OPS:
