@@ -3,9 +3,9 @@
 The dimensions are dealt to ``lists`` slices; a slice's holder knows only its
 part of every score.
 
-1. Each slice gives each query's k best local scores.  The entries met are
-   scored exactly, and a query's k-th best, t, is a safe cutoff: an answer
-   scores at least t, so one of its local scores is at least t / lists.
+1. Each slice gives each query's ``DEPTH * k`` best local scores.  The entries
+   met are scored exactly, and a query's k-th best, t, is a safe cutoff: an
+   answer scores at least t, so one of its local scores is at least t / lists.
 2. Each slice collects all its entries of at least t / lists.
 3. Entries collected by every slice are summed; those that lack a slice, and
    could still reach t with what the slice can hide, are scored exactly from
@@ -30,6 +30,7 @@ from tidemark.llm.vectors import best_of, block_count, every_block, few_per_copy
 QUERY_BLOCK = 2048
 ROW_BLOCK = 4096
 LISTS = 2
+DEPTH = 4  # deeper lists raise the cutoff, so that phase 2 collects less
 SCALE = 256.0
 LONG_MAX = (1 << 63) - 1
 
@@ -129,20 +130,21 @@ def top_k(embeddings: DataFrame, is_query: Column, k: int, lists: int = LISTS, i
     rows = written(few_per_copy(vectors, k + 1, same), "distinct-vectors")
     blocks = (block_count(queries.count(), query_block), block_count(rows.count(), row_block))
     schema = "query_id long, list int, vec_id long, score long"
+    depth = DEPTH * k
 
     def local_best(q: pa.Table, scores: np.ndarray, ids: np.ndarray):
         i, j = _own(q["vec_id"].to_numpy(), ids)
         skip = dict(zip(i.tolist(), j.tolist()))
         rows_i, rows_j = [], []
         for n in range(len(scores)):
-            best = best_of(scores[n], k + 1)
-            best = best[best != skip.get(n, -1)][:k]
+            best = best_of(scores[n], depth + 1)
+            best = best[best != skip.get(n, -1)][:depth]
             rows_i.append(np.full(len(best), n))
             rows_j.append(best)
         at, to = np.concatenate(rows_i), np.concatenate(rows_j)
         return at, to, scores[at, to]
 
-    local = merge_heaps(_tiles(queries, rows, blocks, lists, local_best, schema), ["query_id", "list"], k)
+    local = merge_heaps(_tiles(queries, rows, blocks, lists, local_best, schema), ["query_id", "list"], depth)
     met = written(_scored(local.select("query_id", "vec_id").distinct(), queries, rows), "met")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     cutoffs = (met.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= k)
