@@ -146,11 +146,11 @@ def balanced_shards(docs: DataFrame, shards: int, parts: int = 500,
         F.when(own, F.col("h2")).otherwise(0).alias("b"),
         F.when(own, F.pmod(F.xxhash64("doc_id"), "pieces")).otherwise(-1).alias("piece"))
     found = sorted(((r.size, r.a, r.b, r.piece) for r in
-                    items.groupBy("a", "b", "piece").agg(F.sum("size").alias("size")).toLocalIterator()),
+                    items.groupBy("a", "b", "piece").agg(F.sum("size").alias("size")).collect()),  # 3 * shards * parts
                    key=lambda r: (-r[0], r[1], r[2], r[3]))
     bins = fill([r[0] for r in found], shards)
     placed = spark.createDataFrame([(a, b, p, s) for (_, a, b, p), s in zip(found, bins)],
                                    "a long, b long, piece long, shard int")
-    # bounded like `found`: 3 * shards * parts rows at most
+    # bounded like `found`
     sharded = items.join(F.broadcast(placed), ["a", "b", "piece"]).drop("a", "b", "piece")
     return numbered(sharded, ["shard"], ["doc_id", "text_crc32", "size"], "slot", slots(spark, n_rows))
