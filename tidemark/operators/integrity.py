@@ -29,17 +29,21 @@ def foreign_key_orphans(tables: Mapping[str, DataFrame],
                         relations: Sequence[tuple[str, str, str, str]]) -> DataFrame:
     """Per (child, column) -> (parent, column): rows and distinct keys whose
     value has no parent row (NULL keys are not orphans; keys are compared as
-    text).
+    numbers if all are integers, else as text).
 
     Each child and each parent table is scanned once for all its relations: a
     row yields one (relation, key) pair per relation, and pairs are counted
     before the anti join."""
     spark = next(iter(tables.values())).sparkSession
 
+    whole = {"tinyint", "smallint", "int", "bigint"}
+    kinds = {dict(tables[r[side]].dtypes)[r[side + 1]] for r in relations for side in (0, 2)}
+    key_type = "BIGINT" if kinds <= whole else "STRING"
+
     def pairs(side: int) -> DataFrame:
         parts = []
         for table in dict.fromkeys(r[side] for r in relations):
-            mine = ", ".join(f"named_struct('relation', {i}, '_k', CAST({spark_identifier(r[side + 1])} AS STRING))"
+            mine = ", ".join(f"named_struct('relation', {i}, '_k', CAST({spark_identifier(r[side + 1])} AS {key_type}))"
                              for i, r in enumerate(relations) if r[side] == table)
             parts.append(tables[table].selectExpr(f"inline(array({mine}))").filter("_k IS NOT NULL"))
         return reduce(lambda a, b: a.unionByName(b), parts)

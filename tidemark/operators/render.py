@@ -183,14 +183,14 @@ def definition_lines(columns: DataFrame, constraints: DataFrame | None = None,
 # Parse definitions back into columns (line-based)
 # --------------------------------------------------------------------------
 
-_NAME = r"\[(?:[^\]]|\]\])+\]"
+_NAME = r"\[(?:[^\]]++|\]\])++\]"  # ]] stands for a bracket
 # The exported text: CREATE TABLE [schema].[table] ( items );
-_TABLE = rf"(?is)^.*?CREATE\s+TABLE\s+(?:{_NAME}\s*\.\s*)?{_NAME}\s*\((.*)\)\s*;?\s*$"
+_TABLE = rf"(?is)CREATE\s+TABLE\s+(?:{_NAME}\s*\.\s*)?{_NAME}\s*\((.*)\)\s*;?\s*$"
 # An item ends at a comma that a column's or a constraint's head follows.
 _NEXT_ITEM = rf"(?i),\s*(?={_NAME}\s|CONSTRAINT\s+\[)"
 # The exported line: [name] TYPE [DEFAULT value] [NULL or NOT NULL].
-_COLUMN = (r"(?is)^\s*\[((?:[^\]]|\]\])+)\]\s+"
-           r"((.+?)(?:\s+DEFAULT\s.+?)?(?:\s+(?:NOT\s+)?NULL)?)[\s,]*$")
+_COLUMN = (r"(?is)^\s*\[((?:[^\]]++|\]\])++)\]\s+"
+           r"((\S+(?:\s+(?!DEFAULT\s|NOT\s+NULL|NULL\b)[^\s,]+)*)(?:\s+DEFAULT\s.+?)?(?:\s+(?:NOT\s+)?NULL)?)[\s,]*$")
 
 
 def parse_definition_columns(definitions: DataFrame, text_col: str = "definition",
@@ -203,13 +203,14 @@ def parse_definition_columns(definitions: DataFrame, text_col: str = "definition
     """
     body = F.regexp_extract(F.col(text_col), _TABLE, 1)
     items = definitions.select(*key_cols, F.posexplode(F.split(body, _NEXT_ITEM)).alias("pos", "item"))
-    parts = [F.regexp_extract("item", _COLUMN, k) for k in (1, 2, 3)]
-    return items.filter(F.col("item").rlike(_COLUMN)).select(
+    # one match an item gives its three parts; an item that is no column stays whole
+    parts = F.split(F.regexp_replace("item", _COLUMN, "$1\u0001$2\u0001$3"), "\u0001")
+    return items.withColumn("parts", parts).filter(F.size("parts") == 3).select(
         *key_cols,
-        F.replace(parts[0], F.lit("]]"), F.lit("]")).alias("column_name"),
+        F.replace(F.col("parts")[0], F.lit("]]"), F.lit("]")).alias("column_name"),
         (F.col("pos") + 1).cast("int").alias("ordinal"),
-        parts[2].alias("type_sql"),
-        parts[1].alias("column_definition"),
+        F.col("parts")[2].alias("type_sql"),
+        F.col("parts")[1].alias("column_definition"),
     )
 
 

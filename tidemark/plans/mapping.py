@@ -27,6 +27,7 @@ the tables it comes from.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,8 +46,45 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def load_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: load(spark, sf_dir, t) for t in TABLES}
+#: Session setting: deal the inputs of text work to so many partitions.
+SPLIT_SETTING = "spark.tidemark.input.partitions"
+
+
+def load_split(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """:func:`load` for inputs of text work.  The driver writes a table as one
+    row group, which no reader setting can split; a session that wants such a
+    table on many cores says so in ``SPLIT_SETTING``.  Unset, as it should be
+    for tables of many files, the scan is left as it is."""
+    parts = spark.conf.get(SPLIT_SETTING, None)
+    df = load(spark, sf_dir, name)
+    return df.repartition(int(parts)) if parts else df
+
+
+class Tables(Mapping):
+    """The driver's tables by name, each loaded when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir, self._loaded = spark, sf_dir, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._loaded:
+            if name not in TABLES:
+                raise KeyError(name)
+            self._loaded[name] = load(self.spark, self.sf_dir, name)
+        return self._loaded[name]
+
+    def __iter__(self):
+        return iter(TABLES)
+
+    def __len__(self) -> int:
+        return len(TABLES)
+
+    def __contains__(self, name: object) -> bool:
+        return name in TABLES
+
+
+def load_all(spark: SparkSession, sf_dir: str) -> Tables:
+    return Tables(spark, sf_dir)
 
 
 # --------------------------------------------------------------------------
@@ -59,7 +97,7 @@ def doc_name() -> Column:
 
 def baseline_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.functions.text import export_path
-    d = load(spark, sf_dir, "documents")
+    d = load_split(spark, sf_dir, "documents")
     return d.select(F.col("lang").alias("category"), doc_name().alias("name"),
                     F.col("text").alias("definition"),
                     export_path(F.col("lang"), doc_name()).alias("relative_path"))
@@ -67,7 +105,7 @@ def baseline_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def live_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.functions.text import export_path
-    d = load(spark, sf_dir, "documents")
+    d = load_split(spark, sf_dir, "documents")
     lab = load(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     j = d.join(lab, "doc_id", "left").filter(F.coalesce(F.col("toxic"), F.lit(0)) == 0)
     definition = (F.when(F.col("quality") == 0, F.concat(F.col("text"), F.lit("\nREVISED")))
@@ -76,7 +114,7 @@ def live_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = j.select(F.col("lang").alias("category"), doc_name().alias("name"),
                     definition.alias("definition"),
                     export_path(F.col("lang"), doc_name()).alias("relative_path"))
-    p = load(spark, sf_dir, "pages")
+    p = load_split(spark, sf_dir, "pages")
     page_name = F.concat(F.lit("page"), F.col("page_id").cast("string"))
     pages = p.select(F.lit("views").alias("category"), page_name.alias("name"),
                      F.col("html").alias("definition"),
@@ -157,7 +195,7 @@ def script_content() -> Column:
 
 def script_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, file_name, content, n_chars)`` - the script corpus."""
-    return load(spark, sf_dir, "documents").select(
+    return load_split(spark, sf_dir, "documents").select(
         "doc_id", script_name().alias("file_name"), script_content().alias("content"), "n_chars", "source", "lang")
 
 
@@ -190,7 +228,7 @@ def _order_parts(spark: SparkSession, sf_dir: str, live: bool):
     finished orders' price column is two digits wider (a type change), and
     high-priority orders' customer column became NOT NULL (a nullability-only
     change)."""
-    o = load(spark, sf_dir, "orders")
+    o = load_split(spark, sf_dir, "orders")
     if live:
         o = o.filter(F.col("o_orderstatus") != "P")
 
@@ -263,7 +301,7 @@ def modules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One module per conversation turn: system turns arrive as ``ALTER
     VIEW`` text, long user turns as ``CREATE VIEW``, short ones blank, the rest
     as bare bodies (assistant turns are procedures)."""
-    c = load(spark, sf_dir, "conversations")
+    c = load_split(spark, sf_dir, "conversations")
     role = F.col("role")
     obj = F.concat(F.lit("conv"), F.col("conv_id").cast("string"), F.lit("_t"), F.col("turn").cast("string"))
     definition = (F.when(role == "system", F.concat(F.lit("ALTER VIEW "), obj, F.lit(" AS\n"), F.col("text")))
@@ -283,7 +321,7 @@ def modules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def doc_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One export artifact per document; the object type follows the language."""
     from tidemark.operators.render import artifacts
-    d = load(spark, sf_dir, "documents")
+    d = load_split(spark, sf_dir, "documents")
     ot = (F.when(F.col("lang") == "en", F.lit("table"))
           .when(F.col("lang") == "fr", F.lit("view")).otherwise(F.lit("procedure")))
     qn = F.concat(F.lit("dbo."), F.col("source"), F.lit(":doc"), F.col("doc_id").cast("string"))

@@ -30,30 +30,25 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Validation (contract checks)
 # --------------------------------------------------------------------------
 
-def _tables(spark, sf_dir):
-    t = M.load_all(spark, sf_dir)
+def _fused(t, kinds=(checks.ROWS, checks.NULLS, checks.RANGES)):
+    """Fused checks of the tables, and of documents joined to their labels."""
     labels = t["labels"].select("doc_id", "quality", "toxic")
-    t_checks = dict(t)
-    t_checks["doc_labels"] = t["documents"].select("doc_id", "lang").join(labels, "doc_id", "left")
-    return t, t_checks
-
-
-def _fused(spark, sf_dir, kinds=(checks.ROWS, checks.NULLS, checks.RANGES)):
-    _, t_checks = _tables(spark, sf_dir)
-    return checks.fused_checks(t_checks, RULES, kinds)
+    joined = t["documents"].select("doc_id", "lang").join(labels, "doc_id", "left")
+    return checks.fused_checks({**t, "doc_labels": joined}, RULES, kinds)
 
 
 def q_row_counts(spark, sf_dir):
-    return _fused(spark, sf_dir, (checks.ROWS,)).select("table_name", F.col("observed").alias("row_count"), "severity")
+    return _fused(M.load_all(spark, sf_dir), (checks.ROWS,)).select(
+        "table_name", F.col("observed").alias("row_count"), "severity")
 
 
 def q_null_counts(spark, sf_dir):
-    return _fused(spark, sf_dir, (checks.NULLS,)).select(
+    return _fused(M.load_all(spark, sf_dir), (checks.NULLS,)).select(
         "table_name", F.col("subject").alias("column_name"), F.col("observed").alias("null_rows"), "passed")
 
 
 def q_range_violations(spark, sf_dir):
-    return _fused(spark, sf_dir, (checks.RANGES,)).select(
+    return _fused(M.load_all(spark, sf_dir), (checks.RANGES,)).select(
         "table_name", F.col("subject").alias("column_name"), F.col("check_name").alias("rule"),
         F.col("observed").alias("invalid_rows"), "passed", "message")
 
@@ -71,27 +66,28 @@ def q_range_violation_rows(spark, sf_dir):
     return cust.unionByName(line)
 
 
-def _contract_checks(spark, sf_dir, expected_version=EXPECTED_VERSION):
-    t = M.load_all(spark, sf_dir)
+def _contract_checks(spark, t, expected_version=EXPECTED_VERSION):
     return contracts.contract_checks(contracts.contract_frame(spark, CONTRACT), actual_columns(spark, t),
                                      available_tables(spark, t), expected_version)
 
 
-def _with_rows(spark, sf_dir, rows):
+def _with_rows(t, rows):
     """Contract checks with the row count of the table they are about (null
     for a table that is not there)."""
-    counts = _fused(spark, sf_dir, (checks.ROWS,)).select("table_name", F.col("observed").alias("row_count"))
+    counts = _fused(t, (checks.ROWS,)).select("table_name", F.col("observed").alias("row_count"))
     return rows.join(counts, "table_name", "left")
 
 
 def q_table_presence(spark, sf_dir):
-    rows = _contract_checks(spark, sf_dir, "v003").filter(F.col("category") == "tables")
-    return _with_rows(spark, sf_dir, rows).select("table_name", "passed", "message", "row_count")
+    t = M.load_all(spark, sf_dir)
+    rows = _contract_checks(spark, t, "v003").filter(F.col("category") == "tables")
+    return _with_rows(t, rows).select("table_name", "passed", "message", "row_count")
 
 
 def q_schema_conformance(spark, sf_dir):
-    rows = _contract_checks(spark, sf_dir).filter(F.col("category") == "columns")
-    return _with_rows(spark, sf_dir, rows).select(
+    t = M.load_all(spark, sf_dir)
+    rows = _contract_checks(spark, t).filter(F.col("category") == "columns")
+    return _with_rows(t, rows).select(
         "table_name", F.col("subject").alias("column_name"), "passed", "message", "row_count")
 
 
@@ -105,9 +101,10 @@ def q_version_gate(spark, sf_dir):
 
 
 def q_version_block(spark, sf_dir):
-    parts = [_contract_checks(spark, sf_dir, v).filter(F.col("category") == "version")
+    t = M.load_all(spark, sf_dir)
+    parts = [_contract_checks(spark, t, v).filter(F.col("category") == "version")
              .withColumn("expected_version", F.lit(v)) for v in ("v002", "v003")]
-    return _with_rows(spark, sf_dir, parts[0].unionByName(parts[1])).select(
+    return _with_rows(t, parts[0].unionByName(parts[1])).select(
         "expected_version", "table_name", "check_name", "subject", "passed", "message", "row_count")
 
 
@@ -119,7 +116,8 @@ def q_history_checks(spark, sf_dir):
 def _all_check_rows(spark, sf_dir):
     hist = contracts.history_checks(M.history(spark, sf_dir), contracts.expected_version_labels(EXPECTED_VERSION),
                                     spark=spark)
-    return reduce(lambda a, b: a.unionByName(b), [_contract_checks(spark, sf_dir), _fused(spark, sf_dir), hist])
+    t = M.load_all(spark, sf_dir)
+    return reduce(lambda a, b: a.unionByName(b), [_contract_checks(spark, t), _fused(t), hist])
 
 
 def q_check_results(spark, sf_dir):
@@ -139,9 +137,9 @@ def q_verdict(spark, sf_dir):
 # --------------------------------------------------------------------------
 
 def q_definition_normalize(spark, sf_dir):
-    d = M.load(spark, sf_dir, "documents").select(
+    d = M.load_split(spark, sf_dir, "documents").select(
         F.lit("document").alias("kind"), F.col("doc_id").alias("object_id"), F.col("text").alias("body"))
-    p = M.load(spark, sf_dir, "pages").select(
+    p = M.load_split(spark, sf_dir, "pages").select(
         F.lit("page").alias("kind"), F.col("page_id").alias("object_id"), F.col("html").alias("body"))
     u = d.unionByName(p)
     norm = normalize_definition(F.col("body"))
@@ -316,7 +314,8 @@ def q_catalog_drift(spark, sf_dir):
     left, right = (_texts(spark, sf_dir, live) for live in (False, True))
     modified = drift.object_drift(left, right).filter(F.col("status") == "modified").select("name")
     changes = drift.table_drift(*(_text_columns(spark, sf_dir, live, modified) for live in (False, True)))
-    return drift.object_drift(left, right, changes).select("category", "name", "status", "details")
+    # the category is the same for all; leaving it out lets both drifts share their exchanges
+    return drift.object_drift(left, right, changes).select(F.lit("tables").alias("category"), "name", "status", "details")
 
 
 def q_normalize_module(spark, sf_dir):
