@@ -202,14 +202,15 @@ def _shards(refs: list[tuple[int, list[bytes], list[int]]], window: int):
 
 
 def _references(docs: pa.Table, wanted: pa.Table) -> pa.Table:
-    """The documents of a part that others read, once for each part of readers."""
-    rows: dict[int, list[int]] = {}
-    for i, doc in enumerate(wanted["doc_id"].to_pylist()):
-        rows.setdefault(doc, []).append(i)
-    of = [(i, w) for i, doc in enumerate(docs["doc_id"].to_pylist()) for w in rows.get(doc, ())]
+    """The documents of a part that others read, with the parts that do."""
+    row = {doc: i for i, doc in enumerate(wanted["doc_id"].to_pylist())}
+    of = [(i, row[doc]) for i, doc in enumerate(docs["doc_id"].to_pylist()) if doc in row]
     i, w = (pa.array([x[k] for x in of], pa.int64()) for k in (0, 1))
-    return pa.table([wanted["reader_part"].take(w), docs["doc_id"].take(i), wanted["readers"].take(w).cast(pa.list_(pa.int64())),
-                     docs["text"].take(i)], names=["reader_part", "ref", "readers", "ref_text"])
+    return pa.table([docs["doc_id"].take(i), docs["text"].take(i), wanted["targets"].take(w).cast(_TARGETS)],
+                    names=["ref", "ref_text", "targets"])
+
+
+_TARGETS = pa.list_(pa.struct([("reader_part", pa.int32()), ("readers", pa.list_(pa.int64()))]))
 
 
 def _part(window: int):
@@ -292,8 +293,13 @@ def dedup_substrings(docs: DataFrame, window: int, id_col: str = "doc_id", text_
     dealt = known.withColumn("part", part_of("doc_id")).repartition(parts, "part")
     wanted = (pairs.groupBy("ref", part_of("doc_id").alias("reader_part"))
               .agg(F.collect_list("doc_id").alias("readers"))  # of one part
-              .select(F.col("ref").alias("doc_id"), part_of("ref").alias("part"), "reader_part", "readers"))
+              .groupBy(F.col("ref").alias("doc_id"))
+              .agg(F.collect_list(F.struct("reader_part", "readers")).alias("targets"))  # at most one per part
+              .withColumn("part", part_of("doc_id")))
     refs = (dealt.groupBy("part").cogroup(wanted.groupBy("part"))
-            .applyInArrow(_references, "reader_part int, ref long, readers array<long>, ref_text string"))
+            .applyInArrow(_references, "ref long, ref_text string, "
+                                       "targets array<struct<reader_part: int, readers: array<long>>>")
+            # a text that many parts need is copied row by row on its way to them
+            .select("ref", "ref_text", F.inline("targets")))
     kept = (refs.groupBy("reader_part").cogroup(dealt.groupBy("part")).applyInArrow(_part(window), _SCHEMA))
     return kept.unionByName(base.filter("doc_id is null").mapInArrow(_alone, _SCHEMA))
