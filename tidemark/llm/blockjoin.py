@@ -55,7 +55,7 @@ def tile(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.n
         alive = (near + off >= cut[:, None]) & (near > -np.inf)
         for i in range(len(near)):
             j = np.flatnonzero(alive[i])
-            exact = (rows[j] * queries[at + i]).sum(axis=1)
+            exact = np.cumsum(rows[j] * queries[at + i], axis=1)[:, -1]  # summed from left to right, as SQL does
             best = best_of(exact, k)
             out_q += [int(query_ids[at + i])] * len(best)
             out_id += ids[j[best]].tolist()
