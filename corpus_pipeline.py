@@ -39,7 +39,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents in sequences."""
+    """The pieces of the documents in sequences, with their token ids."""
     return packing.pack(docs, Q.tokenizer_path(), Q.SEQUENCE, Q.END_ID, digest=True)
 
 

@@ -88,3 +88,36 @@ def test_awkward_rows(spark):
     empty = packing.pack(base.limit(0), PATH, 64, 1)
     assert empty.count() == 0
     assert written(empty, "empty").columns[-2:] == ["sequence_id", "offset"]
+
+
+def test_digest_keeps_the_ids(spark):
+    import zlib
+    texts = [*prose(4, 20), None, "w " * 300]
+    rows = packing.pack(docs(spark, texts), PATH, 64, 1, digest=True).collect()
+    check(rows, 64, dict(enumerate(texts)))
+    assert all(r.ids_crc32 == zlib.crc32(bytes(r.ids)) for r in rows)
+
+
+def test_query_and_pipeline_pack_the_ids(spark):
+    import zlib
+
+    import corpus_pipeline
+    from tidemark.llm import queries as Q
+    sf = "/root/testdata/sf0.001"
+    base = spark.read.parquet(f"{sf}/documents.parquet")
+    texts = {r.doc_id: r.text for r in base.collect()}
+    rows = corpus_pipeline.pack(spark, base, sf).collect()
+    check(rows, Q.SEQUENCE, texts)
+    crc = lambda r: (r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens)
+    assert all(r.ids_crc32 == zlib.crc32(bytes(r.ids)) for r in rows)
+    query = Q.op3_pack(spark, sf)
+    assert "crc32(ids#" in query._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(crc, query.collect())) == sorted(map(crc, rows))
+
+
+def test_narrow_ids():
+    for ids in ([0], [1, 65535], [65536, 3], [1]):
+        a = np.array(ids, "<u4")
+        data = packing._narrow(a)
+        assert len(data) == (2 if max(ids) < 65536 else 4) * len(ids)
+        assert packing._wide(data, len(ids)) == a.tobytes()

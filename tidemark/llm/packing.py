@@ -78,20 +78,27 @@ def places(patterns: list[tuple[int, dict[int, int]]]) -> dict[str, np.ndarray]:
     return {"begin": begin, "sequence": first, "times": times, "offset": offset, "base": base}
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int, digest: bool = False,
-                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _narrow(ids: np.ndarray) -> bytes:
+    """``ids`` in two bytes each if all fit, else in four; the length tells which."""
+    return (ids.astype("<u2") if ids.max() < 1 << 16 else ids).tobytes()
+
+
+def _wide(data: bytes, length: int) -> bytes:
+    return np.frombuffer(data, "<u2").astype("<u4").tobytes() if len(data) == 2 * length else data
+
+
+def token_pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int,
+                 id_col: str = "doc_id", text_col: str = "text", narrow: bool = False) -> DataFrame:
     """``doc_id, start, length, ids, doc_tokens``: documents cut at ``size``.
 
-    ``ids`` has the piece's token ids as little-endian 32-bit numbers.  With
-    ``digest`` their CRC-32 comes instead (``ids_crc32``), so the ids need not
-    travel.  A null text is an empty one, whose only id is ``end_id``.
+    ``ids`` has the piece's token ids as little-endian 32-bit numbers, with
+    ``narrow`` as 16-bit ones where all of a piece fit.  A null text is an empty
+    one, whose only id is ``end_id``.
     """
     with open(tokenizer, encoding="utf-8") as f:
         content = docs.sparkSession.sparkContext.broadcast(f.read())  # a vocabulary file
-    last = "ids_crc32" if digest else "ids"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zlib
         encode = Encoder(content.value).encode
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
@@ -101,20 +108,19 @@ def token_pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int, digest
                     ids = np.array([*encode(text or ""), end_id], "<u4")
                     for start in range(0, len(ids), size):
                         piece = ids[start:start + size]
-                        data = piece.tobytes()
-                        rows.append((doc, start, len(piece), zlib.crc32(data) if digest else data, len(ids)))
+                        rows.append((doc, start, len(piece), _narrow(piece) if narrow else piece.tobytes(), len(ids)))
                 if rows:
-                    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64() if digest else pa.binary(), pa.int64()]
+                    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                                                     ["doc_id", "start", "length", last, "doc_tokens"])
+                                                     ["doc_id", "start", "length", "ids", "doc_tokens"])
 
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return slim.mapInArrow(run, f"doc_id long, start long, length long, {last} {'long' if digest else 'binary'}, "
-                                "doc_tokens long")
+    return slim.mapInArrow(run, "doc_id long, start long, length long, ids binary, doc_tokens long")
 
 
-def packed(pieces: DataFrame, size: int, order: list[str]) -> DataFrame:
+def packed(pieces: DataFrame, size: int, order: list[str], narrow: bool = False) -> DataFrame:
     """``pieces`` (a table; a row has its ``length``) with ``sequence_id, offset``.
+    ``narrow`` ids become 32-bit numbers.
 
     Pieces that agree in length and ``order`` are interchangeable.  No pieces
     give no rows.  Sequences are numbered from 0 without gaps, and a sequence's
@@ -134,7 +140,10 @@ def packed(pieces: DataFrame, size: int, order: list[str]) -> DataFrame:
             k = place - p["begin"][e]
             sequence = p["sequence"][e] + k // p["times"][e]
             offset = p["offset"][e] + k % p["times"][e] * length
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(sequence), pa.array(offset)],
+            held = {n: batch.column(n) for n in names}
+            if narrow:
+                held["ids"] = pa.array(map(_wide, held["ids"].to_pylist(), length.tolist()), pa.binary())
+            yield pa.RecordBatch.from_arrays([*held.values(), pa.array(sequence), pa.array(offset)],
                                              [*names, "sequence_id", "offset"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
@@ -143,7 +152,11 @@ def packed(pieces: DataFrame, size: int, order: list[str]) -> DataFrame:
 
 def pack(docs: DataFrame, tokenizer: str, size: int, end_id: int, digest: bool = False,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Tokenize, cut and pack ``docs``; the pieces are tokenized once and written."""
-    pieces = written(token_pieces(docs, tokenizer, size, end_id, digest, id_col, text_col), "pieces")
-    order = ["doc_id", "start", "doc_tokens", "ids_crc32"] if digest else ["doc_id", "start", "doc_tokens", "ids"]
-    return packed(pieces, size, order)
+    """Tokenize, cut and pack ``docs``; the pieces are tokenized once and written.
+
+    The ids always travel with their piece, narrow on the way.  ``digest`` adds ``ids_crc32``, the
+    CRC-32 of the packed ``ids``.
+    """
+    pieces = written(token_pieces(docs, tokenizer, size, end_id, id_col, text_col, narrow=True), "pieces")
+    rows = packed(pieces, size, ["doc_id", "start", "doc_tokens", "ids"], narrow=True)
+    return rows.withColumn("ids_crc32", F.crc32("ids")) if digest else rows

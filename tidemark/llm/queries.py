@@ -47,8 +47,8 @@ def tokenizer_path() -> str:
 
 def op3_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return packing.pack(docs, tokenizer_path(), SEQUENCE, END_ID, digest=True).select(
-        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    return packing.pack(docs, tokenizer_path(), SEQUENCE, END_ID).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 def op4_block_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
