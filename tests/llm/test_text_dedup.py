@@ -92,6 +92,22 @@ def test_substrings_over_many_pieces_shards_and_parts(spark, monkeypatch):
     assert as_dict(substring.dedup_substrings(docs(spark, texts), 5)) == slow_words(dict(enumerate(texts)), 5)
 
 
+@pytest.mark.parametrize("slice_size", [1 << 20, 2000])
+def test_substrings_where_hashes_collide(spark, monkeypatch, slice_size):
+    """With hashes of 14 bits different windows share one; the words decide."""
+    monkeypatch.setattr(substring, "STORED", 1)
+    monkeypatch.setattr(substring, "IN_BATCH", 3)
+    monkeypatch.setattr(substring, "PART_BYTES", 20000)
+    monkeypatch.setattr(substring, "DOUBT_SLICE", slice_size)
+    rnd = random.Random(21)
+    word = lambda: "u%d" % rnd.randrange(10 ** 9)
+    passages = [" ".join(word() for _ in range(5)) for _ in range(300)] * 2  # each in two documents only
+    texts = [" ".join([*(word() for _ in range(10)), p, *(word() for _ in range(10))]) for p in passages]
+    rows = substring.dedup_substrings(docs(spark, texts), 5)
+    assert as_dict(rows) == slow_words(dict(enumerate(texts)), 5)
+    assert all(sum(s.end - s.start for s in r.spans) == r.n_removed for r in rows.collect())
+
+
 def test_substrings_awkward_rows(spark):
     text = " ".join("w%d" % i for i in range(20))
     base = awkward(spark, docs(spark, [text, "a " + text, text]))

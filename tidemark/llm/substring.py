@@ -12,8 +12,13 @@ a hash of their id, and a reference is sent to each part that has readers of it.
 A part cuts its references into shards of at most ``SHARD_WORDS`` words (pieces
 overlap by a window less a word, so no window is lost), builds one shard's
 automaton after the other, and streams the shard's readers through it.  The
-automaton compares words and not hashes; a wrong link costs time and nothing
-else.
+automaton compares words and not hashes.
+
+A bucket links a hash to one document only, so where different windows share a
+hash the automaton may miss a repeat.  Then the reader has a window that stays
+and whose hash a smaller reference of its part has: the window is in doubt.
+The hashes in doubt go to a second round, which takes every window of the corpus
+with one of them and compares the windows' words, so no result depends on chance.
 
 References grow with the corpus, so they reach the tasks by a shuffle and not by
 the driver's broadcast.  Within a batch of documents only a hash's first
@@ -40,7 +45,9 @@ STORED = 5                    # bytes of a hash that are stored; the bucket's nu
 BUCKET_WORDS = 2_000_000
 SHARD_WORDS = 100_000
 PART_BYTES = 16 << 20
+DOUBT_SLICE = 1 << 20         # hashes in doubt that one pass of the second round takes
 _TEXT_BYTES = 128 << 10
+_REF_BYTES = 4 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _FINAL = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -99,12 +106,16 @@ def _wide(data: bytes) -> np.ndarray:
     return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
 
 
+def _bucket_bits(words: int) -> int:
+    return min(64 - IN_BATCH - 8 * STORED, max(6, math.ceil(math.log2(max(1, words / BUCKET_WORDS)))))
+
+
 def links(docs: DataFrame, window: int, words: int) -> DataFrame:
     """``doc_id, ref``: for each window of a document that a smaller document
     has too, a link to one that has it (``ref`` < ``doc_id``).  ``words`` is
     about the number of words of ``docs`` (``doc_id, text``)."""
     spark = docs.sparkSession
-    bits = min(64 - IN_BATCH - 8 * STORED, max(6, math.ceil(math.log2(max(1, words / BUCKET_WORDS)))))
+    bits = _bucket_bits(words)
     hash_bits = 8 * STORED + bits  # buckets keep their size, so chance hits stay as rare at any size
     place_mask = np.uint64((1 << IN_BATCH) - 1)
 
@@ -213,8 +224,75 @@ def _references(docs: pa.Table, wanted: pa.Table) -> pa.Table:
 _TARGETS = pa.list_(pa.struct([("reader_part", pa.int32()), ("readers", pa.list_(pa.int64()))]))
 
 
-def _part(window: int):
-    """A part's references and documents to its documents' kept words."""
+def _merged(spans: list[tuple[int, int]]) -> list[list[int]]:
+    whole: list[list[int]] = []
+    for a, b in sorted(spans):
+        if whole and a <= whole[-1][1]:
+            whole[-1][1] = max(b, whole[-1][1])
+        else:
+            whole.append([a, b])
+    return whole
+
+
+def _in_doubt(refs: Iterator[tuple[int, bytes]], readers: list[tuple[int, int, bytes]],
+              spans: dict[int, list[tuple[int, int]]], window: int, shift: int) -> dict[int, list[dict]]:
+    """The windows in doubt of each reader ``(row, doc, text)``: those not in
+    its ``spans`` whose hash a smaller reference has."""
+    hashes, place = window_hashes([text for _, _, text in readers], window)
+    if not len(hashes):
+        return {}
+    hashes >>= np.uint64(shift)
+    begin = np.searchsorted(place, np.arange(len(readers)))
+    left = np.ones(len(hashes), bool)
+    for k, (i, _, _) in enumerate(readers):
+        for a, b in _merged(spans.get(i, ())):
+            left[begin[k] + a:begin[k] + b - window + 1] = False
+    at = np.flatnonzero(left)
+    mask = np.uint64((1 << min(25, max(10, int(8 * len(at)).bit_length()))) - 1)
+    seen = np.zeros(int(mask) + 1, bool)
+    seen[(hashes[at] & mask).astype(np.int64)] = True
+    of_refs, ids = [], []
+
+    def take(held: list[tuple[int, bytes]]) -> None:
+        value, text = window_hashes([x for _, x in held], window)
+        value >>= np.uint64(shift)
+        keep = seen[(value & mask).astype(np.int64)]
+        of_refs.append(value[keep])
+        ids.append(np.array([x for x, _ in held], np.int64)[text[keep]])
+
+    held, size = [], 0
+    for ref in refs:
+        held.append(ref)
+        size += len(ref[1])
+        if size > _REF_BYTES:
+            take(held)
+            held, size = [], 0
+    take(held)
+    value, doc = np.concatenate(of_refs), np.concatenate(ids)
+    order = np.lexsort((doc, value))
+    value, doc = value[order], doc[order]
+    new = np.concatenate([[True], value[1:] != value[:-1]])[:len(value)]
+    value, doc = value[new], doc[new]  # the smallest reference of each hash
+    if not len(value):
+        return {}
+    near = np.minimum(np.searchsorted(value, hashes[at]), len(value) - 1)
+    reader = np.array([x for _, x, _ in readers], np.int64)[place[at]]
+    out: dict[int, list[dict]] = {}
+    words, of = [], -1
+    for w in at[(value[near] == hashes[at]) & (doc[near] < reader)]:
+        if place[w] != of:
+            of = place[w]
+            words = readers[of][2].split()
+        start = int(w - begin[of])
+        if start + window <= len(words):
+            out.setdefault(readers[of][0], []).append(
+                {"start": start, "hash": int(hashes[w]), "words": b" ".join(words[start:start + window])})
+    return out
+
+
+def _part(window: int, shift: int):
+    """A part's references and documents to its documents' kept words and
+    windows in doubt; ``shift`` bits of a hash are not compared."""
 
     def run(refs: pa.Table, docs: pa.Table) -> pa.Table:
         texts = docs["text"].cast(pa.binary())
@@ -233,11 +311,17 @@ def _part(window: int):
             for reader in {r for _, _, readers in shard for r in readers}:
                 for i in rows.get(reader, ()):
                     spans.setdefault(i, []).extend(automaton.covered(texts[i].as_py().split(), reader))
-        return _kept(docs["doc_id"].to_pylist(), texts, spans)
+        read = {r for readers in refs["readers"].to_pylist() for r in readers}
+        doubts = _in_doubt(((refs["ref"][i].as_py(), refs["ref_text"][i].as_py().encode()) for i in map(int, order)),
+                           [(i, doc, texts[i].as_py()) for doc in sorted(read) for i in rows.get(doc, ())],
+                           spans, window, shift)
+        kept = _kept(docs["doc_id"].to_pylist(), texts, spans)
+        return kept.append_column("doubts", pa.array([doubts.get(i) for i in range(len(kept))], _DOUBTS))
 
     return run
 
 
+_DOUBTS = pa.list_(pa.struct([("start", pa.int64()), ("hash", pa.int64()), ("words", pa.binary())]))
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 _SCHEMA = "doc_id long, n_words long, n_removed long, kept string, spans array<struct<start: long, end: long>>"
 
@@ -247,12 +331,7 @@ def _kept(docs: list, texts, spans: dict[int, list[tuple[int, int]]]) -> pa.Tabl
     n_words, n_removed, kept, merged = [], [], [], []
     for i, text in enumerate(texts):
         words = (text.as_py() or b"").split()
-        whole: list[list[int]] = []
-        for a, b in sorted(spans.get(i, ())):
-            if whole and a <= whole[-1][1]:
-                whole[-1][1] = max(b, whole[-1][1])
-            else:
-                whole.append([a, b])
+        whole = _merged(spans.get(i, ()))
         rest, at = [], 0
         for a, b in whole:
             rest += words[at:a]
@@ -272,6 +351,90 @@ def _alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _kept(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), {}).to_batches()
 
 
+def _second_round(known: DataFrame, first: DataFrame, window: int, shift: int) -> DataFrame:
+    """``first`` (written) with the repeats removed that its windows in doubt are.
+
+    The hashes in doubt are taken a slice at a time: one pass over ``known``
+    gives every window with such a hash, and the words decide.
+    """
+    spark = known.sparkSession
+    plain = ["doc_id", "n_words", "n_removed", "kept", "spans"]
+    doubts = first.filter("doubts is not null").select("doc_id", F.inline("doubts"))
+    hashes = doubts.select("hash").distinct()
+    n = hashes.count()
+    if not n:
+        return first.select(*plain)
+    slices = math.ceil(n / DOUBT_SLICE)
+    slice_of = F.pmod(F.xxhash64("hash"), F.lit(slices))
+
+    def holders(asked):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sought = asked.value
+            for batch in batches:
+                ids = batch.column("doc_id").to_numpy()
+                texts = batch.column("text").cast(pa.binary()).to_pylist()
+                value, place = window_hashes(texts, window)
+                value = (value >> np.uint64(shift)).astype(np.int64)
+                hit = np.flatnonzero(sought[np.minimum(np.searchsorted(sought, value), len(sought) - 1)] == value)
+                least: dict[bytes, int] = {}
+                words, of, begin = [], -1, 0
+                for w in hit:
+                    if place[w] != of:
+                        of = place[w]
+                        words, begin = texts[of].split(), np.searchsorted(place, of)
+                    if w - begin + window <= len(words):
+                        key = b" ".join(words[w - begin:w - begin + window])
+                        least[key] = min(least.get(key, ids[of]), ids[of])
+                yield pa.RecordBatch.from_arrays([pa.array(list(least), pa.binary()),
+                                                  pa.array([int(x) for x in least.values()], pa.int64())],
+                                                 ["words", "first"])
+        return run
+
+    lost = None
+    for k in range(slices):
+        some = doubts.filter(slice_of == k)
+        asked = spark.sparkContext.broadcast(np.sort(np.array(  # about DOUBT_SLICE numbers
+            hashes.filter(slice_of == k).toArrow()["hash"].to_numpy(), np.int64)))
+        if not len(asked.value):
+            continue
+        holder = (known.mapInArrow(holders(asked), "words binary, first long")
+                  .groupBy("words").agg(F.min("first").alias("first")))
+        found = written(some.select("doc_id", "words").distinct().join(holder, "words")
+                        .filter("first < doc_id").select("doc_id", "words"), "lost")
+        lost = found if lost is None else lost.unionByName(found)
+        asked.unpersist()
+    of_doc = lost.groupBy("doc_id").agg(F.collect_set("words").alias("lost"))  # windows of one document
+    mended = (first.filter("doubts is not null").join(of_doc, "doc_id", "left")
+              .select(*plain, "doubts", "lost").mapInArrow(_mended(window), _SCHEMA))
+    return first.filter("doubts is null").select(*plain).unionByName(mended)
+
+
+def _mended(window: int):
+    """Rows with the spans of their lost windows added and those words removed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.to_pylist()
+            for r in rows:
+                gone, lost = [(s["start"], s["end"]) for s in r["spans"]], set(r.pop("lost") or ())
+                more = [(d["start"], d["start"] + window) for d in r.pop("doubts") if d["words"] in lost]
+                stays = np.ones(r["n_words"], bool)
+                for a, b in gone:
+                    stays[a:b] = False
+                before = np.flatnonzero(stays)
+                for a, b in more:
+                    stays[a:b] = False
+                words = r["kept"].encode().split()
+                r["kept"] = b" ".join(x for x, at in zip(words, before) if stays[at]).decode()
+                r["n_removed"] = r["n_words"] - int(stays.sum())
+                r["spans"] = [{"start": a, "end": b} for a, b in _merged(gone + more)]
+            schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
+                                ("kept", pa.string()), ("spans", _SPANS)])
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+    return run
+
+
 def dedup_substrings(docs: DataFrame, window: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_words, n_removed, kept, spans`` for every row of ``docs``.
 
@@ -301,5 +464,9 @@ def dedup_substrings(docs: DataFrame, window: int, id_col: str = "doc_id", text_
                                        "targets array<struct<reader_part: int, readers: array<long>>>")
             # a text that many parts need is copied row by row on its way to them
             .select("ref", "ref_text", F.inline("targets")))
-    kept = (refs.groupBy("reader_part").cogroup(dealt.groupBy("part")).applyInArrow(_part(window), _SCHEMA))
+    shift = 64 - 8 * STORED - _bucket_bits(size // 5)
+    first = written(refs.groupBy("reader_part").cogroup(dealt.groupBy("part"))
+                    .applyInArrow(_part(window, shift),
+                                  f"{_SCHEMA}, doubts array<struct<start: long, hash: long, words: binary>>"), "kept")
+    kept = _second_round(known, first, window, shift)
     return kept.unionByName(base.filter("doc_id is null").mapInArrow(_alone, _SCHEMA))
