@@ -12,10 +12,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import spark_identifier
+from tidemark.operators.ordering import with_previous
 from tidemark.session import local_frame
 
 
@@ -94,26 +95,19 @@ def total_agreement(parents: DataFrame, parent_key: str, total: str, children: D
     ).select(F.lit(rule).alias("rule"), "checked_rows", "without_children", "violations")
 
 
-#: Numbers of one bucket when gaps are looked for.
-GAP_BUCKET = 65536
-
-
 def version_gaps(versions: DataFrame, col: str = "version", start: int = 1) -> DataFrame:
     """``(gap_from, gap_to)``: every range of numbers from ``start`` on that no
     version has, up to the highest version.
 
-    Distinct versions are compared with the one before within buckets of
-    ``GAP_BUCKET`` numbers; only each bucket's first and last version (one row
-    per bucket) are put in one order to find the gaps between buckets."""
+    Distinct versions are compared with the one before in ranges of their order
+    (see :mod:`tidemark.operators.ordering`), so sparse versions such as
+    timestamps are no task's whole input."""
     v = F.col(col).cast("bigint")
     have = versions.select(v.alias("v")).filter(F.col("v") >= start).distinct()
-    bucketed = have.withColumn("bucket", F.floor(F.col("v") / GAP_BUCKET).cast("bigint"))
-    before = F.lag("v").over(Window.partitionBy("bucket").orderBy("v"))
-    inside = bucketed.withColumn("before", before).filter(F.col("before").isNotNull())
-    ends = bucketed.groupBy("bucket").agg(F.min("v").alias("v"), F.max("v").alias("last"))
-    between = ends.withColumn("before", F.lag("last", 1, start - 1).over(Window.orderBy("bucket")))
-    gap = [(F.col("before") + 1).alias("gap_from"), (F.col("v") - 1).alias("gap_to")]
-    return inside.select(*gap).unionByName(between.select(*gap)).filter(F.col("gap_from") <= F.col("gap_to"))
+    before = F.coalesce(F.col("before"), F.lit(start - 1).cast("bigint"))
+    return (with_previous(have, "v", "before")
+            .select((before + 1).alias("gap_from"), (F.col("v") - 1).alias("gap_to"))
+            .filter(F.col("gap_from") <= F.col("gap_to")))
 
 
 def expression_agreement(df: DataFrame, table: str,

@@ -9,6 +9,9 @@ Spark UI off, UTC session time zone.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Session settings every entry point applies.  AQE is what turns a sort-merge
@@ -61,6 +64,31 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """:func:`checkpoint_dir`; a session without one gets a temporary folder in
+    local mode only.  On a cluster every executor must see the folder, so there
+    a missing one is an error."""
+    if spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None):
+        return checkpoint_dir(spark)
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-scratch-"))
+    return spark.sparkContext.getCheckpointDir()
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back.
+
+    Cuts the lineage: what is read later survives the loss of any executor and
+    is the same at every reading.  The folder is scratch space of the job and
+    is emptied with it."""
+    spark = df.sparkSession
+    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage of a result that several outputs reuse.
 
