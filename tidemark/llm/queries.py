@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import blockjoin, lines, mixing, packing, quality, sharding, simhash, substring, topk, urls
+from tidemark.llm import (blockjoin, lines, mixing, packing, quality, resampling, sharding, simhash, substring, topk,
+                          urls, whitening)
 from tidemark.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -25,6 +26,9 @@ SIMHASH_SHINGLE = 4
 SIMHASH_DISTANCE = 4
 MIX_WEIGHTS = {"src0": 6.0}     # every other source: 1.0
 MIX_SEED = 17
+WHITEN_SCALE, WHITEN_SHIFT = 64, 1_000_000
+WHITEN_COMPONENTS = 32
+RESAMPLE = {"grams": 1, "buckets": 10_000, "percent": 10, "least_words": 20, "seed": 2024}
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,6 +91,18 @@ def op10_uniform_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, TOP)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x, fits = whitening.quantized("embedding", WHITEN_SCALE, WHITEN_SHIFT)
+    rows = table(spark, sf_dir, "embeddings").filter(fits).select("vec_id", x.alias("x"))
+    return whitening.whiten(rows, WHITEN_COMPONENTS, "vec_id", "x")
+
+
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return resampling.resample(docs, table(spark, sf_dir, "benchmark"), **RESAMPLE).select(
+        "doc_id", "n_features", "weight", "score", "rank")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -103,6 +119,8 @@ QUERIES = {f.__name__: f for f in (
     op8_best_fit_shards,
     op9_simhash,
     op10_uniform_threshold,
+    op11_whitening,
+    op12_resample,
     pipeline,
 )}
 
@@ -178,7 +196,49 @@ WINDOW w AS (PARTITION BY q.vec_id ORDER BY list_dot_product(q.e, r.e) DESC, r.v
 QUALIFY row_number() OVER w <= 5
 """
 
+RESAMPLE_SQL = """
+WITH RECURSIVE step AS (  -- the CRC-32 of every byte
+    SELECT i::BIGINT AS byte, 0 AS k, i::BIGINT AS c FROM range(256) t(i)
+    UNION ALL
+    SELECT byte, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM step WHERE k < 8),
+of_byte AS (SELECT list(c ORDER BY byte) AS crcs FROM step WHERE k = 8),
+text AS (
+    SELECT 's' AS side, doc_id, row_number() OVER () AS place, text FROM documents
+    UNION ALL SELECT 't', NULL, NULL, text FROM benchmark),
+said AS (
+    SELECT side, doc_id, place, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM text),
+word AS (SELECT side, place, unnest(words) AS word FROM said),
+crc AS (
+    SELECT word, hex(word) AS digits, 0 AS pos, 4294967295::BIGINT AS c FROM (SELECT DISTINCT word FROM word)
+    UNION ALL
+    SELECT word, digits, pos + 2,
+           xor(c >> 8, crcs[(xor(c, ('0x' || substr(digits, pos + 1, 2))::BIGINT) & 255) + 1])
+    FROM crc, of_byte WHERE pos < length(digits)),
+bucket AS (SELECT word, xor(c, 4294967295) % 10000 AS bucket FROM crc WHERE pos = length(digits)),
+n AS (SELECT bucket, count(*) FILTER (side = 's') AS s, count(*) FILTER (side = 't') AS t
+      FROM word JOIN bucket USING (word) GROUP BY bucket),
+gain AS (
+    SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * ((SELECT sum(s) FROM n) + 10000)::DOUBLE
+                                   / ((s + 1)::DOUBLE * ((SELECT sum(t) FROM n) + 10000)::DOUBLE)))::BIGINT AS gain FROM n),
+weight AS (
+    SELECT place, sum(gain)::BIGINT AS weight FROM word JOIN bucket USING (word) JOIN gain USING (bucket)
+    WHERE side = 's' GROUP BY place),
+scored AS (
+    SELECT doc_id, len(words)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+           coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('2024:' || coalesce(doc_id::VARCHAR, ''))[1:8])::BIGINT
+                                                       + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+    FROM said LEFT JOIN weight USING (place) WHERE side = 's'),
+placed AS (
+    SELECT *, row_number() OVER (ORDER BY n_features >= 20 DESC, score DESC, doc_id NULLS LAST) AS place FROM scored)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN place <= (SELECT 10 * count(*) // 100 FROM scored WHERE n_features >= 20) THEN place END AS rank
+FROM placed
+"""
+
 ORACLE_SQL = {
+    "op12_resample": RESAMPLE_SQL,
     "op4_block_nearest": NEAREST_SQL,
     "op10_uniform_threshold": TOP_SQL,
     "op2_line_dedup": LINE_DEDUP_SQL,
