@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import (blockjoin, lines, mixing, packing, quality, resampling, sharding, simhash, substring, topk,
-                          urls, whitening)
+from tidemark.llm import (blockjoin, lines, mixing, packing, quality, resampling, sharding, simhash, substring, suffixes,
+                          topk, urls, whitening)
 from tidemark.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -21,6 +21,7 @@ TOP = 5
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
              ("allow", "com/fr/"), ("block", "com/de/")]
 SUBSTRING_WORDS = 13
+SUFFIX_BYTES = 200
 SHARDS = 24
 SIMHASH_SHINGLE = 4
 SIMHASH_DISTANCE = 4
@@ -103,6 +104,13 @@ def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_features", "weight", "score", "rank")
 
 
+def op13_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffixes.dedup_suffixes(docs, SUFFIX_BYTES).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -121,6 +129,7 @@ QUERIES = {f.__name__: f for f in (
     op10_uniform_threshold,
     op11_whitening,
     op12_resample,
+    op13_suffixes,
     pipeline,
 )}
 
