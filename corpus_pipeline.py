@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.names import unused
 from tidemark.llm import lines, mixing, packing, quality, simhash
 from tidemark.llm import queries as Q
 from tidemark.llm.common import table, written
@@ -18,8 +19,8 @@ from tidemark.llm.common import table, written
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality model accepts (score 0.5 or more)."""
     model = quality.train(docs, quality.train_fold(table(spark, sf_dir, "labels")))
-    scored = quality.scored(docs, model, name="__score")
-    return scored.filter(F.col("__score") >= 0.5).select(*docs.columns)
+    score = unused(docs.columns, "score")[0]
+    return quality.scored(docs, model, name=score).filter(F.col(score) >= 0.5).select(*docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -33,12 +33,24 @@ def prose(seed, n_docs, vocabulary=40, words=(0, 60), lines=False):
     return out
 
 
+#: Names that operators use for helper columns, now or before.
+CLASH = ["doc", "text_hash", "row", "hash", "none", "own", "own_hash", "marks", "pos", "id", "n", "u", "block", "kept",
+         "__doc", "__hash", "__mean", "__source", "__score", "__id", "__count", "__u", "__rate", "__text", "__slot",
+         "text_to_score", "part", "place", "at", "start", "n_lines_", "ids", "w1", "w2"]
+
+
+def unchanged(rows, base):
+    """All columns but the text hold what the input's have."""
+    return {r.asDict()[c] for r in rows for c in base.columns if c not in ("doc_id", "text", "lang", "source", "n_chars")} == {
+        "clash"}
+
+
 def awkward(spark, frame_):
     """The rows again with null ids and texts, repeats and columns that clash."""
     from pyspark.sql import functions as F
     more = frame(spark, [(None, "no id", "en", "s", 5), (900, None, None, None, None), (901, "", "en", "s", 0),
                          (901, "", "en", "s", 0), (902, "x " * 30000, "en", "t", 60000)])
-    clash = ["score", "size", "shard", "slot", "fp", "component_id", "draw", "copy", "shuffle_key", "n_lines",
+    clash = [*CLASH, "score", "size", "shard", "slot", "fp", "component_id", "draw", "copy", "shuffle_key", "n_lines",
              "n_removed", "rank", "length", "sequence_id", "offset", "rule", "verdict", "mark", "found"]
     both = frame_.unionByName(more).unionByName(frame_.limit(1))
     return both.select("*", *[F.lit("clash").alias(c) for c in clash])

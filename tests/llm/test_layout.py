@@ -5,7 +5,7 @@ import zlib
 from collections import Counter
 
 import pytest
-from helpers import awkward, docs, frame, prose
+from helpers import awkward, docs, frame, prose, unchanged
 
 from tidemark.llm import mixing, sharding
 from tidemark.llm.common import numbered
@@ -36,15 +36,41 @@ def test_tree_finds_the_tightest_bin():
                 del bins[got[1]]
 
 
+def one_each(sizes):
+    return [(s, 1) for s in sizes]
+
+
 def test_best_fit_decreasing():
-    assert sharding.best_fit([6, 5, 4, 3, 2], 10) == [0, 1, 0, 1, 1]
-    assert sharding.best_fit([6, 5, 4], 10, most=1) is None
+    assert sharding.best_fit(one_each([6, 5, 4, 3, 2]), 10) == [[(0, 1)], [(1, 1)], [(0, 1)], [(1, 1)], [(1, 1)]]
+    assert sharding.best_fit(one_each([6, 5, 4]), 10, most=1) is None
+    assert sharding.best_fit([(4, 5)], 10) == [[(0, 2), (1, 2), (2, 1)]]
     assert sharding.fill([], 4) == []
     sizes = sorted((random.Random(1).randint(1, 1000) for _ in range(3000)), reverse=True)
+    counted = sorted(Counter(sizes).items(), reverse=True)
+    for items in (one_each(sizes), counted):
+        placed = sharding.fill(items, 24)
+        assert [sum(n for _, n in into) for into in placed] == [n for _, n in items]
+        loads = load_of(items, placed)
+        assert len(loads) == 24 and max(loads.values()) < 1.01 * sum(sizes) / 24
+
+
+def load_of(items, placed):
     loads = Counter()
-    for s, b in zip(sizes, sharding.fill(sizes, 24)):
-        loads[b] += s
-    assert len(loads) == 24 and max(loads.values()) < 1.01 * sum(sizes) / 24
+    for (s, _), into in zip(items, placed):
+        for b, n in into:
+            loads[b] += s * n
+    return loads
+
+
+@pytest.mark.parametrize("sizes", [[1000] + [1] * 500, [900, 800, 3] + [1] * 97, [5] * 30, [7] * 24, [9] * 5,
+                                   [50, 50, 50] + [1] * 40])
+def test_no_bin_stays_empty(sizes):
+    items = sorted(Counter(sizes).items(), reverse=True)
+    loads = load_of(items, sharding.fill(items, 24))
+    assert len(loads) == min(24, len(sizes)) and sum(loads.values()) == sum(sizes)
+    # beside the items that fill a bin alone, no bin has more than twice the least
+    small = sorted(loads.values())[:24 - sum(s > sum(sizes) / 24 for s in sizes)]
+    assert small[-1] <= 2 * small[0]
 
 
 def check_shards(rows, n):
@@ -81,6 +107,40 @@ def test_only_a_group_larger_than_a_shard_is_split(spark):
     check_shards(rows, 5)
 
 
+def load(rows):
+    loads = Counter()
+    for r in rows:
+        loads[r.shard] += r["size"]
+    return loads
+
+
+def test_one_long_document_leaves_the_others_near_equal(spark):
+    texts = ["z" * 40000] + prose(4, 1500, words=(1, 60))
+    rows = sharding.balanced_shards(docs(spark, texts), 24).collect()
+    loads = load(rows)
+    alone = next(r.shard for r in rows if r.doc_id == 0)
+    assert len(loads) == 24 and loads.pop(alone) >= 40008
+    assert max(loads.values()) - min(loads.values()) < 0.02 * max(loads.values())
+    check_shards(rows, 24)
+
+
+def test_repeats_of_one_row_fill_all_shards(spark):
+    rows = sharding.balanced_shards(frame(spark, [(7, "the same text", "en", "s", 13)] * 1500), 24).collect()
+    loads = load(rows)
+    assert len(rows) == 1500 and len(loads) == 24 and max(loads.values()) < 1.1 * min(loads.values())
+    check_shards(rows, 24)
+
+
+def test_every_group_is_an_item(spark):
+    """Small groups are placed by their class's places, large ones by themselves."""
+    texts = ["x" * (n % 97) + str(n) for n in range(3000)] + ["y" * 5000 + str(n) for n in range(200)]
+    rows = sharding.balanced_shards(docs(spark, texts), 8, parts=20).collect()
+    loads = load(rows)
+    assert len(rows) == len(texts) and len({r.doc_id for r in rows}) == len(texts)
+    assert max(loads.values()) < 1.02 * min(loads.values())
+    check_shards(rows, 8)
+
+
 def test_shards_of_awkward_rows(spark):
     base = awkward(spark, docs(spark, prose(3, 10)))
     rows = sharding.balanced_shards(base, 24).collect()
@@ -122,8 +182,9 @@ def test_mix_zero_weight_high_rate_and_awkward_rows(spark):
     assert 4000 < got["a"] < 5100 and "c" not in got
     base = awkward(spark, docs(spark, prose(3, 30)))
     out = mixing.mix(base, {"t": 1.0})
-    assert sorted(out.columns) == sorted(base.columns)
-    assert out.count() > 0
+    assert out.columns == [*base.columns, "draw_", "copy_", "shuffle_key_"]
+    rows = out.collect()
+    assert rows and unchanged(rows, base)
     assert mixing.mix(frame(spark, []), {}).count() == 0
     assert mixing.mix(docs(spark, ["", ""]), {}).count() >= 0
 

@@ -39,15 +39,15 @@ def test_longest_first_into_the_shortest_pack():
 def test_ids_equal_the_reference_library():
     from tokenizers import Tokenizer
     slow = Tokenizer.from_file(PATH)
-    slow.encode_special_tokens = True
     ours = Encoder(open(PATH, encoding="utf-8").read())
     assert ours.fast is not None
     rnd = random.Random(2)
     letters = "ab éßÿ'sLtre1 2\t\n\r.,!|«»¡ɏĀ-日😀\u0085\u00a0\u2028<|"
-    texts = ["", " ", "a" * 3000, " " * 3000, "<|endoftext|>", "don't I'LL"] + [
+    texts = ["", " ", "a" * 3000, " " * 3000, "<|endoftext|>", "a<|endoftext|> b <|endoftext|", "don't I'LL"] + [
         "".join(rnd.choice(letters) for _ in range(rnd.randrange(80))) for _ in range(500)]
     for t in texts:
         assert ours.encode(t) == slow.encode(t, add_special_tokens=False).ids
+    assert ours.encode("a<|endoftext|>b")[1] == 50256  # a special token's string is one id
 
 
 def check(rows, size, texts):

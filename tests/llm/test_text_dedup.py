@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from helpers import awkward, docs, frame, prose
+from helpers import awkward, docs, frame, prose, unchanged
 
 from tidemark.llm import lines, substring
 from tidemark.llm.automaton import SuffixAutomaton
@@ -41,9 +41,9 @@ def test_lines_equal_brute_force(spark):
 def test_lines_awkward_rows(spark):
     base = awkward(spark, docs(spark, ["a\nb\nc\nd", "x\na\nb\nc"]))
     out = lines.dedup_lines(base)
-    assert sorted(out.columns) == sorted(base.columns)
+    assert out.columns == [*base.columns, "n_lines__", "n_removed_"]  # the input has n_lines, n_lines_ and n_removed
     rows = out.collect()
-    assert len(rows) == base.count()
+    assert len(rows) == base.count() and unchanged(rows, base)
     assert {r.text for r in rows if r.doc_id == 0} == {"a\nb\nc\nd"}  # read twice, kept twice
     assert [r.text for r in rows if r.doc_id == 1] == ["x"]
     assert lines.dedup_lines(base.limit(0)).count() == 0
@@ -85,18 +85,32 @@ def test_substrings_over_many_pieces_shards_and_parts(spark, monkeypatch):
     """Long references are cut, shards are many, and readers are split."""
     monkeypatch.setattr(substring, "SHARD_WORDS", 20)
     monkeypatch.setattr(substring, "PART_BYTES", 2000)
-    monkeypatch.setattr(substring, "IN_BATCH", 3)
+    monkeypatch.setattr(substring, "IN_BATCH", 8)
     monkeypatch.setattr(substring, "BUCKET_WORDS", 10)
     passage = " ".join("p%d" % i for i in range(30))
     texts = [t + " " + passage for t in prose(9, 60, words=(30, 90))]
     assert as_dict(substring.dedup_substrings(docs(spark, texts), 5)) == slow_words(dict(enumerate(texts)), 5)
 
 
+def test_buckets_grow_with_the_words(spark, monkeypatch):
+    """No size at which buckets stop growing in number: here over 4,096, and more than tasks."""
+    assert substring._bucket_bits(10 ** 14) == 26 and substring._unused_bits(26) == 0
+    monkeypatch.setattr(substring, "BUCKET_WORDS", 1)
+    monkeypatch.setattr(substring, "TARGETS", 2)
+    monkeypatch.setattr(substring, "PART_BYTES", 4000)
+    texts = prose(31, 400, vocabulary=12, words=(10, 90))
+    words = sum(len(t.encode()) for t in texts) // 5
+    assert substring._bucket_bits(words) > 12
+    assert as_dict(substring.dedup_substrings(docs(spark, texts), 7)) == slow_words(dict(enumerate(texts)), 7)
+    monkeypatch.setattr(substring, "STORED", 8)  # as beyond 2^24 buckets: bucket and stored bytes share bits
+    assert as_dict(substring.dedup_substrings(docs(spark, texts), 7)) == slow_words(dict(enumerate(texts)), 7)
+
+
 @pytest.mark.parametrize("slice_size", [1 << 20, 2000])
 def test_substrings_where_hashes_collide(spark, monkeypatch, slice_size):
     """With hashes of 14 bits different windows share one; the words decide."""
     monkeypatch.setattr(substring, "STORED", 1)
-    monkeypatch.setattr(substring, "IN_BATCH", 3)
+    monkeypatch.setattr(substring, "IN_BATCH", 8)
     monkeypatch.setattr(substring, "PART_BYTES", 20000)
     monkeypatch.setattr(substring, "DOUBT_SLICE", slice_size)
     rnd = random.Random(21)

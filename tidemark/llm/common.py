@@ -42,6 +42,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def packed_rows(df: DataFrame, *without: str) -> Column:
+    """The columns of ``df`` but ``without`` as one struct, so that no helper
+    column beside it can clash with them."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in without])
+
+
+def unpacked(df: DataFrame, row: str, changed: dict[str, Column] | None = None) -> list[Column]:
+    """The columns of ``df`` out of the struct ``row``, but those ``changed``."""
+    changed = changed or {}
+    return [changed[c].alias(c) if c in changed else F.col(f"`{row}`.`{c}`").alias(c) for c in df.columns]
+
+
 def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -15,6 +15,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.functions.names import unused
+from tidemark.llm.common import packed_rows, unpacked
 
 WINDOW = 3
 
@@ -41,7 +45,7 @@ def later_occurrences(windows: DataFrame) -> DataFrame:
 
 def _drop_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts, marks = batch.column("__text"), batch.column("__marks")
+        texts, marks = batch.column("text"), batch.column("marks")
         kept, n_lines, n_removed = [], [], []
         for text, mark in zip(texts, marks):
             text = text.as_py()
@@ -58,11 +62,9 @@ def _drop_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kept.append("\n".join(x for x, c in zip(lines, covered) if not c))
             n_lines.append(len(lines))
             n_removed.append(int(covered.sum()))
-        rest = [batch.column(i) for i in range(batch.num_columns) if batch.schema.names[i] not in ("__text", "__marks")]
-        names = [n for n in batch.schema.names if n not in ("__text", "__marks")]
         yield pa.RecordBatch.from_arrays(
-            [*rest, pa.array(kept, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64())],
-            [*names, "__kept", "__n_lines", "__n_removed"])
+            [batch.column("row"), pa.array(kept, pa.string()), pa.array(n_lines, pa.int64()),
+             pa.array(n_removed, pa.int64())], ["row", "kept", "n_lines", "n_removed"])
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -72,21 +74,20 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     (no lines), one of fewer than three lines stays as it is, and one whose
     lines are all marked becomes ''.  Rows that agree in id and text are one
     document read twice: they keep and lose the same lines.  Rows that share
-    only the id are ordered by a hash of their text.  Columns of ``docs`` named
-    like the added ones are replaced.
+    only the id are ordered by a hash of their text.  All columns of ``docs``
+    keep their names and, but for the text, their values; an added column whose
+    name is taken has underscores after it.
     """
-    columns = [c for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
     windows = window_occurrences(docs, id_col, text_col)
     marks = (later_occurrences(windows).groupBy("doc", "text_hash")
-             .agg(F.collect_set("pos").alias("__marks")))  # at most one document's lines
-    other = [c for c in columns if c != text_col]
-    keyed = docs.select(*other, F.col(text_col).alias("__text"), F.col(id_col).alias("__doc"),
-                        F.xxhash64(text_col).alias("__hash"))
-    marked = (keyed.join(marks, F.col("__doc").eqNullSafe(F.col("doc")) & (F.col("__hash") == F.col("text_hash")),
-                         "left")
-              .select(*other, "__text", "__marks"))
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in marked.schema if f.name in other]
-                       + ["__kept string", "__n_lines long", "__n_removed long"])
+             .agg(F.collect_set("pos").alias("marks")))  # at most one document's lines
+    keyed = docs.select(packed_rows(docs, text_col).alias("row"), F.col(text_col).alias("text"),
+                        F.col(id_col).alias("own"), F.xxhash64(text_col).alias("own_hash"))
+    marked = (keyed.join(marks, F.col("own").eqNullSafe(F.col("doc")) & (F.col("own_hash") == F.col("text_hash")), "left")
+              .select("row", "text", "marks"))
+    schema = T.StructType([marked.schema["row"], T.StructField("kept", T.StringType()),
+                           T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())])
     done = marked.mapInArrow(_drop_lines, schema)
-    return done.select(*[F.col("__kept").alias(c) if c == text_col else F.col(c) for c in columns],
-                       F.col("__n_lines").alias("n_lines"), F.col("__n_removed").alias("n_removed"))
+    lines, removed = unused(docs.columns, "n_lines", "n_removed")
+    return done.select(*unpacked(docs, "row", {text_col: F.col("kept")}),
+                       F.col("n_lines").alias(lines), F.col("n_removed").alias(removed))

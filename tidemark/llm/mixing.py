@@ -16,6 +16,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.names import unused
+from tidemark.llm.common import packed_rows, unpacked
+
 MEAN_MAX = 8.0
 TERMS = 64          # P(more than 64 | mean 8) is below 1e-35
 BROADCAST_SOURCES = 50_000
@@ -72,25 +75,26 @@ def mix(docs: DataFrame, weights: dict[str, float], seed: int = 0, default_weigh
 
     ``(draw, copy)`` tells a document's copies apart.  Rows with the same id
     draw the same counts; a null id draws as the id ''.  An empty table gives
-    an empty table.  Columns of ``docs`` named like the added ones are
-    replaced.  Within a partition rows are in the order of ``shuffle_key``, and
-    the key's hash picks the partition, so the whole is a random order that a
-    rerun repeats.
+    an empty table.  All columns of ``docs`` keep their names and values; an
+    added column whose name is taken has underscores after it.  Within a
+    partition rows are in the order of the shuffle key, and the key's hash picks
+    the partition, so the whole is a random order that a rerun repeats.
     """
-    columns = [c for c in docs.columns if c.lower() not in ("draw", "copy", "shuffle_key")]
     rates = poisson_table(source_rates(docs, weights, default_weight, source_col, text_col)).cache()
     if rates.count() <= BROADCAST_SOURCES:
         rates = F.broadcast(rates)  # checked: at most 50,000 rows of about 600 bytes
-    keyed = docs.select(*columns).withColumn("__source", F.coalesce(F.col(source_col).cast("string"), F.lit("")))
-    keyed = keyed.withColumn("__id", F.col(id_col)).join(rates, "__source")
+    keyed = docs.select(packed_rows(docs).alias("row"), F.col(id_col).alias("id"),
+                        F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("__source")).join(rates, "__source")
     # a long list of draws is made in two steps so that no row holds it whole
-    drawn = (keyed.withColumn("__block", F.explode(F.expr(f"sequence(0L, (__draws - 1) div {SPLIT})")))
+    drawn = (keyed.withColumn("block", F.explode(F.expr(f"sequence(0L, (__draws - 1) div {SPLIT})")))
              .withColumn("draw", F.explode(F.expr(
-                 f"sequence(__block * {SPLIT}L, least(__draws - 1, __block * {SPLIT}L + {SPLIT - 1}))"))))
-    drawn = drawn.withColumn("__u", _uniform(seed, "__id", "draw"))
-    drawn = drawn.withColumn("__count", F.expr("size(filter(__cdf, c -> c < __u))"))
-    copies = drawn.filter("__count > 0").withColumn("copy", F.explode(F.expr("sequence(1, __count)")))
+                 f"sequence(block * {SPLIT}L, least(__draws - 1, block * {SPLIT}L + {SPLIT - 1}))"))))
+    drawn = drawn.withColumn("u", _uniform(seed, "id", "draw"))
+    drawn = drawn.withColumn("n", F.expr("size(filter(__cdf, c -> c < u))"))
+    copies = drawn.filter("n > 0").withColumn("copy", F.explode(F.expr("sequence(1, n)")))
     copies = copies.withColumn("shuffle_key", F.md5(F.concat_ws(
-        "|", F.lit(f"order {seed}"), F.coalesce(F.col("__id").cast("string"), F.lit("")), "draw", "copy")))
-    return (copies.select(*columns, "draw", "copy", "shuffle_key")
-            .repartition("shuffle_key").sortWithinPartitions("shuffle_key"))
+        "|", F.lit(f"order {seed}"), F.coalesce(F.col("id").cast("string"), F.lit("")), "draw", "copy")))
+    names = zip(("draw", "copy", "shuffle_key"), unused(docs.columns, "draw", "copy", "shuffle_key"))
+    return (copies.select("row", "draw", "copy", "shuffle_key")
+            .repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+            .select(*unpacked(docs, "row"), *[F.col(c).alias(name) for c, name in names]))

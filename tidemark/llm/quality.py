@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.names import unused
 from tidemark.llm.common import written
 
 SAMPLE = 20_000
@@ -216,13 +217,14 @@ def scored(docs: DataFrame, model: AdditiveModel, text_col: str = "text", name:
     replaced.
     """
     columns = [c for c in docs.columns if c.lower() != name.lower()]
-    kept = docs.select(*columns, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__scored_text"))
+    text = unused([*docs.columns, name], "text_to_score")[0]
+    kept = docs.select(*[F.col(f"`{c}`") for c in columns], F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias(text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                x = feature_matrix(part.column("__scored_text").cast(pa.binary()).to_pylist())
+                x = feature_matrix(part.column(text).cast(pa.binary()).to_pylist())
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), pa.array(model.score(x))],
                                                  [*columns, name])
 

@@ -5,28 +5,36 @@ remaining capacity is the tightest that still holds it, found in a balanced
 tree over the open bins.  The capacity is the least found for which all groups
 fit the asked number of shards, so shards end near equal.
 
-What the driver sees is bounded by the number of shards and not by the corpus:
-
-* a group of at least ``1 / parts`` of a shard is an item of its own (there are
-  at most ``shards * parts`` of them);
-* smaller groups are bundled by the hash of their text into ``shards * parts``
-  bundles, and a bundle is an item;
-* a group larger than a whole shard cannot stay in one; only such a group is
-  split, by the hash of its rows' ids, into pieces of ``1 / parts`` of a shard
-  that are placed one after another.
+Every group is an item, and what the driver sees is bounded by parameters and
+not by the corpus:
+
+* a group of at least ``1 / parts`` of a shard comes with its own size (there
+  are at most ``shards * parts`` of them);
+* smaller groups come as a histogram: how many groups each size class has, and
+  their bytes.  A class is one size up to ``EXACT`` bytes and a range of sizes
+  within ``1 / EXACT`` above.  Classes are placed as counts, and the groups take
+  the places of their class by rank;
+* an item larger than the mean of the shards still open takes a shard of its
+  own, and the others share the rest;
+* a group of several rows that is larger than a shard cannot stay in one; only
+  such a group is split, by row, into pieces of ``1 / parts`` of a shard.
 """
 
 from __future__ import annotations
 
 import math
 import zlib
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import numbered, slots, utf8, written
 
 ROW_BYTES = 8
+EXACT = 4096      # sizes below are classes of their own
 
 
 class CapacityTree:
@@ -40,7 +48,7 @@ class CapacityTree:
         self.root = None
 
     def add(self, remaining: int, bin_no: int) -> None:
-        node = [remaining, bin_no, zlib.crc32(b"%d:%d" % (remaining, bin_no)), None, None]
+        node = [remaining, bin_no, zlib.crc32(f"{remaining}:{bin_no}".encode()), None, None]
         low, high = self._split(self.root, (remaining, bin_no))
         self.root = self._merge(self._merge(low, node), high)
 
@@ -80,40 +88,102 @@ class CapacityTree:
         return b
 
 
-def best_fit(sizes: list[int], capacity: int, most: int | None = None) -> list[int] | None:
-    """The bin of each size; ``sizes`` descend and none exceeds ``capacity``.
-    None as soon as more than ``most`` bins would be needed."""
-    tree, bins, n = CapacityTree(), [], 0
-    for size in sizes:
-        found = tree.take_tightest(size)
-        if found is None:
-            if n == most:
-                return None
-            found, n = (capacity, n), n + 1
-        bins.append(found[1])
-        tree.add(found[0] - size, found[1])
-    return bins
-
-
-def fill(sizes: list[int], shards: int) -> list[int]:
-    """Best fit with the least capacity found that needs at most ``shards`` bins."""
-    if not sizes:
+def best_fit(items: list[tuple[float, int]], capacity: float, most: int | None = None) -> list[list[tuple[int, int]]] | None:
+    """For each item ``(size, count)`` the bins it enters as ``(bin, count)``;
+    sizes descend and none exceeds ``capacity``.  The bin that an item enters
+    stays the tightest for its equals, so they follow while they fit.  None as
+    soon as more than ``most`` bins would be needed."""
+    tree, placed, n = CapacityTree(), [], 0
+    for size, count in items:
+        into = []
+        while count:
+            found = tree.take_tightest(size)
+            if found is None:
+                if n == most:
+                    return None
+                found, n = (capacity, n), n + 1
+            fits = min(count, max(1, int(found[0] // size)))
+            into.append((found[1], fits))
+            count -= fits
+            tree.add(found[0] - size * fits, found[1])
+        placed.append(into)
+    return placed
+
+
+def fill(items: list[tuple[float, int]], shards: int) -> list[list[tuple[int, int]]]:
+    """Best fit of ``items`` (sizes descend) with the least capacity found that
+    needs at most ``shards`` bins.
+
+    Items above the mean of the bins left have one to themselves.  What few or
+    coarse items leave uneven is levelled (:func:`_level`)."""
+    placed, left, total, k, used = [[] for _ in items], [n for _, n in items], sum(s * n for s, n in items), 0, 0
+    while k < len(items) and used + 1 < shards and items[k][0] > total / (shards - used):
+        used += 1
+        placed[k].append((shards - used, 1))
+        total -= items[k][0]
+        left[k] -= 1
+        k += not left[k]
+    rest = [(size, n) for (size, _), n in zip(items[k:], left[k:])]
+    for into, more in zip(placed[k:], _least(rest, shards - used)):
+        into += more
+    return _level(items, placed, shards)
+
+
+def _least(items: list[tuple[float, int]], shards: int) -> list[list[tuple[int, int]]]:
+    """Best fit with the least capacity found."""
+    if not items:
         return []
-    low = max(-(-sum(sizes) // shards), sizes[0])
-    step, bins, capacity = max(1, low // 4096), None, low
-    while bins is None:
-        bins = best_fit(sizes, capacity, shards)
-        if bins is None:
-            low, capacity, step = capacity + 1, capacity + step, step * 2
-    grain = max(1, capacity // 8192)
+    low = max(sum(s * n for s, n in items) / shards, items[0][0])
+    step, placed, capacity = max(1.0, low / 4096), None, low
+    while placed is None:
+        placed = best_fit(items, capacity, shards)
+        if placed is None:
+            low, capacity, step = capacity, capacity + step, step * 2
+    grain = max(1.0, capacity / 8192)
     while capacity - low >= grain:
-        middle = (low + capacity) // 2
-        tried = best_fit(sizes, middle, shards)
+        middle = (low + capacity) / 2
+        tried = best_fit(items, middle, shards)
         if tried is None:
-            low = middle + 1
+            low = middle
         else:
-            bins, capacity = tried, middle
-    return bins
+            placed, capacity = tried, middle
+    return placed
+
+
+def _level(items: list[tuple[float, int]], placed: list[list[tuple[int, int]]], shards: int) -> list[list[tuple[int, int]]]:
+    """Move items to the emptiest bin from the fullest that has one smaller than
+    the gap between them, until none has or the gap is below a thousandth of the
+    mean.  Every move makes the two bins more equal; a bin that best fit left
+    empty is filled this way."""
+    bins: list[dict[int, int]] = [{} for _ in range(shards)]
+    for k, into in enumerate(placed):
+        for b, n in into:
+            bins[b][k] = bins[b].get(k, 0) + n
+    load = [sum(items[k][0] * n for k, n in held.items()) for held in bins]
+    for _ in range(64 * shards):
+        low = min(range(shards), key=lambda b: load[b])
+        for full in sorted(range(shards), key=lambda b: -load[b]):
+            gap = load[full] - load[low]
+            fits = [k for k in bins[full] if items[k][0] < gap]
+            if fits or gap < sum(load) / shards / 1000:
+                break
+        if not fits or gap < sum(load) / shards / 1000:
+            break
+        k = min(fits, key=lambda k: (abs(items[k][0] - gap / 2), k))
+        n = min(bins[full][k], max(1, int(gap / 2 // items[k][0])))
+        for b, more in ((full, -n), (low, n)):
+            bins[b][k] = bins[b].get(k, 0) + more
+            load[b] += more * items[k][0]
+        if not bins[full][k]:
+            del bins[full][k]
+    return [[(b, held[k]) for b, held in enumerate(bins) if k in held] for k in range(len(items))]
+
+
+def size_class(size: str) -> Column:
+    """Classes by which small groups are counted: one size below ``EXACT``, and
+    above the leading bits of the size."""
+    shift = f"greatest(0, length(bin({size})) - {EXACT.bit_length()})"
+    return F.expr(f"{shift} * {1 << 40}L + shiftright({size}, {shift})")
 
 
 def balanced_shards(docs: DataFrame, shards: int, parts: int = 500,
@@ -122,8 +192,9 @@ def balanced_shards(docs: DataFrame, shards: int, parts: int = 500,
 
     ``size`` is the text's UTF-8 bytes plus 8; a null text counts as empty and
     groups with the empty texts.  Rows that agree in id and text are
-    interchangeable.  ``slot`` numbers a shard's rows from 0 without gaps.  An
-    empty table gives no rows; other columns are not read.
+    interchangeable.  ``slot`` numbers a shard's rows from 0 without gaps.  A row
+    larger than a shard has one to itself.  An empty table gives no rows; other
+    columns are not read.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -131,26 +202,56 @@ def balanced_shards(docs: DataFrame, shards: int, parts: int = 500,
         F.col(id_col).alias("doc_id"),
         (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"),
         F.crc32(utf8(F.col(text_col))).alias("text_crc32"),
-        F.xxhash64(text).alias("h1"), F.xxhash64(F.lit("second"), text).alias("h2")), "shard-rows")
+        F.xxhash64(text).alias("h1"), F.xxhash64(F.lit("second"), text).alias("h2"),
+        F.monotonically_increasing_id().alias("row")), "shard-rows")  # written, so a row keeps its number
     total, n_rows = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
     share = max(1, math.ceil(total / shards))
     unit = max(1, math.ceil(share / parts))
-    large = (rows.groupBy("h1", "h2").agg(F.sum("size").alias("group_size"))
-             .filter(F.col("group_size") >= unit)  # at most shards * parts groups
-             .withColumn("pieces", F.when(F.col("group_size") > share, F.ceil(F.col("group_size") / unit))
-                         .otherwise(1).cast("long")))
-    own = F.col("pieces").isNotNull()
-    items = rows.join(F.broadcast(large.drop("group_size")), ["h1", "h2"], "left").select(
-        "doc_id", "size", "text_crc32",
-        F.when(own, F.col("h1")).otherwise(F.pmod("h1", F.lit(shards * parts))).alias("a"),
-        F.when(own, F.col("h2")).otherwise(0).alias("b"),
-        F.when(own, F.pmod(F.xxhash64("doc_id"), "pieces")).otherwise(-1).alias("piece"))
-    found = sorted(((r.size, r.a, r.b, r.piece) for r in
-                    items.groupBy("a", "b", "piece").agg(F.sum("size").alias("size")).collect()),  # 3 * shards * parts
-                   key=lambda r: (-r[0], r[1], r[2], r[3]))
-    bins = fill([r[0] for r in found], shards)
-    placed = spark.createDataFrame([(a, b, p, s) for (_, a, b, p), s in zip(found, bins)],
-                                   "a long, b long, piece long, shard int")
-    # bounded like `found`
-    sharded = items.join(F.broadcast(placed), ["a", "b", "piece"]).drop("a", "b", "piece")
-    return numbered(sharded, ["shard"], ["doc_id", "text_crc32", "size"], "slot", slots(spark, n_rows))
+    groups = written(rows.groupBy("h1", "h2").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows")),
+                     "shard-groups")
+    split = (F.col("bytes") > share) & (F.col("rows") > 1)
+    large = groups.filter(F.col("bytes") >= unit).withColumn(  # at most shards * parts groups
+        "pieces", F.when(split, F.ceil(F.col("bytes") / unit)).otherwise(1).cast("long"))
+    of_large = (rows.join(F.broadcast(large.select("h1", "h2", "pieces")), ["h1", "h2"])
+                .withColumn("piece", F.pmod(F.xxhash64("row"), "pieces")))
+    own = of_large.groupBy("h1", "h2", "piece").agg(F.sum("size").alias("bytes")).collect()  # 3 * shards * parts
+    small = groups.filter(F.col("bytes") < unit).withColumn("class", size_class("bytes"))
+    counted = (small.groupBy("class").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
+               .collect())  # at most EXACT for each power of two
+    items = sorted([(r.bytes, 1, (r.h1, r.h2, r.piece)) for r in own] +
+                   [(r.bytes / r.n, r.n, r["class"]) for r in counted],
+                   key=lambda i: (-i[0], isinstance(i[2], tuple), i[2]))
+    placed = fill([i[:2] for i in items], shards)
+    of_piece = spark.createDataFrame([(*i[2], into[0][0]) for i, into in zip(items, placed) if isinstance(i[2], tuple)],
+                                     "h1 long, h2 long, piece long, shard int")
+    places = [(i[2], into) for i, into in zip(items, placed) if not isinstance(i[2], tuple)]
+    names = ["doc_id", "size", "text_crc32", "row", "shard"]
+    big = of_large.join(F.broadcast(of_piece), ["h1", "h2", "piece"]).select(*names)  # as many as `own`
+    tiny = rows.join(_by_rank(small, places, n_rows), ["h1", "h2"]).select(*names)
+    return numbered(big.unionByName(tiny), ["shard"], ["doc_id", "text_crc32", "size", "row"], "slot",
+                    slots(spark, n_rows)).drop("row")
+
+
+def _by_rank(small: DataFrame, places: list[tuple[int, list[tuple[int, int]]]], rows: int) -> DataFrame:
+    """``h1, h2, shard``: the group of rank r in its class takes the class's r-th place."""
+    ranked = numbered(small.select("class", "h1", "h2"), ["class"], ["h1", "h2"], "rank",
+                      slots(small.sparkSession, rows))
+    classes = {c: k for k, (c, _) in enumerate(sorted(places))}
+    flat = [(classes[c], b, n) for c, into in sorted(places) for b, n in into]
+    held = np.array([n for _, _, n in flat], np.int64)
+    begin = np.cumsum(held) - held
+    first = np.zeros(len(classes) + 1, np.int64)
+    for (k, _, _), at in zip(reversed(flat), reversed(begin.tolist())):
+        first[k] = at
+    shard = np.array([b for _, b, _ in flat], np.int32)
+    known = np.array(sorted(classes), np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            k = np.searchsorted(known, batch.column("class").to_numpy())
+            place = first[k] + batch.column("rank").to_numpy()
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("h1"), batch.column("h2"), pa.array(shard[np.searchsorted(begin, place, "right") - 1])],
+                ["h1", "h2", "shard"])
+
+    return ranked.mapInArrow(run, "h1 long, h2 long, shard int")

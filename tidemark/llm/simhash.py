@@ -14,6 +14,7 @@ of the close pairs it found and never the pairs themselves.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import written
+from tidemark.llm.common import packed_rows, unpacked, written
 from tidemark.llm.components import components
 from tidemark.llm.xxh64 import xxh64_spans
 
@@ -193,6 +194,16 @@ def links(classes: DataFrame, distance: int, blocks: int) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
+def block_count(classes: int, distance: int) -> int:
+    """The number of blocks with the least work for so many fingerprints: a
+    fingerprint has a key for every choice of ``blocks - distance`` blocks, and
+    meets by chance the others whose bits agree there."""
+    def work(blocks: int) -> float:
+        return math.comb(blocks, distance) * (1 + classes / 2 ** (64 * (blocks - distance) / blocks))
+
+    return min(range(distance + 1, 65), key=work)
+
+
 def near_duplicates(docs: DataFrame, shingle: int, distance: int, blocks: int | None = None,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, text_hash, fp, component_id`` for every row of ``docs``.
@@ -202,9 +213,9 @@ def near_duplicates(docs: DataFrame, shingle: int, distance: int, blocks: int |
     any other.  Repeated rows come back as often.  A row with a null doc_id
     takes its class's component (null if the class has no other id).
     """
-    blocks = blocks or distance + 2
     prints = written(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
     classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("node")), "classes")
+    blocks = blocks or block_count(classes.count(), distance)
     found = components(links(classes.filter("node is not null"), distance, blocks))
     rooted = (classes.join(found, "node", "left")
               .select("fp", F.coalesce("component", "node").alias("component_id")))
@@ -220,12 +231,12 @@ def one_of_each(docs: DataFrame, shingle: int, distance: int, blocks: int | None
     """
     found = near_duplicates(docs, shingle, distance, blocks, id_col, text_col)
     first = (found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-             .select(F.coalesce("doc_id", F.lit(-1)).alias("__doc"), F.col("doc_id").isNull().alias("__none"),
-                     F.col("text_hash").alias("__hash")).distinct())
-    keyed = (docs.withColumn("__doc", F.coalesce(F.col(id_col).cast("long"), F.lit(-1)))
-             .withColumn("__none", F.col(id_col).isNull()).withColumn("__hash", F.xxhash64(text_col)))
-    keys = ["__doc", "__none", "__hash"]
+             .select(F.coalesce("doc_id", F.lit(-1)).alias("doc"), F.col("doc_id").isNull().alias("none"),
+                     F.col("text_hash").alias("hash")).distinct())
+    keyed = docs.select(packed_rows(docs).alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(-1)).alias("doc"),
+                        F.col(id_col).isNull().alias("none"), F.xxhash64(text_col).alias("hash"))
+    keys = ["doc", "none", "hash"]
     kept = keyed.join(first, keys, "left_semi")
     again = Window.partitionBy(*keys).orderBy(*keys)
-    return (kept.withColumn("__copy", F.row_number().over(again)).filter(F.col("__copy") == 1)
-            .select(*docs.columns))
+    return (kept.withColumn("copy", F.row_number().over(again)).filter(F.col("copy") == 1)
+            .select(*unpacked(docs, "row")))

@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,8 +41,9 @@ from tidemark.llm.automaton import SuffixAutomaton
 from tidemark.llm.common import tasks, written
 from tidemark.llm.xxh64 import xxh64_spans
 
-IN_BATCH = 12                 # bits for a document's place in its batch
+IN_BATCH = 4096               # documents whose equal windows meet before they go to buckets
 STORED = 5                    # bytes of a hash that are stored; the bucket's number is more of it
+TARGETS = 1024                # parts that one row sends a reference to
 BUCKET_WORDS = 2_000_000
 SHARD_WORDS = 100_000
 PART_BYTES = 16 << 20
@@ -107,45 +109,50 @@ def _wide(data: bytes) -> np.ndarray:
 
 
 def _bucket_bits(words: int) -> int:
-    return min(64 - IN_BATCH - 8 * STORED, max(6, math.ceil(math.log2(max(1, words / BUCKET_WORDS)))))
+    """Buckets keep their size: as the words double, so do the buckets."""
+    return max(6, math.ceil(math.log2(max(1, words / BUCKET_WORDS))))
+
+
+def _unused_bits(bits: int) -> int:
+    """Low bits of a 64-bit hash that neither the bucket nor the stored bytes have."""
+    return max(0, 64 - 8 * STORED - bits)
 
 
 def links(docs: DataFrame, window: int, words: int) -> DataFrame:
     """``doc_id, ref``: for each window of a document that a smaller document
     has too, a link to one that has it (``ref`` < ``doc_id``).  ``words`` is
     about the number of words of ``docs`` (``doc_id, text``)."""
-    spark = docs.sparkSession
     bits = _bucket_bits(words)
-    hash_bits = 8 * STORED + bits  # buckets keep their size, so chance hits stay as rare at any size
-    place_mask = np.uint64((1 << IN_BATCH) - 1)
+    unused = np.uint64(_unused_bits(bits))
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1 << IN_BATCH):
-                part = batch.slice(at, 1 << IN_BATCH).sort_by("doc_id")
+            for start in range(0, batch.num_rows, IN_BATCH):
+                part = batch.slice(start, IN_BATCH).sort_by("doc_id")
                 ids = part.column("doc_id").to_numpy()
                 hashes, place = window_hashes(part.column("text").cast(pa.binary()).to_pylist(), window)
                 if not len(hashes):
                     continue
-                packed = (hashes >> np.uint64(64 - hash_bits)) << np.uint64(IN_BATCH) | place.astype(np.uint64)
-                packed.sort()
-                value = packed >> np.uint64(IN_BATCH)
+                hashes >>= unused
+                order = np.argsort(hashes)
+                value, at = hashes[order], place[order]
                 new = np.concatenate([[True], value[1:] != value[:-1]])
-                who = ids[(packed & place_mask).astype(np.int64)]
-                head = who[np.flatnonzero(new)][np.cumsum(new) - 1]
-                late = head < who
-                d, f = _pairs(who[late], head[late])
-                first = packed[new]
-                bucket = (first >> np.uint64(hash_bits + IN_BATCH - bits)).astype(np.int64)
+                group = np.flatnonzero(new)
+                least = np.minimum.reduceat(at, group)  # places are in the order of the ids
+                head = least[np.cumsum(new) - 1]
+                late = ids[head] < ids[at]
+                d, f = _pairs(ids[at[late]], ids[head[late]])
+                value = value[group]
+                bucket = (value >> np.uint64(64 - int(unused) - bits)).astype(np.int64)
                 cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]])
                 rows = []
                 for a, b in zip(cuts, cuts[1:]):
                     # the hashes by document: ids as steps, how many each has, then the hashes' low bytes
-                    place_of = (first[a:b] & place_mask).astype(np.int64)
+                    place_of = least[a:b]
                     order = np.argsort(place_of, kind="stable")
                     used, many = np.unique(place_of, return_counts=True)
                     steps = np.diff(ids[used], prepend=ids[used[0]])
-                    low = (first[a:b][order] >> np.uint64(IN_BATCH)).astype("<u8").view(np.uint8).reshape(-1, 8)
+                    low = value[a:b][order].astype("<u8").view(np.uint8).reshape(-1, 8)
                     rows.append((int(bucket[a]), int(ids[used[0]]), _small(steps), _small(many),
                                  low[:, :STORED].tobytes()))
                 if len(d):
@@ -191,7 +198,8 @@ def links(docs: DataFrame, window: int, words: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(d), pa.array(f)], ["doc_id", "ref"])
 
     entries = docs.mapInArrow(dealt, "bucket long, base long, steps binary, many binary, hashes binary")
-    grouped = entries.repartition(max(tasks(spark), 1 << bits), "bucket").sortWithinPartitions("bucket")
+    # a task takes one bucket after the other, so buckets may be more than tasks
+    grouped = entries.repartition("bucket").sortWithinPartitions("bucket")
     return grouped.mapInArrow(met, "doc_id long, ref long").distinct()
 
 
@@ -214,16 +222,15 @@ def _shards(refs: list[tuple[int, list[bytes], list[int]]], window: int):
 
 def _references(docs: pa.Table, wanted: pa.Table) -> pa.Table:
     """The documents of a part that others read, with the parts that do."""
-    row = {doc: i for i, doc in enumerate(wanted["doc_id"].to_pylist())}
-    of = [(i, row[doc]) for i, doc in enumerate(docs["doc_id"].to_pylist()) if doc in row]
+    rows: dict[int, list[int]] = {}
+    for i, doc in enumerate(docs["doc_id"].to_pylist()):
+        rows.setdefault(doc, []).append(i)
+    of = [(i, w) for w, doc in enumerate(wanted["doc_id"].to_pylist()) for i in rows.get(doc, ())]
     i, w = (pa.array([x[k] for x in of], pa.int64()) for k in (0, 1))
-    return pa.table([docs["doc_id"].take(i), docs["text"].take(i), wanted["targets"].take(w).cast(_TARGETS)],
+    return pa.table([docs["doc_id"].take(i), docs["text"].take(i), wanted["targets"].take(w).cast(pa.list_(pa.int32()))],
                     names=["ref", "ref_text", "targets"])
 
 
-_TARGETS = pa.list_(pa.struct([("reader_part", pa.int32()), ("readers", pa.list_(pa.int64()))]))
-
-
 def _merged(spans: list[tuple[int, int]]) -> list[list[int]]:
     whole: list[list[int]] = []
     for a, b in sorted(spans):
@@ -286,22 +293,28 @@ def _in_doubt(refs: Iterator[tuple[int, bytes]], readers: list[tuple[int, int, b
         start = int(w - begin[of])
         if start + window <= len(words):
             out.setdefault(readers[of][0], []).append(
-                {"start": start, "hash": int(hashes[w]), "words": b" ".join(words[start:start + window])})
+                {"start": start, "hash": int(hashes[w].astype(np.int64)), "words": b" ".join(words[start:start + window])})
     return out
 
 
 def _part(window: int, shift: int):
-    """A part's references and documents to its documents' kept words and
-    windows in doubt; ``shift`` bits of a hash are not compared."""
-
-    def run(refs: pa.Table, docs: pa.Table) -> pa.Table:
+    """A part's references (``ref, ref_text``), who reads them (``ref, reader``)
+    and its documents to the documents' kept words and windows in doubt;
+    ``shift`` bits of a hash are not compared."""
+
+    def run(sent: pa.Table, docs: pa.Table) -> pa.Table:
+        links = sent.filter(pc.is_valid(sent["reader"]))
+        reads: dict[int, list[int]] = {}
+        for ref, reader in zip(links["ref"].to_pylist(), links["reader"].to_pylist()):
+            reads.setdefault(ref, []).append(reader)
+        refs = sent.filter(pc.is_null(sent["reader"]))
         texts = docs["text"].cast(pa.binary())
         rows: dict[int, list[int]] = {}
         for i, doc in enumerate(docs["doc_id"].to_pylist()):
             rows.setdefault(doc, []).append(i)
         spans: dict[int, list[tuple[int, int]]] = {}
         order = np.argsort(refs["ref"].to_numpy(), kind="stable") if len(refs) else []
-        listed = ((refs["ref"][i].as_py(), refs["ref_text"][i].as_py().encode().split(), refs["readers"][i].as_py())
+        listed = ((refs["ref"][i].as_py(), refs["ref_text"][i].as_py().encode().split(), reads[refs["ref"][i].as_py()])
                   for i in map(int, order))
         for shard in _shards(listed, window):
             automaton = SuffixAutomaton(window)
@@ -311,7 +324,7 @@ def _part(window: int, shift: int):
             for reader in {r for _, _, readers in shard for r in readers}:
                 for i in rows.get(reader, ()):
                     spans.setdefault(i, []).extend(automaton.covered(texts[i].as_py().split(), reader))
-        read = {r for readers in refs["readers"].to_pylist() for r in readers}
+        read = {r for readers in reads.values() for r in readers}
         doubts = _in_doubt(((refs["ref"][i].as_py(), refs["ref_text"][i].as_py().encode()) for i in map(int, order)),
                            [(i, doc, texts[i].as_py()) for doc in sorted(read) for i in rows.get(doc, ())],
                            spans, window, shift)
@@ -454,18 +467,19 @@ def dedup_substrings(docs: DataFrame, window: int, id_col: str = "doc_id", text_
     part_of = lambda c: F.pmod(F.xxhash64(c), F.lit(parts)).cast("int")
     # one shuffle of the texts serves as documents and as references
     dealt = known.withColumn("part", part_of("doc_id")).repartition(parts, "part")
-    wanted = (pairs.groupBy("ref", part_of("doc_id").alias("reader_part"))
-              .agg(F.collect_list("doc_id").alias("readers"))  # of one part
-              .groupBy(F.col("ref").alias("doc_id"))
-              .agg(F.collect_list(F.struct("reader_part", "readers")).alias("targets"))  # at most one per part
-              .withColumn("part", part_of("doc_id")))
+    # a reference goes once to each part that reads it; who reads it there is known from the part's own links
+    wanted = (pairs.select("ref", part_of("doc_id").alias("reader_part")).distinct()
+              .groupBy(F.col("ref").alias("doc_id"), F.floor(F.col("reader_part") / TARGETS).alias("chunk"))
+              .agg(F.collect_list("reader_part").alias("targets"))  # at most TARGETS parts
+              .select("doc_id", "targets", part_of("doc_id").alias("part")))
     refs = (dealt.groupBy("part").cogroup(wanted.groupBy("part"))
-            .applyInArrow(_references, "ref long, ref_text string, "
-                                       "targets array<struct<reader_part: int, readers: array<long>>>")
+            .applyInArrow(_references, "ref long, ref_text string, targets array<int>")
             # a text that many parts need is copied row by row on its way to them
-            .select("ref", "ref_text", F.inline("targets")))
-    shift = 64 - 8 * STORED - _bucket_bits(size // 5)
-    first = written(refs.groupBy("reader_part").cogroup(dealt.groupBy("part"))
+            .select(F.explode("targets").alias("reader_part"), "ref", "ref_text", F.lit(None).cast("long").alias("reader")))
+    reads = pairs.select(part_of("doc_id").alias("reader_part"), "ref", F.lit(None).cast("string").alias("ref_text"),
+                         F.col("doc_id").alias("reader"))
+    shift = _unused_bits(_bucket_bits(size // 5))
+    first = written(refs.unionByName(reads).groupBy("reader_part").cogroup(dealt.groupBy("part"))
                     .applyInArrow(_part(window, shift),
                                   f"{_SCHEMA}, doubts array<struct<start: long, hash: long, words: binary>>"), "kept")
     kept = _second_round(known, first, window, shift)

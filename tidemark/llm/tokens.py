@@ -8,13 +8,12 @@ import re
 # Code points whose class is the same in every Unicode version the two
 # libraries may use; texts with others go to the reference library.
 _PLAIN = re.compile("[\t\n\r\x20-\x7e¡-ɏ]*")
-_SPECIAL = "<|"
 _LONG = 200_000
 
 
 class Encoder:
-    """Ids as the `tokenizers` library gives them for a tokenizer file, with
-    the special tokens' strings as ordinary text.
+    """Ids as the `tokenizers` library gives them for a tokenizer file; the
+    string of a special token in a text is that token, as the library has it.
 
     For byte-level BPE files most texts are encoded by `tiktoken` from the same
     merges, which gives the same ids several times as fast; texts outside plain
@@ -25,6 +24,7 @@ class Encoder:
     def __init__(self, content: str):
         self.content = content
         self.fast = _merges(content)
+        self.added = tuple(t["content"] for t in json.loads(content).get("added_tokens", []))
         self._slow = None
 
     @property
@@ -33,11 +33,11 @@ class Encoder:
         if self._slow is None:
             from tokenizers import Tokenizer
             self._slow = Tokenizer.from_str(self.content)
-            self._slow.encode_special_tokens = True
         return self._slow
 
     def encode(self, text: str) -> list[int]:
-        if (self.fast is not None and len(text) < _LONG and _SPECIAL not in text and _PLAIN.fullmatch(text)):
+        if (self.fast is not None and len(text) < _LONG and not any(t in text for t in self.added)
+                and _PLAIN.fullmatch(text)):
             return self.fast.encode_ordinary(text)
         return self.slow.encode(text, add_special_tokens=False).ids
 
