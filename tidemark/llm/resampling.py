@@ -20,6 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import written
 from tidemark.operators.ordering import numbered_in_order
 
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"   # after lower-casing: all of ASCII but letters and digits
@@ -129,9 +130,10 @@ def resample(docs: DataFrame, target: DataFrame, grams: int, buckets: int, perce
                          bucket_counts(target, target_col, grams, buckets), buckets)
     rows = weighted(docs, gains, id_col, text_col, grams)
     scored = rows.withColumn("score", F.col("weight") + gumbel(seed, "doc_id"))
-    drawable = F.col("n_words") >= least_words
+    # written, as ordering reads its rows twice: once for the ranges
+    scored = written(scored.withColumn("drawable", F.col("n_words") >= least_words), "scored")
     ordered = numbered_in_order(
-        scored.withColumn("drawable", drawable),
+        scored,
         [F.col("drawable").desc(), F.col("score").desc(), F.col("doc_id").asc_nulls_last()], "place")
     drawn = percent * ordered.filter("drawable").count() // 100
     return ordered.select("doc_id", "n_features", "weight", "score",
