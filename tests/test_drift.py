@@ -93,7 +93,7 @@ def test_column_and_table_drift(spark):
     assert td["t1"].status == "modified" and td["t1"].n_column_differences == 3
     # nullability only: modified without a column difference, second detail line
     assert td["t2"].status == "modified" and td["t2"].n_column_differences == 0
-    assert td["t2"].details.endswith(drift.DETAIL_NO_COLUMN_CHANGE)
+    assert td["t2"].details.endswith(drift.SAME_COLUMNS)
     assert td["t3"].status == "unchanged" and td["t4"].status == "removed" and td["t5"].status == "added"
 
 
@@ -123,3 +123,52 @@ def test_report_plan(spark):
     assert {r.name for r in rep["ignored"].collect()} == {"dbo.n"}
     assert rep["verdict"].first().total_drifted == 1
     assert rep["columns"].count() == 0
+
+
+def test_ignore_globs_as_a_table(spark):
+    import random
+    rnd = random.Random(12)
+    cats = ["tables", "views", "procedures", "odd"]
+    word = lambda chars, a, b: "".join(rnd.choice(chars) for _ in range(rnd.randint(a, b)))
+    objs = [(rnd.choice(cats), word("abAB.[]", 1, 6), rnd.choice([None, "tables\\\\a.sql", "views/" + word("ab", 1, 3)]))
+            for _ in range(120)]
+    objs = list({(c, n): (c, n, p) for c, n, p in objs}.values())
+    globs = [word("abAB.*?[]!-:", 1, 6) for _ in range(150)] + ["table:a*", "VIEWS:*b", "*", "  a* ", "", "tables/a.*", "*a*",
+                                                                  "tables:aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa*"]
+    df = spark.createDataFrame(objs, "category string, name string, relative_path string")
+    for some in (globs, [g for g in globs if "*" not in g], globs[:40], []):
+        table = spark.createDataFrame([(g,) for g in some], "pattern string")
+        _, ignored = drift.split_ignored(df, [g.strip() for g in some if g.strip()])
+        want = {(r.category, r.name) for r in ignored.collect()}
+        assert {(r.category, r.name) for r in drift.ignored_by(df, table).collect()} == want
+    plan = drift.ignored_by(df, spark.createDataFrame([("a*",)], "pattern string"))._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_report_rank(spark):
+    df = spark.createDataFrame([("t", 1, "b"), ("t", 0, "z"), ("t", 1, "A"), ("s", 3, "q")],
+                               "category string, status_rank int, name string")
+    got = [r.name for r in drift.with_report_rank(df).orderBy("report_rank").collect()]
+    assert got == [r.name for r in drift.report_order(df).collect()] == ["q", "z", "A", "b"]
+
+
+def test_columns_digest_decides_the_second_detail(spark):
+    schema = "category string, name string, definition string, relative_path string, columns_sha256 string"
+    left = spark.createDataFrame([("tables", "a", "x NULL", None, "1"), ("tables", "b", "y", None, "2"),
+                                  ("views", "c", "z", None, "3")], schema)
+    right = spark.createDataFrame([("tables", "a", "x", None, "1"), ("tables", "b", "yy", None, "9"),
+                                   ("views", "c", "zz", None, "3")], schema)
+    got = {r.name: r.details for r in drift.object_drift(left, right).collect()}
+    assert got == {"a": "changed_text; same_columns", "b": "changed_text", "c": "changed_text"}
+
+
+def test_column_drift_needs_one_join_and_two_scans_a_side(spark):
+    from tidemark.plans import queries as Q
+    from tidemark.plans.mapping import baseline_columns, live_columns
+    sf = "/root/testdata/sf0.001"
+    df = drift.column_drift(baseline_columns(spark, sf), live_columns(spark, sf))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FullOuter") == 1 and plan.count("LeftSemi") == 1
+    assert plan.count("Location") <= 6  # the live side is made of two tables
+    whole = Q.QUERIES["catalog_drift"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert whole.count("FullOuter") == 1 and whole.count("Location") == 2 and "LeftSemi" not in whole

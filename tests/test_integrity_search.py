@@ -68,3 +68,27 @@ def test_catalog_frames(spark):
     assert cols == {("id", "int", 1), ("name", "string", 2)}
     assert [r.table_name for r in available_tables(spark, {"T1": df}).collect()] == ["t1"]
     assert df.select(F.lit(1)).count() == 1
+
+
+def test_labels_as_a_table(spark):
+    import random
+    rnd = random.Random(6)
+    word = lambda a, b: "".join(rnd.choice("abAB_1") for _ in range(rnd.randint(a, b)))
+    rows = [(word(0, 30), rnd.choice(["success", "failed"]), None if i % 9 == 0 else word(1, 12)) for i in range(150)]
+    rows.append((None, "success", "x"))
+    h = spark.createDataFrame(rows, "migration_id string, status string, note string")
+    text = [f"{a or ''}||{b or ''}||{c or ''}".lower() for a, b, c in rows]
+    labels = {word(0, 14) for _ in range(300)} | {r[0][3:17] for r in rows if r[0]} | {"SUCCESS", "||success||", "é", ""}
+    table = spark.createDataFrame([(x,) for x in [*labels, None]], "needle string")
+    got = {r.needle: (r.loose_found, r.strict_found) for r in search.label_presence(h, table).collect()}
+    want = {x: (any(x.lower() in t for t in text), any(r[1] == "success" and r[0] is not None and r[0].startswith(x) for r in rows))
+            for x in labels}
+    assert got == want
+    assert sum(len(x) > search.GRAM and w[0] for x, w in want.items()) > 20
+    few = {r.needle: (r.loose_found, r.strict_found) for r in search.presence_modes(h, sorted(labels)).collect()}
+    assert few == want
+    assert search.label_presence(h, table.limit(0)).count() == 0
+    empty = search.label_presence(h.limit(0), table).filter("loose_found OR strict_found")
+    assert empty.count() == 0
+    plan = search.label_presence(h, table)._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan

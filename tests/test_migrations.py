@@ -138,3 +138,45 @@ def test_validation_reports_missing_table_and_column(spark):
         assert v.result == "FAIL"
     finally:
         spark.catalog.setCurrentDatabase("default")
+
+
+def outcomes(spark, rows):
+    return spark.createDataFrame([(*r, "f") for r in rows], "version long, migration_id string, status string, file_name string")
+
+
+def test_a_run_stops_at_its_first_failure(spark):
+    rows = [(2, "v2_b", "success"), (10, "v10_x", "failed"), (9, "v9_a", "failed"), (9, "v9_b", "success"), (1, "v1", "success"),
+            (10, "v10_a", "success")]
+    got = {r.migration_id: r.state for r in MG.until_first_failure(outcomes(spark, rows)).collect()}
+    assert got == {"v1": "success", "v2_b": "success", "v9_a": "failed", "v9_b": "pending", "v10_x": "pending",
+                   "v10_a": "pending"}
+    fine = outcomes(spark, rows[:1] + rows[3:])
+    assert {r.state for r in MG.until_first_failure(fine).collect()} == {"success"}
+    assert MG.until_first_failure(outcomes(spark, [])).count() == 0
+    plan = MG.until_first_failure(outcomes(spark, rows))._jdf.queryExecution().toString()
+    assert "Sort [" not in plan.split("== Physical Plan ==")[1]
+
+
+def test_append_of_a_run_twice_leaves_one_row_a_script(spark, scratch_dir):
+    folder = os.path.join(scratch_dir, "runs")
+    runs = spark.createDataFrame([("v1_a", "v1_a.sql", "sql"), ("v2_b", "v2_b.sql", "sql")],
+                                 "migration_id string, file_name string, migration_type string")
+    rows = MG.history_rows(runs, "success", "me", dt.datetime(2030, 1, 2))
+    MG.append_run(rows, "r1", folder)
+    MG.append_run(rows, "r1", folder)
+    MG.append_run(rows.limit(1), "r2", folder)
+    got = sorted((r.run_id, r.migration_id) for r in MG.read_runs(spark, folder).collect())
+    assert got[:2] == [("r1", "v1_a"), ("r1", "v2_b")] and len(got) == 3
+    # a run repeated with another outcome replaces its own rows only
+    MG.append_run(MG.history_rows(runs, "failed", "me", dt.datetime(2030, 1, 2)), "r1", folder)
+    assert {r.status for r in MG.read_runs(spark, folder).filter("run_id = 'r1'").collect()} == {"failed"}
+    assert MG.read_runs(spark, folder).filter("run_id = 'r2'").first().status == "success"
+    assert MG.applied_ids(MG.read_runs(spark, folder)).count() == 1
+
+
+def test_run_rank(spark):
+    rows = [(10, "v10_a"), (9, "v9_b"), (9, "v9_a"), (0, "v0")]
+    df = spark.createDataFrame(rows, "version long, migration_id string")
+    got = {r.migration_id: r.run_rank for r in MG.with_run_rank(df).collect()}
+    assert got == {"v0": 1, "v9_a": 2, "v9_b": 3, "v10_a": 4}
+    assert [r.migration_id for r in MG.run_order(df).collect()] == sorted(got, key=got.get)

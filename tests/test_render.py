@@ -58,7 +58,7 @@ def test_normalize_module(spark):
     assert got["v2"][0] == "create view v2 as y"
     assert got["v3"][0] == "CREATE VIEW [dbo].[v3] AS\nSELECT 3"
     assert got["p2"][0] == "CREATE PROCEDURE [dbo].[p2]\nAS\nBEGIN END"
-    assert got["e"] == (None, "Definition for dbo.e is empty")
+    assert got["e"] == (None, "empty_text")
 
 
 def _arts(spark, n=50):
@@ -183,3 +183,80 @@ def test_tree_hash_splits_a_hot_group(spark):
     assert chunks.count() > 1900 and chunks.agg(F.max("count")).first()[0] <= 2
     got = bundle_hash_tree(arts, ["object_type"]).first()
     assert got.artifact_count == 2000 and len(got.bundle_sha256) == 64
+
+
+def parsed(spark, *items):
+    text = "CREATE TABLE [s].[t] (\n    " + ",\n    ".join(items) + "\n);\n"
+    df = spark.createDataFrame([("s.t", text)], "qualified_name string, definition string")
+    rows = [(r.ordinal, r.column_name, r.type_sql, r.column_definition) for r in render.parse_definition_columns(df).collect()]
+    return rows, [r.error for r in render.unparsed_definitions(df).collect()]
+
+
+@pytest.mark.parametrize("default", [
+    "'x, [b] INT'", "'it''s, CONSTRAINT [c] ('", "(('a,b'))", "(f([x], [y] , ')', g((1,2),(3))))", "']'", "'\u0001'",
+    "([odd]]name, [z] INT)", "'" + "(" * 40 + "'"])
+def test_commas_inside_a_default_split_nothing(spark, default):
+    rows, errors = parsed(spark, f"[a] NVARCHAR(9) DEFAULT {default} NULL", "CONSTRAINT [k] PRIMARY KEY ([a], [b])",
+                          "[b,]]] DECIMAL(10, 2) NOT NULL")
+    assert rows == [(1, "a", "NVARCHAR(9)", f"NVARCHAR(9) DEFAULT {default} NULL"),
+                    (3, "b,]", "DECIMAL(10, 2)", "DECIMAL(10, 2) NOT NULL")]
+    assert errors == []
+
+
+@pytest.mark.parametrize("default", ["'open", "(1", "1)", "x]", "(" * 12 + "1" + ")" * 12])
+def test_parts_without_their_pair_are_errors(spark, default):
+    rows, errors = parsed(spark, f"[a] INT DEFAULT {default} NULL", "[b] INT NULL")
+    assert rows == [] and errors == ["quotes, brackets or parentheses without their pair"]
+
+
+def test_long_definitions_parse(spark):
+    items = [f"[c{i}] NVARCHAR({i}) DEFAULT ('v, {i}') NULL" for i in range(5000)]
+    rows, errors = parsed(spark, *items)
+    assert errors == [] and [r[1] for r in rows] == [f"c{i}" for i in range(5000)]
+
+
+def test_wide_table_is_written_without_a_row_that_holds_it(spark, scratch_dir):
+    wide = 20000
+    cols = spark.range(wide).selectExpr(
+        "'dbo' AS schema_name", "'wide' AS table_name", "concat('c', id) AS column_name",
+        "cast(id * 7919 % 20011 AS int) AS ordinal_position", "'int' AS data_type", "cast(null AS int) AS character_maximum_length",
+        "cast(null AS int) AS numeric_precision", "cast(null AS int) AS numeric_scale",
+        "cast(null AS int) AS datetime_precision", "id % 2 = 0 AS is_nullable", "cast(null AS string) AS column_default")
+    both = cols.unionByName(spark.createDataFrame(COLS, COL_SCHEMA))
+    keys = render.constraint_columns_ordered(spark.createDataFrame(KEYS, KEY_SCHEMA))
+    folder = os.path.join(scratch_dir, "definitions")
+    lines = render.definition_lines(both, keys)
+    render.write_definitions(lines, folder)
+    assert "collect_list" not in render.definition_lines(both)._jdf.queryExecution().toString()
+    files = spark.read.text(folder, wholetext=True).collect()
+    texts = {(r.schema_name, r.table_name): r.value for r in files}
+    assert len(files) == 2 and texts["dbo", "sites"] == EXPECTED
+    got = texts["dbo", "wide"].splitlines()
+    assert len(got) == wide + 2 and got[0] == "CREATE TABLE [dbo].[wide] (" and got[-1] == ");"
+    names = [r.column_name for r in cols.orderBy("ordinal_position").collect()]
+    assert [x.strip().split("]")[0][1:] for x in got[1:-1]] == names
+    assert all(x.endswith("NULL,") for x in got[1:-2]) and got[-2].endswith("NULL")
+
+
+def test_names_in_order(spark):
+    arts = spark.createDataFrame([("table", "b"), ("view", "z"), ("table", "a"), ("table", "B")],
+                                 "object_type string, qualified_name string")
+    got = [tuple(r) for r in render.names_in_order(arts).orderBy("object_type", "position").collect()]
+    assert got == [("table", "B", 1, 3), ("table", "a", 2, 3), ("table", "b", 3, 3), ("view", "z", 1, 1)]
+
+
+def test_columns_digest(spark):
+    fields = dict(zip(render.COLUMN_STRUCT_FIELDS, ["'a'", "1", "'int'", "null", "null", "null", "null", "true", "null"]))
+
+    def digest(*changes):
+        structs = []
+        for change in changes:
+            f = {**fields, **change}
+            structs.append("named_struct(" + ", ".join(f"'{k}', {v}" for k, v in f.items()) + ")")
+        names = [f"c{i}" for i in range(len(structs))]
+        row = spark.range(1).selectExpr(*[f"{s} AS {n}" for s, n in zip(structs, names)])
+        return row.selectExpr(render.columns_digest_sql(names)).first()[0]
+
+    b = {"column_name": "'b'"}
+    assert digest({}, b) == digest(b, {}) == digest({"is_nullable": "false", "column_default": "'1'"}, b)
+    assert len({digest({}, b), digest({}), digest({"data_type": "'bigint'"}, b), digest({"column_name": "'c'"}, b)}) == 4

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from tidemark.operators import assembly, render
 from tidemark.operators.migrations import ensure_table
 from tidemark.plans import snapshot
-from tidemark.sources import catalog
+from tidemark.sources import catalog, corpus
 
 
 def test_export_and_compare_catalog(spark, scratch_dir):
@@ -37,7 +37,7 @@ def test_export_and_compare_catalog(spark, scratch_dir):
         assert cols == {("snap_cat.t1", "c", "added")}
         summary = {r.category: r.drifted for r in rep["summary"].collect()}
         assert summary == {"tables": 3, "views": 1, "procedures": 0}
-        files = {r.object_type: r for r in spark.read.json(os.path.join(right, "summary")).collect()}
+        files = {r.object_type: r for r in spark.read.json(os.path.join(corpus.current_export(spark, right), "summary")).collect()}
         assert files["table"].artifact_count == 2 and files["view"].artifact_count == 1
         assert len(files["*"].bundle_sha256) == 64 and files["*"].schemas == 1
     finally:
@@ -67,7 +67,7 @@ def test_lengths_nullability_and_keys_survive(spark, scratch_dir):
     row = rep["objects"].first()
     assert row.status == "modified" and [(d.column_name, d.status) for d in row.column_differences] == [
         ("a", "type_changed")]
-    told = spark.read.json(os.path.join(left, "summary")).first()
+    told = spark.read.json(os.path.join(corpus.current_export(spark, left), "summary")).first()
     assert (told.endpoint, told.auth_method, told.database) == ("host", "token", "snap_len")
 
 
@@ -79,6 +79,35 @@ def test_colliding_paths_raise_before_writing(spark, scratch_dir):
     assert not os.path.exists(out)
 
 
+def exported(spark, texts):
+    return render.artifacts(spark.createDataFrame(list(texts.items()), "q string, c string"), "table", "q", "c")
+
+
+def read_back(spark, folder):
+    return {r.name: r.definition for r in corpus.read_snapshot(spark, folder)[1].collect()}
+
+
+@pytest.mark.parametrize("step", ["manifest_files", "bundle_hash_tree", "local_frame"])
+def test_a_failed_export_leaves_the_old_one_readable(spark, scratch_dir, monkeypatch, step):
+    folder = os.path.join(scratch_dir, "export")
+    old, new = {"dbo.a": "one", "dbo.b": "two"}, {"dbo.a": "three"}
+    with pytest.raises(corpus.IncompleteSnapshot, match="nothing was published"):
+        corpus.read_snapshot(spark, folder)
+    snapshot.write(exported(spark, old), folder)
+
+    def fails(*a, **k):
+        raise OSError("disk full")
+
+    with monkeypatch.context() as m:
+        m.setattr(render if step == "manifest_files" else snapshot, step, fails)
+        with pytest.raises(OSError):
+            snapshot.write(exported(spark, new), folder)
+    assert read_back(spark, folder) == old
+    snapshot.write(exported(spark, new), folder)
+    assert read_back(spark, folder) == new
+    assert [p.sequence for p in sorted(corpus.published_versions(spark, folder))] == [1, 2]
+
+
 def test_tables_schemas_and_existence(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS snap_list")
     spark.sql("CREATE TABLE IF NOT EXISTS snap_list.here (a INT) USING parquet")
@@ -104,9 +133,9 @@ def test_assembly(spark):
     assert render.constraint_columns_ordered(keys).first().columns == ["a", "b"]
     mods = assembly.module_texts(
         frame([(1, "x"), (2, None), (3, "z"), (9, "lost")], "object_id int, definition string"),
-        frame([(1, 10, "v", "V"), (2, 10, "p", "P"), (3, 11, "q", "V"), (4, 10, "u", "U")],
+        frame([(1, 10, "v", "V"), (2, 10, "p", "P"), (3, 11, "q", "V"), (4, 10, "u", "U"), (9, 12, "n", "V")],
               "object_id int, schema_id int, object_name string, object_type string"),
-        frame([(10, "dbo"), (11, "sys")], "schema_id int, schema_name string"))
+        frame([(10, "dbo"), (11, "sys"), (12, None)], "schema_id int, schema_name string"))
     assert sorted((r.object_name, r.definition) for r in mods.collect()) == [("p", None), ("v", "x")]
     views = frame([("dbo", "v"), ("dbo", "w")], "schema_name string, object_name string")
     assert [tuple(r) for r in assembly.views_without_text(views, mods).collect()] == [("dbo", "w", "view without text")]

@@ -2,7 +2,8 @@
 
 All of these are built-in Spark SQL expressions (regexp_replace, rlike,
 regexp_extract, upper, ...), so they run inside whole-stage codegen on the
-executors; nothing here is a UDF.
+executors.  The one exception is :func:`glob_regexes`, which turns a table of
+globs into patterns.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -171,3 +173,13 @@ def matches_any_glob(candidates: Sequence[Column], patterns: Sequence[str]) -> C
         m = F.coalesce(cand.rlike(combined), F.lit(False))
         cond = m if cond is None else (cond | m)
     return cond
+
+
+def glob_regexes(pattern: Column | str) -> Column:
+    """:func:`glob_to_regex` of a column: a helper for tables of globs, which are
+    far fewer than the names they are matched with."""
+    @F.pandas_udf("string")
+    def regexes(patterns: pd.Series) -> pd.Series:
+        return patterns.map(glob_to_regex, na_action="ignore")
+
+    return regexes(col_(pattern))

@@ -24,8 +24,9 @@ CONSTRAINT_KEY = ("constraint_catalog", "constraint_schema", "constraint_name",
 
 def user_schemas(df: DataFrame, schema_col: str = "schema_name",
                  system: Sequence[str] = SYSTEM_SCHEMAS) -> DataFrame:
-    """Rows outside the system schemas (a null schema is none of them)."""
-    return df.filter(F.col(schema_col).isNull() | ~F.col(schema_col).isin(*system))
+    """Rows whose schema is known and outside the system schemas (as with SQL's
+    ``NOT IN``, a null schema is left out)."""
+    return df.filter(~F.col(schema_col).isin(*system))
 
 
 def of_kinds(df: DataFrame, kind_col: str, kinds: Sequence[str]) -> DataFrame:

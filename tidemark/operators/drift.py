@@ -19,7 +19,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import matches_any_glob, normalize_definition
+from tidemark.functions.text import glob_regexes, matches_any_glob, normalize_definition
+from tidemark.operators.ordering import numbered_in_order
 from tidemark.session import local_frame
 
 # Drift statuses in report order, and their text symbols.
@@ -27,11 +28,9 @@ STATUS_ORDER = {"modified": 0, "added": 1, "removed": 2, "unchanged": 3}
 STATUS_SYMBOL = {"modified": "~", "added": "!", "removed": "!", "unchanged": "="}
 STATUSES = ("added", "removed", "modified", "unchanged")
 
-DETAIL_ADDED = "Present in the compared snapshot only."
-DETAIL_REMOVED = "Present in the baseline snapshot only."
-DETAIL_SAME = "Normalized definition matches."
-DETAIL_CHANGED = "Normalized definition changed."
-DETAIL_NO_COLUMN_CHANGE = "No column differs."
+# What a row of the report says, as codes; several are joined by "; ".
+ONLY_COMPARED, ONLY_BASELINE = "only_compared", "only_baseline"
+SAME_TEXT, CHANGED_TEXT, SAME_COLUMNS = "same_text", "changed_text", "same_columns"
 
 
 def objects(df: DataFrame, category: Column | str, name: Column | str,
@@ -75,15 +74,48 @@ def ignore_mask(objs: DataFrame, patterns: Sequence[str],
                 singular_map: Mapping[str, str] | None = None) -> Column:
     """True for objects any glob matches; four candidate spellings, all
     lower-cased: ``name``, ``category:name``, ``singular:name``, path."""
-    name = F.col("name")
-    cat = F.col("category")
-    candidates = [
-        F.lower(name),
-        F.lower(F.concat(cat, F.lit(":"), name)),
-        F.lower(F.concat(singular(cat, singular_map), F.lit(":"), name)),
-        F.lower(F.replace(F.coalesce(F.col("relative_path"), F.lit("")), F.lit("\\"), F.lit("/"))),
-    ]
-    return matches_any_glob(candidates, patterns)
+    return matches_any_glob(_spellings(objs, singular_map), patterns)
+
+
+#: Characters of a glob's literal start or end by which it is joined to names.
+ANCHOR = 16
+
+
+def _spellings(objs: DataFrame, singular_map: Mapping[str, str] | None) -> list[Column]:
+    """The four spellings of an object that globs are matched with, lower-cased."""
+    name, cat = F.col("name"), F.col("category")
+    return [F.lower(name), F.lower(F.concat(cat, F.lit(":"), name)),
+            F.lower(F.concat(singular(cat, singular_map), F.lit(":"), name)),
+            F.lower(F.replace(F.coalesce(F.col("relative_path"), F.lit("")), F.lit("\\"), F.lit("/")))]
+
+
+def ignored_by(objs: DataFrame, globs: DataFrame, singular_map: Mapping[str, str] | None = None) -> DataFrame:
+    """``category, name`` of the objects that a glob of the table ``globs``
+    (``pattern``) matches.
+
+    A glob meets only the spellings that have its literal start or end, the
+    longer of the two and up to ``ANCHOR`` characters, by an equi join; the match
+    follows.  A glob with neither (``*a*``) meets all of them."""
+    pattern = F.lower(F.trim("pattern"))
+    start, end = (F.regexp_extract("glob", r, 0) for r in (r"^[^*?\[]*", r"[^*?\[\]]*$"))
+    kept = globs.select(pattern.alias("glob")).filter("glob <> ''").distinct()
+    anchored = (kept.withColumns({"start": start, "end": end})
+                .withColumn("at_start", F.length("start") >= F.length("end"))
+                .withColumn("size", F.least(F.greatest(F.length("start"), F.length("end")), F.lit(ANCHOR)))
+                .select(glob_regexes("glob").alias("regex"), "at_start", "size",
+                        F.when(F.col("at_start"), F.substr("start", F.lit(1), F.col("size")))
+                        .otherwise(F.substr("end", F.length("end") - F.col("size") + 1, F.col("size"))).alias("anchor")))
+    used = anchored.select("at_start", "size").distinct().collect()  # 2 * (ANCHOR + 1) at most
+    names = objs.select("category", "name", F.explode(F.array_distinct(F.array(*_spellings(objs, singular_map)))).alias("spelling"))
+    keys = [F.when(F.length("spelling") >= r.size, F.struct(
+        F.lit(r.at_start).alias("at_start"), F.lit(r.size).alias("size"),
+        (F.substr("spelling", F.lit(1), F.lit(r.size)) if r.at_start else
+         F.substr("spelling", F.length("spelling") - r.size + 1, F.lit(r.size))).alias("anchor"))) for r in used]
+    if not keys:
+        return objs.select("category", "name").limit(0)
+    met = names.select("category", "name", "spelling", F.inline(F.filter(F.array(*keys), lambda k: k.isNotNull())))
+    return (met.join(anchored, ["at_start", "size", "anchor"]).filter(F.expr("spelling RLIKE regex"))
+            .select("category", "name").distinct())
 
 
 def split_ignored(objs: DataFrame, patterns: Sequence[str],
@@ -106,10 +138,16 @@ def ignored_union(left_ignored: DataFrame, right_ignored: DataFrame) -> DataFram
 # Object drift
 # --------------------------------------------------------------------------
 
+#: A digest of an object's columns (names and types), where a snapshot brings it along.
+COLUMNS_DIGEST = "columns_sha256"
+
+
 def _side(objs: DataFrame, tag: str) -> DataFrame:
+    columns = F.col(COLUMNS_DIGEST) if COLUMNS_DIGEST in objs.columns else F.lit(None).cast("string")
     return objs.select(
         "category", "name",
         F.sha2(normalize_definition(F.col("definition")), 256).alias(f"{tag}_norm"),
+        columns.alias(f"{tag}_columns"),
         F.col("relative_path").alias(f"{tag}_path"),
         F.lit(True).alias(f"in_{tag}"),
     )
@@ -121,9 +159,10 @@ def object_drift(left: DataFrame, right: DataFrame,
     """Status per object: added (right only), removed (left only), unchanged
     (equal normalized definition), modified.
 
-    ``column_changes`` (``name``, ``n_column_differences``) adds the second
-    detail line for modified objects of ``column_categories`` without any
-    column difference.
+    A modified object of ``column_categories`` whose columns agree in name and
+    type gets a second detail.  Whether they agree comes from the digest
+    ``columns_sha256``, if both sides bring it (no further join), or from
+    ``column_changes`` (``name``, ``n_column_differences``).
     """
     j = _side(left, "left").join(_side(right, "right"), ["category", "name"], "full_outer")
     in_l = F.coalesce(F.col("in_left"), F.lit(False))
@@ -139,28 +178,36 @@ def object_drift(left: DataFrame, right: DataFrame,
         no_cols = (F.col("category").isin(*column_categories)
                    & (F.coalesce(F.col("_ncd"), F.lit(0)) == 0))
     else:
-        no_cols = F.lit(False)
+        no_cols = F.col("category").isin(*column_categories) & (F.col("left_columns") == F.col("right_columns"))
     st = F.col("status")
-    details = (F.when(st == "added", F.lit(DETAIL_ADDED))
-               .when(st == "removed", F.lit(DETAIL_REMOVED))
-               .when(st == "unchanged", F.lit(DETAIL_SAME))
-               .when(no_cols, F.concat_ws("; ", F.lit(DETAIL_CHANGED), F.lit(DETAIL_NO_COLUMN_CHANGE)))
-               .otherwise(F.lit(DETAIL_CHANGED)))
     return j.select(
         "category", "name", "status",
         status_rank(st).alias("status_rank"),
         status_symbol(st).alias("symbol"),
-        details.alias("details"),
+        _details(st, no_cols).alias("details"),
         "left_path", "right_path",
     )
 
 
+def _details(status: Column, same_columns: Column) -> Column:
+    return (F.when(status == "added", F.lit(ONLY_COMPARED))
+            .when(status == "removed", F.lit(ONLY_BASELINE))
+            .when(status == "unchanged", F.lit(SAME_TEXT))
+            .when(same_columns, F.lit(f"{CHANGED_TEXT}; {SAME_COLUMNS}"))
+            .otherwise(F.lit(CHANGED_TEXT)))
+
+
 def report_order(drift: DataFrame) -> DataFrame:
     """Presentation order: modified, added, removed, unchanged; then name
     case-insensitively.  Call at the edge only."""
     return drift.orderBy("category", "status_rank", F.lower("name"), "name")
 
 
+def with_report_rank(drift: DataFrame, name: str = "report_rank") -> DataFrame:
+    """The place of every row in :func:`report_order`, from 1, as a column."""
+    return numbered_in_order(drift, ["category", "status_rank", F.lower("name"), "name"], name)
+
+
 # --------------------------------------------------------------------------
 # Column drift
 # --------------------------------------------------------------------------
@@ -189,20 +236,29 @@ def _column_join(left_cols: DataFrame, right_cols: DataFrame) -> DataFrame:
     return j.withColumn("col_status", status).withColumn("_in_l", in_l).withColumn("_in_r", in_r)
 
 
-def column_drift(left_cols: DataFrame, right_cols: DataFrame, modified: DataFrame) -> DataFrame:
-    """Column differences of the modified tables: added, removed, type_changed
-    (type compared after normalization; nullability and default ignored).
+def column_drift(left_cols: DataFrame, right_cols: DataFrame, modified: DataFrame | None = None) -> DataFrame:
+    """Column differences of the tables on both sides: added, removed,
+    type_changed (type compared after normalization; nullability and default
+    ignored).
 
-    ``modified`` has the ``name`` of each table that is on both sides and
-    differs; a table that is only added or removed has no column differences.
-    Both sides are cut down to those tables before they are compared."""
-    names = modified.select("name").distinct()
-    j = _column_join(left_cols.join(names, "name", "left_semi"), right_cols.join(names, "name", "left_semi"))
-    return j.filter(F.col("col_status").isin("added", "removed", "type_changed")).select(
+    A table that is only added or removed has no column differences.  A column
+    that differs makes its table a modified one, so the differences themselves
+    need no list of modified tables: one full outer join gives them, and of
+    those only the ones stay whose table both sides have.  ``modified``
+    (``name``) cuts them down further, where what counts as modified was decided
+    elsewhere."""
+    j = _column_join(left_cols, right_cols)
+    if modified is not None:
+        j = j.join(modified.select("name").distinct(), "name", "left_semi")
+    differ = j.filter(F.col("col_status").isin("added", "removed", "type_changed")).select(
         "name", "column_name", F.col("col_status").alias("status"),
         F.when(F.col("col_status") != "added", F.col("left_type")).alias("left_type"),
         F.when(F.col("col_status") != "removed", F.col("right_type")).alias("right_type"),
     )
+    # which sides have the table, asked for in one aggregate over both
+    sides = (left_cols.select("name", F.lit(1).alias("side")).unionByName(right_cols.select("name", F.lit(2).alias("side")))
+             .groupBy("name").agg(F.min("side").alias("first"), F.max("side").alias("last")))
+    return differ.join(sides.filter("first < last").select("name"), "name", "left_semi")
 
 
 def table_drift(left_cols: DataFrame, right_cols: DataFrame) -> DataFrame:
@@ -229,17 +285,11 @@ def table_drift(left_cols: DataFrame, right_cols: DataFrame) -> DataFrame:
               .when((ncd + F.col("columns_redefined")) > 0, F.lit("modified"))
               .otherwise(F.lit("unchanged")))
     st = F.col("status")
-    details = (F.when(st == "added", F.lit(DETAIL_ADDED))
-               .when(st == "removed", F.lit(DETAIL_REMOVED))
-               .when(st == "unchanged", F.lit(DETAIL_SAME))
-               .when(F.col("n_column_differences") == 0,
-                     F.concat_ws("; ", F.lit(DETAIL_CHANGED), F.lit(DETAIL_NO_COLUMN_CHANGE)))
-               .otherwise(F.lit(DETAIL_CHANGED)))
     return (per_table.withColumn("status", status)
             .withColumn("n_column_differences", F.when(st == "modified", ncd).otherwise(F.lit(0)).cast("bigint"))
             .select("name", "status", status_rank(st).alias("status_rank"),
                     "n_column_differences", "columns_added", "columns_removed", "columns_retyped",
-                    details.alias("details")))
+                    _details(st, F.col("n_column_differences") == 0).alias("details")))
 
 
 def column_differences_per_object(col_drift: DataFrame) -> DataFrame:

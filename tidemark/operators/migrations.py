@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.text import spark_identifier, spark_string, spark_table
+from tidemark.operators.ordering import numbered_in_order
 
 # File-name rules of the three tools that read migration names.
 #   runner    - v<digits>_<letters, digits, _ or ->.<ext>; id is the stem
@@ -107,6 +108,12 @@ def run_order(df: DataFrame) -> DataFrame:
     return df.orderBy("version", "migration_id")
 
 
+def with_run_rank(df: DataFrame, *ties: str, name: str = "run_rank") -> DataFrame:
+    """The place of every script in :func:`run_order`, from 1, as a column;
+    ``ties`` order scripts of one id."""
+    return numbered_in_order(df, ["version", "migration_id", *ties], name)
+
+
 def timestamp_literal(value: _dt.datetime, timestamp_type: str = "timestamp"):
     """A timestamp constant.  ``timestamp_ntz`` is written as a SQL literal,
     so its value does not depend on the Python or session time zone."""
@@ -133,6 +140,23 @@ def history_rows(runs: DataFrame, status: str | None, applied_by: str | None,
     )
 
 
+def until_first_failure(outcomes: DataFrame, *ties: str, status_col: str = "status") -> DataFrame:
+    """``outcomes`` with ``state``: what the history knows of each script after a
+    run that stops at the first failure.
+
+    ``outcomes`` has what became, or would become, of every script (``version,
+    migration_id, status``).  Scripts before the first failure in run order keep
+    their status (``success``), the first failure is ``failed``, and all later
+    ones stay ``pending``, whatever their status; ``ties`` order scripts of one
+    id.  The first failing key is one aggregate; no task sorts the scripts."""
+    key = F.struct("version", "migration_id", *ties)
+    first = outcomes.filter(F.col(status_col) != F.lit("success")).agg(F.min(key).alias("first"))
+    before = F.col("first").isNull() | (key < F.col("first"))
+    marked = outcomes.join(F.broadcast(first))  # one row, whatever the outcomes
+    state = F.when(before, F.lit("success")).when(key == F.col("first"), F.lit("failed")).otherwise(F.lit("pending"))
+    return marked.withColumn("state", state).drop("first")
+
+
 def history_totals(history: DataFrame) -> DataFrame:
     """Per status: runs, distinct ids, total duration."""
     return history.groupBy("status").agg(
@@ -172,7 +196,7 @@ def add_missing_columns_table(spark: SparkSession, table: str, target: T.StructT
     """``ALTER TABLE ... ADD COLUMNS`` for only the missing columns.  Errors if
     the table is absent.  Returns the added names."""
     if not spark.catalog.tableExists(table):
-        raise ValueError(f"Table {table} does not exist; run the baseline migration first.")
+        raise ValueError(f"cannot add columns: no table {table}")
     add = missing_columns(spark.table(table).schema, target)
     if add:
         spark.sql(f"ALTER TABLE {spark_table(table)} ADD COLUMNS ({', '.join(map(_column_ddl, add))})")
@@ -180,11 +204,13 @@ def add_missing_columns_table(spark: SparkSession, table: str, target: T.StructT
 
 
 def create_table_sql(table: str, schema: T.StructType, comment: str | None = None,
-                     using: str = "parquet") -> str:
+                     using: str = "parquet", location: str | None = None) -> str:
     """``CREATE TABLE IF NOT EXISTS`` DDL from a StructType (column comments
     from field metadata)."""
     columns = ", ".join(map(_column_ddl, schema.fields))
     ddl = f"CREATE TABLE IF NOT EXISTS {spark_table(table)} ({columns}) USING {using}"
+    if location:
+        ddl += f" LOCATION {spark_string(location)}"
     if comment:
         ddl += f" COMMENT {spark_string(comment)}"
     required = [f.name for f in schema.fields if not f.nullable]
@@ -194,8 +220,8 @@ def create_table_sql(table: str, schema: T.StructType, comment: str | None = Non
 
 
 def ensure_table(spark: SparkSession, table: str, schema: T.StructType,
-                 comment: str | None = None, using: str = "parquet") -> None:
-    spark.sql(create_table_sql(table, schema, comment, using))
+                 comment: str | None = None, using: str = "parquet", location: str | None = None) -> None:
+    spark.sql(create_table_sql(table, schema, comment, using, location))
 
 
 def insert_by_name(df: DataFrame, table: str) -> None:
@@ -220,6 +246,23 @@ def seed_missing(target: DataFrame, seed: DataFrame, keys: Sequence[str]) -> Dat
     return seed.join(present, list(keys), "left_anti")
 
 
+def append_run(rows: DataFrame, run_id: str, folder: str) -> None:
+    """Write the history rows of one run, as that run's partition of ``folder``
+    (a table of :data:`HISTORY_SCHEMA` partitioned by ``run_id``).
+
+    The partition is replaced whole, so a retried or repeated append of a run
+    leaves one row per script, and other runs' rows are not touched."""
+    typed = rows.select(*[F.col(f.name).cast(f.dataType) for f in HISTORY_SCHEMA.fields], F.lit(run_id).alias("run_id"))
+    (typed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_id").parquet(folder))
+
+
+def read_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """The history that :func:`append_run` wrote, with ``run_id``."""
+    schema = T.StructType([*HISTORY_SCHEMA.fields, T.StructField("run_id", T.StringType())])
+    return spark.read.schema(schema).parquet(folder)
+
+
 def append_history(spark: SparkSession, rows: DataFrame, table: str = "_migration_history") -> None:
     """Create the history table if needed and append rows by name."""
     ensure_table(spark, table, HISTORY_SCHEMA)

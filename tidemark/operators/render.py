@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.text import (WHITESPACE_CLASS, col_, export_path, quote_identifier,
                                      strip_surrounding_whitespace)
 from tidemark.functions.types import format_data_type_sql
+from tidemark.operators.ordering import numbered_in_order
 
 COLUMN_STRUCT_FIELDS = ("column_name", "ordinal_position", "data_type", "character_maximum_length",
                         "numeric_precision", "numeric_scale", "datetime_precision", "is_nullable",
@@ -37,6 +38,7 @@ def header_text(extracted_at: str | None, endpoint: str | None, database: str |
     """Comment header of an exported file; empty when no extraction time is given."""
     if extracted_at is None:
         return ""
+    # The lines of the exported files' header.
     return (f"-- Extracted on {extracted_at}\n"
             f"-- Source endpoint: {endpoint}\n"
             f"-- Source database: {database}\n")
@@ -49,14 +51,25 @@ def _qi_sql(x: str) -> str:
 def column_line_sql(c: str) -> str:
     """SQL text of ``    [name] TYPE[ DEFAULT x] NULL|NOT NULL`` for a struct
     ``c``; any non-empty default is rendered, stripped."""
-    typ = format_data_type_sql(*(f"{c}.{f}" for f in (
-        "data_type", "character_maximum_length", "numeric_precision", "numeric_scale", "datetime_precision")))
+    typ = _type_sql(c)
     strip = f"regexp_replace({c}.column_default, r'^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+$', '')"
     default = f"if(coalesce({c}.column_default, '') = '', '', concat(' DEFAULT ', {strip}))"
     null = f"if({c}.is_nullable, 'NULL', 'NOT NULL')"
     return f"rtrim(concat('    ', {_qi_sql(c + '.column_name')}, ' ', {typ}, {default}, ' ', {null}))"
 
 
+def columns_digest_sql(structs: Sequence[str]) -> str:
+    """SQL text of the digest of the columns' names and types, apart from their
+    order, nullability and defaults: equal digests mean no column difference."""
+    pairs = ", ".join(f"concat(sha2({c}.column_name, 256), upper({_type_sql(c)}))" for c in structs)
+    return f"sha2(array_join(array_sort(array({pairs})), ';'), 256)"
+
+
+def _type_sql(c: str) -> str:
+    return format_data_type_sql(*(f"{c}.{f}" for f in (
+        "data_type", "character_maximum_length", "numeric_precision", "numeric_scale", "datetime_precision")))
+
+
 def constraint_line_sql(k: str) -> str:
     """SQL text of ``    CONSTRAINT [name] TYPE ([c1], [c2])`` for a struct ``k``."""
     cols = f"array_join(transform({k}.columns, x -> {_qi_sql('x')}), ', ')"
@@ -97,12 +110,13 @@ def render_table_text(tables: DataFrame, header: str = "") -> DataFrame:
 
 
 def render_rows(df: DataFrame, schema_name: Column, table_name: Column, columns: Sequence[Column],
-                constraints: Sequence[Column] = (), header: str = "") -> DataFrame:
+                constraints: Sequence[Column] = (), header: str = "", digest: str | None = None) -> DataFrame:
     """Text form for tables whose column and constraint lists are fixed
     expressions of the row, given already in definition order (ordinal;
     PRIMARY KEY before the rest).  Same text as :func:`render_table_text`,
     but every line is a plain expression (no higher-order function over the
-    columns), built as SQL text in one projection."""
+    columns), built as SQL text in one projection.  ``digest`` names a column
+    for the digest of the table's columns (:func:`columns_digest_sql`)."""
     staged = df.select(schema_name.alias("schema_name"), table_name.alias("table_name"),
                        F.lit(header).alias("_header"),
                        *[c.alias(f"_c{i}") for i, c in enumerate(columns)],
@@ -113,8 +127,9 @@ def render_rows(df: DataFrame, schema_name: Column, table_name: Column, columns:
     # newlines as char(10): independent of the session's string-escape setting
     definition = (f"concat(_header, {create}, char(10), concat_ws(concat(',', char(10)), {', '.join(lines)}), "
                   f"char(10), ');', char(10)) AS definition")
+    more = [f"{columns_digest_sql([f'_c{i}' for i in range(len(columns))])} AS `{digest}`"] if digest else []
     return staged.selectExpr("schema_name", "table_name",
-                             "concat(schema_name, '.', table_name) AS qualified_name", definition)
+                             "concat(schema_name, '.', table_name) AS qualified_name", definition, *more)
 
 
 def collect_table_arrays(columns: DataFrame, constraints: DataFrame | None = None) -> DataFrame:
@@ -179,6 +194,23 @@ def definition_lines(columns: DataFrame, constraints: DataFrame | None = None,
     return out
 
 
+def write_definitions(lines: DataFrame, folder: str) -> None:
+    """Write every table of ``lines`` (from :func:`definition_lines`) as one text
+    file, ``folder/schema_name=<schema>/table_name=<table>/``.
+
+    A table's lines meet in one task, are sorted there (on disk, if need be) and
+    written as they come, so no row holds a table, however many columns it has."""
+    items = F.col("section").isin(SECTION_COLUMN, SECTION_CONSTRAINT)
+    order = ["section", "position", "sort_key"]
+    last = lines.filter(items).groupBy("schema_name", "table_name").agg(F.max(F.struct(*order)).alias("last"))
+    ended = lines.join(last, ["schema_name", "table_name"], "left").select(
+        "schema_name", "table_name", *order,
+        F.when(items & (F.struct(*order) < F.col("last")), F.concat("line", F.lit(","))).otherwise(F.col("line")).alias("value"))
+    (ended.repartition("schema_name", "table_name").sortWithinPartitions("schema_name", "table_name", *order)
+     .select("value", "schema_name", "table_name")
+     .write.mode("overwrite").partitionBy("schema_name", "table_name").text(folder))
+
+
 # --------------------------------------------------------------------------
 # Parse definitions back into columns (line-based)
 # --------------------------------------------------------------------------
@@ -186,8 +218,19 @@ def definition_lines(columns: DataFrame, constraints: DataFrame | None = None,
 _NAME = r"\[(?:[^\]]++|\]\])++\]"  # ]] stands for a bracket
 # The exported text: CREATE TABLE [schema].[table] ( items );
 _TABLE = rf"(?is)CREATE\s+TABLE\s+(?:{_NAME}\s*\.\s*)?{_NAME}\s*\((.*)\)\s*;?\s*$"
-# An item ends at a comma that a column's or a constraint's head follows.
-_NEXT_ITEM = rf"(?i),\s*(?={_NAME}\s|CONSTRAINT\s+\[)"
+# What commas do not split: quoted text ('' stands for a quote), a bracketed name, and parentheses, which
+# hold such parts and further parentheses down to NESTING levels.
+_QUOTED = r"'(?:[^']++|'')*+'"
+NESTING = 8
+
+
+def _parenthesized(levels: int) -> str:
+    inner = rf"[^()'\[\]]++|{_QUOTED}|{_NAME}"
+    return rf"\((?:{inner}{'|' + _parenthesized(levels - 1) if levels > 1 else ''})*+\)"
+
+
+_ITEM = rf"(?:[^,'()\[\]]++|{_QUOTED}|{_NAME}|{_parenthesized(NESTING)})++"
+_PAIRED = rf"^(?:{_ITEM}|,)*+\z"
 # The exported line: [name] TYPE [DEFAULT value] [NULL or NOT NULL].
 _COLUMN = (r"(?is)^\s*\[((?:[^\]]++|\]\])++)\]\s+"
            r"((\S+(?:\s+(?!DEFAULT\s|NOT\s+NULL|NULL\b)[^\s,]+)*)(?:\s+DEFAULT\s.+?)?(?:\s+(?:NOT\s+)?NULL)?)[\s,]*$")
@@ -198,19 +241,20 @@ def parse_definition_columns(definitions: DataFrame, text_col: str = "definition
     """Columns of exported ``CREATE TABLE`` texts: one row per column with
     its 1-based item position (constraint items count but are skipped).
 
-    Reads the exporter's own lines and is no SQL parser.  A text that is no such
-    table gives no row here and one in :func:`unparsed_definitions`.
+    Items are split at commas outside quotes, brackets and parentheses.  Reads
+    the exporter's own layout and is no SQL parser.  A text that is no such
+    table, or whose quotes, brackets or parentheses do not pair up, gives no row
+    here and one in :func:`unparsed_definitions`.
     """
     body = F.regexp_extract(F.col(text_col), _TABLE, 1)
-    items = definitions.select(*key_cols, F.posexplode(F.split(body, _NEXT_ITEM)).alias("pos", "item"))
-    # one match an item gives its three parts; an item that is no column stays whole
-    parts = F.split(F.regexp_replace("item", _COLUMN, "$1\u0001$2\u0001$3"), "\u0001")
-    return items.withColumn("parts", parts).filter(F.size("parts") == 3).select(
+    items = definitions.select(*key_cols, body.alias("body")).filter(F.col("body").rlike(_PAIRED)).select(
+        *key_cols, F.posexplode(F.regexp_extract_all("body", F.lit(_ITEM), F.lit(0))).alias("pos", "item"))
+    return items.withColumn("column_name", F.regexp_extract("item", _COLUMN, 1)).filter("column_name <> ''").select(
         *key_cols,
-        F.replace(F.col("parts")[0], F.lit("]]"), F.lit("]")).alias("column_name"),
+        F.replace(F.col("column_name"), F.lit("]]"), F.lit("]")).alias("column_name"),
         (F.col("pos") + 1).cast("int").alias("ordinal"),
-        F.col("parts")[2].alias("type_sql"),
-        F.col("parts")[1].alias("column_definition"),
+        F.regexp_extract("item", _COLUMN, 3).alias("type_sql"),
+        F.regexp_extract("item", _COLUMN, 2).alias("column_definition"),
     )
 
 
@@ -219,7 +263,9 @@ def unparsed_definitions(definitions: DataFrame, text_col: str = "definition",
     """Table definitions that cannot be read back, with the reason."""
     text = F.col(text_col)
     reason = (F.when(text.isNull() | ~text.rlike(r"(?i)CREATE\s+TABLE"), F.lit("no CREATE TABLE"))
-              .when(~text.rlike(_TABLE), F.lit("no list of columns after the table name")))
+              .when(~text.rlike(_TABLE), F.lit("no list of columns after the table name"))
+              .when(~F.regexp_extract(text, _TABLE, 1).rlike(_PAIRED),
+                    F.lit("quotes, brackets or parentheses without their pair")))
     return definitions.select(*key_cols, reason.alias("error")).filter(F.col("error").isNotNull())
 
 
@@ -227,27 +273,29 @@ def unparsed_definitions(definitions: DataFrame, text_col: str = "definition",
 # Modules (views, procedures)
 # --------------------------------------------------------------------------
 
+# What a body without a verb of its own gets before and after its name, by kind of object.
+MODULE_HEADS = {"V": ("CREATE VIEW ", " AS\n"), "P": ("CREATE PROCEDURE ", "\nAS\n"), "PC": ("CREATE PROCEDURE ", "\nAS\n")}
+EMPTY_TEXT = "empty_text"
+# The verb of a text that can be run as it is, or once more.
+_VERB = r"(?i)^(?:(ALTER)\s+(?:VIEW|PROC|PROCEDURE)\b|(CREATE)\s)"
+
+
 def normalize_module(modules: DataFrame) -> DataFrame:
-    """Make module text re-runnable: leading ``ALTER VIEW`` / ``ALTER PROC``
-    becomes ``CREATE OR ALTER``; ``CREATE ...`` stays; bare bodies get a
-    ``CREATE VIEW`` / ``CREATE PROCEDURE`` head.  Empty texts are kept with
-    ``error`` set instead of being exported."""
-    d = strip_surrounding_whitespace(F.col("definition"))
-    qn = F.concat(quote_identifier(F.col("schema_name")), F.lit("."), quote_identifier(F.col("object_name")))
-    t = F.col("object_type")
-    text = (F.when(d.rlike(r"(?i)^ALTER\s+VIEW\b") | d.rlike(r"(?i)^ALTER\s+PROC(EDURE)?\b"),
-                   F.regexp_replace(d, r"(?i)^ALTER", "CREATE OR ALTER"))
-            .when(d.rlike(r"(?i)^CREATE\s"), d)
-            .when(t == F.lit("V"), F.concat(F.lit("CREATE VIEW "), qn, F.lit(" AS\n"), d))
-            .when(t.isin("P", "PC"), F.concat(F.lit("CREATE PROCEDURE "), qn, F.lit("\nAS\n"), d))
-            .otherwise(d))
-    empty = d == F.lit("")
-    return modules.select(
-        "schema_name", "object_name", "object_type",
-        F.when(empty, F.lit(None)).otherwise(text).alias("definition"),
-        F.when(empty, F.concat(F.lit("Definition for "), F.col("schema_name"), F.lit("."),
-                               F.col("object_name"), F.lit(" is empty")))
-        .alias("error"))
+    """Make module text re-runnable: the verb of an ``ALTER`` of a view or
+    procedure becomes ``CREATE OR ALTER``, a ``CREATE`` stays, and a bare body
+    gets the head of its kind (``MODULE_HEADS``; other kinds have none).  A text
+    of white space has no definition and the ``error`` code ``empty_text``."""
+    name = F.concat(quote_identifier(F.col("schema_name")), F.lit("."), quote_identifier(F.col("object_name")))
+    before, after = (F.create_map(*[F.lit(x) for kind, head in MODULE_HEADS.items() for x in (kind, head[i])])[
+        F.col("object_type")] for i in (0, 1))
+    text = F.col("_text")
+    read = modules.withColumn("_text", strip_surrounding_whitespace(F.col("definition")))
+    again, as_is = (F.regexp_extract(text, _VERB, group) != "" for group in (1, 2))
+    whole = (F.when(again, F.concat(F.lit("CREATE OR ALTER"), F.substr(text, F.lit(len("ALTER") + 1))))
+             .when(as_is | before.isNull(), text)
+             .otherwise(F.concat(before, name, after, text)))
+    return read.select("schema_name", "object_name", "object_type", F.when(text != "", whole).alias("definition"),
+                       F.when(text == "", F.lit(EMPTY_TEXT)).alias("error"))
 
 
 # --------------------------------------------------------------------------
@@ -286,6 +334,19 @@ def manifest_counts(arts: DataFrame) -> DataFrame:
     return arts.groupBy("object_type").agg(F.count(F.lit(1)).cast("bigint").alias("object_count"))
 
 
+def names_in_order(arts: DataFrame) -> DataFrame:
+    """The names of each object type in order: ``object_type, qualified_name,
+    position`` (from 1 within the type) and the type's ``object_count``.
+
+    One order over all artifacts gives the places (see
+    :mod:`tidemark.operators.ordering`); a type's list is never gathered."""
+    listed = numbered_in_order(arts.select("object_type", "qualified_name"), ["object_type", "qualified_name"], "place")
+    types = listed.groupBy("object_type").agg(F.min("place").alias("first"),
+                                              F.count(F.lit(1)).cast("bigint").alias("object_count"))
+    return listed.join(types, "object_type").select(
+        "object_type", "qualified_name", (F.col("place") - F.col("first") + 1).alias("position"), "object_count")
+
+
 def manifest_files(arts: DataFrame) -> DataFrame:
     """The manifest's file map in long form: path -> (type, name, sha256)."""
     return arts.select("relative_path", "object_type", "qualified_name", "sha256")

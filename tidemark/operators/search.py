@@ -58,6 +58,66 @@ def strict_presence(history: DataFrame, needles: Sequence[str],
     return presence_modes(history, needles, id_col, status_col).select("needle", F.col("strict_found").alias("found"))
 
 
+#: Characters of the pieces by which long labels find the rows that may have them.
+GRAM = 8
+
+
+def labels_in_rows(rows: DataFrame, labels: DataFrame, text: Column | None = None) -> DataFrame:
+    """``needle`` of the labels (``labels`` has a ``needle`` column) that some
+    row's all-column text contains, letter case aside.
+
+    An index of the rows' pieces answers it, not every label on every row: each
+    row gives the distinct pieces of its text, of up to ``GRAM`` characters and of
+    the lengths that occur among the labels.  A label of one piece is found by an
+    equi join.  A longer one is looked for only in the rows that have its rarest
+    piece, and there the text decides."""
+    wanted = labels.filter("needle IS NOT NULL").select("needle", F.lower("needle").alias("low")).distinct()
+    sizes = [r.n for r in wanted.select(F.least(F.length("low"), F.lit(GRAM)).alias("n")).distinct().collect()]  # GRAM + 1 at most
+    texts = rows.select((search_text(rows) if text is None else text).alias("text")).distinct() \
+        .withColumn("row", F.sha2("text", 256))
+    pieces = "flatten(array(" + ", ".join(
+        f"CASE WHEN length(text) >= {n} THEN transform(sequence(1, length(text) - {n} + 1), i -> substring(text, i, {n})) "
+        "ELSE cast(array() AS array<string>) END" for n in sorted(sizes)) + "))"
+    empty = texts.limit(0).select("row", F.lit("").alias("piece"))
+    index = texts.select("row", F.explode(F.expr(f"array_distinct({pieces})")).alias("piece")) if sizes else empty
+    held = index.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
+    short = wanted.filter(F.length("low") <= GRAM).join(held, F.col("low") == F.col("piece"), "left_semi").select("needle")
+    long = wanted.filter(F.length("low") > GRAM)
+    own = long.select("needle", "low", F.explode(F.expr(
+        f"array_distinct(transform(sequence(1, length(low) - {GRAM} + 1), i -> substring(low, i, {GRAM})))")).alias("piece"))
+    # a piece that no row has counts as none: the label is nowhere
+    rarest = (own.join(held, "piece", "left").groupBy("needle", "low")
+              .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "piece")).alias("best"))
+              .filter("best.n > 0").select("needle", "low", F.col("best.piece").alias("piece")))
+    pairs = rarest.join(index, "piece").select("needle", "low", "row")
+    found = pairs.join(texts, "row").filter(F.col("text").contains(F.col("low"))).select("needle")
+    return short.unionByName(found).distinct()
+
+
+def prefixes_in_ids(ids: DataFrame, labels: DataFrame, id_col: str) -> DataFrame:
+    """``needle`` of the labels that some id starts with: an equi join of the
+    labels to the ids' prefixes, as long as the longest label."""
+    wanted = labels.filter("needle IS NOT NULL").select("needle").distinct()
+    most = wanted.agg(F.max(F.length("needle"))).first()[0] or 0
+    text = F.col(id_col).cast("string")
+    starts = ids.filter(text.isNotNull()).select(text.alias("id")).distinct().select(F.explode(F.expr(
+        f"transform(sequence(0, least(length(id), {most})), n -> substring(id, 1, n))")).alias("needle"))
+    return wanted.join(starts.distinct(), "needle", "left_semi")
+
+
+def label_presence(history: DataFrame, labels: DataFrame, id_col: str = "migration_id",
+                   status_col: str = "status") -> DataFrame:
+    """:func:`presence_modes` for labels that are a table (``needle``) of any
+    length: ``needle, loose_found, strict_found`` for each of them."""
+    wanted = labels.filter("needle IS NOT NULL").select("needle").distinct()
+    loose = labels_in_rows(history, wanted).withColumn("_loose", F.lit(True))
+    done = history.filter(F.col(status_col) == F.lit("success"))
+    strict = prefixes_in_ids(done, wanted, id_col).withColumn("_strict", F.lit(True))
+    return wanted.join(loose, "needle", "left").join(strict, "needle", "left").select(
+        "needle", F.coalesce("_loose", F.lit(False)).alias("loose_found"),
+        F.coalesce("_strict", F.lit(False)).alias("strict_found"))
+
+
 def kind_counts(items: DataFrame, kind_col: str, expected: Sequence[str]) -> DataFrame:
     """Count of items per expected kind, zero when none (unexpected kinds are
     not reported).  Items are aggregated first (partial aggregation), then the

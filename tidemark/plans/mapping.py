@@ -15,8 +15,8 @@ the tables it comes from.
   column type decided by the role; the live side drops system turns, widens
   long user turns, relaxes nullability of long assistant turns, adds a note
   column after short user turns and adds one table per benchmark item.
-* migration scripts  - one script per document, file name from a version
-  (below 1,000), the source and the language; see ``script_content``.
+* migration scripts  - one script per document, file name from a version, the
+  source and the language; see ``script_content``.
 * migration history  - one run per labelled document, ``success`` when the
   label says quality 1.
 * catalog            - one table per order whose columns are the order's own
@@ -36,8 +36,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 # Fixed parameters of the derived history and run.
-APPLIED_AT = _dt.datetime(2026, 3, 12, 8, 0, 0)
-APPLIED_AT_SQL = "TIMESTAMP '2026-03-12 08:00:00'"
+APPLIED_AT = _dt.datetime(2031, 5, 6, 7, 8, 9)
 RUN_BY = "tidemark"
 
 
@@ -164,14 +163,17 @@ def live_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Migration scripts and history
 # --------------------------------------------------------------------------
 
-def script_name() -> Column:
-    """File name of the script a document stands for.  Versions stay below
-    1,000 at any size and leave gaps: a first one of 1 to 5, then one of every
-    three numbers; some scripts have version 0 and some one beyond a bigint."""
-    n = F.floor(F.col("doc_id") / 2) % 300 * 3 + 6 + F.col("n_chars") % 2
+def script_name(numbers: int | None = None) -> Column:
+    """File name of the script a document stands for.  Versions grow with the
+    documents and leave gaps: a first one of 1 to 5, then one of every three
+    numbers; some scripts have version 0 and some one beyond a bigint.
+    ``numbers`` keeps versions below that many steps, for rules that take names
+    of three digits only."""
+    step = F.floor(F.col("doc_id") / 2)
+    n = (step if numbers is None else step % numbers) * 3 + 6 + F.col("n_chars") % 2
     version = (F.when(F.col("n_chars") % 29 == 0, F.lit("000"))
                .when(F.col("n_chars") % 31 == 0, F.lit("99999999999999999999"))
-               .otherwise(F.format_string("%03d", n.cast("int"))))
+               .otherwise(F.format_string("%03d", n.cast("bigint"))))
     lang = F.col("lang")
     stem = F.concat(F.lit("v"), version, F.lit("_"), F.col("source"))
     name = (F.when(lang == "en", F.concat(stem, F.lit(".sql")))
@@ -193,10 +195,10 @@ def script_content() -> Column:
             .otherwise(text))
 
 
-def script_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+def script_files(spark: SparkSession, sf_dir: str, numbers: int | None = None) -> DataFrame:
     """``(doc_id, file_name, content, n_chars)`` - the script corpus."""
     return load_split(spark, sf_dir, "documents").select(
-        "doc_id", script_name().alias("file_name"), script_content().alias("content"), "n_chars", "source", "lang")
+        "doc_id", script_name(numbers).alias("file_name"), script_content().alias("content"), "n_chars", "source", "lang")
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,7 +256,7 @@ def _order_parts(spark: SparkSession, sf_dir: str, live: bool):
         col("o_orderkey", 1, "bigint", nullable=F.lit(False)),
         col("o_custkey", 2, "bigint", nullable=custkey_nullable),
         col("o_orderstatus", 3, "nchar", length=F.lit(1), nullable=F.lit(False),
-            default=F.concat(F.lit("('"), F.col("o_orderstatus"), F.lit("')"))),
+            default=F.concat(F.lit("('"), F.col("o_orderstatus"), F.lit(", [b] INT, CONSTRAINT [c] (it''s')"))),
         col("o_totalprice", 4, "decimal", precision=price_digits, scale=F.lit(2)),
         col("o_orderdate", 5, "datetime2", dtp=F.month("o_orderdate") % 8),
         col("o_orderpriority", 6, F.when(F.col("o_orderpriority").startswith("1"), F.lit("nvarchar"))
@@ -285,16 +287,14 @@ def order_tables(spark: SparkSession, sf_dir: str, live: bool = False) -> DataFr
 
 
 def order_table_texts(spark: SparkSession, sf_dir: str, live: bool = False,
-                      only: DataFrame | None = None) -> DataFrame:
-    """The rendered definition of every per-order table, or of those whose
-    qualified name is in ``only`` (``name``).  The column and constraint lists
-    are fixed per row, so the lines are plain expressions (``render_rows``);
-    same text as rendering :func:`order_tables`."""
+                      digest: str | None = None) -> DataFrame:
+    """The rendered definition of every per-order table, with the ``digest`` of
+    its columns if a name for it is given.  The column and constraint lists are
+    fixed per row, so the lines are plain expressions (``render_rows``); same
+    text as rendering :func:`order_tables`."""
     from tidemark.operators.render import render_rows
     o, schema, table, columns, constraints = _order_parts(spark, sf_dir, live)
-    if only is not None:
-        o = o.withColumn("name", F.concat(schema, F.lit("."), table)).join(only.select("name"), "name", "left_semi")
-    return render_rows(o, schema, table, columns, constraints)
+    return render_rows(o, schema, table, columns, constraints, digest=digest)
 
 
 def modules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,18 +13,16 @@ from __future__ import annotations
 # listed categories of the queries.
 WS = (r"[\t\n\x{0B}\f\r \x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
       r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
-APPLIED_AT_SQL = "TIMESTAMP '2026-03-12 08:00:00'"
+APPLIED_AT_SQL = "TIMESTAMP '2031-05-06 07:08:09'"
 RUN_BY = "tidemark"
 LISTED_CATEGORIES = ("de", "en", "tables", "procedures")
 SEARCHED_LABELS = ("v001", "v002", "v010", "v100", "v250", "v999", "v4999", "src1")
 IGNORED = ("src1?.doc*", "fr:*", "es/src3.doc1*.sql", "[!e]*:src5.*", "views:page1?")
 
 # Drift details.
-DETAIL_ADDED = "Present in the compared snapshot only."
-DETAIL_REMOVED = "Present in the baseline snapshot only."
-DETAIL_SAME = "Normalized definition matches."
-DETAIL_CHANGED = "Normalized definition changed."
-DETAIL_NO_COLUMN = "Normalized definition changed.; No column differs."
+DETAIL_ADDED, DETAIL_REMOVED = "only_compared", "only_baseline"
+DETAIL_SAME, DETAIL_CHANGED, DETAIL_NO_COLUMN = "same_text", "changed_text", "changed_text; same_columns"
+
 
 def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
@@ -199,6 +197,35 @@ def _ignore_sql() -> str:
   UNION ALL SELECT category, name FROM ({LIVE_OBJ}) WHERE {cond})"""
 
 
+def _ignore_table_sql() -> str:
+    cands = ["lower(name)", "lower(category || ':' || name)", "lower(replace(coalesce(relative_path, ''), '\\', '/'))"]
+    cond = " OR ".join(f"({c} GLOB g.pattern)" for c in cands)
+    singular = "(category = 'views' AND 'view:' || lower(name) GLOB g.pattern)"
+    return f"""
+WITH o AS (SELECT DISTINCT category, name, relative_path FROM (
+             SELECT category, name, relative_path FROM ({BASE_OBJ}) UNION ALL SELECT category, name, relative_path FROM ({LIVE_OBJ}))),
+g AS (SELECT DISTINCT lower(CASE n_chars % 4 WHEN 0 THEN {DOC_NAME} || '?' WHEN 1 THEN lang || '/' || {DOC_NAME} || '.*'
+             WHEN 2 THEN '*:' || {DOC_NAME} ELSE 'views:page' || CAST(doc_id AS VARCHAR) || '[0-4]' END) AS pattern FROM documents)
+SELECT DISTINCT category, name FROM o JOIN g ON {cond} OR {singular}"""
+
+
+CATALOG_FROM_VIEWS = """
+WITH t AS (SELECT CASE WHEN o_orderpriority LIKE '5%' THEN 'sys' ELSE lower(o_orderpriority) END AS schema_name,
+                  'order' || CAST(o_orderkey AS VARCHAR) AS object_name, o_orderkey, o_custkey,
+                  CASE WHEN o_orderstatus = 'P' THEN 'VIEW' ELSE 'BASE TABLE' END AS table_type
+           FROM orders WHERE o_orderpriority NOT LIKE '4%' AND o_orderpriority NOT LIKE '5%'),
+c AS (SELECT l_orderkey AS o_orderkey, count(*) AS columns, count(*) FILTER (l_linestatus <> 'O') AS not_null,
+             count(*) FILTER (l_linenumber <= 2) AS key_columns FROM lineitem GROUP BY l_orderkey),
+m AS (SELECT o_orderkey, c_name AS text FROM t JOIN customer ON c_custkey = o_custkey
+      WHERE table_type = 'VIEW' AND o_custkey % 2 = 0)
+SELECT schema_name, object_name, table_type,
+  CASE WHEN table_type = 'VIEW' THEN 0 ELSE coalesce(columns, 0) END AS columns,
+  CASE WHEN table_type = 'VIEW' THEN 0 ELSE coalesce(not_null, 0) END AS not_null,
+  CASE WHEN table_type = 'VIEW' THEN 0 ELSE coalesce(key_columns, 0) END AS key_columns, text,
+  CASE WHEN table_type = 'VIEW' AND m.o_orderkey IS NULL THEN 'view without text'
+       WHEN table_type <> 'VIEW' AND c.o_orderkey IS NULL THEN 'table without columns' END AS error
+FROM t LEFT JOIN c USING (o_orderkey) LEFT JOIN m USING (o_orderkey)"""
+
 RAW_HASH_DIFF = f"""
 WITH l AS (SELECT category, name, sha256(definition) AS h FROM ({BASE_OBJ})),
 r AS (SELECT category, name, sha256(definition) AS h FROM ({LIVE_OBJ}))
@@ -236,6 +263,7 @@ BUNDLE_HASH = f"SELECT * FROM ({_tree(ARTIFACTS)}) UNION ALL SELECT * FROM ({_tr
 
 def _order_lines() -> str:
     """The six column lines and two constraint lines of an order's table."""
+    default = "'(''' || o_orderstatus || ', [b] INT, CONSTRAINT [c] (it''''s'')'"
     digits = "length(CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR)) + 2"
     prio_t = ("CASE WHEN o_orderpriority LIKE '1%' THEN 'NVARCHAR' ELSE 'VARCHAR' END || "
               "CASE WHEN o_orderpriority LIKE '5%' THEN '(MAX)' ELSE '(' || CAST(length(o_orderpriority) AS VARCHAR) || ')' END")
@@ -243,8 +271,8 @@ def _order_lines() -> str:
         "o_orderkey": ("1", "'BIGINT'", "'    [o_orderkey] BIGINT NOT NULL'", "'BIGINT NOT NULL'"),
         "o_custkey": ("2", "'BIGINT'", "'    [o_custkey] BIGINT NULL'", "'BIGINT NULL'"),
         "o_orderstatus": ("3", "'NCHAR(1)'",
-                          "'    [o_orderstatus] NCHAR(1) DEFAULT (''' || o_orderstatus || ''') NOT NULL'",
-                          "'NCHAR(1) DEFAULT (''' || o_orderstatus || ''') NOT NULL'"),
+                          f"'    [o_orderstatus] NCHAR(1) DEFAULT ' || {default} || ' NOT NULL'",
+                          f"'NCHAR(1) DEFAULT ' || {default} || ' NOT NULL'"),
         "o_totalprice": ("4", f"'DECIMAL(' || CAST({digits} AS VARCHAR) || ',2)'",
                          f"'    [o_totalprice] DECIMAL(' || CAST({digits} AS VARCHAR) || ',2) NULL'",
                          f"'DECIMAL(' || CAST({digits} AS VARCHAR) || ',2) NULL'"),
@@ -321,23 +349,40 @@ SELECT schema_name, object_name, object_type,
        WHEN object_type = 'V' THEN 'CREATE VIEW ' || {qn} || ' AS' || chr(10) || d
        WHEN object_type IN ('P', 'PC') THEN 'CREATE PROCEDURE ' || {qn} || chr(10) || 'AS' || chr(10) || d
        ELSE d END AS definition,
-  CASE WHEN d = '' THEN 'Definition for ' || schema_name || '.' || object_name || ' is empty' END AS error
+  CASE WHEN d = '' THEN 'empty_text' END AS error
 FROM n"""
 
 
 RUNNER_RULE = r"^(v([0-9]+)_([A-Za-z0-9_\-]+))\.(sql|py)$"
-SCRIPT_NAME = """CASE WHEN n_chars < 200 THEN 'draft_' ELSE '' END || 'v' ||
+
+
+def _script_name(number: str) -> str:
+    return f"""CASE WHEN n_chars < 200 THEN 'draft_' ELSE '' END || 'v' ||
   CASE WHEN n_chars % 29 = 0 THEN '000' WHEN n_chars % 31 = 0 THEN '99999999999999999999'
-       ELSE printf('%03d', CAST((doc_id // 2) % 300 * 3 + 6 + n_chars % 2 AS INTEGER)) END || '_' || source ||
+       ELSE printf('%03d', CAST({number} * 3 + 6 + n_chars % 2 AS BIGINT)) END || '_' || source ||
   CASE lang WHEN 'en' THEN '.sql' WHEN 'de' THEN '_de.sql' WHEN 'fr' THEN '.py' ELSE '-ES.sql' END"""
+
+
 SCRIPT_TEXT = """CASE n_chars % 17 WHEN 3 THEN ' ' || chr(10) || chr(9)
   WHEN 5 THEN 'ALTER TABLE t ADD (a INT; ' || text
   WHEN 7 THEN 'CREATE TABLE t (a INT); DROP SCHEMA old; ' || text
   WHEN 9 THEN 'CREATE TABLE t (a INT) -- def run(x)' || chr(10) || text ELSE text END"""
-SCRIPTS = f"SELECT doc_id, {SCRIPT_NAME} AS file_name, {SCRIPT_TEXT} AS content, n_chars, source, lang FROM documents"
-PARSED = f"""SELECT * EXCLUDE (n), CASE WHEN n IS NOT NULL THEN regexp_extract(file_name, '{RUNNER_RULE}', 1) END AS migration_id,
+
+
+def _scripts(number: str) -> str:
+    return (f"SELECT doc_id, {_script_name(number)} AS file_name, {SCRIPT_TEXT} AS content, n_chars, source, lang "
+            "FROM documents")
+
+
+def _parsed(scripts: str) -> str:
+    return f"""SELECT * EXCLUDE (n), CASE WHEN n IS NOT NULL THEN regexp_extract(file_name, '{RUNNER_RULE}', 1) END AS migration_id,
   n AS version, regexp_extract(file_name, '(\\.[^.]*)$', 1) AS extension, n IS NOT NULL AS valid
-FROM (SELECT *, TRY_CAST(nullif(regexp_extract(file_name, '{RUNNER_RULE}', 2), '') AS BIGINT) AS n FROM ({SCRIPTS}))"""
+FROM (SELECT *, TRY_CAST(nullif(regexp_extract(file_name, '{RUNNER_RULE}', 2), '') AS BIGINT) AS n FROM ({scripts}))"""
+
+
+SCRIPTS = _scripts("(doc_id // 2)")
+LINT_SCRIPTS = _scripts("((doc_id // 2) % 300)")  # the validator's rule takes three digits
+PARSED = _parsed(SCRIPTS)
 HISTORY = f"""SELECT coalesce(f.migration_id, f.file_name) AS migration_id, f.file_name AS migration_name,
   {APPLIED_AT_SQL} AS applied_at, f.source AS applied_by,
   CASE WHEN f.file_name LIKE '%.py' THEN 'pyspark' ELSE 'sql' END AS migration_type,
@@ -348,6 +393,12 @@ DISCOVERED = f"SELECT *, 'sql' AS migration_type FROM ({PARSED}) WHERE file_name
 PENDING = f"""SELECT * FROM ({DISCOVERED}) d WHERE d.migration_id NOT IN
   (SELECT migration_id FROM ({HISTORY}) WHERE status = 'success' AND migration_id IS NOT NULL)"""
 
+OUTCOMES = f"""SELECT * FROM (
+SELECT migration_id, version, doc_id, CASE
+    WHEN bool_or(failed) OVER (ORDER BY version, migration_id, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 'pending'
+    WHEN failed THEN 'failed' ELSE 'success' END AS state
+FROM (SELECT *, NOT {executable('content')} AS failed FROM ({PENDING}))) s"""
+
 HISTORY_APPEND = f"""
 WITH h AS (SELECT * FROM ({HISTORY})
            UNION ALL
@@ -373,7 +424,7 @@ SELECT needle,
 FROM n"""
 
 
-# Lint keywords, entry points and messages.
+# Lint keywords, entry points and messages, as the tools that lint scripts word them.
 SQL_KEYWORDS = ("CREATE", "ALTER", "DROP", "INSERT", "UPDATE", "DELETE", "ADD", "COLUMN", "TABLE", "INDEX", "VIEW", "IF")
 ENTRY_POINTS = ("def upgrade(", "def run(")
 LINT = {
@@ -399,7 +450,7 @@ def _validator_lint_sql() -> str:
     req = f"(?i)(CREATE{sp}TABLE|ALTER{sp}TABLE)"
     forb = f"(?i)(DROP{sp}DATABASE|DROP{sp}SCHEMA)"
     return f"""
-WITH f AS (SELECT file_name, content FROM ({SCRIPTS})),
+WITH f AS (SELECT file_name, content FROM ({LINT_SCRIPTS})),
 named AS (SELECT file_name, CAST(regexp_extract(file_name, '{vrule}', 1) AS INTEGER) AS v,
                  regexp_extract(file_name, '{vrule}', 2) AS ext
           FROM f WHERE regexp_matches(file_name, '{vrule}')),
@@ -424,7 +475,7 @@ UNION ALL
 SELECT file_name, 'entry_point', 'WARNING', {q(LINT['entry'])} FROM f
   WHERE file_name LIKE '%.py' AND NOT {empty} AND NOT ({entry})
 UNION ALL
-SELECT file_name, 'naming_runner', 'WARNING', {q(LINT['naming_runner'])} FROM ({PARSED})
+SELECT file_name, 'naming_runner', 'WARNING', {q(LINT['naming_runner'])} FROM ({_parsed(LINT_SCRIPTS)})
   WHERE (file_name LIKE '%.sql' OR file_name LIKE '%.py') AND NOT valid
 UNION ALL
 SELECT file_name, 'naming_ci', 'ERROR', file_name || ' ' || {q(LINT['naming_ci'])} FROM f
@@ -714,9 +765,21 @@ FROM (SELECT 'document' AS kind, doc_id AS object_id, text AS body FROM document
         "drift_recommendations": DRIFT_RECOMMENDATIONS,
         "ignored_objects": _ignore_sql(),
         "raw_hash_diff": RAW_HASH_DIFF,
+        "tree_drift": RAW_HASH_DIFF,
+        "snapshot_roundtrip": f"SELECT object_type || 's' AS category, qualified_name AS name, relative_path, sha256 FROM ({ARTIFACTS})",
+        "history_outcomes": f"""WITH o AS ({OUTCOMES})
+SELECT migration_id, version, doc_id, state FROM o""",
+        "history_reruns": f"""WITH o AS ({OUTCOMES} WHERE state <> 'pending')
+SELECT 'run1' AS run_id, state AS status, count(*) AS runs FROM o GROUP BY state
+UNION ALL SELECT 'run2', 'success', count(*) FROM o HAVING count(*) > 0""",
         "artifact_manifest": f"SELECT relative_path, object_type, qualified_name, sha256 FROM ({ARTIFACTS})",
         "manifest_counts": f"SELECT object_type, CAST(count(*) AS BIGINT) AS object_count FROM ({ARTIFACTS}) GROUP BY object_type",
+        "migration_run_order": f"""SELECT migration_id, version, doc_id,
+  row_number() OVER (ORDER BY version, migration_id, doc_id) AS run_rank FROM ({PENDING})""",
+        "drift_report_order": f"""SELECT category, name, status,
+  row_number() OVER (ORDER BY category, status_rank, lower(name), name) AS report_rank FROM ({OBJECT_DRIFT})""",
         "names_per_type": f"""SELECT object_type, qualified_name,
+  row_number() OVER (PARTITION BY object_type ORDER BY qualified_name) AS position,
   CAST(count(*) OVER (PARTITION BY object_type) AS BIGINT) AS object_count FROM ({ARTIFACTS})""",
         "bundle_hash": BUNDLE_HASH,
         "render_definition": _render_sql(),
@@ -743,7 +806,7 @@ FROM ({KEYED_COLUMNS}) GROUP BY ALL""",
 SELECT r_name AS schema_name, n_name AS object_name,
   CASE n_nationkey % 3 WHEN 0 THEN 'V' ELSE 'P' END AS object_type, c_name AS definition
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-WHERE n_nationkey % 3 < 2 AND r_name <> 'MIDDLE EAST'""",
+WHERE n_nationkey % 3 < 2 AND r_name NOT IN ('MIDDLE EAST', 'ASIA')  -- ASIA stands for a schema without a name""",
         "attach_children": """
 SELECT l_orderkey AS o_orderkey, CAST(count(*) AS BIGINT) AS n_columns FROM lineitem
 WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P') GROUP BY l_orderkey""",
@@ -776,6 +839,20 @@ FROM o LEFT JOIN m ON o.name = m.name AND o.category = m.category""",
         "seed_missing": "SELECT doc_id, 1 AS quality, 0 AS toxic FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)",
         "text_search": f"SELECT {', '.join(SEARCH_COLS)} FROM ({HISTORY}) WHERE contains({SEARCH_TEXT}, 'v01')",
         "version_presence": _presence_sql(),
+        "label_presence": f"""
+WITH h AS (SELECT *, {SEARCH_TEXT} AS t FROM ({HISTORY})),
+l AS (SELECT DISTINCT unnest([printf('v%03d', doc_id), printf('v%03d', doc_id) || '_' || upper(source) || '-es']) AS needle
+      FROM documents),
+loose AS (SELECT DISTINCT needle FROM l JOIN h ON contains(h.t, lower(l.needle))),
+strict AS (SELECT DISTINCT needle FROM l JOIN h ON h.status = 'success' AND starts_with(h.migration_id, l.needle))
+SELECT needle, needle IN (SELECT needle FROM loose) AS loose_found, needle IN (SELECT needle FROM strict) AS strict_found
+FROM l""",
+        "ignored_by_table": _ignore_table_sql(),
+        "catalog_from_views": CATALOG_FROM_VIEWS,
+        "table_lifecycle": """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, NULL::VARCHAR AS c_phone, NULL::DOUBLE AS c_credit_limit FROM customer
+UNION ALL
+SELECT s_suppkey, s_name, NULL, s_acctbal, NULL, '+' || CAST(s_nationkey AS VARCHAR), NULL FROM supplier""",
         "expected_kind_counts": """
 SELECT k.kind, CAST(coalesce(c.n, 0) AS BIGINT) AS found
 FROM (VALUES ('click'), ('purchase'), ('view'), ('signup'), ('refund')) k(kind)

@@ -12,6 +12,8 @@ there; the per-object work (render, hash, write) runs on Spark.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +21,8 @@ from tidemark.functions.hashing import bundle_hash_tree
 from tidemark.operators import render
 from tidemark.plans.drift_report import drift_report
 from tidemark.sources.catalog import catalog_columns, catalog_keys, catalog_views
-from tidemark.sources.corpus import OBJECTS_SCHEMA, read_snapshot
+from tidemark.session import local_frame
+from tidemark.sources.corpus import OBJECTS_SCHEMA, PUBLISHED_SCHEMA, published_versions, read_snapshot
 
 
 def artifacts_of(spark: SparkSession, database: str | None = None, extracted_at: str | None = None,
@@ -54,23 +57,33 @@ def write(arts: DataFrame, export_dir: str, extracted_at: str | None = None, end
 
     Paths are compared before anything is written (letter case aside), and
     colliding ones raise.  The artifacts are planned once more for the export
-    itself; manifest and summary come from what was written.  A previous export
-    is replaced whole."""
+    itself; manifest and summary come from what was written.
+
+    Everything goes to a new folder under ``versions``, and only then one row in
+    ``published`` (one file, so it is there or not) makes that folder the
+    export's current one.  Readers follow the newest row: until it is written,
+    and if a step fails, they see the previous export whole.  Older versions
+    stay until their owner deletes them."""
     clash = (arts.groupBy(F.lower("relative_path").alias("path")).agg(F.count(F.lit(1)).alias("n"))
              .filter("n > 1").orderBy("path").limit(20).collect())
     if clash:
         raise CollidingPaths(", ".join(r.path for r in clash))
-    arts.select("relative_path", "object_type", "qualified_name", "sha256", "content").write.mode("overwrite") \
-        .parquet(f"{export_dir}/objects")
-    objects = arts.sparkSession.read.schema(OBJECTS_SCHEMA).parquet(f"{export_dir}/objects")
-    render.manifest_files(objects).write.mode("overwrite").json(f"{export_dir}/manifest")
+    spark = arts.sparkSession
+    version = uuid.uuid4().hex
+    staged = f"{export_dir}/versions/{version}"
+    arts.select("relative_path", "object_type", "qualified_name", "sha256", "content").write.parquet(f"{staged}/objects")
+    objects = spark.read.schema(OBJECTS_SCHEMA).parquet(f"{staged}/objects")
     bundles = bundle_hash_tree(objects, ["object_type"], content_col="sha256", content_is_digest=True, total="*")
     schema = F.regexp_extract("qualified_name", r"^([^.]*)\.", 1)
     schemas = objects.groupBy(F.lit("*").alias("object_type")).agg(F.count_distinct(schema).alias("schemas"))
     bundles.join(schemas, "object_type", "left").select(
         "object_type", "artifact_count", "bundle_sha256", "schemas", F.lit(extracted_at).alias("extraction_timestamp"),
         F.lit(endpoint).alias("endpoint"), F.lit(auth_method).alias("auth_method"), F.lit(database).alias("database"),
-    ).write.mode("overwrite").json(f"{export_dir}/summary")
+    ).write.json(f"{staged}/summary")
+    render.manifest_files(objects).write.json(f"{staged}/manifest")  # after all that it describes
+    last = max((p.sequence for p in published_versions(spark, export_dir)), default=0)
+    local_frame(spark, [(last + 1, version)], PUBLISHED_SCHEMA).coalesce(1).write.mode("append") \
+        .json(f"{export_dir}/published")
 
 
 def compare(spark: SparkSession, left_dir: str, right_dir: str, ignore=None) -> dict[str, DataFrame]:

@@ -12,7 +12,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Session settings every entry point applies.  AQE is what turns a sort-merge
 # join against a small aggregated side into a broadcast join *after* measuring
@@ -77,6 +80,11 @@ def scratch_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder's path in the shared folder."""
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
@@ -84,7 +92,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     is the same at every reading.  The folder is scratch space of the job and
     is emptied with it."""
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -99,22 +107,12 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _literal(value, type_name: str) -> str:
-    if value is None:
-        return f"CAST(NULL AS {type_name})"
-    # bytes as hexadecimal digits need no escaping in any session
-    return f"CAST(CAST(X'{str(value).encode().hex()}' AS STRING) AS {type_name})"
-
-
 def local_frame(spark: SparkSession, rows: list, schema: str) -> DataFrame:
     """A driver-side list (a contract, catalog metadata, parameters) as a
     DataFrame that Catalyst sees as a local relation of known size, so Spark's
     own broadcast threshold decides how joins against it run."""
-    from pyspark.sql import types as T
-    fields = [(f.name, f.dataType.simpleString()) for f in T._parse_datatype_string(schema).fields]
-    cols = ", ".join(f"`{name}`" for name, _ in fields)
-    if not rows:
-        nulls = ", ".join(f"CAST(NULL AS {t}) AS `{n}`" for n, t in fields)
-        return spark.sql(f"SELECT {nulls} WHERE false")
-    values = ", ".join("(" + ", ".join(_literal(v, t) for v, (_, t) in zip(r, fields)) + ")" for r in rows)
-    return spark.sql(f"SELECT * FROM VALUES {values} AS t({cols})")
+    fields = T._parse_datatype_string(schema)
+    arrow = to_arrow_schema(fields)
+    columns = list(zip(*rows)) if rows else [[] for _ in fields]
+    table = pa.table([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
+    return spark.createDataFrame(table, schema=fields)

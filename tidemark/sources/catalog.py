@@ -11,11 +11,14 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.functions.text import spark_identifier
 from tidemark.functions.types import spark_type_name
+from tidemark.operators import assembly
 from tidemark.operators.assembly import user_schemas
 from tidemark.operators.migrations import NOT_NULL_PROPERTY
 from tidemark.session import local_frame
@@ -158,3 +161,40 @@ def schemata(spark: SparkSession) -> DataFrame:
     """Databases of the session catalog, without system ones."""
     names = local_frame(spark, [(d.name,) for d in spark.catalog.listDatabases()], "schema_name string")
     return user_schemas(names)
+
+
+@dataclass
+class CatalogViews:
+    """A catalog put together from its views: user tables and views, the columns
+    and keys of the tables, the texts of views and procedures, and what lacks
+    its parts (``schema_name, object_name, error``)."""
+
+    tables: DataFrame
+    columns: DataFrame
+    keys: DataFrame
+    modules: DataFrame
+    errors: DataFrame
+
+
+def from_views(schemata: DataFrame, tables: DataFrame, columns: DataFrame, constraints: DataFrame, usage: DataFrame,
+               modules: DataFrame, objects: DataFrame, schemas: DataFrame) -> CatalogViews:
+    """The catalog whose views are these DataFrames (read over JDBC, or from an
+    export): nothing of it passes through the driver.
+
+    ``schemata`` has ``schema_name``; ``tables`` ``schema_name, table_name,
+    table_type`` (``BASE TABLE`` or ``VIEW``); ``columns`` ``schema_name,
+    table_name`` and the attributes of a column with ``is_nullable`` as ``YES`` or
+    ``NO``; the others are as :func:`tidemark.operators.assembly.key_columns` and
+    ``module_texts`` take them.  System schemas, schemas that ``schemata`` does not
+    have, and parts of unknown tables are left out."""
+    known = user_schemas(schemata).select("schema_name").distinct()
+    mine = user_schemas(tables).join(known, "schema_name", "left_semi")
+    base = assembly.of_kinds(mine, "table_type", ("BASE TABLE",))
+    views = assembly.of_kinds(mine, "table_type", ("VIEW",))
+    at = ["schema_name", "table_name"]
+    typed = assembly.children_of(columns, base, at).withColumn("is_nullable", F.col("is_nullable") == F.lit("YES"))
+    keys = assembly.children_of(assembly.key_columns(constraints, usage), base, at)
+    texts = assembly.module_texts(modules, objects, schemas)
+    lone = assembly.tables_without_columns(base, typed).withColumnRenamed("table_name", "object_name")
+    blank = assembly.views_without_text(views.withColumnRenamed("table_name", "object_name"), texts)
+    return CatalogViews(mine, typed, keys, texts, lone.unionByName(blank))

@@ -8,7 +8,7 @@ on the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import export_path
@@ -31,6 +31,7 @@ MANIFEST_SCHEMA = ("extraction_timestamp string, endpoint string, auth_method st
                    "sha256: string>>, ddl_sha256 string")
 FILES_SCHEMA = "relative_path string, object_type string, qualified_name string, sha256 string"
 OBJECTS_SCHEMA = FILES_SCHEMA + ", content string"
+PUBLISHED_SCHEMA = "sequence bigint, version string"
 
 
 class IncompleteSnapshot(Exception):
@@ -41,8 +42,8 @@ def read_snapshot(spark: SparkSession, export_dir: str, check: bool = True) -> t
     """``(manifest files, objects)`` of an exported snapshot folder.
 
     Two layouts: the one :func:`tidemark.plans.snapshot.write` makes (tables
-    ``objects`` and ``manifest``), and a plain one (``manifest.json`` with a
-    file map, and a ``.sql`` file per object).  Objects are ``(category, name,
+    ``objects`` and ``manifest`` in the version published last), and a plain one
+    (``manifest.json`` with a file map, and a ``.sql`` file per object).  Objects are ``(category, name,
     relative_path, definition, sha256)``; names and types are the manifest's,
     never the file's.  With ``check`` (an action) a listed object that is not
     there raises :class:`IncompleteSnapshot`; files that the manifest does not
@@ -59,8 +60,9 @@ def read_snapshot(spark: SparkSession, export_dir: str, check: bool = True) -> t
         texts = scripts.select(F.regexp_extract(path, r"([^/]+/[^/]+)$", 1).alias("relative_path"),
                                F.col("value").alias("content"))
     else:
-        files = spark.read.schema(FILES_SCHEMA).json(f"{export_dir}/manifest")
-        texts = (spark.read.schema(OBJECTS_SCHEMA).parquet(f"{export_dir}/objects")
+        folder = current_export(spark, export_dir)
+        files = spark.read.schema(FILES_SCHEMA).json(f"{folder}/manifest")
+        texts = (spark.read.schema(OBJECTS_SCHEMA).parquet(f"{folder}/objects")
                  .select("relative_path", "content"))
     if check:
         lost = files.join(texts.select("relative_path"), "relative_path", "left_anti")
@@ -73,6 +75,21 @@ def read_snapshot(spark: SparkSession, export_dir: str, check: bool = True) -> t
     return files, objs
 
 
+def published_versions(spark: SparkSession, export_dir: str) -> list[Row]:
+    """``(sequence, version)`` of every published export, a row per publishing."""
+    if not _exists(spark, f"{export_dir}/published"):
+        return []
+    return spark.read.schema(PUBLISHED_SCHEMA).json(f"{export_dir}/published").collect()
+
+
+def current_export(spark: SparkSession, export_dir: str) -> str:
+    """The folder of the version published last."""
+    current = max(published_versions(spark, export_dir), default=None)
+    if current is None:
+        raise IncompleteSnapshot(f"{export_dir}: nothing was published")
+    return f"{export_dir}/versions/{current.version}"
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
