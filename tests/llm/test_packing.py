@@ -3,7 +3,7 @@ import random
 import numpy as np
 import public_tokenizers
 import pytest
-from helpers import awkward, docs, prose
+from helpers import awkward, docs, frame, prose
 
 from tidemark.llm import packing
 from tidemark.llm.tokens import Encoder
@@ -98,6 +98,16 @@ def test_digest_keeps_the_ids(spark):
     assert all(r.ids_crc32 == zlib.crc32(bytes(r.ids)) for r in rows)
 
 
+def test_copies_of_a_document_can_be_told_apart(spark):
+    rows = packing.pack(frame(spark, [(5, "w " * 300, "en", "s", 600)] * 4), PATH, 64, 1).collect()
+    by_row = {}
+    for r in rows:
+        by_row.setdefault(r.row, []).append(r)
+    assert len(by_row) == 4
+    for mine in by_row.values():
+        assert sorted(r.start for r in mine) == list(range(0, mine[0].doc_tokens, 64))
+
+
 def test_query_and_pipeline_pack_the_ids(spark):
     import zlib
 

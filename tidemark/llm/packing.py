@@ -89,9 +89,10 @@ def _wide(data: bytes, length: int) -> bytes:
 
 def token_pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int,
                  id_col: str = "doc_id", text_col: str = "text", narrow: bool = False) -> DataFrame:
-    """``doc_id, start, length, ids, doc_tokens``: documents cut at ``size``.
+    """``doc_id, start, length, ids, doc_tokens, row``: documents cut at ``size``.
 
-    ``ids`` has the piece's token ids as little-endian 32-bit numbers, with
+    ``row`` is one number for all pieces of a row of ``docs``, so copies of a
+    document can be told apart (another number in another run).  ``ids`` has the piece's token ids as little-endian 32-bit numbers, with
     ``narrow`` as 16-bit ones where all of a piece fit.  A null text is an empty
     one, whose only id is ``end_id``.
     """
@@ -104,18 +105,19 @@ def token_pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int,
             for at in range(0, batch.num_rows, 128):
                 part = batch.slice(at, 128)
                 rows = []
-                for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                for doc, text, row in zip(*(part.column(c).to_pylist() for c in range(3))):
                     ids = np.array([*encode(text or ""), end_id], "<u4")
                     for start in range(0, len(ids), size):
                         piece = ids[start:start + size]
-                        rows.append((doc, start, len(piece), _narrow(piece) if narrow else piece.tobytes(), len(ids)))
+                        rows.append((doc, start, len(piece), _narrow(piece) if narrow else piece.tobytes(), len(ids), row))
                 if rows:
-                    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
+                    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                                                     ["doc_id", "start", "length", "ids", "doc_tokens"])
+                                                     ["doc_id", "start", "length", "ids", "doc_tokens", "row"])
 
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return slim.mapInArrow(run, "doc_id long, start long, length long, ids binary, doc_tokens long")
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                       F.monotonically_increasing_id().alias("row"))
+    return slim.mapInArrow(run, "doc_id long, start long, length long, ids binary, doc_tokens long, row long")
 
 
 def packed(pieces: DataFrame, size: int, order: list[str], narrow: bool = False) -> DataFrame:
@@ -158,5 +160,5 @@ def pack(docs: DataFrame, tokenizer: str, size: int, end_id: int, digest: bool =
     CRC-32 of the packed ``ids``.
     """
     pieces = written(token_pieces(docs, tokenizer, size, end_id, id_col, text_col, narrow=True), "pieces")
-    rows = packed(pieces, size, ["doc_id", "start", "doc_tokens", "ids"], narrow=True)
+    rows = packed(pieces, size, ["doc_id", "start", "row"], narrow=True)  # written, so a row keeps its number
     return rows.withColumn("ids_crc32", F.crc32("ids")) if digest else rows
