@@ -111,3 +111,15 @@ def test_nothing_to_learn_and_empty_table(spark):
     assert {r.verdict for r in urls.judged(rows, [("block", "com/de/")]).collect()} == {"block"}
     assert {r.verdict for r in urls.judged(rows, []).collect()} == {"allow"}
     assert urls.judged(rows.limit(0), URL_RULES).count() == 0
+
+
+def test_trees_agree_with_rules_they_do_not_see(spark):
+    """A fifth of the ruled URLs is hidden from the method; its verdicts are held against their rules."""
+    hidden = F.pmod(F.xxhash64("page_id"), F.lit(5)) == 0
+    rows = urls.judged(spark.read.parquet("/root/testdata/sf0.1/pages.parquet"), URL_RULES, hidden=hidden)
+    of_rule = {text: verdict for verdict, text in URL_RULES}
+    held = [(of_rule[r.rule], r.verdict) for r in rows.filter(hidden & F.col("rule").isNotNull()).collect()]
+    kinds = {k: [a == b for a, b in held if a == k] for k in ("allow", "block")}
+    assert all(len(v) > 20 for v in kinds.values())
+    for v in kinds.values():
+        assert sum(v) / len(v) > 0.9, {k: (sum(x), len(x)) for k, x in kinds.items()}

@@ -85,7 +85,7 @@ def _suffix(host: Column) -> Column:
 
 
 def judged(pages: DataFrame, rules: list[tuple[str, str]], sample: int = SAMPLE, seed: int = 7,
-           id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+           id_col: str = "page_id", url_col: str = "url", hidden: Column | None = None) -> DataFrame:
     """``page_id, host, path, rule, verdict`` (and ``score``, the trees' chance
     that a URL is to be blocked; null where a rule decides) for every row.
 
@@ -94,6 +94,10 @@ def judged(pages: DataFrame, rules: list[tuple[str, str]], sample: int = SAMPLE,
     learn: URLs without a rule get that kind, and ``allow`` if there is none.
     Null and empty URLs have empty features and are judged like others; an
     empty table gives no rows; other columns are not read.
+
+    ``hidden`` (a condition on ``page_id`` and ``rule``) names rows whose rule
+    the method does not see: it learns nothing from them and judges them itself,
+    so that its verdicts can be held against the rules'.
     """
     spark = pages.sparkSession
     base = pages.select(F.col(id_col).alias("page_id"), F.coalesce(F.col(url_col), F.lit("")).alias("__url"))
@@ -101,6 +105,8 @@ def judged(pages: DataFrame, rules: list[tuple[str, str]], sample: int = SAMPLE,
     base = base.withColumn("__host", host).withColumn("__path", path)
     rule, ruled = rule_of(F.col("__host"), F.col("__path"), rules)
     base = base.withColumn("rule", rule).withColumn("__ruled", ruled).withColumn("__suffix", _suffix(F.col("__host")))
+    if hidden is not None:
+        base = base.withColumn("__ruled", F.when(~F.coalesce(hidden, F.lit(False)), F.col("__ruled")))
     labelled = base.filter("__ruled is not null")
     block = F.sum((F.col("__ruled") == "block").cast("double"))
     stats = written(labelled.groupBy("__suffix").agg(block.alias("__blocks"), F.count(F.lit(1)).cast("double").alias("__all")), "suffixes")
