@@ -115,3 +115,20 @@ def test_identifiers_and_paths(spark):
     assert got[0][0] == "[dbo.we]]ird]"
     assert got[1][1] == "a_b__c_d_e_f_g_h_i"
     assert got[1][2] == "tables/a_b__c_d_e_f_g_h_i.sql"
+
+
+def test_globs_of_a_column_equal_globs_of_the_driver(spark):
+    import random
+
+    from tidemark.functions.text import glob_regexes, glob_to_regex
+    rnd = random.Random(2)
+    globs = ["".join(rnd.choice("ab[]!-*?.\\\\^$é&") for _ in range(rnd.randint(0, 8))) for _ in range(400)]
+    globs += ["[!]", "[]]", "[!]]", "[a-c-e]", "[z-a]", "[!z-a]", "[a-]", "[-a]", "[[]", "**?", "[", "a[b"]
+    texts = ["".join(rnd.choice("ab[]!-.\\\\^$é&cz") for _ in range(rnd.randint(0, 4))) for _ in range(150)]
+    rows = spark.createDataFrame([(g,) for g in dict.fromkeys(globs)], "glob string").select(
+        "glob", glob_regexes("glob").alias("regex")).collect()
+    names = spark.createDataFrame([(t,) for t in dict.fromkeys(texts)], "name string").coalesce(1).cache()
+    both = [(r.glob, r.regex, glob_to_regex(r.glob)) for r in rows]
+    pairs = spark.createDataFrame(both, "glob string, ours string, theirs string")
+    differ = names.crossJoin(pairs).filter("(name RLIKE ours) <> (name RLIKE theirs)").select("glob", "name", "ours", "theirs")
+    assert differ.limit(5).collect() == []

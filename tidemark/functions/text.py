@@ -2,8 +2,7 @@
 
 All of these are built-in Spark SQL expressions (regexp_replace, rlike,
 regexp_extract, upper, ...), so they run inside whole-stage codegen on the
-executors.  The one exception is :func:`glob_regexes`, which turns a table of
-globs into patterns.
+executors; nothing here is a UDF.
 """
 
 from __future__ import annotations
@@ -11,7 +10,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Sequence
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -175,11 +173,26 @@ def matches_any_glob(candidates: Sequence[Column], patterns: Sequence[str]) -> C
     return cond
 
 
-def glob_regexes(pattern: Column | str) -> Column:
-    """:func:`glob_to_regex` of a column: a helper for tables of globs, which are
-    far fewer than the names they are matched with."""
-    @F.pandas_udf("string")
-    def regexes(patterns: pd.Series) -> pd.Series:
-        return patterns.map(glob_to_regex, na_action="ignore")
+# The parts of a glob: as _GLOB_PART, and the literal runs between them.
+_GLOB_TOKEN = r"(?s)\*+|\?|\[!?(?:\][^\]]*|[^\]]+)\]|[^*?\[]+|\["
+_GLOB_LIST = r"(?s)^\[(!?)(\][^\]]*|[^\]]+)\]$"
+
 
-    return regexes(col_(pattern))
+def glob_regexes(pattern: Column | str) -> Column:
+    """:func:`glob_to_regex` of a column of globs."""
+    def quoted(c: Column) -> Column:
+        return F.regexp_replace(c, r"([^\w\s])", r"\\$1")
+
+    def element(e: Column) -> Column:  # of a bracket list: one character, or a range that may run backwards
+        low, high = F.substr(e, F.lit(1), F.lit(1)), F.substr(e, F.lit(3), F.lit(1))
+        return F.when(F.length(e) == 1, quoted(e)).when(low <= high, F.concat(quoted(low), F.lit("-"), quoted(high))).otherwise("")
+
+    def token(t: Column) -> Column:
+        no, chars = F.regexp_extract(t, _GLOB_LIST, 1) == "!", F.regexp_extract(t, _GLOB_LIST, 2)
+        body = F.array_join(F.transform(F.regexp_extract_all(chars, F.lit("(?s).-.|."), F.lit(0)), element), "")
+        some = F.concat(F.lit("["), F.when(no, "^").otherwise(""), body, F.lit("]"))
+        return (F.when(t.startswith("*"), ".*").when(t == "?", ".").when(chars == "", quoted(t))
+                .when(body != "", some).when(no, ".").otherwise("(?!)"))
+
+    tokens = F.regexp_extract_all(col_(pattern), F.lit(_GLOB_TOKEN), F.lit(0))
+    return F.concat(F.lit("(?s)^"), F.array_join(F.transform(tokens, token), ""), F.lit(r"\z"))

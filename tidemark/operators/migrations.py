@@ -150,11 +150,10 @@ def until_first_failure(outcomes: DataFrame, *ties: str, status_col: str = "stat
     ones stay ``pending``, whatever their status; ``ties`` order scripts of one
     id.  The first failing key is one aggregate; no task sorts the scripts."""
     key = F.struct("version", "migration_id", *ties)
-    first = outcomes.filter(F.col(status_col) != F.lit("success")).agg(F.min(key).alias("first"))
-    before = F.col("first").isNull() | (key < F.col("first"))
-    marked = outcomes.join(F.broadcast(first))  # one row, whatever the outcomes
-    state = F.when(before, F.lit("success")).when(key == F.col("first"), F.lit("failed")).otherwise(F.lit("pending"))
-    return marked.withColumn("state", state).drop("first")
+    first = outcomes.filter(F.col(status_col) != F.lit("success")).agg(F.min(key)).scalar()
+    state = (F.when(first.isNull() | (key < first), F.lit("success")).when(key == first, F.lit("failed"))
+             .otherwise(F.lit("pending")))
+    return outcomes.withColumn("state", state)
 
 
 def history_totals(history: DataFrame) -> DataFrame:

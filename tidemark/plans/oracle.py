@@ -209,6 +209,10 @@ g AS (SELECT DISTINCT lower(CASE n_chars % 4 WHEN 0 THEN {DOC_NAME} || '?' WHEN
 SELECT DISTINCT category, name FROM o JOIN g ON {cond} OR {singular}"""
 
 
+# Closed ranges that footers may settle (no footer does for l_quantity, a double).
+FOOTER_RANGES = [("part", "p_size", 1, 50), ("part", "p_size", 1, 49), ("customer", "c_nationkey", 0, 24),
+                 ("conversations", "turn", 0, 7), ("conversations", "turn", 1, 7), ("lineitem", "l_linenumber", 1, 7),
+                 ("lineitem", "l_quantity", 1, 50), ("events", "user_id", 0, 10), ("documents", "n_chars", 1, 10_000_000)]
 CATALOG_FROM_VIEWS = """
 WITH t AS (SELECT CASE WHEN o_orderpriority LIKE '5%' THEN 'sys' ELSE lower(o_orderpriority) END AS schema_name,
                   'order' || CAST(o_orderkey AS VARCHAR) AS object_name, o_orderkey, o_custkey,
@@ -770,8 +774,15 @@ FROM (SELECT 'document' AS kind, doc_id AS object_id, text AS body FROM document
         "history_outcomes": f"""WITH o AS ({OUTCOMES})
 SELECT migration_id, version, doc_id, state FROM o""",
         "history_reruns": f"""WITH o AS ({OUTCOMES} WHERE state <> 'pending')
-SELECT 'run1' AS run_id, state AS status, count(*) AS runs FROM o GROUP BY state
-UNION ALL SELECT 'run2', 'success', count(*) FROM o HAVING count(*) > 0""",
+SELECT 'run1' AS run_id, state AS status, count(*) AS runs, 0::BIGINT AS by_session_user FROM o GROUP BY state
+UNION ALL SELECT 'run2', 'success', count(*), count(*) FROM o HAVING count(*) > 0""",
+        "footer_counts": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in TABLE_NAMES),
+        "settled_ranges": " UNION ALL ".join(
+            f"SELECT '{t}' AS table_name, '{c}' AS column_name, {lo}::BIGINT AS low, {hi}::BIGINT AS high, "
+            + ("NULL::BIGINT AS least, NULL::BIGINT AS most, false AS settled" if c == "l_quantity" else
+               f"min({c})::BIGINT AS least, max({c})::BIGINT AS most, coalesce(min({c}) >= {lo} AND max({c}) <= {hi}, true) AS settled "
+               f"FROM {t}")
+            for t, c, lo, hi in FOOTER_RANGES),
         "artifact_manifest": f"SELECT relative_path, object_type, qualified_name, sha256 FROM ({ARTIFACTS})",
         "manifest_counts": f"SELECT object_type, CAST(count(*) AS BIGINT) AS object_count FROM ({ARTIFACTS}) GROUP BY object_type",
         "migration_run_order": f"""SELECT migration_id, version, doc_id,

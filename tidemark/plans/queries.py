@@ -18,8 +18,8 @@ from pyspark.sql import types as T
 
 from tidemark.functions.hashing import bundle_hash_tree
 from tidemark.functions.text import is_executable, normalize_definition
-from tidemark.operators import (assembly, checks, contracts, drift, hashtree, integrity, lint, migrations, render,
-                                search)
+from tidemark.operators import (assembly, checks, contracts, drift, footers, hashtree, integrity, lint, migrations,
+                                render, search)
 from tidemark.plans import mapping as M
 from tidemark.plans import snapshot
 from tidemark.plans.contract import CONTRACT, EXPECTED_VERSION, RULES
@@ -47,6 +47,26 @@ def q_row_counts(spark, sf_dir):
         "table_name", F.col("observed").alias("row_count"), "severity")
 
 
+def _paths(sf_dir):
+    return {t: f"{sf_dir}/{t}.parquet" for t in M.TABLES}
+
+
+def q_footer_counts(spark, sf_dir):
+    """Row counts of all tables from their footers."""
+    return footers.footer_counts(spark, _paths(sf_dir))
+
+
+# Closed ranges, some of which the footers settle.
+FOOTER_RANGES = [("part", "p_size", 1, 50), ("part", "p_size", 1, 49), ("customer", "c_nationkey", 0, 24),
+                 ("conversations", "turn", 0, 7), ("conversations", "turn", 1, 7), ("lineitem", "l_linenumber", 1, 7),
+                 ("lineitem", "l_quantity", 1, 50), ("events", "user_id", 0, 10), ("documents", "n_chars", 1, 10_000_000)]
+
+
+def q_settled_ranges(spark, sf_dir):
+    """Which ranges the footers settle, so that no scan is needed."""
+    return footers.settled_ranges(spark, _paths(sf_dir), FOOTER_RANGES)
+
+
 def q_null_counts(spark, sf_dir):
     return _fused(M.load_all(spark, sf_dir), (checks.NULLS,)).select(
         "table_name", F.col("subject").alias("column_name"), F.col("observed").alias("null_rows"), "passed")
@@ -545,10 +565,11 @@ def q_history_reruns(spark, sf_dir):
     """The recorded part of the run appended twice, as a retry does, and a second run beside it."""
     folder = scratch_folder(spark, "history")
     states = migrations.until_first_failure(_outcomes(spark, sf_dir), "doc_id").filter("state <> 'pending'")
-    for run_id, status in (("run1", None), ("run1", None), ("run2", "success")):
+    for run_id, status, user in (("run1", None, "nobody"), ("run1", None, "nobody"), ("run2", "success", None)):
         runs = states.select("migration_id", "file_name", "migration_type", F.col("state").alias("status"))
-        migrations.append_run(migrations.history_rows(runs, status, M.RUN_BY, M.APPLIED_AT), run_id, folder)
-    return migrations.read_runs(spark, folder).groupBy("run_id", "status").agg(F.count(F.lit(1)).alias("runs"))
+        migrations.append_run(migrations.history_rows(runs, status, user, M.APPLIED_AT), run_id, folder)
+    return migrations.read_runs(spark, folder).groupBy("run_id", "status").agg(
+        F.count(F.lit(1)).alias("runs"), F.count_if(F.col("applied_by") == F.current_user()).alias("by_session_user"))
 
 
 def q_migration_skipped(spark, sf_dir):
@@ -687,6 +708,8 @@ def q_version_gaps(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     "row_counts": q_row_counts,
+    "footer_counts": q_footer_counts,
+    "settled_ranges": q_settled_ranges,
     "null_counts": q_null_counts,
     "range_violations": q_range_violations,
     "range_violation_rows": q_range_violation_rows,
