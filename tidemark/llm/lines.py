@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.names import unused
-from tidemark.llm.common import packed_rows, unpacked
+from tidemark.llm.common import packed_rows, unpacked, written
 
 WINDOW = 3
 
@@ -37,9 +37,10 @@ def window_occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def later_occurrences(windows: DataFrame) -> DataFrame:
     """``doc, text_hash, pos`` of every occurrence but a window's first."""
     here = F.struct("doc", "text_hash", "pos")
-    repeated = (windows.groupBy("w1", "w2").agg(F.min(here).alias("first"), F.max(here).alias("last"))
-                .filter("first < last"))
-    return (windows.join(repeated.drop("last"), ["w1", "w2"])
+    # written, so that the join can split the rows of a very frequent window over tasks
+    repeated = written(windows.groupBy("w1", "w2").agg(F.min(here).alias("first"), F.max(here).alias("last"))
+                       .filter("first < last").drop("last"), "repeated-windows")
+    return (windows.join(repeated, ["w1", "w2"])
             .filter(here > F.col("first")).select("doc", "text_hash", "pos"))
 
 
