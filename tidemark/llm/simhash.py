@@ -217,8 +217,9 @@ def near_duplicates(docs: DataFrame, shingle: int, distance: int, blocks: int |
     classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("node")), "classes")
     blocks = blocks or block_count(classes.count(), distance)
     found = components(links(classes.filter("node is not null"), distance, blocks))
-    rooted = (classes.join(found, "node", "left")
-              .select("fp", F.coalesce("component", "node").alias("component_id")))
+    # written, so that the join can split the rows of a very frequent fingerprint over tasks
+    rooted = written(classes.join(found, "node", "left")
+                     .select("fp", F.coalesce("component", "node").alias("component_id")), "components")
     return prints.join(rooted, "fp").select("doc_id", "text_hash", "fp", "component_id")
 
 
