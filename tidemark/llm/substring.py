@@ -465,8 +465,8 @@ def dedup_substrings(docs: DataFrame, window: int, id_col: str = "doc_id", text_
     pairs = written(links(known, window, size // 5), "links")
     parts = max(tasks(spark), math.ceil(size / PART_BYTES))
     part_of = lambda c: F.pmod(F.xxhash64(c), F.lit(parts)).cast("int")
-    # one shuffle of the texts serves as documents and as references
-    dealt = known.withColumn("part", part_of("doc_id")).repartition(parts, "part")
+    # one shuffle of the texts serves as documents and as references; a task takes one part after the other
+    dealt = known.withColumn("part", part_of("doc_id"))
     # a reference goes once to each part that reads it; who reads it there is known from the part's own links
     wanted = (pairs.select("ref", part_of("doc_id").alias("reader_part")).distinct()
               .groupBy(F.col("ref").alias("doc_id"), F.floor(F.col("reader_part") / TARGETS).alias("chunk"))
