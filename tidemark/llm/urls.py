@@ -3,8 +3,8 @@
 The labelled URLs are those that a rule fits.  Trees are boosted (Spark ML) on a
 bounded, documented sample of them and score every URL from its text alone:
 lengths, depth, shares of digits and letters, character entropy, parameter
-counts, and statistics of the host's suffixes over all labelled URLs.  Only
-DataFrame functions and Spark ML are used.
+counts, and statistics of the host's suffix and of the path's first segment over
+all labelled URLs.  Only DataFrame functions and Spark ML are used.
 """
 
 from __future__ import annotations
@@ -21,7 +21,8 @@ PRIOR = 20.0
 BROADCAST_SUFFIXES = 100_000
 FEATURES = ["u_length", "u_host_length", "u_path_length", "u_labels", "u_depth", "u_digits", "u_host_digits",
             "u_letters", "u_upper", "u_dashes", "u_entropy", "u_params", "u_query_length", "u_fragment", "u_secure",
-            "u_last_length", "u_extension", "u_www", "u_suffix_share", "u_suffix_count"]
+            "u_last_length", "u_extension", "u_www", "u_suffix_share", "u_suffix_count", "u_head_share", "u_head_count"]
+FOLDS = 5
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -79,6 +80,33 @@ def features(pages: DataFrame) -> DataFrame:
     return pages.select("*", *[c.cast("double").alias(k) for k, c in cols.items()]).drop("__letters", "__n", "__others")
 
 
+def _with_share(base: DataFrame, labelled: DataFrame, key: str, name: str, prior: float) -> DataFrame:
+    """Add ``u_<name>_share`` and ``u_<name>_count``: how large a share of the
+    labelled URLs with the same ``key`` is blocked (smoothed toward ``prior``),
+    and how many there are (as a logarithm).
+
+    A labelled URL's own fold is left out of its numbers.  Leaving out just its
+    own label would give the label away: of two URLs with one key, the blocked
+    one would always see the smaller share."""
+    fold = F.pmod(F.xxhash64("__url"), F.lit(FOLDS)).cast("int")
+    block, one = (F.col("__ruled") == "block").cast("double"), F.lit(1.0)
+    stats = written(labelled.groupBy(key).agg(*[
+        F.array(*[F.sum(F.when(fold == k, x).otherwise(0.0)) for k in range(FOLDS)]).alias(n)
+        for n, x in (("__blocks", block), ("__all", one))]), name)
+    if stats.count() <= BROADCAST_SUFFIXES:
+        stats = F.broadcast(stats)  # checked
+    joined = base.join(stats, key, "left")
+
+    def seen(column: str) -> Column:
+        every = F.expr(f"aggregate({column}, 0D, (s, x) -> s + x)")
+        own = F.when(F.col("__ruled").isNotNull(), F.get(column, fold)).otherwise(0.0)
+        return F.coalesce(every - own, F.lit(0.0))
+
+    return joined.withColumns({
+        f"u_{name}_share": (seen("__blocks") + PRIOR * prior) / (seen("__all") + PRIOR),
+        f"u_{name}_count": F.log1p(seen("__all"))}).drop("__blocks", "__all")
+
+
 def _suffix(host: Column) -> Column:
     """The last two labels of the host."""
     return F.substring_index(host, ".", -2)
@@ -105,28 +133,21 @@ def judged(pages: DataFrame, rules: list[tuple[str, str]], sample: int = SAMPLE,
     base = base.withColumn("__host", host).withColumn("__path", path)
     rule, ruled = rule_of(F.col("__host"), F.col("__path"), rules)
     base = base.withColumn("rule", rule).withColumn("__ruled", ruled).withColumn("__suffix", _suffix(F.col("__host")))
+    base = base.withColumn("__head", F.regexp_extract("__path", r"^/([^/]*)", 1))
     if hidden is not None:
         base = base.withColumn("__ruled", F.when(~F.coalesce(hidden, F.lit(False)), F.col("__ruled")))
     labelled = base.filter("__ruled is not null")
-    block = F.sum((F.col("__ruled") == "block").cast("double"))
-    stats = written(labelled.groupBy("__suffix").agg(block.alias("__blocks"), F.count(F.lit(1)).cast("double").alias("__all")), "suffixes")
-    n_suffixes, blocks, all_ = stats.agg(F.count(F.lit(1)), F.coalesce(F.sum("__blocks"), F.lit(0.0)),
-                                         F.coalesce(F.sum("__all"), F.lit(0.0))).first()
+    block = (F.col("__ruled") == "block").cast("double")
+    blocks, all_ = labelled.agg(F.coalesce(F.sum(block), F.lit(0.0)), F.count(F.lit(1)).cast("double")).first()
     plain = F.col("__ruled")
     out = ["page_id", F.col("__host").alias("host"), F.col("__path").alias("path"), "rule"]
     if blocks in (0.0, all_):
         other = F.lit("block" if blocks else "allow")
         return base.select(*out, F.coalesce(plain, other).alias("verdict"), F.lit(None).cast("double").alias("score"))
     prior = blocks / all_
-    if n_suffixes <= BROADCAST_SUFFIXES:
-        stats = F.broadcast(stats)  # checked
-    # smoothed shares of blocked URLs; a URL's own label is left out of its suffix's share
-    own = F.when(plain.isNull(), 0.0).otherwise(1.0)
-    own_block = F.when(plain == "block", 1.0).otherwise(0.0)
-    seen = F.coalesce(F.col("__all"), F.lit(0.0)) - own
-    share = (F.coalesce(F.col("__blocks"), F.lit(0.0)) - own_block + PRIOR * prior) / (seen + PRIOR)
-    full = (features(base.join(stats, "__suffix", "left"))
-            .withColumn("u_suffix_share", share).withColumn("u_suffix_count", F.log1p(seen)))
+    base = _with_share(base, labelled, "__suffix", "suffix", prior)
+    base = _with_share(base, labelled, "__head", "head", prior)
+    full = features(base)
     picked = (full.filter("__ruled is not null").dropDuplicates(["__url"])
               .orderBy(F.xxhash64("__url"), "__url").limit(sample))
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="__features")
