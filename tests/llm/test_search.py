@@ -95,3 +95,16 @@ def test_products_are_exact_at_every_size():
         a = np.array([[3.0, -5.0], [7.0, 11.0]]) * scale
         want = [[max(-topk.LONG_MAX, min(topk.LONG_MAX, sum(int(x) * int(y) for x, y in zip(p, q)))) for q in a] for p in a]
         assert topk.products(a, a).tolist() == want
+
+
+def test_blocks_grow_with_the_rows_and_not_with_their_square(spark, monkeypatch):
+    from tidemark.llm import vectors
+    rows = spark.range(5000).selectExpr("id AS vec_id", "array_repeat(1D, 8) AS vec")
+    queries = rows.filter("vec_id % 10 = 0")
+    assert vectors.block_counts(queries, rows, 100, 1000) == (5, 5)
+    assert vectors.block_counts(queries, rows, None, None) == (1, 4)      # a pair of blocks per task
+    monkeypatch.setattr(vectors, "BLOCK_BYTES", 8 * 8 * 250)
+    assert vectors.block_counts(queries, rows, None, None) == (2, 20)     # blocks of 250 vectors
+    assert vectors.block_counts(queries.limit(0), rows.limit(0), None, None) == (1, 1)
+    monkeypatch.setattr(vectors, "STRIPE", 30)
+    assert [(s.start, s.stop) for s in vectors.stripes(7, 10)] == [(0, 3), (3, 6), (6, 9)]

@@ -17,11 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import written
-from tidemark.llm.vectors import (best_of, block_count, every_block, few_per_copy, in_block, matrix, merge_heaps,
-                                  ranked, valid_vectors)
+from tidemark.llm.vectors import (best_of, block_counts, every_block, few_per_copy, in_block, matrix, merge_heaps,
+                                  ranked, stripes, valid_vectors)
 
-QUERY_BLOCK = 2048
-ROW_BLOCK = 4096
 SLACK = 1e-9  # of the norms' product; covers the bounds' own rounding
 
 
@@ -43,8 +41,7 @@ def tile(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.n
     kind = np.float32 if queries.shape[1] * 127 * 127 < 1 << 24 else np.float64
     right = ri.T.astype(kind)
     out_q, out_id, out_score = [], [], []
-    for at in range(0, len(queries), 256):
-        part = slice(at, at + 256)
+    for part in stripes(len(queries), len(rows)):
         near = (qi[part].astype(kind) @ right).astype(np.float64) * qs[part, None] * rs
         off = qe[part, None] * whole + qn[part, None] * re + SLACK * (qn[part, None] + qe[part, None]) * whole
         own = np.searchsorted(ids, query_ids[part])
@@ -55,16 +52,16 @@ def tile(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.n
         alive = (near + off >= cut[:, None]) & (near > -np.inf)
         for i in range(len(near)):
             j = np.flatnonzero(alive[i])
-            exact = np.cumsum(rows[j] * queries[at + i], axis=1)[:, -1]  # summed from left to right, as SQL does
+            exact = np.cumsum(rows[j] * queries[part.start + i], axis=1)[:, -1]  # summed from left to right, as SQL does
             best = best_of(exact, k)
-            out_q += [int(query_ids[at + i])] * len(best)
+            out_q += [int(query_ids[part.start + i])] * len(best)
             out_id += ids[j[best]].tolist()
             out_score += exact[best].tolist()
     return out_q, out_id, out_score
 
 
 def nearest(embeddings: DataFrame, is_query: Column, k: int, id_col: str = "vec_id",
-            vector_col: str = "embedding", query_block: int = QUERY_BLOCK, row_block: int = ROW_BLOCK) -> DataFrame:
+            vector_col: str = "embedding", query_block: int | None = None, row_block: int | None = None) -> DataFrame:
     """``query_id, rank, vec_id, score``: each query's k rows of largest inner
     product but itself, all if there are fewer.
 
@@ -76,7 +73,7 @@ def nearest(embeddings: DataFrame, is_query: Column, k: int, id_col: str = "vec_
     vectors = written(valid_vectors(embeddings, id_col, vector_col, zero=False), "vectors")
     queries = vectors.filter(is_query)
     rows = written(few_per_copy(vectors, k + 1, F.col("vec")), "distinct-vectors")
-    q_blocks, r_blocks = block_count(queries.count(), query_block), block_count(rows.count(), row_block)
+    q_blocks, r_blocks = block_counts(queries, rows, query_block, row_block)
     left = queries.select("vec_id", "vec", F.size("vec").alias("dim"), in_block(q_blocks).alias("qb"),
                           every_block(r_blocks).alias("rb"))
     right = rows.select("vec_id", "vec", F.size("vec").alias("dim"), in_block(r_blocks).alias("rb"),

@@ -25,10 +25,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import written
-from tidemark.llm.vectors import best_of, block_count, every_block, few_per_copy, in_block, matrix, merge_heaps, ranked, valid_vectors
+from tidemark.llm.vectors import (best_of, block_counts, every_block, few_per_copy, in_block, matrix, merge_heaps,
+                                  ranked, stripes, valid_vectors)
 
-QUERY_BLOCK = 2048
-ROW_BLOCK = 4096
 LISTS = 2
 DEPTH = 4  # deeper lists raise the cutoff, so that phase 2 collects less
 SCALE = 256.0
@@ -79,9 +78,9 @@ def _tiles(queries: DataFrame, rows: DataFrame, blocks: tuple[int, int], lists:
         if len(q) and len(r):
             r = r.sort_by("vec_id")
             a, b = whole(matrix(q["part"]), SCALE), whole(matrix(r["part"]), SCALE)
-            for at in range(0, len(q), 256):
-                part = q.slice(at, 256)
-                i, j, score = entries(part, products(a[at:at + 256], b), r["vec_id"].to_numpy())
+            for at in stripes(len(q), len(r)):
+                part = q.slice(at.start, at.stop - at.start)
+                i, j, score = entries(part, products(a[at], b), r["vec_id"].to_numpy())
                 found["query_id"].append(part["vec_id"].to_numpy()[i])
                 found["vec_id"].append(r["vec_id"].to_numpy()[j])
                 found["score"].append(score)
@@ -115,7 +114,7 @@ def _scored(pairs: DataFrame, queries: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def top_k(embeddings: DataFrame, is_query: Column, k: int, lists: int = LISTS, id_col: str = "vec_id",
-          vector_col: str = "embedding", query_block: int = QUERY_BLOCK, row_block: int = ROW_BLOCK) -> DataFrame:
+          vector_col: str = "embedding", query_block: int | None = None, row_block: int | None = None) -> DataFrame:
     """``query_id, rank, vec_id, score``: each query's k highest scores but its
     own, all if there are fewer.
 
@@ -128,7 +127,7 @@ def top_k(embeddings: DataFrame, is_query: Column, k: int, lists: int = LISTS, i
     queries = vectors.filter(is_query)
     same = F.expr("transform(vec, x -> floor(256D * x))")
     rows = written(few_per_copy(vectors, k + 1, same), "distinct-vectors")
-    blocks = (block_count(queries.count(), query_block), block_count(rows.count(), row_block))
+    blocks = block_counts(queries, rows, query_block, row_block)
     schema = "query_id long, list int, vec_id long, score long"
     depth = DEPTH * k
 

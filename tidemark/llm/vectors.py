@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import tasks
+
 
 def valid_vectors(rows: DataFrame, id_col: str, vector_col: str, zero: bool) -> DataFrame:
     """``vec_id, vec``: rows with an id and a vector of finite components.
@@ -38,8 +40,31 @@ def few_per_copy(vectors: DataFrame, most: int, same: Column) -> DataFrame:
     return ranked.filter(F.col("__n") <= most).drop("__n", "__same")
 
 
-def block_count(rows: int, block: int) -> int:
-    return max(1, math.ceil(rows / block))
+BLOCK_BYTES = 32 << 20    # a block's vectors as doubles
+LEAST_BLOCK = 1024
+STRIPE = 1 << 22          # scores that a tile holds at a time
+
+
+def block_counts(queries: DataFrame, rows: DataFrame, query_block: int | None, row_block: int | None) -> tuple[int, int]:
+    """Into how many blocks queries and rows are dealt.
+
+    Every query meets every row block and the other way round, so blocks are as
+    large as a task's memory lets them be, unless there would be fewer pairs of
+    blocks than tasks."""
+    n_queries = queries.count()
+    n_rows, dims = rows.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("vec")), F.lit(1))).first()
+    most = max(1, BLOCK_BYTES // (8 * dims))
+    q_blocks = max(1, math.ceil(n_queries / (query_block or most)))
+    if row_block:
+        return q_blocks, max(1, math.ceil(n_rows / row_block))
+    spread = min(math.ceil(tasks(rows.sparkSession) / q_blocks), math.ceil(n_rows / LEAST_BLOCK))
+    return q_blocks, max(1, math.ceil(n_rows / most), spread)
+
+
+def stripes(queries: int, rows: int) -> Iterator[slice]:
+    """Queries of a tile, as many at a time as ``STRIPE`` scores allow."""
+    step = max(1, STRIPE // max(1, rows))
+    return (slice(at, at + step) for at in range(0, queries, step))
 
 
 def in_block(blocks: int) -> Column:
