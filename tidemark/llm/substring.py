@@ -28,6 +28,7 @@ passage that a third of the corpus has reaches its bucket once per batch.
 
 from __future__ import annotations
 
+import gc
 import math
 from collections.abc import Iterator
 
@@ -303,6 +304,13 @@ def _part(window: int, shift: int):
     ``shift`` bits of a hash are not compared."""
 
     def run(sent: pa.Table, docs: pa.Table) -> pa.Table:
+        gc.disable()  # the automata's many lists and dicts hold no cycles; looking for some takes an eighth of the time
+        try:
+            return kept_of(sent, docs)
+        finally:
+            gc.enable()
+
+    def kept_of(sent: pa.Table, docs: pa.Table) -> pa.Table:
         links = sent.filter(pc.is_valid(sent["reader"]))
         reads: dict[int, list[int]] = {}
         for ref, reader in zip(links["ref"].to_pylist(), links["reader"].to_pylist()):
