@@ -23,7 +23,7 @@ from tidemark.operators import (assembly, checks, contracts, drift, footers, has
 from tidemark.plans import mapping as M
 from tidemark.plans import snapshot
 from tidemark.plans.contract import CONTRACT, EXPECTED_VERSION, RULES
-from tidemark.session import scratch_folder
+from tidemark.session import scratch_folder, written
 from tidemark.sources import catalog
 from tidemark.sources.catalog import actual_columns, available_tables
 from tidemark.sources.corpus import read_snapshot, resolve_paths
@@ -548,11 +548,13 @@ def q_drift_report_order(spark, sf_dir):
 
 
 def _outcomes(spark, sf_dir):
-    """What would become of every pending script: blank ones fail."""
+    """What would become of every pending script: blank ones fail.  Written, as a run's outcomes are facts and are
+    read twice: for the first failure and for what it leaves pending."""
     files = migrations.discover(M.script_files(spark, sf_dir), "sql")
     todo = migrations.pending(files, M.history(spark, sf_dir))
     status = F.when(is_executable(F.col("content")), F.lit("success")).otherwise(F.lit("failed"))
-    return todo.select("version", "migration_id", "doc_id", "file_name", "migration_type", status.alias("status"))
+    return written(todo.select("version", "migration_id", "doc_id", "file_name", "migration_type", status.alias("status")),
+                   "outcomes")
 
 
 def q_history_outcomes(spark, sf_dir):
