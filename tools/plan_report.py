@@ -15,7 +15,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-OPS = [("scans", r"FileScan parquet"), ("hash exch", r"Exchange hashpartitioning"),
+OPS = [("scans", r"(?:FileScan|BatchScan) parquet"), ("hash exch", r"Exchange hashpartitioning"),
        ("single exch", r"Exchange SinglePartition"), ("round-robin exch", r"Exchange RoundRobinPartitioning"),
        ("range exch", r"Exchange rangepartitioning"), ("SMJ", r"SortMergeJoin"),
        ("BHJ", r"BroadcastHashJoin"), ("nested loop", r"BroadcastNestedLoopJoin|CartesianProduct"),
