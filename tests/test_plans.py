@@ -12,8 +12,14 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "
              "FlatMapGroupsInPandas", "MapInPandas", "MapInArrow")
 
 
+_PLANS: dict[str, str] = {}
+
+
 def _plan(spark, name):
-    return QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    """The query's plan, built once: some queries write tables while they are built."""
+    if name not in _PLANS:
+        _PLANS[name] = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    return _PLANS[name]
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
