@@ -2,8 +2,8 @@
 
 A snapshot's objects are dealt to ``2^8`` branches and ``2^16`` blocks a branch
 by the hash of (category, name).  Stored are the leaves (category, name,
-digest), in a folder per branch and sorted by block, the digest of every block,
-and the digest of every branch.  Two trees are compared from the top: branches
+digest), in a folder per 16 branches and sorted by branch and block, the digest
+of every block, and the digest of every branch.  Two trees are compared from the top: branches
 whose digests agree are not opened, blocks whose digests agree are not joined,
 and only the leaves of differing blocks meet in a full outer join.  After a
 small change the cost is that of the change's branches, whatever the snapshot's
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import NL
 
-LEAVES_SCHEMA = "block string, category string, name string, digest string, branch string"
+LEAVES_SCHEMA = "branch string, block string, category string, name string, digest string, folder string"
 BLOCKS_SCHEMA = "block string, block_digest string, objects bigint, branch string"
 BRANCHES_SCHEMA = "branch string, branch_digest string, objects bigint"
 
@@ -40,18 +40,19 @@ def write_tree(objects: DataFrame, folder: str, digest_col: str = "sha256") -> N
     spark = objects.sparkSession
     leaves = objects.select("category", "name", F.coalesce(F.col(digest_col), F.lit("")).alias("digest"),
                             _place().alias("place")).select(
-        F.substring("place", 3, 4).alias("block"), "category", "name", "digest",
-        F.substring("place", 1, 2).alias("branch"))
-    # ranges of (branch, block): a task writes few branches, and a file is sorted by block
-    (leaves.repartitionByRange("branch", "block").sortWithinPartitions("branch", "block")
-     .write.mode("overwrite").partitionBy("branch").parquet(f"{folder}/leaves"))
+        F.substring("place", 1, 2).alias("branch"), F.substring("place", 3, 4).alias("block"), "category", "name", "digest",
+        F.substring("place", 1, 1).alias("folder"))
+    # ranges of (branch, block): a task writes few folders, and row groups hold few branches
+    (leaves.repartitionByRange("branch", "block").sortWithinPartitions("folder", "branch", "block")
+     .write.mode("overwrite").partitionBy("folder").parquet(f"{folder}/leaves"))
     stored = spark.read.schema(LEAVES_SCHEMA).parquet(f"{folder}/leaves")
     leaf = F.sha2(F.concat_ws(NL, F.coalesce(F.col("category"), F.lit("")), F.coalesce(F.col("name"), F.lit("")),
                               F.col("digest")), 256)
     blocks = stored.groupBy("branch", "block").agg(_digest_of(leaf).alias("block_digest"),
                                                    F.count(F.lit(1)).alias("objects"))
-    (blocks.select("block", "block_digest", "objects", "branch").repartition("branch")
-     .write.mode("overwrite").partitionBy("branch").parquet(f"{folder}/blocks"))
+    # sorted by branch, so that row groups without a branch asked for are skipped
+    (blocks.select("block", "block_digest", "objects", "branch").repartitionByRange("branch", "block")
+     .sortWithinPartitions("branch", "block").write.mode("overwrite").parquet(f"{folder}/blocks"))
     branches = spark.read.schema(BLOCKS_SCHEMA).parquet(f"{folder}/blocks").groupBy("branch").agg(
         _digest_of(F.concat_ws(":", "block", "block_digest")).alias("branch_digest"),
         F.sum("objects").cast("bigint").alias("objects"))
@@ -71,11 +72,14 @@ def tree_drift(spark: SparkSession, left: str, right: str) -> DataFrame:
     trees; an object with the same digest on both sides gives no row.
 
     The branches are compared when this is called; what is returned reads the
-    differing branches' folders only."""
+    differing branches only."""
     branches = differing_branches(spark, left, right)
 
     def side(folder: str, kind: str, schema: str) -> DataFrame:
-        return spark.read.schema(schema).parquet(f"{folder}/{kind}").filter(F.col("branch").isin(branches))
+        stored = spark.read.schema(schema).parquet(f"{folder}/{kind}")
+        if kind == "leaves":  # folders are not opened without need, and in them row groups
+            stored = stored.filter(F.col("folder").isin(sorted({b[0] for b in branches})))
+        return stored.filter(F.col("branch").isin(branches))
 
     l, r = (side(f, "blocks", BLOCKS_SCHEMA).select("branch", "block", F.col("block_digest").alias(n))
             for f, n in ((left, "l"), (right, "r")))
