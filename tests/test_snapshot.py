@@ -144,3 +144,16 @@ def test_assembly(spark):
     assert [r.table_name for r in assembly.tables_without_columns(tables, cols).collect()] == ["b"]
     assert [r.c for r in assembly.children_of(cols, tables, ["schema_name", "table_name"]).collect()] == ["x"]
     assert [r.table_name for r in assembly.catalog_order(tables, "schema_name", "table_name").collect()] == ["a", "b"]
+
+
+def test_module_join_takes_every_schema_but_the_system_s(spark, scratch_dir):
+    from tidemark.plans.queries import q_module_join
+    regions = [(0, "AFRICA"), (2, "ASIA"), (4, "MIDDLE EAST"), (5, None)]
+    nations = [(n, f"N{n}", r) for n, r in ((0, 0), (1, 2), (2, 2), (3, 4), (6, 2), (9, 5))]
+    customers = [(k, f"C{n}", n) for k, n in enumerate((0, 1, 2, 3, 6, 9, 77, None))]
+    for name, rows, schema in (("region", regions, "r_regionkey int, r_name string"),
+                               ("nation", nations, "n_nationkey int, n_name string, n_regionkey int"),
+                               ("customer", customers, "c_custkey long, c_name string, c_nationkey int")):
+        spark.createDataFrame(rows, schema).write.parquet(f"{scratch_dir}/{name}.parquet")
+    got = {tuple(r) for r in q_module_join(spark, scratch_dir).collect()}
+    assert got == {("AFRICA", "N0", "V", "C0"), ("ASIA", "N1", "P", "C1"), ("ASIA", "N6", "V", "C6")}
