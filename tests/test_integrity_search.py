@@ -92,3 +92,25 @@ def test_labels_as_a_table(spark):
     assert empty.count() == 0
     plan = search.label_presence(h, table)._jdf.queryExecution().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_label_index_leaves_out_what_most_rows_have(spark, monkeypatch):
+    tail = "_common_tail_of_every_row_" + "xyz" * 20
+    ids = [f"v{i * 7919:06d}{tail}" for i in range(80)]
+    h = spark.createDataFrame([(x, "success") for x in ids], "migration_id string, status string")
+    labels = {ids[3][:14], ids[9][2:20], "v000001_common", tail[:12], "Tail_Of_Every_ROW", "tail_of_every_cow", "v00", "zzzz",
+              "v0079190", ids[5].upper()}
+    table = spark.createDataFrame([(x,) for x in labels], "needle string")
+    want = {x: (any(x.lower() in f"{i}||success" for i in ids), any(i.startswith(x) for i in ids)) for x in labels}
+    dealt = []
+    real = search._index
+    monkeypatch.setattr(search, "_index", lambda *a: dealt.append((real(*a), *a)) or dealt[-1][0])
+    for frequent in (1, 400, 1 << 16):
+        monkeypatch.setattr(search, "FREQUENT", frequent)
+        got = {r.needle: (r.loose_found, r.strict_found) for r in search.label_presence(h, table).collect()}
+        assert got == want
+    index, texts, held, asked = dealt[1]
+    every = texts.select("row", F.explode(search._pieces("text", [search.GRAM])).alias("piece"))
+    assert index.count() < every.count() / 3  # every piece of every row before
+    assert index.join(asked, "piece").count() == every.join(asked, "piece").count()  # no piece that a label asks for is lost
+    assert dict(index.dtypes)["row"] == "bigint"  # a hash of 64 letters before

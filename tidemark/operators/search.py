@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import local_frame
+from tidemark.session import local_frame, written
 
 
 def search_text(df: DataFrame, separator: str = "||") -> Column:
@@ -61,37 +61,59 @@ def strict_presence(history: DataFrame, needles: Sequence[str],
 #: Characters of the pieces by which long labels find the rows that may have them.
 GRAM = 8
 
+#: A piece is frequent if it is more than one in so many of all; so there are fewer of them than that.
+FREQUENT = 65_536
+
+
+def _pieces(col: str, sizes: Sequence[int]) -> Column:
+    """The distinct pieces of a text that are ``sizes`` characters long."""
+    of_size = [f"CASE WHEN length({col}) >= {n} THEN transform(sequence(1, length({col}) - {n} + 1), "
+               f"i -> substring({col}, i, {n})) ELSE cast(array() AS array<string>) END" for n in sizes]
+    return F.expr(f"array_distinct(flatten(array({', '.join(of_size)})))")
+
+
+def _index(texts: DataFrame, held: DataFrame, asked: DataFrame) -> DataFrame:
+    """``row, piece`` of the texts' pieces but the frequent ones (by their number
+    in ``held``) that no label asks for."""
+    most = (held.agg(F.sum("n")).first()[0] or 0) // FREQUENT
+    unasked = held.filter(F.col("n") > most).join(asked, "piece", "left_anti").select("piece")
+    index = texts.select("row", F.explode(_pieces("text", [GRAM])).alias("piece"))
+    return index.join(F.broadcast(unasked), "piece", "left_anti")
+
 
 def labels_in_rows(rows: DataFrame, labels: DataFrame, text: Column | None = None) -> DataFrame:
     """``needle`` of the labels (``labels`` has a ``needle`` column) that some
     row's all-column text contains, letter case aside.
 
-    An index of the rows' pieces answers it, not every label on every row: each
-    row gives the distinct pieces of its text, of up to ``GRAM`` characters and of
-    the lengths that occur among the labels.  A label of one piece is found by an
-    equi join.  A longer one is looked for only in the rows that have its rarest
-    piece, and there the text decides."""
+    The pieces of the rows' texts answer it, not every label on every row: the
+    distinct pieces of up to ``GRAM`` characters and of the lengths that occur
+    among the labels are counted.  A label of one piece is found by an equi join
+    on them.  A longer one must have all its pieces there, and is looked for only
+    in the rows that have its rarest one; there the text decides.  Rows are dealt
+    to that join by their rare pieces and those that a label asks for, as most of
+    a text is pieces that many rows have."""
     wanted = labels.filter("needle IS NOT NULL").select("needle", F.lower("needle").alias("low")).distinct()
-    sizes = [r.n for r in wanted.select(F.least(F.length("low"), F.lit(GRAM)).alias("n")).distinct().collect()]  # GRAM + 1 at most
+    sizes = sorted(r.n for r in wanted.select(F.least(F.length("low"), F.lit(GRAM)).alias("n")).distinct().collect())  # GRAM + 1 at most
+    if not sizes:
+        return wanted.select("needle")
+    # texts that agree in the hash are told apart where the text decides
     texts = rows.select((search_text(rows) if text is None else text).alias("text")).distinct() \
-        .withColumn("row", F.sha2("text", 256))
-    pieces = "flatten(array(" + ", ".join(
-        f"CASE WHEN length(text) >= {n} THEN transform(sequence(1, length(text) - {n} + 1), i -> substring(text, i, {n})) "
-        "ELSE cast(array() AS array<string>) END" for n in sorted(sizes)) + "))"
-    empty = texts.limit(0).select("row", F.lit("").alias("piece"))
-    index = texts.select("row", F.explode(F.expr(f"array_distinct({pieces})")).alias("piece")) if sizes else empty
-    held = index.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("row", F.xxhash64("text"))
+    held = written(texts.select(F.explode(_pieces("text", sizes)).alias("piece")).groupBy("piece").agg(F.count(F.lit(1)).alias("n")),
+                   "pieces")
     short = wanted.filter(F.length("low") <= GRAM).join(held, F.col("low") == F.col("piece"), "left_semi").select("needle")
+    if sizes[-1] < GRAM:
+        return short
+    held = held.filter(F.length("piece") == GRAM)
     long = wanted.filter(F.length("low") > GRAM)
-    own = long.select("needle", "low", F.explode(F.expr(
-        f"array_distinct(transform(sequence(1, length(low) - {GRAM} + 1), i -> substring(low, i, {GRAM})))")).alias("piece"))
-    # a piece that no row has counts as none: the label is nowhere
-    rarest = (own.join(held, "piece", "left").groupBy("needle", "low")
-              .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "piece")).alias("best"))
-              .filter("best.n > 0").select("needle", "low", F.col("best.piece").alias("piece")))
-    pairs = rarest.join(index, "piece").select("needle", "low", "row")
-    found = pairs.join(texts, "row").filter(F.col("text").contains(F.col("low"))).select("needle")
-    return short.unionByName(found).distinct()
+    own = long.select("low").distinct().select("low", F.explode(_pieces("low", [GRAM])).alias("piece"))
+    rarest = written(
+        own.join(held, "piece").groupBy("low").agg(F.min(F.struct("n", "piece")).alias("best"), F.count(F.lit(1)).alias("had"))
+        .filter(F.col("had") == F.size(_pieces("low", [GRAM]))).select("low", F.col("best.piece").alias("piece")),
+        "rarest-pieces")
+    pairs = rarest.join(_index(texts, held, rarest), "piece").select("low", "row")
+    found = pairs.join(texts, "row").filter(F.col("text").contains(F.col("low"))).select("low")
+    return short.unionByName(long.join(found, "low", "left_semi").select("needle"))
 
 
 def prefixes_in_ids(ids: DataFrame, labels: DataFrame, id_col: str) -> DataFrame:
